@@ -105,7 +105,7 @@ def block_rank(
     per-(group, block) count table is prefix-summed to give the offsets.
     """
     by = _names(by)
-    b = F.floor(F.col(pos) / F.lit(block)).cast("bigint")
+    b = F.expr(f"`{pos}` div {int(block)}")
     s = df.withColumn("_blk", b)
     counts = s.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
