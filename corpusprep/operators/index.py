@@ -7,6 +7,12 @@ bounded size, sorted inside the task.  A per-(task, group) count table — at
 most partitions + groups rows — is prefix-summed and joined back, which turns
 the local position into the global one.  No data row crosses the network
 except in the one range shuffle.
+
+The range-partitioned, id-stamped rows are written once with a reliable
+``checkpoint()`` to the shared ``spark.checkpoint.dir``: the count branch and
+the row branch then read the very same rows, and a lost executor cannot make
+a recomputed slice disagree with its offsets.  Index narrow key frames and
+join wide payloads afterwards.
 """
 
 from __future__ import annotations
@@ -49,12 +55,15 @@ def dense_index(
     keys = by + order
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from corpusprep.session import checkpoint_dir
+
+    checkpoint_dir(spark)
     s = (
         df.repartitionByRange(n_parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_blk", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-    )
+    ).checkpoint(eager=True)
     g = ["_blk"] + by
     counts = s.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,10 +10,12 @@ GB = 10**9
 SHARD_LIMIT = 2 * GB  # fixed value: shard size limit of the mixing job
 
 
-def row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame, exclude=()) -> Column:
     """In-memory size of one row: string bytes, 4 or 8 per number, per array element."""
     parts = []
     for f in df.schema.fields:
+        if f.name in exclude:
+            continue
         c, t = F.col(f"`{f.name}`"), f.dataType
         if isinstance(t, T.StringType):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
@@ -34,7 +36,7 @@ def row_bytes(df: DataFrame) -> Column:
 
 def estimate_bytes(df: DataFrame, by=None) -> DataFrame:
     """Total estimated bytes (per group if ``by``), a partial + final aggregate."""
-    b = row_bytes(df)
+    b = row_bytes(df, exclude=[by] if isinstance(by, str) else list(by or []))
     agg = [F.count(F.lit(1)).alias("n_rows"), F.sum(b).cast("bigint").alias("nbytes")]
     return df.groupBy(by).agg(*agg) if by else df.agg(*agg)
 

@@ -28,6 +28,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     from corpusprep.plans import (  # noqa: F401  (registration side effects)
         q_collate,
         q_mix,
+        q_order,
         q_sources,
         q_stream,
         q_text,
