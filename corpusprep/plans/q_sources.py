@@ -1 +1,109 @@
-"""(filled in below)"""
+"""Source and sink queries: listing, named splits, split folders, guarded and materialised writes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusprep.functions import text as tx
+from corpusprep.plans import fixtures as fx
+from corpusprep.plans.catalog import query
+from corpusprep.plans.q_text import MAX_SECONDS, MIN_SECONDS, SAMPLE_RATE, length_ok
+from corpusprep.session import scratch_path
+from corpusprep.sources import files as fs
+from corpusprep.sources import sinks as sk
+
+
+@query("list_files")
+def q_list_files(spark, sf_dir):
+    """Documents written as eight files, then the folder listed."""
+    path = scratch_path(spark, "listing")
+    fx.table(spark, sf_dir, "documents").repartition(8, "doc_id").write.parquet(path)
+    return fs.list_files(spark, path)
+
+
+def _named(spark, sf_dir):
+    return fs.read_named_splits(
+        spark, {"train": f"{sf_dir}/documents.parquet", "eval": f"{sf_dir}/benchmark.parquet"}
+    ).select("split", "doc_id", "item_id", "text")
+
+
+_SQL_NAMED = """SELECT 'train' AS split, doc_id, CAST(NULL AS BIGINT) AS item_id, text FROM documents
+UNION ALL SELECT 'eval' AS split, CAST(NULL AS BIGINT) AS doc_id, item_id, text FROM benchmark"""
+
+
+@query("scan_named_splits", _SQL_NAMED)
+def q_named_splits(spark, sf_dir):
+    return _named(spark, sf_dir)
+
+
+@query("scan_split_dir", "SELECT item_id, text, 'eval' AS split FROM benchmark")
+def q_split_dir(spark, sf_dir):
+    """Named splits written one folder per split; one split read back by partition pruning."""
+    path = scratch_path(spark, "split-dir")
+    _named(spark, sf_dir).write.partitionBy("split").parquet(path)
+    return fs.read_split(spark, path, "eval").select("item_id", "text", "split")
+
+
+@query("split_layout", "SELECT split, count(*) AS n_rows, count(doc_id) AS n_documents, count(item_id) AS n_items FROM (" + _SQL_NAMED + ") t GROUP BY split")
+def q_split_layout(spark, sf_dir):
+    """Writer and reader agree on the layout: every split comes back whole."""
+    path = scratch_path(spark, "layout")
+    _named(spark, sf_dir).write.partitionBy("split").parquet(path)
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("doc_id").alias("n_documents"), F.count("item_id").alias("n_items")
+    )
+
+
+@query(
+    "source_registry",
+    """SELECT doc_id, source, CAST(substr(source, 4) AS INT) AS source_id FROM documents
+WHERE source IN ('src0','src1','src2','src3','src4','src5','src6','src7')""",
+)
+def q_source_registry(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "source")
+    return fs.tag_sources(d, "source", fx.SOURCE_NAMES)
+
+
+@query("overwrite_guard", "SELECT doc_id, true AS refused_second_write FROM documents")
+def q_overwrite_guard(spark, sf_dir):
+    """First write succeeds; a second one into the same folder without overwrite is refused."""
+    from pyspark.errors import AnalysisException
+
+    path = scratch_path(spark, "guard")
+    d = fx.table(spark, sf_dir, "documents").select("doc_id")
+    sk.guarded_write(d, path)
+    try:
+        sk.guarded_write(d, path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return spark.read.parquet(path).withColumn("refused_second_write", F.lit(refused))
+
+
+_SQL_PREPARED = f"""SELECT sample_id, {tx.sql_clean_target('text')} AS target, duration FROM v_samples
+WHERE duration * {SAMPLE_RATE} > {MIN_SECONDS * SAMPLE_RATE} AND duration * {SAMPLE_RATE} < {MAX_SECONDS * SAMPLE_RATE}"""
+
+
+def _prepared(spark, sf_dir):
+    s = fx.v_samples(spark, sf_dir)
+    return s.filter(length_ok(F.col("duration") * SAMPLE_RATE)).select("sample_id", tx.clean_target("text").alias("target"), "duration")
+
+
+@query("materialise", _SQL_PREPARED, ("v_samples",))
+def q_materialise(spark, sf_dir):
+    """Preprocess only: write the prepared rows and continue from the written table."""
+    return sk.materialise(_prepared(spark, sf_dir), scratch_path(spark, "prepared"))
+
+
+@query("scan_saved_dir", _SQL_PREPARED, ("v_samples",))
+def q_saved_dir(spark, sf_dir):
+    """A saved dataset read whole (the training side of the pair)."""
+    path = scratch_path(spark, "saved")
+    sk.guarded_write(_prepared(spark, sf_dir), path)
+    import warnings
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        train, _ = fs.read_saved(spark, path)
+    return train
