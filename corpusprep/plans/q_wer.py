@@ -1 +1,91 @@
-"""(filled in below)"""
+"""Scoring queries over the prediction/reference pair fixture."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusprep.functions import text as tx
+from corpusprep.operators import wer as wr
+from corpusprep.plans import fixtures as fx
+from corpusprep.plans.catalog import query
+
+MARKER = " " + tx.NOSPEECH
+
+
+def sql_edits(src: str, extra: str = "") -> str:
+    """CTEs e0..e2 adding ref_words, hyp_words, edits to ``src`` (columns ref, hyp)."""
+    enc = lambda w: f"array_to_string(list_transform({w}, lambda x: chr(32 + list_position(d, x))), '')"
+    return f"""e0 AS (SELECT *, {tx.sql_words('ref')} AS rw, {tx.sql_words('hyp')} AS hw FROM {src}),
+e1 AS (SELECT *, list_distinct(list_concat(rw, hw)) AS d FROM e0),
+e2 AS (SELECT * EXCLUDE (rw, hw, d), CAST(len(rw) AS BIGINT) AS ref_words, CAST(len(hw) AS BIGINT) AS hyp_words,
+  CAST(levenshtein({enc('rw')}, {enc('hw')}) AS BIGINT) AS edits FROM e1)"""
+
+
+SQL_STAGES = f"""p AS (SELECT pair_id, data_source, contains(ref, '{MARKER}') AS mk, {tx.sql_normalise('ref')} AS ref, {tx.sql_normalise('hyp')} AS hyp FROM v_pairs),
+s1 AS (SELECT * FROM p WHERE {tx.sql_strip('hyp')} <> ''),
+s2 AS (SELECT * FROM s1 WHERE {tx.sql_strip('ref')} <> ''),
+s3 AS (SELECT pair_id, data_source, ref, hyp FROM s2 WHERE NOT mk)"""
+
+
+def sql_wer(src: str, by: str | None = None) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f" GROUP BY {by}" if by else ""
+    return f"""SELECT {sel}count(*) AS n_pairs, CAST(sum(edits) AS BIGINT) AS errors, CAST(sum(ref_words) AS BIGINT) AS ref_words,
+ 100.0::DOUBLE * CAST(sum(edits) AS DOUBLE) / CAST(sum(ref_words) AS DOUBLE) AS wer FROM {src} WHERE ref_words > 0{grp}"""
+
+
+@query("edit_distance", "WITH " + sql_edits("v_pairs") + "\nSELECT pair_id, ref_words, hyp_words, edits FROM e2", ("v_pairs",))
+def q_edit_distance(spark, sf_dir):
+    return wr.pair_edits(fx.v_pairs(spark, sf_dir)).select("pair_id", "ref_words", "hyp_words", "edits")
+
+
+@query("wer", "WITH " + sql_edits("v_pairs") + "\n" + sql_wer("e2"), ("v_pairs",))
+def q_wer(spark, sf_dir):
+    """Corpus rate on the raw strings (every pair with a non-empty reference)."""
+    return wr.corpus_wer(wr.pair_edits(fx.v_pairs(spark, sf_dir)))
+
+
+@query("wer_filtered", "WITH " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2"), ("v_pairs",))
+def q_wer_filtered(spark, sf_dir):
+    return wr.wer_filtered(fx.v_pairs(spark, sf_dir))
+
+
+@query("drop_empty_pairs", "WITH " + SQL_STAGES + "\nSELECT pair_id, ref, hyp FROM s2", ("v_pairs",))
+def q_drop_empty(spark, sf_dir):
+    return wr.filter_pairs(fx.v_pairs(spark, sf_dir))["non_empty_ref"].select("pair_id", "ref", "hyp")
+
+
+@query("drop_marker_pairs", f"SELECT pair_id, ref, hyp FROM v_pairs WHERE NOT contains(ref, '{MARKER}')", ("v_pairs",))
+def q_drop_marker(spark, sf_dir):
+    p = fx.v_pairs(spark, sf_dir)
+    return p.filter(~F.col("ref").contains(MARKER)).select("pair_id", "ref", "hyp")
+
+
+@query(
+    "pair_counts",
+    "WITH "
+    + SQL_STAGES
+    + """
+SELECT (SELECT count(*) FROM v_pairs) AS n_input, (SELECT count(*) FROM s1) AS n_non_empty_pred,
+ (SELECT count(*) FROM s2) AS n_non_empty_ref, (SELECT count(*) FROM s3) AS n_scored""",
+    ("v_pairs",),
+)
+def q_pair_counts(spark, sf_dir):
+    """Rows left after each filter, in one pass: every stage is a flag, counted by one aggregate."""
+    p = fx.v_pairs(spark, sf_dir)
+    pred_ok = tx.strip(tx.normalise("hyp")) != ""
+    ref_ok = tx.strip(tx.normalise("ref")) != ""
+    no_mark = ~F.col("ref").contains(MARKER)
+    cnt = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+    return p.agg(
+        F.count(F.lit(1)).alias("n_input"),
+        cnt(pred_ok).alias("n_non_empty_pred"),
+        cnt(pred_ok & ref_ok).alias("n_non_empty_ref"),
+        cnt(pred_ok & ref_ok & no_mark).alias("n_scored"),
+    )
+
+
+@query("udaf_metric", "WITH " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2", "data_source"), ("v_pairs",))
+def q_udaf_metric(spark, sf_dir):
+    """The metric as a grouped aggregate: one rate per data source."""
+    return wr.wer_filtered(fx.v_pairs(spark, sf_dir), by="data_source")
