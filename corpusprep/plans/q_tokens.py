@@ -1 +1,116 @@
-"""(filled in below)"""
+"""Token and label queries over the turn fixture and the test vocabulary."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusprep.functions import text as tx
+from corpusprep.functions.draws import sql_draw, threshold
+from corpusprep.operators import labels as lb
+from corpusprep.operators import tokens as tk
+from corpusprep.plans import fixtures as fx
+from corpusprep.plans.catalog import query
+
+SEED = 42
+EPOCH = 0
+KEYS = ["conv_id", "turn"]
+ELIGIBLE = "role = 'assistant'"  # rows whose timestamp target exists
+
+
+def turns(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations").select(*KEYS, "role")
+    t = fx.v_turns(spark, sf_dir).join(c, KEYS)
+    return t.withColumn("previous_text", tx.rename_marker(tx.null_to_empty("previous_text")))
+
+
+def encoded(spark, sf_dir):
+    vocab = fx.v_vocab(spark, sf_dir)
+    t = tk.encode(turns(spark, sf_dir), KEYS, "text", vocab, "ids")
+    return tk.encode(t, KEYS, "previous_text", vocab, "prev_ids")
+
+
+SQL_TURNS = f"""tt AS (SELECT v.conv_id, v.turn, v.text, {tx.sql_rename_marker("coalesce(v.previous_text, '')")} AS previous_text, c.role
+  FROM v_turns v JOIN conversations c USING (conv_id, turn))"""
+SQL_ENC = (
+    SQL_TURNS
+    + ",\n"
+    + tk.sql_encode("tt", KEYS, "text", "ids", "e1")
+    + ",\n"
+    + tk.sql_encode("tt", KEYS, "previous_text", "prev_ids", "e2")
+    + ",\nee AS (SELECT tt.*, e1.ids, e2.prev_ids FROM tt JOIN e1 USING (conv_id, turn) JOIN e2 USING (conv_id, turn))"
+)
+
+
+@query("encode_text", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {tk.sql_with_specials('ids')} AS labels FROM ee", ("v_turns", "v_vocab"))
+def q_encode(spark, sf_dir):
+    return encoded(spark, sf_dir).select(*KEYS, tk.with_specials("ids").alias("labels"))
+
+
+@query(
+    "prefix_tokens",
+    "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {tk.sql_with_specials('ids')} AS plain, {tk.sql_with_specials('ids', True)} AS stamped FROM ee",
+    ("v_turns", "v_vocab"),
+)
+def q_prefix(spark, sf_dir):
+    e = encoded(spark, sf_dir)
+    return e.select(*KEYS, tk.with_specials("ids").alias("plain"), tk.with_specials("ids", True).alias("stamped"))
+
+
+def _sql_prompt(ids: str) -> str:
+    keep = tk.MAX_PROMPT_LENGTH - 1
+    return f"CAST(list_concat([{tk.SOP}], {ids}[greatest(len({ids}) - {keep - 1}, 1):]) AS INTEGER[])"
+
+
+@query("prompt_ids", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {_sql_prompt('prev_ids')} AS prompt FROM ee", ("v_turns", "v_vocab"))
+def q_prompt(spark, sf_dir):
+    return encoded(spark, sf_dir).select(*KEYS, lb.prompt_ids("prev_ids").alias("prompt"))
+
+
+def _sql_target() -> str:
+    u = sql_draw(SEED, "timestamp", str(EPOCH), "conv_id", "turn")
+    return f"CASE WHEN {u} < {threshold(lb.TIMESTAMP_PROBABILITY)} AND {ELIGIBLE} THEN {tk.sql_with_specials('ids', True)} ELSE {tk.sql_with_specials('ids')} END"
+
+
+def chosen(spark, sf_dir):
+    e = encoded(spark, sf_dir)
+    u = lb.row_draw(SEED, "timestamp", EPOCH, "conv_id", "turn")
+    target = lb.choose_target(tk.with_specials("ids"), tk.with_specials("ids", True), F.expr(ELIGIBLE), u)
+    return e.withColumn("target", target)
+
+
+@query("choose_target", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {_sql_target()} AS target FROM ee", ("v_turns", "v_vocab"))
+def q_choose(spark, sf_dir):
+    return chosen(spark, sf_dir).select(*KEYS, "target")
+
+
+def _sql_attach() -> str:
+    u = sql_draw(SEED, "prompt", str(EPOCH), "conv_id", "turn")
+    return f"""WITH {SQL_ENC},
+pt AS (SELECT conv_id, turn, {_sql_target()} AS target, {_sql_prompt('prev_ids')} AS prompt, {u} AS u FROM ee)
+SELECT conv_id, turn, CAST(CASE WHEN len(prompt) + len(target) <= {tk.MAX_LENGTH} AND u < {threshold(lb.PROMPT_PROBABILITY)}
+  AND len(prompt) > 1 AND NOT coalesce(prompt[2] = {tk.NOSPEECH}, false) THEN list_concat(prompt, target) ELSE target END AS INTEGER[]) AS labels
+FROM pt"""
+
+
+@query("attach_prompt", _sql_attach(), ("v_turns", "v_vocab"))
+def q_attach(spark, sf_dir):
+    c = chosen(spark, sf_dir)
+    u = lb.row_draw(SEED, "prompt", EPOCH, "conv_id", "turn")
+    return c.select(*KEYS, lb.attach_prompt(lb.prompt_ids("prev_ids"), "target", u).alias("labels"))
+
+
+@query(
+    "decode_ids",
+    "WITH "
+    + SQL_ENC
+    + f""",
+dx AS (SELECT conv_id, turn, unnest(l) AS id, generate_subscripts(l, 1) AS pos
+  FROM (SELECT conv_id, turn, list_filter(list_concat({tk.sql_with_specials('ids')}, [-100, -100]), lambda x: x >= {tk.FIRST_WORD_ID}) AS l FROM ee) q),
+dg AS (SELECT conv_id, turn, array_to_string(list(coalesce(v.token, '') ORDER BY pos), ' ') AS decoded FROM dx LEFT JOIN v_vocab v USING (id) GROUP BY conv_id, turn)
+SELECT conv_id, turn, coalesce(dg.decoded, '') AS decoded FROM ee LEFT JOIN dg USING (conv_id, turn)""",
+    ("v_turns", "v_vocab"),
+)
+def q_decode(spark, sf_dir):
+    """Label ids (with specials and -100 padding) back to text."""
+    e = encoded(spark, sf_dir).select(*KEYS, F.concat(tk.with_specials("ids"), F.array(F.lit(-100), F.lit(-100))).alias("labels"))
+    return tk.decode(e, KEYS, "labels", fx.v_vocab(spark, sf_dir)).select(*KEYS, "decoded")
