@@ -1 +1,100 @@
-"""(filled in below)"""
+"""Streaming queries: driver tables laid out as a 10-file feed, one file per trigger."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusprep.functions.draws import sql_draw
+from corpusprep.operators import collate as co
+from corpusprep.operators.index import dense_index
+from corpusprep.operators.order import buffered_shuffle
+from corpusprep.plans import fixtures as fx
+from corpusprep.plans.catalog import query
+from corpusprep.plans.q_collate import SQL_COLLATE
+from corpusprep.session import scratch_path
+from corpusprep.streaming import stream as st
+
+FILES = 10
+SEED = 42
+BUFFER = 20
+TAKE = 2048
+EVENT_COLS = ["event_id", "ts_us", "user_id", "event_type", "value", "props"]
+SQL_EVENTS = "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events"
+
+
+def _events_feed(spark, sf_dir, parts=range(FILES), path=None):
+    e = fx.table(spark, sf_dir, "events")
+    e = e.select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "user_id", "event_type", "value", "props")
+    path = path or scratch_path(spark, "events-feed")
+    st.cut_files(e.withColumn("_part", F.col("event_id") % FILES), path, "_part", parts, "event_id")
+    return path, e.schema
+
+
+def _run(spark, sf_dir, transform=None, project=None):
+    path, schema = _events_feed(spark, sf_dir)
+    s = st.read_stream(spark, path, schema)
+    if project:
+        s = project(s)
+    sink, ck = scratch_path(spark, "events-sink"), scratch_path(spark, "events-ckpt")
+    st.run_available(s, sink, ck, transform)
+    return st.read_sink(spark, sink)
+
+
+@query("stream_scan", SQL_EVENTS)
+def q_stream_scan(spark, sf_dir):
+    return _run(spark, sf_dir).select(*EVENT_COLS)
+
+
+@query("stream_project", "SELECT event_id, ts_us, user_id, event_type FROM (" + SQL_EVENTS + ") e")
+def q_stream_project(spark, sf_dir):
+    """Columns dropped on the stream itself (pruned before the sink)."""
+    return _run(spark, sf_dir, project=lambda s: s.drop("value", "props")).select("event_id", "ts_us", "user_id", "event_type")
+
+
+def _shuffle_batch(batch, batch_id):
+    indexed = dense_index(batch.select("event_id", "row_in_file"), ["row_in_file"])
+    return buffered_shuffle(indexed, "idx", BUFFER, SEED, 0).select("event_id", "idx", "pos")
+
+
+_SQL_SHUFFLE = f"""WITH f AS (SELECT event_id, event_id % {FILES} AS part, row_number() OVER (PARTITION BY event_id % {FILES} ORDER BY event_id) - 1 AS idx FROM events)
+SELECT event_id, idx, row_number() OVER (PARTITION BY part ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', '0', 'idx')}, idx) - 1 AS pos FROM f"""
+
+
+@query("stream_shuffle", _SQL_SHUFFLE)
+def q_stream_shuffle(spark, sf_dir):
+    """Buffered shuffle inside every micro-batch: no row moves by ``BUFFER`` or more."""
+    return _run(spark, sf_dir, _shuffle_batch).select("event_id", "idx", "pos")
+
+
+@query("stream_take", f"SELECT event_id FROM events ORDER BY event_id % {FILES}, event_id LIMIT {TAKE}")
+def q_stream_take(spark, sf_dir):
+    """First rows of the stream in arrival order (micro-batch, then file row)."""
+    sink = _run(spark, sf_dir, lambda b, i: b.select("event_id", "row_in_file"))
+    return st.take_first(sink, TAKE, ("batch", "row_in_file")).select("event_id")
+
+
+@query("stream_resume", "SELECT event_id, CAST(1 AS BIGINT) AS n_seen FROM events")
+def q_stream_resume(spark, sf_dir):
+    """Stop after four files, add the other six, restart on the same checkpoint: no loss, no repeat."""
+    path = scratch_path(spark, "resume-feed")
+    _, schema = _events_feed(spark, sf_dir, range(4), path)
+    sink, ck = scratch_path(spark, "resume-sink"), scratch_path(spark, "resume-ckpt")
+    keep = lambda b, i: b.select("event_id")
+    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
+    _events_feed(spark, sf_dir, range(4, FILES), path)
+    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
+    return st.read_sink(spark, sink).groupBy("event_id").agg(F.count(F.lit(1)).alias("n_seen"))
+
+
+@query("stream_collate", SQL_COLLATE, ("v_labels",))
+def q_stream_collate(spark, sf_dir):
+    """Labels fed as 10 files of whole batches; each micro-batch collated as it arrives."""
+    lab = fx.v_labels(spark, sf_dir).withColumnRenamed("ids", "labels")
+    lab = lab.withColumn("_part", F.floor(F.col("idx") / 16) % FILES)
+    path = scratch_path(spark, "labels-feed")
+    st.cut_files(lab, path, "_part", range(FILES), "idx")
+    schema = spark.read.parquet(path).schema
+    sink, ck = scratch_path(spark, "labels-sink"), scratch_path(spark, "labels-ckpt")
+    transform = lambda b, i: co.collate(b.drop("row_in_file"), batch_size=16).select("idx", "batch_id", "decoder_input_ids", "labels")
+    st.run_available(st.read_stream(spark, path, schema), sink, ck, transform)
+    return st.read_sink(spark, sink).select("idx", "batch_id", "decoder_input_ids", "labels")
