@@ -1,0 +1,95 @@
+"""Subword pieces with merge dropout (BPE-dropout, Provilkov et al. 2020).
+
+The merge table is derived from the vocabulary table by a rule: every
+vocabulary word is built left to right, one character at a time, so merge
+(w[:i], w[i]) has rank (id, i).  Without dropout an in-vocabulary word
+becomes one piece; with dropout each candidate merge is skipped with the
+given probability at every step, so the same word gets varied pieces.
+
+Per-occurrence work is the only Python core in the library: it runs in
+``mapInPandas`` over word occurrences where they already are (no shuffle, so
+a very frequent word is never a hot key), with a per-task memo for the
+deterministic no-dropout case.  Randomness comes from one md5 per occurrence
+of (seed, epoch, row key, position), so it never depends on partitioning.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from typing import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusprep.functions import text as tx
+
+MERGES_MAX = 20_000_000  # bound on the merge table shipped to tasks
+
+
+def merges_from_vocab(vocab: DataFrame) -> DataFrame:
+    """(left, right, rank) with the smallest (id, i) rank per pair."""
+    v = vocab.select("token", "id").filter(F.length("token") > 1)
+    steps = v.select("token", "id", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("i"))
+    pairs = steps.select(
+        F.expr("substring(token, 1, i)").alias("left"),
+        F.expr("substring(token, i + 1, 1)").alias("right"),
+        (F.col("id").cast("bigint") * 100000 + F.col("i")).alias("rank"),
+    )
+    return pairs.groupBy("left", "right").agg(F.min("rank").alias("rank"))
+
+
+def pieces_of(word: str, ranks: dict, dropout: float, rng: random.Random | None) -> list[str]:
+    parts = list(word)
+    while len(parts) > 1:
+        best = None
+        for i in range(len(parts) - 1):
+            r = ranks.get((parts[i], parts[i + 1]))
+            if r is None:
+                continue
+            if dropout > 0 and rng.random() < dropout:
+                continue
+            if best is None or r < best[0]:
+                best = (r, i)
+        if best is None:
+            break
+        i = best[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def encode_dropout(df: DataFrame, keys, text: str, vocab: DataFrame, rate: float = 0.0, seed: int = 42, epoch: int = 0) -> DataFrame:
+    """One row per word occurrence: keys, ``pos``, ``word``, ``pieces``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    merges = merges_from_vocab(vocab)
+    n = merges.count()
+    if n > MERGES_MAX:
+        raise ValueError(f"merge table of {n} rows exceeds the {MERGES_MAX} bound")
+    spark = df.sparkSession
+    table = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}  # bounded above
+    shared = spark.sparkContext.broadcast(table)
+    occ = df.select(*keys, F.posexplode(tx.words(F.lower(F.col(text)))).alias("pos", "word"))
+    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in occ.schema.fields]) + ", pieces array<string>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ranks = shared.value
+        memo: dict[str, list[str]] = {}
+        for b in batches:
+            out = []
+            for row in b.itertuples(index=False):
+                w = row.word
+                if rate <= 0:
+                    p = memo.get(w)
+                    if p is None:
+                        p = pieces_of(w, ranks, 0.0, None)
+                        if len(memo) < 1_000_000:
+                            memo[w] = p
+                else:
+                    key = ":".join([str(seed), "dropout", str(epoch)] + [str(getattr(row, k)) for k in keys] + [str(row.pos)])
+                    rng = random.Random(int(hashlib.md5(key.encode()).hexdigest()[:16], 16))
+                    p = pieces_of(w, ranks, rate, rng)
+                out.append(p)
+            yield b.assign(pieces=out)
+
+    return occ.mapInPandas(run, out_schema)

@@ -24,7 +24,10 @@ MAX_LENGTH = 448
 MAX_PROMPT_LENGTH = 192
 VOCAB_BROADCAST_MAX = 5_000_000
 
-EMPTY_IDS = F.array().cast("array<int>")
+
+
+def empty_ids() -> Column:
+    return F.array().cast("array<int>")
 
 
 def _keys(keys) -> list[str]:
@@ -56,7 +59,7 @@ def encode(df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids",
     ident = F.coalesce(marker_id(F.col("token")), F.col("id"), F.lit(UNK)).cast("int")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), ident.alias("id")))).alias("_p"))
     ids = g.select(*keys, F.transform("_p", lambda s: s["id"]).alias(name))
-    return df.join(ids, keys, "left").withColumn(name, F.coalesce(F.col(name), EMPTY_IDS))
+    return df.join(ids, keys, "left").withColumn(name, F.coalesce(F.col(name), empty_ids()))
 
 
 def prefix_ids(timestamps: bool = False) -> list[int]:

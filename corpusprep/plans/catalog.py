@@ -33,6 +33,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         q_stream,
         q_text,
         q_tokens,
+        q_udf,
         q_wer,
     )
 

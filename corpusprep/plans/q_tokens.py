@@ -114,3 +114,15 @@ def q_decode(spark, sf_dir):
     """Label ids (with specials and -100 padding) back to text."""
     e = encoded(spark, sf_dir).select(*KEYS, F.concat(tk.with_specials("ids"), F.array(F.lit(-100), F.lit(-100))).alias("labels"))
     return tk.decode(e, KEYS, "labels", fx.v_vocab(spark, sf_dir)).select(*KEYS, "decoded")
+
+
+DROPOUT_RATE = 0.2  # fixed value: merge dropout of the launchers
+
+
+@query("encode_subword_dropout")
+def q_dropout(spark, sf_dir):
+    """Word occurrences of every turn split into pieces with merge dropout (rate 0.2)."""
+    from corpusprep.operators.dropout import encode_dropout
+
+    t = fx.table(spark, sf_dir, "conversations").select(*KEYS, "text")
+    return encode_dropout(t, KEYS, "text", fx.v_vocab(spark, sf_dir), DROPOUT_RATE, SEED, EPOCH)
