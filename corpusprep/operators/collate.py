@@ -68,21 +68,25 @@ def mask_after_end(labels, end: int = EOT, compat: bool = False) -> Column:
     """Positions after the first end marker → ignore (the marker is kept).
 
     Without an end marker nothing is masked; ``compat`` masks every position
-    after 0 instead, as an argmax over no match does.
+    after 0 instead, as an argmax over no match does.  Written with slices
+    (no lambda) so the array is never re-evaluated per element.
     """
     a = _c(labels)
-    first = F.array_position(a, end) - 1  # 0-based, -1 when absent
+    p = F.array_position(a, end).cast("int")  # 1-based, 0 when absent
     if compat:
-        first = F.when(first < 0, F.lit(0)).otherwise(first)
-        return F.transform(a, lambda x, i: F.when(i > first, F.lit(IGNORE)).otherwise(x))
-    return F.transform(a, lambda x, i: F.when((first >= 0) & (i > first), F.lit(IGNORE)).otherwise(x))
+        p = F.when(p == 0, F.lit(1)).otherwise(p)
+    n = F.size(a)
+    masked = F.concat(F.slice(a, 1, F.greatest(p, F.lit(1))), F.array_repeat(F.lit(IGNORE), F.greatest(n - p, F.lit(0))))
+    return F.when((p > 0) & (n > 0), masked).otherwise(a)
 
 
 def mask_prompt(labels, start: int = SOT) -> Column:
     """Positions before the first start marker → ignore; absent marker masks nothing."""
     a = _c(labels)
-    first = F.array_position(a, start) - 1
-    return F.transform(a, lambda x, i: F.when(i < first, F.lit(IGNORE)).otherwise(x))
+    s = F.array_position(a, start).cast("int")
+    n = F.size(a)
+    masked = F.concat(F.array_repeat(F.lit(IGNORE), F.greatest(s - 1, F.lit(0))), F.slice(a, F.greatest(s, F.lit(1)), F.greatest(n - s + 1, F.lit(0))))
+    return F.when(s > 1, masked).otherwise(a)
 
 
 def collate(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16, pad: int = PAD, compat: bool = False) -> DataFrame:

@@ -27,8 +27,15 @@ def _c(c) -> Column:
 
 
 def _encode(words: Column, vocab: Column) -> Column:
+    """Each word → the alphabet character at its position in ``vocab``.
+
+    ``vocab`` enters ``zip_with`` as an argument (evaluated once per row); a
+    lambda that referred to it directly would have it inlined and recomputed
+    for every word.
+    """
     alpha = F.lit(_ALPHABET)
-    return F.array_join(F.transform(words, lambda w: F.substring(alpha, F.array_position(vocab, w).cast("int"), 1)), "")
+    per_word = F.array_repeat(vocab, F.size(words))
+    return F.array_join(F.zip_with(words, per_word, lambda w, v: F.substring(alpha, F.array_position(v, w).cast("int"), 1)), "")
 
 
 def _edit_distance_dp(ref: Column, hyp: Column) -> Column:
