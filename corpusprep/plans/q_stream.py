@@ -92,7 +92,7 @@ def q_stream_collate(spark, sf_dir):
     lab = fx.v_labels(spark, sf_dir).withColumnRenamed("ids", "labels")
     lab = lab.withColumn("_part", F.floor(F.col("idx") / 16) % FILES)
     path = scratch_path(spark, "labels-feed")
-    st.cut_files(lab, path, "_part", range(FILES), "idx")
+    lab.repartition(FILES, "_part").drop("_part").write.parquet(path)  # at most 10 files, whole batches each
     schema = spark.read.parquet(path).schema
     sink, ck = scratch_path(spark, "labels-sink"), scratch_path(spark, "labels-ckpt")
     transform = lambda b, i: co.collate(b.drop("row_in_file"), batch_size=16).select("idx", "batch_id", "decoder_input_ids", "labels")
