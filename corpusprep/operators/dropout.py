@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 
-MERGES_MAX = 20_000_000  # bound on the merge table shipped to tasks
+MERGES_MAX = 2_000_000  # bound on the merge table shipped to tasks (driver-collected once)
 
 
 def merges_from_vocab(vocab: DataFrame) -> DataFrame:
