@@ -34,9 +34,13 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    """Broadcast when the vocabulary is within the checked bound, else a shuffled join."""
-    n = vocab.count()  # one small action on the vocabulary table
+def _vocab_side(vocab: DataFrame, bound: int | None = None) -> DataFrame:
+    """Broadcast when the vocabulary is within the checked bound, else a shuffled join.
+
+    ``bound`` is the caller's proven size limit (e.g. a top-k vocabulary);
+    without it the table is counted once.
+    """
+    n = bound if bound is not None else vocab.count()
     return F.broadcast(vocab) if n <= VOCAB_BROADCAST_MAX else vocab
 
 
@@ -47,7 +51,7 @@ def marker_id(token: Column) -> Column:
     return expr
 
 
-def encode(df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids", lower: bool = True) -> DataFrame:
+def encode(df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids", lower: bool = True, vocab_bound: int | None = None) -> DataFrame:
     """Add ``name``: ids of the words of ``text`` (markers → reserved ids, unknown → UNK).
 
     ``keys`` must identify a row.  No special tokens are added here.
@@ -55,7 +59,7 @@ def encode(df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids",
     keys = _keys(keys)
     t = F.lower(F.col(text)) if lower else F.col(text)
     w = df.select(*keys, F.posexplode(tx.words(t)).alias("_pos", "token"))
-    j = w.join(_vocab_side(vocab.select("token", "id")), "token", "left")
+    j = w.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "token", "left")
     ident = F.coalesce(marker_id(F.col("token")), F.col("id"), F.lit(UNK)).cast("int")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), ident.alias("id")))).alias("_p"))
     ids = g.select(*keys, F.transform("_p", lambda s: s["id"]).alias(name))
@@ -74,12 +78,12 @@ def with_specials(ids, timestamps: bool = False, max_length: int | None = MAX_LE
     return F.concat(F.array(*[F.lit(i) for i in pre]), body, F.array(F.lit(EOT)))
 
 
-def decode(df: DataFrame, keys, ids: str, vocab: DataFrame, name: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, keys, ids: str, vocab: DataFrame, name: str = "decoded", vocab_bound: int | None = None) -> DataFrame:
     """Ids → text: ignore marks to pad, special and reserved ids dropped, words joined by blanks."""
     keys = _keys(keys)
     kept = F.filter(F.transform(F.col(ids), lambda x: F.when(x == IGNORE, F.lit(PAD)).otherwise(x)), lambda x: x >= FIRST_WORD_ID)
     e = df.select(*keys, F.posexplode(kept).alias("_pos", "id"))
-    j = e.join(_vocab_side(vocab.select("token", "id")), "id", "left")
+    j = e.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "id", "left")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("token", F.lit("")).alias("token")))).alias("_p"))
     txt = g.select(*keys, F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias(name))
     return df.join(txt, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit("")))

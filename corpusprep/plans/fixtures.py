@@ -7,7 +7,7 @@ same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusprep.operators.index import dense_index, lag_in_order
@@ -71,9 +71,9 @@ def v_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Most frequent words; the limit is the vocabulary size (a top-k)."""
     counts = v_words(spark, sf_dir).select(F.explode("w").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), "token").limit(VOCAB_SIZE)
-    return dense_index(top, [F.col("n").desc(), "token"], name="_r").select(
-        "token", (F.col("_r") + 10).cast("int").alias("id")
-    )
+    # the top-k limit bounds this window at VOCAB_SIZE rows
+    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "token"))
+    return top.select("token", (rank + 9).cast("int").alias("id"))
 
 
 def v_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,8 @@ def turns(spark, sf_dir):
 
 def encoded(spark, sf_dir):
     vocab = fx.v_vocab(spark, sf_dir)
-    t = tk.encode(turns(spark, sf_dir), KEYS, "text", vocab, "ids")
-    return tk.encode(t, KEYS, "previous_text", vocab, "prev_ids")
+    t = tk.encode(turns(spark, sf_dir), KEYS, "text", vocab, "ids", vocab_bound=fx.VOCAB_SIZE)
+    return tk.encode(t, KEYS, "previous_text", vocab, "prev_ids", vocab_bound=fx.VOCAB_SIZE)
 
 
 SQL_TURNS = f"""tt AS (SELECT v.conv_id, v.turn, v.text, {tx.sql_rename_marker("coalesce(v.previous_text, '')")} AS previous_text, c.role
@@ -113,7 +113,7 @@ SELECT conv_id, turn, coalesce(dg.decoded, '') AS decoded FROM ee LEFT JOIN dg U
 def q_decode(spark, sf_dir):
     """Label ids (with specials and -100 padding) back to text."""
     e = encoded(spark, sf_dir).select(*KEYS, F.concat(tk.with_specials("ids"), F.array(F.lit(-100), F.lit(-100))).alias("labels"))
-    return tk.decode(e, KEYS, "labels", fx.v_vocab(spark, sf_dir)).select(*KEYS, "decoded")
+    return tk.decode(e, KEYS, "labels", fx.v_vocab(spark, sf_dir), vocab_bound=fx.VOCAB_SIZE).select(*KEYS, "decoded")
 
 
 DROPOUT_RATE = 0.2  # fixed value: merge dropout of the launchers
