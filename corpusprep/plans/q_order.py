@@ -143,10 +143,14 @@ sh AS (SELECT split, doc_id, idx, CAST(CASE WHEN idx < r * (q + 1) THEN idx // (
 
 
 def sharded(spark, sf_dir):
+    """(doc_id, split, idx, shard) computed on keys and row sizes only."""
     from corpusprep.functions.draws import draw_hash
+    from corpusprep.operators.shard import row_bytes
 
-    s = _doc_split(spark, sf_dir)
-    return with_shards(s, [draw_hash(SEED, "order", "doc_id"), "doc_id"], "split", SMALL_SHARD)
+    d = fx.table(spark, sf_dir, "documents")
+    keys = d.select("doc_id", row_bytes(d).alias("_bytes"))
+    s = three_way_split(keys, "doc_id", TEST_RATIO, VALID_RATIO, SEED)
+    return with_shards(s, [draw_hash(SEED, "order", "doc_id"), "doc_id"], "split", SMALL_SHARD, bytes_col="_bytes").drop("_bytes")
 
 
 @query("contiguous_shard", _sql_shards() + "\nSELECT split, doc_id, idx, shard FROM sh")
@@ -165,7 +169,8 @@ def q_write_sharded(spark, sf_dir):
     from corpusprep.sources.sinks import write_sharded
 
     path = scratch_path(spark, "sharded")
-    write_sharded(sharded(spark, sf_dir), path)
+    payload = fx.table(spark, sf_dir, "documents")
+    write_sharded(sharded(spark, sf_dir).join(payload, "doc_id"), path)  # payload joined once, at the write
     back = spark.read.parquet(path)
     return back.groupBy("split", F.col("shard").cast("bigint").alias("shard")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.sum("n_chars").alias("n_chars")

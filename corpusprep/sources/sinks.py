@@ -11,12 +11,20 @@ from corpusprep.operators.shard import SHARD_LIMIT, contiguous_shard, estimate_b
 ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
 
 
-def with_shards(df: DataFrame, order, split: str = "split", limit: int = SHARD_LIMIT, splits_bound: int = 16) -> DataFrame:
+def with_shards(
+    df: DataFrame, order, split: str = "split", limit: int = SHARD_LIMIT, splits_bound: int = 16, bytes_col: str | None = None
+) -> DataFrame:
     """Add ``idx`` (position inside its split, in ``order``) and contiguous ``shard``.
 
-    Shard counts come from a per-split size table (one row per split).
+    Shard counts come from a per-split size table (one row per split).  Pass
+    a narrow key frame with a per-row ``bytes_col`` (see ``row_bytes``) to
+    index keys only and join the wide payload once, at the write.
     """
-    sized = estimate_bytes(df, split).withColumn("n_shards", F.least(shard_count("nbytes", limit), F.col("n_rows")))
+    if bytes_col:
+        sized = df.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bytes_col).cast("bigint").alias("nbytes"))
+    else:
+        sized = estimate_bytes(df, split)
+    sized = sized.withColumn("n_shards", F.least(shard_count("nbytes", limit), F.col("n_rows")))
     indexed = dense_index(df, order, split, name="idx", groups_bound=splits_bound)
     out = indexed.join(F.broadcast(sized.select(split, "n_rows", "n_shards")), split)
     return out.withColumn("shard", contiguous_shard("idx", "n_rows", "n_shards")).drop("n_rows", "n_shards")
