@@ -44,4 +44,11 @@ def attach_prompt(prompt, target, u: Column, p: float = PROMPT_PROBABILITY, max_
 
 
 def row_draw(seed: int, purpose: str, epoch: int, *keys) -> Column:
+    """Default draw: per (seed, epoch, row), so every row gets its own choice in every epoch."""
     return draw(seed, purpose, F.lit(epoch), *keys)
+
+
+def batch_position_draw(seed: int, purpose: str, pos) -> Column:
+    """Compat draw: the reference reseeds at every batch, so a choice depends only on the
+    row's position inside its batch (the same positions choose alike in every batch and epoch)."""
+    return draw(seed, purpose, pos)

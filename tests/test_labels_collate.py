@@ -95,3 +95,10 @@ def test_dropout_pieces(spark, vocab):
     many = spark.createDataFrame([(i, "hello") for i in range(200)], "k int, text string")
     variants = {tuple(r.pieces) for r in encode_dropout(many, "k", "text", vocab, 0.3, seed=2).collect()}
     assert len(variants) > 1
+
+
+def test_compat_draws_are_position_locked(spark):
+    df = co.assign_batches(spark.range(64).withColumnRenamed("id", "idx"), batch_size=16)
+    u = df.select("batch_id", "pos", lb.batch_position_draw(42, "prompt", F.col("pos")).alias("u"), lb.row_draw(42, "prompt", 0, "idx").alias("v"))
+    per_pos = u.groupBy("pos").agg(F.countDistinct("u").alias("a"), F.countDistinct("v").alias("b")).collect()
+    assert all(r.a == 1 and r.b == 4 for r in per_pos)

@@ -90,3 +90,16 @@ def test_three_way_and_leakage(spark):
     by_origin = three_way_split(m.select("doc_id").distinct(), "doc_id", "0.2", "0.25", 42)
     assert leakage(m.join(by_origin, "doc_id"), "doc_id").first()[0] == 0
     assert leakage(three_way_split(m, "slot", "0.2", "0.25", 42), "doc_id").first()[0] > 0
+
+
+def test_flagship_same_at_any_partition_count(spark):
+    from corpusprep.plans.q_mix import flagship_summary
+
+    def run(n):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            return sorted(tuple(r) for r in flagship_summary(spark, SF_SMALL).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    assert run(1) == run(4) == run(13)
