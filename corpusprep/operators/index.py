@@ -105,6 +105,7 @@ def block_rank(
     name: str = "occ",
     block: int = 65536,
     groups_bound: int | None = None,
+    positions_bound: int | None = None,
 ) -> DataFrame:
     """Rank rows inside each ``by`` group by an integer position ``pos``.
 
@@ -112,6 +113,9 @@ def block_rank(
     ``spark.range``) the slices are fixed blocks ``pos div block``: every
     window holds at most ``block`` rows whatever the group sizes, and the
     per-(group, block) count table is prefix-summed to give the offsets.
+    That table has at most groups × blocks rows; it is broadcast only when
+    both bounds are given and the product is small, otherwise joined on
+    (group, block), a key no larger than one block.
     """
     by = _names(by)
     b = F.expr(f"`{pos}` div {int(block)}")
@@ -119,8 +123,9 @@ def block_rank(
     counts = s.groupBy(*by, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_blk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if groups_bound is not None:
-        offsets = F.broadcast(offsets)
+    if groups_bound is not None and positions_bound is not None:
+        if groups_bound * (positions_bound // block + 1) <= BROADCAST_ROWS:
+            offsets = F.broadcast(offsets)
     local = F.row_number().over(Window.partitionBy(*by, "_blk").orderBy(pos)) - 1
     ranked = s.withColumn("_loc", local)
     out = ranked.join(offsets, by + ["_blk"]).withColumn(name, (F.col("_off") + F.col("_loc")).cast("bigint"))
