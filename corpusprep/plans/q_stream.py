@@ -24,7 +24,9 @@ SQL_EVENTS = "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value
 
 def _events_feed(spark, sf_dir, parts=range(FILES), path=None):
     e = fx.table(spark, sf_dir, "events")
-    e = e.select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "user_id", "event_type", "value", "props")
+    # microseconds since the epoch of a zone-less timestamp, whatever the session time zone
+    ts_us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
+    e = e.select("event_id", ts_us.alias("ts_us"), "user_id", "event_type", "value", "props")
     path = path or scratch_path(spark, "events-feed")
     st.cut_files(e.withColumn("_part", F.col("event_id") % FILES), path, "_part", parts, "event_id")
     return path, e.schema
@@ -68,9 +70,11 @@ def q_stream_shuffle(spark, sf_dir):
 
 @query("stream_take", f"SELECT event_id FROM events ORDER BY event_id % {FILES}, event_id LIMIT {TAKE}")
 def q_stream_take(spark, sf_dir):
-    """First rows of the stream in arrival order (micro-batch, then file row)."""
-    sink = _run(spark, sf_dir, lambda b, i: b.select("event_id", "row_in_file"))
-    return st.take_first(sink, TAKE, ("batch", "row_in_file")).select("event_id")
+    """First rows of the stream in arrival order; batches after the n-th row write nothing."""
+    path, schema = _events_feed(spark, sf_dir)
+    sink, ck = scratch_path(spark, "take-sink"), scratch_path(spark, "take-ckpt")
+    st.run_take(st.read_stream(spark, path, schema).select("event_id", "row_in_file"), sink, ck, TAKE, "row_in_file")
+    return st.read_sink(spark, sink).select("event_id")
 
 
 @query("stream_resume", "SELECT event_id, CAST(1 AS BIGINT) AS n_seen FROM events")

@@ -52,6 +52,40 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, transform=None,
         raise q.exception()
 
 
+def take_writer(sink: str, n: int, order: str):
+    """foreachBatch body keeping only the first ``n`` rows of the stream.
+
+    The running count is read from the sink itself (rows of earlier batches
+    only), so a replayed batch recomputes the same remainder and overwrites
+    its own folder: idempotent, and nothing is kept in driver memory.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = 0
+        try:
+            before = spark.read.parquet(sink).filter(F.col("batch") < batch_id).count()
+        except Exception:  # noqa: BLE001 - no batch written yet
+            before = 0
+        left = n - before
+        if left <= 0:
+            return
+        batch.orderBy(order).limit(left).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    return write
+
+
+def run_take(stream: DataFrame, sink: str, checkpoint: str, n: int, order: str, timeout_s: int = 600) -> None:
+    """Stream into ``sink`` until ``n`` rows have been kept."""
+    q = stream.writeStream.foreachBatch(take_writer(sink, n, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("stream did not finish in time")
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     """All micro-batches written so far, with their ``batch`` number."""
     return spark.read.parquet(sink)

@@ -70,3 +70,16 @@ def test_stream_equals_batch_and_resumes(spark):
     got = st.read_sink(spark, sink)
     assert got.count() == 600 and got.select("event_id").distinct().count() == 600
     assert sorted(tuple(r) for r in got.select("event_id", "v").collect()) == sorted(tuple(r) for r in src.select("event_id", "v").collect())
+
+
+def test_take_writer_is_idempotent(spark):
+    sink = scratch_path(spark, "t-take")
+    w = st.take_writer(sink, 5, "x")
+    a = spark.range(3).withColumnRenamed("id", "x")
+    b = spark.range(10, 14).withColumnRenamed("id", "x")
+    w(a, 0)
+    w(b, 1)
+    w(b, 1)  # replay of batch 1
+    w(b, 2)  # after the limit: nothing written
+    got = sorted(r.x for r in st.read_sink(spark, sink).collect())
+    assert got == [0, 1, 2, 10, 11]
