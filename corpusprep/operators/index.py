@@ -42,6 +42,8 @@ def dense_index(
     name: str = "idx",
     partitions: int | None = None,
     groups_bound: int | None = None,
+    block: Column | None = None,
+    blocks_bound: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order`` (inside ``by``).
 
@@ -49,9 +51,18 @@ def dense_index(
     result is the same on every run and every partitioning.
     ``groups_bound``: caller's proven upper bound on distinct ``by`` values;
     with it (or with no ``by``) the offsets table is broadcast.
+
+    ``block``: optional integer expression, non-decreasing in ``order``, that
+    cuts the rows into bounded slices (e.g. the first 16 bits of a uniform
+    hash, or a position div 65,536).  Then each slice is ranked by a window
+    over (group, block) and no range sampling or checkpoint is needed: every
+    value is a function of the data alone.  ``blocks_bound`` bounds the
+    number of blocks (for the broadcast decision).
     """
     by = _names(by)
     order = _names(order)
+    if block is not None:
+        return _blocked_index(df, order, by, name, block, groups_bound, blocks_bound)
     keys = by + order
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -77,6 +88,29 @@ def dense_index(
     return out.drop("_blk", "_mid", "_m0", "_off", *[f"_o{i}" for i in range(len(g))])
 
 
+def _blocked_index(df, order, by, name, block, groups_bound, blocks_bound) -> DataFrame:
+    s = df.withColumn("_blk", block)
+    g = by + ["_blk"]
+    counts = s.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*g, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = offsets.select([F.col(c).alias(f"_o{i}") for i, c in enumerate(g)] + ["_off"])
+    bound = (groups_bound if by else 1) if (groups_bound is not None or not by) else None
+    if bound is not None and blocks_bound is not None and bound * blocks_bound <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    local = F.row_number().over(Window.partitionBy(*g).orderBy(*order)) - 1
+    ranked = s.withColumn("_loc", local)
+    cond = [ranked[c].eqNullSafe(offsets[f"_o{i}"]) for i, c in enumerate(g)]
+    out = ranked.join(offsets, cond).withColumn(name, (F.col("_off") + F.col("_loc")).cast("bigint"))
+    return out.drop("_blk", "_loc", "_off", *[f"_o{i}" for i in range(len(g))])
+
+
+def hash_block(hex_hash, bits: int = 16) -> Column:
+    """Block of a hex hash string: its first ``bits`` bits (non-decreasing in the string)."""
+    h = F.col(hex_hash) if isinstance(hex_hash, str) else hex_hash
+    return F.conv(F.substring(h, 1, bits // 4), 16, 10).cast("int")
+
+
 def lag_in_order(
     df: DataFrame,
     by: Sequence | str,

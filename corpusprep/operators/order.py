@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import draw, draw_hash
-from corpusprep.operators.index import dense_index
+from corpusprep.operators.index import dense_index, hash_block
 
 SPACE = 1 << 32
 
@@ -20,7 +20,7 @@ SPACE = 1 << 32
 def full_shuffle(df: DataFrame, key: str, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:
     """Random permutation: position = rank of md5(seed:shuffle:epoch:key), ties by key."""
     h = df.withColumn("_h", draw_hash(seed, "shuffle", F.lit(epoch), key))
-    return dense_index(h, ["_h", key], name=name).drop("_h")
+    return dense_index(h, ["_h", key], name=name, block=hash_block("_h"), blocks_bound=65536).drop("_h")
 
 
 def buffer_key(idx: str, buffer: int, seed: int, epoch: int) -> Column:
@@ -34,7 +34,9 @@ def buffered_shuffle(df: DataFrame, idx: str, buffer: int = 20, seed: int = 42,
     if buffer < 1:
         raise ValueError("buffer must be at least 1")
     k = df.withColumn("_bk", buffer_key(idx, buffer, seed, epoch))
-    return dense_index(k, ["_bk", idx], name=name).drop("_bk")
+    # block = key div 2^48 = floor((idx + buffer*u/2^32) / 65536): non-decreasing in the key
+    blk = F.floor(F.col("_bk") / F.lit(1 << 48).cast("decimal(38,0)")).cast("bigint")
+    return dense_index(k, ["_bk", idx], name=name, block=blk).drop("_bk")
 
 
 def file_order_shuffle(df: DataFrame, buffer: int = 20, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:

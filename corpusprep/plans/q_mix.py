@@ -103,7 +103,15 @@ FROM m JOIN g USING (doc_id) GROUP BY split, source_id"""
 
 
 def flagship_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mixed_then_split(spark, sf_dir)
+    """The whole mixing job on the documents (payload included), summarised from the written shards."""
+    from corpusprep.plans.jobs import interleave_job
+    from corpusprep.session import scratch_path
+    from corpusprep.sources.files import tag_sources
+
+    docs = tag_sources(fx.table(spark, sf_dir, "documents"), "source", fx.SOURCE_NAMES)
+    out = scratch_path(spark, "interleaved")
+    interleave_job(docs, fx.SOURCE_WEIGHTS, out, SEED, mx.ALL_EXHAUSTED, TEST_RATIO, VALID_RATIO)
+    m = spark.read.parquet(out)
     return m.groupBy("split", "source_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("doc_id").alias("n_origins"),

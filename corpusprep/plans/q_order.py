@@ -11,6 +11,7 @@ from corpusprep.operators.split import three_way_split
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
 from corpusprep.plans.q_mix import SEED, TEST_RATIO, VALID_RATIO, _sql_mixed, _sql_split, mixed
+from corpusprep.operators.index import hash_block
 from corpusprep.sources.sinks import with_shards
 
 BUFFER = 20  # fixed value: default shuffle buffer of the streaming reader
@@ -150,7 +151,8 @@ def sharded(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
     keys = d.select("doc_id", row_bytes(d).alias("_bytes"))
     s = three_way_split(keys, "doc_id", TEST_RATIO, VALID_RATIO, SEED)
-    return with_shards(s, [draw_hash(SEED, "order", "doc_id"), "doc_id"], "split", SMALL_SHARD, bytes_col="_bytes").drop("_bytes")
+    h = draw_hash(SEED, "order", "doc_id")
+    return with_shards(s, [h, "doc_id"], "split", SMALL_SHARD, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536).drop("_bytes")
 
 
 @query("contiguous_shard", _sql_shards() + "\nSELECT split, doc_id, idx, shard FROM sh")

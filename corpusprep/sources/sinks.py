@@ -12,7 +12,14 @@ ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
 
 
 def with_shards(
-    df: DataFrame, order, split: str = "split", limit: int = SHARD_LIMIT, splits_bound: int = 16, bytes_col: str | None = None
+    df: DataFrame,
+    order,
+    split: str = "split",
+    limit: int = SHARD_LIMIT,
+    splits_bound: int = 16,
+    bytes_col: str | None = None,
+    block=None,
+    blocks_bound: int | None = None,
 ) -> DataFrame:
     """Add ``idx`` (position inside its split, in ``order``) and contiguous ``shard``.
 
@@ -20,12 +27,12 @@ def with_shards(
     a narrow key frame with a per-row ``bytes_col`` (see ``row_bytes``) to
     index keys only and join the wide payload once, at the write.
     """
+    indexed = dense_index(df, order, split, name="idx", groups_bound=splits_bound, block=block, blocks_bound=blocks_bound)
     if bytes_col:
-        sized = df.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bytes_col).cast("bigint").alias("nbytes"))
+        sized = indexed.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bytes_col).cast("bigint").alias("nbytes"))
     else:
-        sized = estimate_bytes(df, split)
+        sized = estimate_bytes(indexed.drop("idx"), split)
     sized = sized.withColumn("n_shards", F.least(shard_count("nbytes", limit), F.col("n_rows")))
-    indexed = dense_index(df, order, split, name="idx", groups_bound=splits_bound)
     out = indexed.join(F.broadcast(sized.select(split, "n_rows", "n_shards")), split)
     return out.withColumn("shard", contiguous_shard("idx", "n_rows", "n_shards")).drop("n_rows", "n_shards")
 
@@ -34,10 +41,13 @@ def write_sharded(df: DataFrame, path: str, split: str = "split", mode: str = "e
     """One folder per (split, shard), rows in index order, small row groups.
 
     The layout is ``<path>/split=<s>/shard=<i>/part-*.parquet`` so a reader can
-    prune by split and by shard.  Each shard goes to one write task.
+    prune by split and by shard.  Rows are range-partitioned on (split, shard,
+    idx): every write task takes a contiguous run of positions, so a large
+    shard is written by several tasks at once and its part files, in name
+    order, are still in position order.
     """
     writer = (
-        df.repartition(split, "shard")
+        df.repartitionByRange(split, "shard", "idx")
         .sortWithinPartitions(split, "shard", "idx")
         .write.mode(mode)
         .partitionBy(split, "shard")
