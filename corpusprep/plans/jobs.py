@@ -14,6 +14,10 @@ from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
 from corpusprep.sources.sinks import with_shards, write_sharded
 
+# Distinct payload up to this many bytes (summed row sizes) is broadcast to
+# the slot side; above it the salted shuffle join is used.
+PAYLOAD_BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def interleave_job(
     rows: DataFrame,
@@ -57,5 +61,10 @@ def interleave_job(
     shards = with_shards(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
     shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard")
     payload = origins.join(rows, ["source_id", origin])  # one row per used origin, with its k
-    final = mx.join_rows(shards, payload, sizes, counts)
+    distinct_bytes = labelled.join(nbytes, origin).agg(F.sum("_bytes")).first()[0] or 0  # narrow, one number
+    if distinct_bytes <= PAYLOAD_BROADCAST_BYTES:
+        n_col = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.col("source_id")).cast("bigint")
+        final = shards.withColumn("k", F.col("occ") % n_col).join(F.broadcast(payload), ["source_id", "k"])
+    else:
+        final = mx.join_rows(shards, payload, sizes, counts)
     write_sharded(final, out, mode=mode)

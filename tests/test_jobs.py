@@ -23,3 +23,17 @@ def test_interleave_job_writes_whole_payload(spark):
         assert r.a == 0 and r.b == r.n - 1 and r.d == r.n
     per = back.groupBy("split", "shard").agg(F.min("idx").alias("a"), F.max("idx").alias("b"), F.count("*").alias("n")).collect()
     assert all(r.b - r.a + 1 == r.n for r in per) and len(per) > 3
+
+
+def test_interleave_job_same_with_salted_join(spark, monkeypatch):
+    from corpusprep.plans import jobs
+
+    rows = spark.createDataFrame([(s * 100 + i, s, f"t{s}{i}") for s, n in enumerate([15, 2]) for i in range(n)], "doc_id long, source_id int, text string")
+    a, b = scratch_path(spark, "t-job-a"), scratch_path(spark, "t-job-b")
+    interleave_job(rows, ["0.7", "0.3"], a, seed=2, test_ratio="0.2")
+    monkeypatch.setattr(jobs, "PAYLOAD_BROADCAST_BYTES", -1)
+    interleave_job(rows, ["0.7", "0.3"], b, seed=2, test_ratio="0.2")
+    cols = ["slot", "doc_id", "text", "split", "idx", "shard"]
+    ra = sorted(tuple(r) for r in spark.read.parquet(a).select(*cols).collect())
+    rb = sorted(tuple(r) for r in spark.read.parquet(b).select(*cols).collect())
+    assert ra == rb and len(ra) > 17
