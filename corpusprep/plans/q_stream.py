@@ -54,7 +54,8 @@ def q_stream_project(spark, sf_dir):
 
 
 def _shuffle_batch(batch, batch_id):
-    indexed = dense_index(batch.select("event_id", "row_in_file"), ["row_in_file"])
+    # one file per trigger: the file row index is a dense position, blocks of 65,536 rows
+    indexed = dense_index(batch.select("event_id", "row_in_file"), ["row_in_file"], block=F.expr("row_in_file div 65536"))
     return buffered_shuffle(indexed, "idx", BUFFER, SEED, 0).select("event_id", "idx", "pos")
 
 
