@@ -68,12 +68,16 @@ def encode_dropout(df: DataFrame, keys, text: str, vocab: DataFrame, rate: float
         raise ValueError(f"merge table of {n} rows exceeds the {MERGES_MAX} bound")
     spark = df.sparkSession
     table = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}  # bounded above
-    shared = spark.sparkContext.broadcast(table)
+    try:
+        shared = spark.sparkContext.broadcast(table)
+        get_ranks = lambda: shared.value
+    except Exception:  # noqa: BLE001 - remote sessions: the bounded table rides in the closure
+        get_ranks = lambda: table
     occ = df.select(*keys, F.posexplode(tx.words(F.lower(F.col(text)))).alias("pos", "word"))
     out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in occ.schema.fields]) + ", pieces array<string>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks = shared.value
+        ranks = get_ranks()
         memo: dict[str, list[str]] = {}
         for b in batches:
             out = []

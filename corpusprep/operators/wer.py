@@ -39,23 +39,27 @@ def _encode(words: Column, vocab: Column) -> Column:
 
 
 def _edit_distance_dp(ref: Column, hyp: Column) -> Column:
-    """Row-by-row Levenshtein over word arrays (nested aggregate)."""
-    n = F.size(ref)
-    first = F.sequence(F.lit(0), n)
+    """Row-by-row Levenshtein over word arrays (nested aggregate).
 
-    def step(prev, h):
-        # prev: distances for the previous hypothesis prefix, length n + 1
+    The reference words travel in the accumulator, so no lambda refers to an
+    outer expression (which Catalyst would inline and re-evaluate per cell).
+    """
+    init = F.struct(ref.alias("r"), F.sequence(F.lit(0), F.size(ref)).alias("row"))
+
+    def step(acc, h):
+        r, prev = acc["r"], acc["row"]
+        n = F.size(r)
         start = F.array(prev[0] + 1)
 
-        def cell(acc, j):
-            sub = prev[j - 1] + F.when(ref[j - 1] == h, 0).otherwise(1)
-            best = F.least(acc[j - 1] + 1, prev[j] + 1, sub)
-            return F.concat(acc, F.array(best))
+        def cell(cur, j):
+            sub = prev[j - 1] + F.when(r[j - 1] == h, 0).otherwise(1)
+            return F.concat(cur, F.array(F.least(cur[j - 1] + 1, prev[j] + 1, sub)))
 
-        return F.when(n == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, cell))
+        row = F.when(n == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, cell))
+        return F.struct(r.alias("r"), row.alias("row"))
 
-    last = F.aggregate(hyp, first, step)
-    return F.element_at(last, -1)
+    last = F.aggregate(hyp, init, step)
+    return F.element_at(last["row"], -1)
 
 
 def edit_distance(ref_words, hyp_words) -> Column:
