@@ -60,3 +60,15 @@ def test_lag_and_block_rank(spark):
     r = block_rank(d, "id", "g", name="occ", block=16)
     want = d.select("id", (F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1).alias("w"))
     assert r.join(want, "id").filter(F.col("occ") != F.col("w")).count() == 0
+
+
+def test_blocked_index_matches_generic(spark):
+    from corpusprep.functions.draws import draw_hash
+    from corpusprep.operators.index import hash_block
+
+    d = spark.range(2000).select("id", (F.col("id") % 3).alias("g"), draw_hash(5, "t", "id").alias("h"))
+    a = dense_index(d, ["h", "id"], "g", groups_bound=3)
+    b = dense_index(d, ["h", "id"], "g", groups_bound=3, block=hash_block("h", 8), blocks_bound=256)
+    c = dense_index(d, ["h", "id"], "g", block=hash_block("h", 8))  # offsets joined, not broadcast
+    key = lambda df: sorted((r.id, r.idx) for r in df.select("id", "idx").collect())
+    assert key(a) == key(b) == key(c)

@@ -102,3 +102,11 @@ def test_compat_draws_are_position_locked(spark):
     u = df.select("batch_id", "pos", lb.batch_position_draw(42, "prompt", F.col("pos")).alias("u"), lb.row_draw(42, "prompt", 0, "idx").alias("v"))
     per_pos = u.groupBy("pos").agg(F.countDistinct("u").alias("a"), F.countDistinct("v").alias("b")).collect()
     assert all(r.a == 1 and r.b == 4 for r in per_pos)
+
+
+def test_encode_same_without_broadcast(spark, vocab, monkeypatch):
+    df = spark.createDataFrame([(1, "hello big world hell"), (2, "world")], "k int, text string")
+    a = sorted((r.k, tuple(r.ids)) for r in tk.encode(df, "k", "text", vocab).collect())
+    monkeypatch.setattr(tk, "VOCAB_BROADCAST_MAX", 0)
+    b = sorted((r.k, tuple(r.ids)) for r in tk.encode(df, "k", "text", vocab).collect())
+    assert a == b == [(1, (10, 12, 11, 13)), (2, (11,))]
