@@ -15,7 +15,7 @@ SEED = 42
 # Default split ratios of the mixing job.
 TEST_RATIO = "0.005"
 VALID_RATIO = "0.1"
-ORACLE_SLOTS = 400000  # slot space of the SQL twin; the Spark side sizes its own
+ORACLE_SLOTS = 2_000_000  # slot space of the SQL twin (covers sf0.1); the Spark side sizes its own
 
 
 def mixed(spark: SparkSession, sf_dir: str, stop: str) -> DataFrame:
