@@ -31,6 +31,7 @@ def interleave_job(
     order: Sequence[str] | None = None,
     shard_limit: int = SHARD_LIMIT,
     mode: str = "errorifexists",
+    split_by: str = "origin",
 ) -> None:
     """Mix sources by weight, split by origin row, cut contiguous shards, write them.
 
@@ -44,7 +45,13 @@ def interleave_job(
     (source, k) with the salting of :func:`mix.join_rows`, so repeated rows
     of a small source never form a hot key.  Output layout:
     ``out/split=<s>/shard=<i>/part-*.parquet``, rows in ``idx`` order.
+
+    ``split_by="origin"`` (default) keeps all copies of a source row on one
+    side; ``split_by="slot"`` splits the mixed rows themselves, as the
+    reference does, so copies of one row can land in train and test.
     """
+    if split_by not in ("origin", "slot"):
+        raise ValueError(f"split_by must be 'origin' or 'slot', not {split_by!r}")
     w = mx.parse_weights(weights)
     order = list(order or [origin])
     spark = rows.sparkSession
@@ -54,9 +61,13 @@ def interleave_job(
     taken, _, counts = mx.mix_slots(spark, sizes, w, seed, stop)
     used = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(sizes[s], counts[s]))]), F.col("source_id"))
     origins = keys.filter(F.col("k") < used).select("source_id", origin, "k")
-    labelled = three_way_split(origins, origin, test_ratio, valid_ratio, seed)
     nbytes = rows.select(origin, row_bytes(rows.drop("source_id")).alias("_bytes"))
-    narrow = mx.join_rows(taken, labelled.join(nbytes, origin), sizes, counts)
+    if split_by == "origin":
+        labelled = three_way_split(origins, origin, test_ratio, valid_ratio, seed)
+        narrow = mx.join_rows(taken, labelled.join(nbytes, origin), sizes, counts)
+    else:
+        labelled = origins
+        narrow = three_way_split(mx.join_rows(taken, origins.join(nbytes, origin), sizes, counts), "slot", test_ratio, valid_ratio, seed)
     h = draw_hash(seed, "order", "slot")
     shards = with_shards(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
     shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard")

@@ -37,3 +37,15 @@ def test_interleave_job_same_with_salted_join(spark, monkeypatch):
     ra = sorted(tuple(r) for r in spark.read.parquet(a).select(*cols).collect())
     rb = sorted(tuple(r) for r in spark.read.parquet(b).select(*cols).collect())
     assert ra == rb and len(ra) > 17
+
+
+def test_interleave_job_slot_split_leaks(spark):
+    from corpusprep.operators.split import leakage
+
+    rows = spark.createDataFrame([(s * 100 + i, s, f"t{s}{i}") for s, n in enumerate([30, 4]) for i in range(n)], "doc_id long, source_id int, text string")
+    a, b = scratch_path(spark, "t-orig"), scratch_path(spark, "t-slot")
+    interleave_job(rows, ["0.5", "0.5"], a, seed=3, test_ratio="0.3")
+    interleave_job(rows, ["0.5", "0.5"], b, seed=3, test_ratio="0.3", split_by="slot")
+    assert leakage(spark.read.parquet(a), "doc_id").first()[0] == 0
+    assert leakage(spark.read.parquet(b), "doc_id").first()[0] > 0
+    assert spark.read.parquet(a).count() == spark.read.parquet(b).count()
