@@ -64,21 +64,6 @@ def q_mix_weights(spark, sf_dir):
     return w.join(F.broadcast(n), "source_id")
 
 
-def mixed_then_split(spark: SparkSession, sf_dir: str, stop: str = mx.ALL_EXHAUSTED) -> DataFrame:
-    """Flagship: mix the sources, split by origin row, label every mixed row.
-
-    Origins are split before the payload join, on the source rows themselves
-    (one row per origin), so a row repeated many times never makes a hot key.
-    """
-    keys = fx.v_sources(spark, sf_dir)
-    sizes = dict(keys.groupBy("source_id").count().collect())  # one row per source
-    taken, _, counts = mx.mix_slots(spark, sizes, mx.parse_weights(fx.SOURCE_WEIGHTS), SEED, stop)
-    used = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(sizes[s], counts[s]))]), F.col("source_id"))
-    origins = keys.filter(F.col("k") < used)
-    labelled = three_way_split(origins, "doc_id", TEST_RATIO, VALID_RATIO, SEED)
-    return mx.join_rows(taken, labelled, sizes, counts)
-
-
 def _sql_split(src: str, key: str) -> str:
     h = sql_draw_hash(SEED, "split", key)
     v = sql_draw_hash(SEED, "valid", key)
