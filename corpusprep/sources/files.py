@@ -16,12 +16,12 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     away), so a folder of a million shards is not listed by one thread.
     Spark skips names beginning with ``_`` or ``.``; those are not data.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "false")
-        .load(directory)
-        .select(F.col("path"), F.col("length").alias("bytes"))
-    )
+    base = directory.rstrip("/")
+    # recursive lookup so plain files beside partition-style folders are seen
+    # (partition discovery would hide them), then one level only is kept
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    parent = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
+    return listed.filter(parent.endswith(base)).select(F.col("path"), F.col("length").alias("bytes"))
 
 
 def read_declared(spark: SparkSession, paths, schema: StructType, columns: Sequence[str] | None = None) -> DataFrame:

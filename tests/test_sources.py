@@ -14,6 +14,10 @@ def test_list_files(spark):
     spark.range(30).repartition(3).write.parquet(path)
     got = fs.list_files(spark, path).collect()
     assert len(got) == 3 and all(r.bytes > 0 and r.path.endswith(".parquet") for r in got)
+    nested = scratch_path(spark, "t-list-nested")
+    spark.range(10).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(nested)
+    spark.range(5).coalesce(1).write.mode("append").parquet(nested)
+    assert fs.list_files(spark, nested).count() == 1  # sub-folder files are not listed
 
 
 def test_declared_and_named_splits(spark):
