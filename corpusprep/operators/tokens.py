@@ -83,8 +83,8 @@ def decode(df: DataFrame, keys, ids: str, vocab: DataFrame, name: str = "decoded
     keys = _keys(keys)
     kept = F.filter(F.transform(F.col(ids), lambda x: F.when(x == IGNORE, F.lit(PAD)).otherwise(x)), lambda x: x >= FIRST_WORD_ID)
     e = df.select(*keys, F.posexplode(kept).alias("_pos", "id"))
-    j = e.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "id", "left")
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("token", F.lit("")).alias("token")))).alias("_p"))
+    j = e.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "id")  # ids outside the vocabulary are dropped
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_p"))
     txt = g.select(*keys, F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias(name))
     return df.join(txt, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit("")))
 

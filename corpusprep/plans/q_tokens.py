@@ -106,7 +106,7 @@ def q_attach(spark, sf_dir):
     + f""",
 dx AS (SELECT conv_id, turn, unnest(l) AS id, generate_subscripts(l, 1) AS pos
   FROM (SELECT conv_id, turn, list_filter(list_concat({tk.sql_with_specials('ids')}, [-100, -100]), lambda x: x >= {tk.FIRST_WORD_ID}) AS l FROM ee) q),
-dg AS (SELECT conv_id, turn, array_to_string(list(coalesce(v.token, '') ORDER BY pos), ' ') AS decoded FROM dx LEFT JOIN v_vocab v USING (id) GROUP BY conv_id, turn)
+dg AS (SELECT conv_id, turn, array_to_string(list(v.token ORDER BY pos), ' ') AS decoded FROM dx JOIN v_vocab v USING (id) GROUP BY conv_id, turn)
 SELECT conv_id, turn, coalesce(dg.decoded, '') AS decoded FROM ee LEFT JOIN dg USING (conv_id, turn)""",
     ("v_turns", "v_vocab"),
 )

@@ -110,3 +110,8 @@ def test_encode_same_without_broadcast(spark, vocab, monkeypatch):
     monkeypatch.setattr(tk, "VOCAB_BROADCAST_MAX", 0)
     b = sorted((r.k, tuple(r.ids)) for r in tk.encode(df, "k", "text", vocab).collect())
     assert a == b == [(1, (10, 12, 11, 13)), (2, (11,))]
+
+
+def test_decode_drops_unknown_ids(spark, vocab):
+    df = spark.createDataFrame([(1, [SOT, 10, 999, 11, EOT, IGNORE])], "k int, l array<int>")
+    assert tk.decode(df, "k", "l", vocab).first().decoded == "hello world"
