@@ -56,11 +56,12 @@ def q_stream_project(spark, sf_dir):
 def _shuffle_batch(batch, batch_id):
     # one file per trigger: the file row index is a dense position, blocks of 65,536 rows
     indexed = dense_index(batch.select("event_id", "row_in_file"), ["row_in_file"], block=F.expr("row_in_file div 65536"))
-    return buffered_shuffle(indexed, "idx", BUFFER, SEED, 0).select("event_id", "idx", "pos")
+    # draws keyed by (micro-batch, position): each batch gets its own order, a replay the same one
+    return buffered_shuffle(indexed, "idx", BUFFER, SEED, batch_id).select("event_id", "idx", "pos")
 
 
 _SQL_SHUFFLE = f"""WITH f AS (SELECT event_id, event_id % {FILES} AS part, row_number() OVER (PARTITION BY event_id % {FILES} ORDER BY event_id) - 1 AS idx FROM events)
-SELECT event_id, idx, row_number() OVER (PARTITION BY part ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', '0', 'idx')}, idx) - 1 AS pos FROM f"""
+SELECT event_id, idx, row_number() OVER (PARTITION BY part ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', 'part', 'idx')}, idx) - 1 AS pos FROM f"""
 
 
 @query("stream_shuffle", _SQL_SHUFFLE)
