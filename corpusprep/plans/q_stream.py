@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import sql_draw
 from corpusprep.operators import collate as co
-from corpusprep.operators.index import dense_index
 from corpusprep.operators.order import buffered_shuffle
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
@@ -54,8 +53,9 @@ def q_stream_project(spark, sf_dir):
 
 
 def _shuffle_batch(batch, batch_id):
-    # one file per trigger: the file row index is a dense position, blocks of 65,536 rows
-    indexed = dense_index(batch.select("event_id", "row_in_file"), ["row_in_file"], block=F.expr("row_in_file div 65536"))
+    # one file per trigger: the file row index already is the dense position in the batch
+    # (with several files per trigger, number (file, row) with dense_index first)
+    indexed = batch.select("event_id", F.col("row_in_file").alias("idx"))
     # draws keyed by (micro-batch, position): each batch gets its own order, a replay the same one
     return buffered_shuffle(indexed, "idx", BUFFER, SEED, batch_id).select("event_id", "idx", "pos")
 
