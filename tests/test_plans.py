@@ -43,3 +43,19 @@ def test_vocabulary_join_is_broadcast(spark):
 def test_metric_is_native(spark):
     s = plan(spark, "wer_filtered")
     assert "Python" not in s and "SortMergeJoin" not in s
+
+
+def test_interleave_write_plan(spark, monkeypatch):
+    from corpusprep.plans import fixtures as fx
+    from corpusprep.plans import jobs
+    from corpusprep.sources.files import tag_sources
+
+    captured = {}
+    monkeypatch.setattr(jobs, "write_sharded", lambda df, out, **kw: captured.setdefault("df", df))
+    docs = tag_sources(fx.table(spark, SF_SMALL, "documents"), "source", fx.SOURCE_NAMES)
+    jobs.interleave_job(docs, fx.SOURCE_WEIGHTS, "unused")
+    p = captured["df"]._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert bad not in p
+    # the wide text column is read by exactly two scans: row sizes and the final payload join
+    assert p.count("ReadSchema: struct<doc_id:bigint,text:string") <= 2
