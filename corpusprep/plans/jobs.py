@@ -12,7 +12,7 @@ from corpusprep.operators import mix as mx
 from corpusprep.operators.index import dense_index, hash_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
-from corpusprep.sources.sinks import with_shards, write_sharded
+from corpusprep.sources.sinks import layout_for_write, with_shards, write_sharded
 
 # Distinct payload up to this many bytes (summed row sizes) is broadcast to
 # the slot side; above it the salted shuffle join is used.
@@ -74,8 +74,11 @@ def interleave_job(
     payload = origins.join(rows, ["source_id", origin])  # one row per used origin, with its k
     distinct_bytes = labelled.join(nbytes, origin).agg(F.sum("_bytes")).first()[0] or 0  # narrow, one number
     if distinct_bytes <= PAYLOAD_BROADCAST_BYTES:
+        # range-partition the narrow rows for the write first: the broadcast join
+        # keeps that partitioning, so the wide rows are produced once and never shuffled
         n_col = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.col("source_id")).cast("bigint")
-        final = shards.withColumn("k", F.col("occ") % n_col).join(F.broadcast(payload), ["source_id", "k"])
+        narrow_out = layout_for_write(shards.withColumn("k", F.col("occ") % n_col))
+        final = narrow_out.join(F.broadcast(payload), ["source_id", "k"])
+        write_sharded(final, out, mode=mode, laid_out=True)
     else:
-        final = mx.join_rows(shards, payload, sizes, counts)
-    write_sharded(final, out, mode=mode)
+        write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode)

@@ -37,21 +37,36 @@ def with_shards(
     return out.withColumn("shard", contiguous_shard("idx", "n_rows", "n_shards")).drop("n_rows", "n_shards")
 
 
-def write_sharded(df: DataFrame, path: str, split: str = "split", mode: str = "errorifexists", rows_per_group: int = ROWS_PER_GROUP, avg_row_bytes: int | None = None) -> None:
+def layout_for_write(df: DataFrame, split: str = "split") -> DataFrame:
+    """Range-partition on (split, shard, idx): every task holds a contiguous run.
+
+    The local sort is left to :func:`write_sharded`: a sort placed under a
+    join is dropped by the optimizer, since joins do not promise an order.
+    """
+    return df.repartitionByRange(split, "shard", "idx")
+
+
+def write_sharded(
+    df: DataFrame,
+    path: str,
+    split: str = "split",
+    mode: str = "errorifexists",
+    rows_per_group: int = ROWS_PER_GROUP,
+    avg_row_bytes: int | None = None,
+    laid_out: bool = False,
+) -> None:
     """One folder per (split, shard), rows in index order, small row groups.
 
     The layout is ``<path>/split=<s>/shard=<i>/part-*.parquet`` so a reader can
     prune by split and by shard.  Rows are range-partitioned on (split, shard,
     idx): every write task takes a contiguous run of positions, so a large
     shard is written by several tasks at once and its part files, in name
-    order, are still in position order.
+    order, are still in position order.  ``laid_out``: ``df`` already went
+    through :func:`layout_for_write` (e.g. before a broadcast join, which
+    keeps the partitioning of its streamed side); only the local sort is left.
     """
-    writer = (
-        df.repartitionByRange(split, "shard", "idx")
-        .sortWithinPartitions(split, "shard", "idx")
-        .write.mode(mode)
-        .partitionBy(split, "shard")
-    )
+    ordered = (df if laid_out else layout_for_write(df, split)).sortWithinPartitions(split, "shard", "idx")
+    writer = ordered.write.mode(mode).partitionBy(split, "shard")
     if avg_row_bytes:
         writer = writer.option("parquet.block.size", max(1 << 20, rows_per_group * avg_row_bytes))
     writer.parquet(path)

@@ -49,3 +49,38 @@ def test_interleave_job_slot_split_leaks(spark):
     assert leakage(spark.read.parquet(a), "doc_id").first()[0] == 0
     assert leakage(spark.read.parquet(b), "doc_id").first()[0] > 0
     assert spark.read.parquet(a).count() == spark.read.parquet(b).count()
+
+
+def _files_in_order(path):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    last = {}
+    for f in sorted(glob.glob(f"{path}/split=*/shard=*/*.parquet")):
+        idx = pq.read_table(f, columns=["idx"]).column("idx").to_pylist()
+        if not idx:
+            continue
+        if any(b != a + 1 for a, b in zip(idx, idx[1:])):
+            return False
+        folder = os.path.dirname(f)
+        if folder in last and idx[0] != last[folder] + 1:
+            return False
+        last[folder] = idx[-1]
+    return True
+
+
+def test_written_shards_are_in_position_order(spark, monkeypatch):
+    from corpusprep.plans import jobs
+
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        rows = spark.createDataFrame([(s * 1000 + i, s, f"x{i}" * 20) for s, n in enumerate([300, 40]) for i in range(n)], "doc_id long, source_id int, text string")
+        a, b = scratch_path(spark, "t-ord-a"), scratch_path(spark, "t-ord-b")
+        interleave_job(rows, ["0.6", "0.4"], a, seed=1, test_ratio="0.1", shard_limit=20000)
+        monkeypatch.setattr(jobs, "PAYLOAD_BROADCAST_BYTES", -1)
+        interleave_job(rows, ["0.6", "0.4"], b, seed=1, test_ratio="0.1", shard_limit=20000)
+        assert _files_in_order(a) and _files_in_order(b)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
