@@ -84,3 +84,21 @@ def test_written_shards_are_in_position_order(spark, monkeypatch):
         assert _files_in_order(a) and _files_in_order(b)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_usage_path_from_source_folders(spark):
+    from corpusprep.sources.files import read_sources
+
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    paths = {}
+    for name in ["src0", "src1", "src2"]:
+        paths[name] = scratch_path(spark, f"t-{name}")
+        d.filter(F.col("source") == name).write.parquet(paths[name])
+    rows = read_sources(spark, paths).withColumn("origin", F.col("doc_id"))
+    out = scratch_path(spark, "t-usage")
+    interleave_job(rows, "0.5,0.3,0.2", out, seed=42, origin="origin", test_ratio="0.1", valid_ratio="0.5")
+    back = spark.read.parquet(out)
+    sizes = {r.source_name: r["count"] for r in d.filter(F.col("source").isin(list(paths))).groupBy(F.col("source").alias("source_name")).count().collect()}
+    seen = {r.source_name: r.n for r in back.groupBy("source_name").agg(F.countDistinct("doc_id").alias("n")).collect()}
+    assert seen == sizes  # every source fully read
+    assert _files_in_order(out)
