@@ -105,6 +105,16 @@ def _blocked_index(df, order, by, name, block, groups_bound, blocks_bound) -> Da
     return out.drop("_blk", "_loc", "_off", *[f"_o{i}" for i in range(len(g))])
 
 
+def key_block(key, width: int = 65536) -> Column:
+    """Block of a unique integer key: ``key div width``.
+
+    Non-decreasing in the key; a block holds at most ``width`` rows of a
+    group (or ``width`` keys' worth of rows), whatever the group sizes.
+    """
+    k = F.col(key) if isinstance(key, str) else key
+    return F.floor(k / F.lit(int(width))).cast("bigint")
+
+
 def hash_block(hex_hash, bits: int = 16) -> Column:
     """Block of a hex hash string: its first ``bits`` bits (non-decreasing in the string)."""
     h = F.col(hex_hash) if isinstance(hex_hash, str) else hex_hash
@@ -118,14 +128,16 @@ def lag_in_order(
     col: str,
     name: str,
     groups_bound: int | None = None,
+    block: Column | None = None,
 ) -> DataFrame:
     """``lag(col) OVER (PARTITION BY by ORDER BY order)`` that survives a hot group.
 
-    Rows are numbered with :func:`dense_index`, then joined to their
-    predecessor on (group, position): an equi-join whose key never repeats.
+    Rows are numbered with :func:`dense_index` (``block`` as there), then
+    joined to their predecessor on (group, position): an equi-join whose key
+    never repeats.
     """
     by = _names(by)
-    indexed = dense_index(df, order, by, name="_pos", groups_bound=groups_bound)
+    indexed = dense_index(df, order, by, name="_pos", groups_bound=groups_bound, block=block)
     prev = indexed.select(*by, (F.col("_pos") + 1).alias("_pos"), F.col(col).alias(name))
     prev = prev.select([F.col(c).alias(f"_p{i}") for i, c in enumerate(by)] + ["_pos", name]).withColumnRenamed("_pos", "_ppos")
     cond = [indexed[c].eqNullSafe(prev[f"_p{i}"]) for i, c in enumerate(by)] + [indexed["_pos"] == prev["_ppos"]]

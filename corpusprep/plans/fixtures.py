@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.index import dense_index, lag_in_order
+from corpusprep.operators.index import dense_index, key_block, lag_in_order
 
 # The eight sources of the mixing launcher and their weights,
 # in launcher order.
@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def v_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text")
+    d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text", block=key_block("doc_id"))
     d = d.join(lab, "doc_id", "left")
     return d.select(
         F.col("doc_id").alias("sample_id"),
@@ -45,7 +45,7 @@ def v_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return lag_in_order(c, "conv_id", ["turn"], "text", "previous_text")
+    return lag_in_order(c, "conv_id", ["turn"], "text", "previous_text", block=key_block("turn"))
 
 
 def v_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def v_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = table(spark, sf_dir, "documents").select("doc_id", "source")
     tagged = tag_sources(d, "source", SOURCE_NAMES)
-    return dense_index(tagged, ["doc_id"], "source_id", name="k", groups_bound=len(SOURCE_NAMES)).select(
+    return dense_index(tagged, ["doc_id"], "source_id", name="k", groups_bound=len(SOURCE_NAMES), block=key_block("doc_id")).select(
         "doc_id", "source_id", "k"
     )
 
@@ -85,7 +85,8 @@ def v_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(F.slice("w", 1, 20), lambda x: F.length(x) + 10),
         F.when((F.col("conv_id") * 10 + F.col("turn")) % 17 == 0, empty).otherwise(F.array(F.lit(EOT))),
     )
-    return dense_index(w.select("conv_id", "turn", ids.alias("ids")), ["conv_id", "turn"]).select("idx", "ids")
+    # a conversation has few turns, so conv_id div 8192 bounds every block
+    return dense_index(w.select("conv_id", "turn", ids.alias("ids")), ["conv_id", "turn"], block=key_block("conv_id", 8192)).select("idx", "ids")
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusprep.operators import collate as co
-from corpusprep.operators.index import dense_index
+from corpusprep.operators.index import dense_index, key_block
 from corpusprep.operators.tokens import EOT, IGNORE, PAD, SOT
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
@@ -117,7 +117,7 @@ def q_collate(spark, sf_dir):
 
 def _features(spark, sf_dir):
     e = fx.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("input_features"))
-    return co.assign_batches(dense_index(e, ["vec_id"]), "idx", B)
+    return co.assign_batches(dense_index(e, ["vec_id"], block=key_block("vec_id")), "idx", B)
 
 
 SQL_FEAT = f"""fb AS (SELECT vec_id, embedding AS input_features, (row_number() OVER (ORDER BY vec_id) - 1) // {B} AS batch_id FROM embeddings),

@@ -83,7 +83,9 @@ def q_take_first(spark, sf_dir):
 def q_rank_shard(spark, sf_dir):
     from corpusprep.operators.index import dense_index
 
-    d = dense_index(fx.v_sources(spark, sf_dir), ["source_id", "k"])
+    # (source, k) is unique; block = source * 2^32 + k div 65536 is non-decreasing in it
+    blk = F.col("source_id").cast("bigint") * F.lit(1 << 32) + F.floor(F.col("k") / 65536).cast("bigint")
+    d = dense_index(fx.v_sources(spark, sf_dir), ["source_id", "k"], block=blk)
     return od.rank_shard(d, "idx", WORLD).select("doc_id", "rank")
 
 
