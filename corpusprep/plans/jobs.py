@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import draw_hash
 from corpusprep.operators import mix as mx
-from corpusprep.operators.index import dense_index, hash_block
+from pyspark.sql.types import IntegralType
+
+from corpusprep.operators.index import dense_index, hash_block, key_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
 from corpusprep.sources.sinks import layout_for_write, with_shards, write_sharded
@@ -56,7 +58,10 @@ def interleave_job(
     order = list(order or [origin])
     spark = rows.sparkSession
     cols = list(dict.fromkeys(["source_id", origin, *order]))
-    keys = dense_index(rows.select(*cols), order, "source_id", name="k", groups_bound=len(w))
+    # a single integer order column is unique per source row: key div 65,536 bounds every block
+    integral = len(order) == 1 and isinstance(rows.schema[order[0]].dataType, IntegralType)
+    blk = key_block(order[0]) if integral else None
+    keys = dense_index(rows.select(*cols), order, "source_id", name="k", groups_bound=len(w), block=blk)
     sizes = dict(keys.groupBy("source_id").count().collect())  # one row per source
     taken, _, counts = mx.mix_slots(spark, sizes, w, seed, stop)
     used = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(sizes[s], counts[s]))]), F.col("source_id"))
