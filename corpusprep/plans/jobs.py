@@ -6,11 +6,10 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from corpusprep.functions.draws import draw_hash
 from corpusprep.operators import mix as mx
-from pyspark.sql.types import IntegralType
-
 from corpusprep.operators.index import dense_index, hash_block, key_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
@@ -44,8 +43,9 @@ def interleave_job(
     Everything up to the write runs on narrow keys: (source, origin, k) for
     the rows, (slot, source, occurrence) for the mixture, and one byte count
     per row for the shard sizes.  The payload is joined once, at the write, on
-    (source, k) with the salting of :func:`mix.join_rows`, so repeated rows
-    of a small source never form a hot key.  Output layout:
+    (source, k): broadcast when the distinct rows used are provably small
+    (summed byte sizes), otherwise with the salting of :func:`mix.join_rows`,
+    so repeated rows of a small source never form a hot key.  Output layout:
     ``out/split=<s>/shard=<i>/part-*.parquet``, rows in ``idx`` order.
 
     ``split_by="origin"`` (default) keeps all copies of a source row on one
