@@ -102,3 +102,13 @@ def test_usage_path_from_source_folders(spark):
     seen = {r.source_name: r.n for r in back.groupBy("source_name").agg(F.countDistinct("doc_id").alias("n")).collect()}
     assert seen == sizes  # every source fully read
     assert _files_in_order(out)
+
+
+def test_interleave_job_string_origin(spark):
+    rows = spark.createDataFrame([(f"a/{s}/{i}.wav", s, i) for s, n in enumerate([12, 5]) for i in range(n)], "audio_path string, source_id int, n int")
+    out = scratch_path(spark, "t-str")
+    interleave_job(rows, ["0.6", "0.4"], out, seed=8, origin="audio_path", test_ratio="0.25")
+    back = spark.read.parquet(out)
+    assert back.select("audio_path").distinct().count() == 17
+    assert back.groupBy("audio_path").agg(F.countDistinct("split").alias("c")).filter("c > 1").count() == 0
+    assert _files_in_order(out)
