@@ -13,6 +13,7 @@ from corpusprep.operators import mix as mx
 from corpusprep.operators.index import dense_index, hash_block, key_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
+from corpusprep.session import checkpoint_dir
 from corpusprep.sources.sinks import layout_for_write, with_shards, write_sharded
 
 # Distinct payload up to this many bytes (summed row sizes) is broadcast to
@@ -62,6 +63,9 @@ def interleave_job(
     integral = len(order) == 1 and isinstance(rows.schema[order[0]].dataType, IntegralType)
     blk = key_block(order[0]) if integral else None
     keys = dense_index(rows.select(*cols), order, "source_id", name="k", groups_bound=len(w), block=blk)
+    # the narrow key frame feeds every later branch: write it once to the shared folder
+    checkpoint_dir(spark)
+    keys = keys.checkpoint(eager=True)
     sizes = dict(keys.groupBy("source_id").count().collect())  # one row per source
     taken, _, counts = mx.mix_slots(spark, sizes, w, seed, stop)
     used = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(sizes[s], counts[s]))]), F.col("source_id"))
