@@ -1,7 +1,7 @@
 """Corpus pipeline: five operators of ``corpusprep.llm`` in a row over the documents table.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
-documents (the last one adds the sampling columns). ``run`` writes each stage's result
+documents. ``run`` writes each stage's result
 as Parquet in the shared checkpoint folder and reads it back as the next one's input.
 """
 
@@ -24,8 +24,8 @@ MIN_SCORE = 0.5
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is doubtful; learns as operator 5 does."""
     own = docs.select(F.col("doc_id").alias("key"), held_out("doc_id").alias("held_out"), "text", "lang")
-    judged = predict(docs.withColumn("__text", F.col("text")), train(own.where("not held_out")), "__text")
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    judged = predict(docs, train(own.where("not held_out")), "text", docs.columns, ("__lang", "__score"))
+    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +45,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents to the target weights; adds topic, n_tokens and probability."""
-    drawn = mix_to_targets(docs).where("kept").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.first("topic").alias("topic"), F.first("n_tokens").alias("n_tokens"), F.first("probability").alias("probability")
-    )
-    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    """Samples documents to the target weights of source, language and topic."""
+    drawn = mix_to_targets(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 
 STAGES = [

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.llm.words import mix, slices
 
@@ -75,11 +76,11 @@ def _sizes(texts: pa.Array) -> np.ndarray:
     return texts.cast(pa.large_string()).to_pandas().str.len().fillna(0).to_numpy()
 
 
-def _predict(model, langs: list[str], dims: int):
+def _predict(model, langs: list[str], dims: int, text_col: str, keep: list[str], added: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs, prior = model.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
+            texts = batch.column(batch.schema.get_field_index(text_col))
             names, scores = [], []
             for lo, hi in slices(_sizes(texts), 1 << 20):
                 cols, owner, letters = gram_columns(texts.slice(lo, hi - lo).to_pylist(), dims)
@@ -90,8 +91,8 @@ def _predict(model, langs: list[str], dims: int):
                 names += [langs[b] if c else UNKNOWN for b, c in zip(best, letters)]
                 scores += [float(s) if c else 0.0 for s, c in zip(share, letters)]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(batch.num_columns) if batch.schema.field(i).name != "text"], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*[f.name for f in batch.schema if f.name != "text"], "lang_pred", "score"],
+                [*[batch.column(batch.schema.get_field_index(c)) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*keep, *added],
             )
 
     return run
@@ -120,16 +121,15 @@ def train(labelled: DataFrame, dims: int = DIMS, train_docs: int = TRAIN_DOCS):
     return langs, logs.T.copy(), np.log((docs + 1) / (docs.sum() + len(docs)))
 
 
-def predict(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text column, with lang_pred and score added."""
+def predict(docs: DataFrame, model, text_col: str = "text", keep: list[str] | None = None, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (default: all but the text), the predicted language and its score."""
     langs, logs, prior = model
-    own = docs.withColumnRenamed(text_col, "text") if text_col != "text" else docs
-    rest = [f for f in own.schema.fields if f.name != "text"]
+    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     if not langs:
-        return own.select(*[f.name for f in rest], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(UNKNOWN).alias(added[0]), F.lit(0.0).alias(added[1]))
     sent = docs.sparkSession.sparkContext.broadcast((logs, prior))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["lang_pred string", "score double"])
-    return own.mapInArrow(_predict(sent, langs, DIMS), schema)
+    schema = T.StructType([docs.schema[c] for c in keep]).add(added[0], "string").add(added[1], "double")
+    return docs.mapInArrow(_predict(sent, langs, DIMS, text_col, keep, added), schema)
 
 
 def held_out(id_col: str = "doc_id"):

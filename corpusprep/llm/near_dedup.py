@@ -62,10 +62,10 @@ def prob_minhash(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: in
     winner = np.zeros(n * registers, dtype=np.uint64)
     time = np.zeros(len(owner))
     live = np.arange(len(owner))
-    step = np.uint64(0)
+    step = 0
     while len(live):
-        step += np.uint64(1)
-        random = mix(value[live] + step * np.uint64(0x9E3779B97F4A7C15))
+        step += 1
+        random = mix(value[live] + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
         unit = ((random >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
         time[live] -= np.log(unit) / weight[live]
         at = owner[live] * registers + (mix(random) % np.uint64(registers)).astype(np.int64)
