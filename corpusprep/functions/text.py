@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 NOSPEECH = "<|nospeech|>"
 NOCAPTIONS = "<|nocaptions|>"
 
-# ASCII white space, spelled out so Java and RE2 agree (their \s differ on \x0B).
-WS = "[\\t\\n\\x0B\\f\\r ]"
+# White space in the Unicode sense, spelled out so Java and RE2 agree (their \s are ASCII and differ on \x0B).
+WS_CLASS = "\\t\\n\\x0B\\f\\r \\x1C-\\x1F\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+WS = f"[{WS_CLASS}]"
 
 # Evaluation normaliser rules (basic text standardisation).
 BRACKETED = "[<\\[][^>\\]]*[>\\]]"  # <...> or [...] spans
@@ -36,8 +37,8 @@ def normalise(text) -> Column:
     t = F.lower(_c(text))
     t = F.regexp_replace(t, BRACKETED, "")
     t = F.regexp_replace(t, PARENTHESISED, "")
-    t = F.regexp_replace(t, MARKS_SYMBOLS_PUNCT, " ")
-    return F.regexp_replace(t, WS + "+", " ")
+    # marks to blank and blanks collapsed in one pass
+    return F.regexp_replace(t, f"[\\p{{M}}\\p{{S}}\\p{{P}}{WS_CLASS}]+", " ")
 
 
 def strip(text) -> Column:

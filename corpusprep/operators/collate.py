@@ -64,20 +64,22 @@ def shift_labels(df: DataFrame, labels: str = "labels") -> DataFrame:
     )
 
 
-def mask_after_end(labels, end: int = EOT, compat: bool = False) -> Column:
-    """Positions after the first end marker → ignore (the marker is kept).
+def mask_after_end(labels, end: int = EOT, length=None, compat: bool = False) -> Column:
+    """Positions past the true ``length``, then those after the first end marker → ignore (the marker is kept).
 
-    Without an end marker nothing is masked; ``compat`` masks every position
+    Without an end marker only padding is masked; ``compat`` masks every position
     after 0 instead, as an argmax over no match does.  Written with slices
     (no lambda) so the array is never re-evaluated per element.
     """
     a = _c(labels)
-    p = F.array_position(a, end).cast("int")  # 1-based, 0 when absent
+    n = F.size(a)
+    real = n if length is None else F.least(_c(length).cast("int"), n)
+    p = F.array_position(F.slice(a, 1, F.greatest(real, F.lit(0))), end).cast("int")  # 1-based, 0 when absent
     if compat:
         p = F.when(p == 0, F.lit(1)).otherwise(p)
-    n = F.size(a)
-    masked = F.concat(F.slice(a, 1, F.greatest(p, F.lit(1))), F.array_repeat(F.lit(IGNORE), F.greatest(n - p, F.lit(0))))
-    return F.when((p > 0) & (n > 0), masked).otherwise(a)
+    keep = F.greatest(F.when(p > 0, F.least(p, real)).otherwise(real), F.lit(0))
+    masked = F.concat(F.slice(a, 1, keep), F.array_repeat(F.lit(IGNORE), F.greatest(n - keep, F.lit(0))))
+    return F.when(n > 0, masked).otherwise(a)
 
 
 def mask_prompt(labels, start: int = SOT) -> Column:
@@ -90,11 +92,11 @@ def mask_prompt(labels, start: int = SOT) -> Column:
 
 
 def collate(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16, pad: int = PAD, compat: bool = False) -> DataFrame:
-    """Prompted-label collator: pad with pad id, shift, mask after end, mask the prompt."""
-    b = assign_batches(df, idx, batch_size)
+    """Prompted-label collator: pad with pad id, shift, mask padding and what follows the end, mask the prompt."""
+    b = assign_batches(df, idx, batch_size).withColumn("_real", F.size(labels) - 1)
     b = pad_labels(b, labels, pad)
     b = shift_labels(b, labels)
-    return b.withColumn(labels, mask_prompt(mask_after_end(labels, compat=compat)))
+    return b.withColumn(labels, mask_prompt(mask_after_end(labels, length="_real", compat=compat))).drop("_real")
 
 
 def collate_plain(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16) -> DataFrame:

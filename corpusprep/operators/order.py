@@ -8,6 +8,8 @@ whatever the partitioning.  Positions come from :func:`dense_index`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,25 @@ from corpusprep.functions.draws import draw, draw_hash
 from corpusprep.operators.index import dense_index, hash_block
 
 SPACE = 1 << 32
+# The random id a Parquet writer puts into the names of its files.
+RUN_ID = "-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+#: Rows of one hash block, on average; more rows mean more blocks.
+BLOCK_ROWS = 65_536
+
+
+def hash_bits(rows: int) -> int:
+    """Bits of a hash (a multiple of 4, 16 at least) whose blocks hold about ``BLOCK_ROWS`` rows."""
+    bits = 16
+    while rows >> bits > BLOCK_ROWS:
+        bits += 4
+    return bits
 
 
 def full_shuffle(df: DataFrame, key: str, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:
     """Random permutation: position = rank of md5(seed:shuffle:epoch:key), ties by key."""
     h = df.withColumn("_h", draw_hash(seed, "shuffle", F.lit(epoch), key))
-    return dense_index(h, ["_h", key], name=name, block=hash_block("_h"), blocks_bound=65536).drop("_h")
+    bits = hash_bits(df.count())
+    return dense_index(h, ["_h", key], name=name, block=hash_block("_h", bits), blocks_bound=1 << bits).drop("_h")
 
 
 def buffer_key(idx: str, buffer: int, seed: int, epoch: int) -> Column:
@@ -39,13 +54,19 @@ def buffered_shuffle(df: DataFrame, idx: str, buffer: int = 20, seed: int = 42,
     return dense_index(k, ["_bk", idx], name=name, block=blk).drop("_bk")
 
 
-def file_order_shuffle(df: DataFrame, buffer: int = 20, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:
+def file_order_shuffle(df: DataFrame, root: str, buffer: int = 20, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:
     """Streaming-style shuffle: files in hashed order, rows in file order, then a buffered shuffle.
 
-    ``df`` must come straight from a file scan (uses the hidden ``_metadata`` column).
+    ``df`` must come straight from a scan of the folder ``root`` (uses the hidden
+    ``_metadata`` column).  What is hashed is the file's folder below ``root``, or its
+    name without the writer's random run id where it lies in ``root`` itself, so the
+    same files written elsewhere or again have the same order.
     """
-    m = df.withColumn("_path", F.col("_metadata.file_path")).withColumn("_row", F.col("_metadata.row_index"))
-    m = m.withColumn("_fh", draw_hash(seed, "files", F.lit(epoch), F.col("_path")))
+    last = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
+    m = df.withColumn("_path", F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), f"/{last}/(.*)$", 1))
+    m = m.withColumn("_path", F.regexp_replace("_path", RUN_ID, "")).withColumn("_row", F.col("_metadata.row_index"))
+    folder = F.regexp_extract("_path", "^(.*)/[^/]*$", 1)
+    m = m.withColumn("_fh", draw_hash(seed, "files", F.lit(epoch), F.when(folder == "", F.col("_path")).otherwise(folder)))
     ordered = dense_index(m, ["_fh", "_path", "_row"], name="_fidx")
     return buffered_shuffle(ordered, "_fidx", buffer, seed, epoch, name).drop("_path", "_row", "_fh", "_fidx")
 

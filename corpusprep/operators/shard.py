@@ -10,27 +10,50 @@ GB = 10**9
 SHARD_LIMIT = 2 * GB  # fixed value: shard size limit of the mixing job
 
 
+# Bytes of the fixed-width types in memory.
+WIDTHS = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DayTimeIntervalType: 8, T.YearMonthIntervalType: 4,
+}
+
+
+def _width(dtype: T.DataType) -> int | None:
+    if isinstance(dtype, T.DecimalType):
+        return 8 if dtype.precision <= 18 else 16
+    if isinstance(dtype, T.NullType):
+        return 0
+    return WIDTHS.get(type(dtype))
+
+
+def value_bytes(c: Column, dtype: T.DataType) -> Column:
+    """In-memory size of one value, through arrays, maps and structs; null counts as its fixed width or 0."""
+    zero = F.lit(0).cast("bigint")
+    if _width(dtype) is not None:
+        return F.lit(_width(dtype)).cast("bigint")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c).cast("bigint"), zero)
+    if isinstance(dtype, T.ArrayType):
+        if _width(dtype.elementType) is not None:
+            return F.coalesce(F.size(c).cast("bigint"), zero) * _width(dtype.elementType)
+        if isinstance(dtype.elementType, T.StringType):
+            return F.coalesce(F.octet_length(F.array_join(c, "")).cast("bigint"), zero)
+        return F.coalesce(F.aggregate(c, zero, lambda acc, x: acc + value_bytes(x, dtype.elementType)), zero)
+    if isinstance(dtype, T.MapType):
+        return value_bytes(F.map_keys(c), T.ArrayType(dtype.keyType)) + value_bytes(F.map_values(c), T.ArrayType(dtype.valueType))
+    if isinstance(dtype, T.StructType):
+        total = zero
+        for f in dtype.fields:
+            total = total + value_bytes(c.getField(f.name), f.dataType)
+        return total
+    raise TypeError(f"no size rule for type {dtype.simpleString()}")
+
+
 def row_bytes(df: DataFrame, exclude=()) -> Column:
-    """In-memory size of one row: string bytes, 4 or 8 per number, per array element."""
-    parts = []
+    """In-memory size of one row, by the declared types of its columns."""
+    total = F.lit(0).cast("bigint")
     for f in df.schema.fields:
-        if f.name in exclude:
-            continue
-        c, t = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(t, T.StringType):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(t, T.ArrayType):
-            width = 8 if isinstance(t.elementType, (T.LongType, T.DoubleType)) else 4
-            parts.append(F.coalesce(F.size(c), F.lit(0)) * width)
-        elif isinstance(t, (T.LongType, T.DoubleType, T.TimestampType)):
-            parts.append(F.lit(8))
-        elif isinstance(t, T.BooleanType):
-            parts.append(F.lit(1))
-        else:
-            parts.append(F.lit(4))
-    total = parts[0].cast("bigint")
-    for p in parts[1:]:
-        total = total + p.cast("bigint")
+        if f.name not in exclude:
+            total = total + value_bytes(F.col(f"`{f.name}`"), f.dataType)
     return total
 
 

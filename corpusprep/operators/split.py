@@ -1,17 +1,18 @@
-"""Exact, seeded splits without a global sort.
+"""Exact, seeded splits without a sort or a window.
 
 ``exact_split`` puts exactly ``ceil(ratio * T)`` rows on the inside, the
-rows with the smallest ``md5(seed:purpose:key)`` (ties by key).  A histogram
-of the first 16 bits of the hash (at most 65,536 rows, the only thing brought
-to the driver) finds the one bucket the cut falls in; only that bucket is
-ranked.  Every other row is labelled by a comparison, in place.
+rows with the smallest ``md5(seed:purpose:key)`` (ties by key).  A histogram of
+the next 16 bits of the hash finds the bucket the cut falls in, again and
+again until a bucket is small enough to read; that gives the last hash and key
+inside, and every row is labelled by one comparison, in place.  The driver
+sees at most 65,536 counts or ``CUT_ROWS`` keys at a time.
 """
 
 from __future__ import annotations
 
 from decimal import ROUND_CEILING, Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import draw_hash
@@ -25,6 +26,39 @@ def n_inside(ratio, total: int) -> int:
     return int((d * total).to_integral_value(rounding=ROUND_CEILING))
 
 
+#: A bucket of at most this many keys is read; a larger one is divided by the next 16 bits of the hash.
+CUT_ROWS = 20_000
+
+
+def cut_point(df: DataFrame, key: str, ratio, seed: int, purpose: str) -> tuple[str, object] | None:
+    """(hash, key) of the last row inside; None if no row is inside."""
+    h = df.select(draw_hash(seed, purpose, key).alias("_h"), F.col(key).alias("_k"))
+    bits = lambda at: F.substring("_h", 4 * at + 1, 4)  # noqa: E731  16 bits of the hash, as text
+    counts = dict(h.groupBy(bits(0).alias("b")).count().collect())  # at most 65,536 rows
+    want = n_inside(ratio, sum(counts.values()))
+    if want == 0:
+        return None
+    prefix, depth = "", 0
+    while True:
+        for b in sorted(counts):
+            if counts[b] >= want:
+                break
+            want -= counts[b]
+        prefix, size, depth = prefix + b, counts[b], depth + 1
+        inside = h.filter(F.col("_h").startswith(prefix))
+        if size <= CUT_ROWS or depth == 8:
+            return tuple(sorted((r[0], r[1]) for r in inside.collect())[want - 1])
+        counts = dict(inside.groupBy(bits(depth).alias("b")).count().collect())
+
+
+def is_inside(key: str, cut: tuple[str, object] | None, seed: int, purpose: str) -> Column:
+    """Whether a row is at or before the cut."""
+    if cut is None:
+        return F.lit(False)
+    h = draw_hash(seed, purpose, key)
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(key) <= F.lit(cut[1])))
+
+
 def exact_split(
     df: DataFrame,
     key: str,
@@ -36,28 +70,8 @@ def exact_split(
     outside: str = "train",
 ) -> DataFrame:
     """Label each row ``inside`` / ``outside``; ``key`` must be unique per row."""
-    h = df.withColumn("_h", draw_hash(seed, purpose, key))
-    h = h.withColumn("_hi", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
-    hist = sorted((r[0], r[1]) for r in h.groupBy("_hi").count().collect())  # ≤ 65,536 rows
-    total = sum(c for _, c in hist)
-    want = n_inside(ratio, total)
-    cut, before = None, 0
-    for b, c in hist:
-        if before + c >= want:
-            cut = b
-            break
-        before += c
-    if want == 0 or cut is None:
-        label = F.lit(outside) if want == 0 else F.lit(inside)
-        return h.withColumn(name, label).drop("_h", "_hi")
-    need = want - before
-    plain = h.filter(F.col("_hi") != cut).withColumn(
-        name, F.when(F.col("_hi") < cut, F.lit(inside)).otherwise(F.lit(outside))
-    )
-    edge = h.filter(F.col("_hi") == cut)
-    rank = F.row_number().over(Window.partitionBy("_hi").orderBy("_h", key)) - 1
-    edge = edge.withColumn(name, F.when(rank < need, F.lit(inside)).otherwise(F.lit(outside)))
-    return plain.unionByName(edge).drop("_h", "_hi")
+    cut = cut_point(df, key, ratio, seed, purpose)
+    return df.withColumn(name, F.when(is_inside(key, cut, seed, purpose), F.lit(inside)).otherwise(F.lit(outside)))
 
 
 def three_way_split(
@@ -69,10 +83,9 @@ def three_way_split(
     name: str = "split",
 ) -> DataFrame:
     """train / test / valid: split off ``test_ratio``, then ``valid_ratio`` of that becomes valid."""
-    first = exact_split(df, key, test_ratio, seed, "split", name, "test", "train")
-    test = first.filter(F.col(name) == "test").drop(name)
-    second = exact_split(test, key, valid_ratio, seed, "valid", name, "valid", "test")
-    return first.filter(F.col(name) == "train").unionByName(second)
+    test = is_inside(key, cut_point(df, key, test_ratio, seed, "split"), seed, "split")
+    valid = is_inside(key, cut_point(df.filter(test), key, valid_ratio, seed, "valid"), seed, "valid")
+    return df.withColumn(name, F.when(~test, F.lit("train")).when(valid, F.lit("valid")).otherwise(F.lit("test")))
 
 
 def leakage(labelled: DataFrame, origin: str, name: str = "split") -> DataFrame:

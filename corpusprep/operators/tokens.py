@@ -1,30 +1,63 @@
 """Token ids from a vocabulary table, as Spark joins (no tokenizer library).
 
-Encoding explodes each text into (row, position, word), joins the words to
-the vocabulary with a broadcast hash join (the vocabulary has a checked size
-bound) and gathers the ids back in position order.  Decoding is the mirror
+Encoding partitions the rows by key, explodes each text into (row, position,
+word), joins the words to the vocabulary (broadcast where its size is checked,
+salted otherwise) and gathers the ids back in position order, where they are.  Decoding is the mirror
 image.  Both are exact for whole texts of any length.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from dataclasses import dataclass, field
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 
-# Reserved ids of the vocabulary layout and their marker strings.
+# The test vocabulary's reserved ids, and marker strings of transcripts.
 PAD, UNK, SOT, EOT, SOP, LANG, TASK, NOTS, NOSPEECH = 0, 1, 2, 3, 4, 5, 6, 7, 8
 FIRST_WORD_ID = 10
-MARKERS = {"<|startoftranscript|>": SOT, "<|endoftext|>": EOT, "<|startofprev|>": SOP, "<|nospeech|>": NOSPEECH, "<|nocaptions|>": NOSPEECH}
 IGNORE = -100
 MAX_LENGTH = 448
 MAX_PROMPT_LENGTH = 192
 VOCAB_BROADCAST_MAX = 5_000_000
+#: Copies of a vocabulary too large to broadcast: rows of one frequent word are dealt over so many join keys.
+VOCAB_SALTS = 32
 
 
+@dataclass(frozen=True)
+class Reserved:
+    """Reserved ids of a vocabulary; every id that is not reserved is a word."""
+
+    pad: int = PAD
+    unk: int = UNK
+    sot: int = SOT
+    eot: int = EOT
+    sop: int = SOP
+    no_timestamps: int = NOTS
+    no_speech: int = NOSPEECH
+    languages: Mapping[str, int] = field(default_factory=lambda: {"default": LANG})
+    tasks: Mapping[str, int] = field(default_factory=lambda: {"default": TASK})
+
+    def ids(self) -> list[int]:
+        own = [self.pad, self.unk, self.sot, self.eot, self.sop, self.no_timestamps, self.no_speech]
+        return sorted({*own, *self.languages.values(), *self.tasks.values()})
+
+    def markers(self) -> dict[str, int]:
+        return {
+            "<|startoftranscript|>": self.sot,
+            "<|endoftext|>": self.eot,
+            "<|startofprev|>": self.sop,
+            "<|nospeech|>": self.no_speech,
+            "<|nocaptions|>": self.no_speech,
+        }
+
+
+RESERVED = Reserved()
+MARKERS = RESERVED.markers()
+
 
 def empty_ids() -> Column:
     return F.array().cast("array<int>")
@@ -34,56 +67,68 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _vocab_side(vocab: DataFrame, bound: int | None = None) -> DataFrame:
-    """Broadcast when the vocabulary is within the checked bound, else a shuffled join.
+def _with_vocab(occurrences: DataFrame, vocab: DataFrame, on: str, how: str, bound: int | None) -> DataFrame:
+    """Join word occurrences to the vocabulary on ``on``.
 
-    ``bound`` is the caller's proven size limit (e.g. a top-k vocabulary);
-    without it the table is counted once.
+    The vocabulary is broadcast when ``bound`` (the caller's proven size, else a
+    count) allows; a larger one is copied ``VOCAB_SALTS`` times and joined on
+    (word, salt), so a very frequent word is no single join key.
     """
     n = bound if bound is not None else vocab.count()
-    return F.broadcast(vocab) if n <= VOCAB_BROADCAST_MAX else vocab
+    if n <= VOCAB_BROADCAST_MAX:
+        return occurrences.join(F.broadcast(vocab), on, how)
+    salted = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(VOCAB_SALTS - 1))))
+    return occurrences.withColumn("_salt", (F.col("_pos") % VOCAB_SALTS).cast("int")).join(salted, [on, "_salt"], how).drop("_salt")
 
 
-def marker_id(token: Column) -> Column:
+def marker_id(token: Column, reserved: Reserved = RESERVED) -> Column:
     expr = None
-    for m, i in MARKERS.items():
+    for m, i in reserved.markers().items():
         expr = F.when(token == m, F.lit(i)) if expr is None else expr.when(token == m, F.lit(i))
     return expr
 
 
-def encode(df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids", lower: bool = True, vocab_bound: int | None = None) -> DataFrame:
+def encode(
+    df: DataFrame, keys, text: str, vocab: DataFrame, name: str = "ids", lower: bool = True, vocab_bound: int | None = None, reserved: Reserved = RESERVED
+) -> DataFrame:
     """Add ``name``: ids of the words of ``text`` (markers → reserved ids, unknown → UNK).
 
-    ``keys`` must identify a row.  No special tokens are added here.
+    ``keys`` must identify a row.  Rows are partitioned by ``keys`` before their
+    words are exploded, so gathering the ids again needs no exchange of words.
+    No special tokens are added here.
     """
     keys = _keys(keys)
     t = F.lower(F.col(text)) if lower else F.col(text)
-    w = df.select(*keys, F.posexplode(tx.words(t)).alias("_pos", "token"))
-    j = w.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "token", "left")
-    ident = F.coalesce(marker_id(F.col("token")), F.col("id"), F.lit(UNK)).cast("int")
+    rows = df.select(*keys, t.alias("_t")).repartition(*keys)
+    w = rows.select(*keys, F.posexplode(tx.words("_t")).alias("_pos", "token"))
+    j = _with_vocab(w, vocab.select("token", "id"), "token", "left", vocab_bound)
+    ident = F.coalesce(marker_id(F.col("token"), reserved), F.col("id"), F.lit(reserved.unk)).cast("int")
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), ident.alias("id")))).alias("_p"))
     ids = g.select(*keys, F.transform("_p", lambda s: s["id"]).alias(name))
     return df.join(ids, keys, "left").withColumn(name, F.coalesce(F.col(name), empty_ids()))
 
 
-def prefix_ids(timestamps: bool = False) -> list[int]:
-    return [SOT, LANG, TASK] + ([] if timestamps else [NOTS])
+def prefix_ids(timestamps: bool = False, language: str = "default", task: str = "default", reserved: Reserved = RESERVED) -> list[int]:
+    return [reserved.sot, reserved.languages[language], reserved.tasks[task]] + ([] if timestamps else [reserved.no_timestamps])
 
 
-def with_specials(ids, timestamps: bool = False, max_length: int | None = MAX_LENGTH) -> Column:
+def with_specials(
+    ids, timestamps: bool = False, max_length: int | None = MAX_LENGTH, language: str = "default", task: str = "default", reserved: Reserved = RESERVED
+) -> Column:
     """Start, language, task, no-timestamps (unless timestamps) + ids + end; head kept on truncation."""
     ids = F.col(ids) if isinstance(ids, str) else ids
-    pre = prefix_ids(timestamps)
+    pre = prefix_ids(timestamps, language, task, reserved)
     body = ids if max_length is None else F.slice(ids, 1, max_length - len(pre) - 1)
-    return F.concat(F.array(*[F.lit(i) for i in pre]), body, F.array(F.lit(EOT)))
+    return F.concat(F.array(*[F.lit(i) for i in pre]), body, F.array(F.lit(reserved.eot)))
 
 
-def decode(df: DataFrame, keys, ids: str, vocab: DataFrame, name: str = "decoded", vocab_bound: int | None = None) -> DataFrame:
-    """Ids → text: ignore marks to pad, special and reserved ids dropped, words joined by blanks."""
+def decode(df: DataFrame, keys, ids: str, vocab: DataFrame, name: str = "decoded", vocab_bound: int | None = None, reserved: Reserved = RESERVED) -> DataFrame:
+    """Ids → text: ignore marks and reserved ids dropped, words joined by blanks."""
     keys = _keys(keys)
-    kept = F.filter(F.transform(F.col(ids), lambda x: F.when(x == IGNORE, F.lit(PAD)).otherwise(x)), lambda x: x >= FIRST_WORD_ID)
-    e = df.select(*keys, F.posexplode(kept).alias("_pos", "id"))
-    j = e.join(_vocab_side(vocab.select("token", "id"), vocab_bound), "id")  # ids outside the vocabulary are dropped
+    special = [IGNORE, *reserved.ids()]
+    rows = df.select(*keys, F.col(ids).alias("_ids")).repartition(*keys)
+    e = rows.select(*keys, F.posexplode("_ids").alias("_pos", "id")).where(~F.col("id").isin(special))
+    j = _with_vocab(e, vocab.select("token", "id"), "id", "inner", vocab_bound)  # ids outside the vocabulary are dropped
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_p"))
     txt = g.select(*keys, F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias(name))
     return df.join(txt, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit("")))

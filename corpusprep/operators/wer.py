@@ -1,10 +1,10 @@
 """Word edit distance and corpus word error rate as native column expressions.
 
 Per pair the distinct words of both sides are numbered and each word is
-replaced by one character of a fixed alphabet; the built-in ``levenshtein``
-on the two strings is then the word-level distance.  Pairs with more distinct
-words than the alphabet holds fall back to a dynamic programme written with
-nested ``aggregate`` (exact, slower).  The corpus rate is
+replaced by one code point from U+10000 on; the built-in ``levenshtein`` on the
+two strings, which counts code points, is then the word-level distance.  The
+supplementary planes hold over a million symbols, more distinct words than a
+pair of any length that can be aligned.  The corpus rate is
 ``sum(edits) / sum(reference words)`` — a partial + final aggregate, never the
 mean of per-pair rates.
 """
@@ -16,10 +16,8 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 
-# Alphabet rule: consecutive code points from U+4E00, one UTF-16 unit each.
-ALPHABET_START = 0x4E00
-ALPHABET_SIZE = 20992
-_ALPHABET = "".join(chr(ALPHABET_START + i) for i in range(ALPHABET_SIZE))
+# Alphabet rule: word number n of a pair is the code point FIRST_SYMBOL + n.
+FIRST_SYMBOL = 0x10000
 
 
 def _c(c) -> Column:
@@ -27,58 +25,30 @@ def _c(c) -> Column:
 
 
 def _encode(words: Column, vocab: Column) -> Column:
-    """Each word → the alphabet character at its position in ``vocab``.
-
-    ``vocab`` enters ``zip_with`` as an argument (evaluated once per row); a
-    lambda that referred to it directly would have it inlined and recomputed
-    for every word.
-    """
-    alpha = F.lit(_ALPHABET)
-    per_word = F.array_repeat(vocab, F.size(words))
-    return F.array_join(F.zip_with(words, per_word, lambda w, v: F.substring(alpha, F.array_position(v, w).cast("int"), 1)), "")
+    """Each word → the symbol of its number in ``vocab``, through one UTF-32 decoding per side."""
+    points = F.transform(words, lambda w: F.lpad(F.hex(F.lit(FIRST_SYMBOL) + F.array_position(vocab, w)), 8, "0"))
+    return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
 
 
-def _edit_distance_dp(ref: Column, hyp: Column) -> Column:
-    """Row-by-row Levenshtein over word arrays (nested aggregate).
+def edit_distance(ref_words, hyp_words, vocab) -> Column:
+    """Word-level substitutions + insertions + deletions; ``vocab`` is the column of both sides' distinct words.
 
-    The reference words travel in the accumulator, so no lambda refers to an
-    outer expression (which Catalyst would inline and re-evaluate per cell).
+    ``vocab`` must be a column of its own: written inline it would be computed again for every word.
     """
-    init = F.struct(ref.alias("r"), F.sequence(F.lit(0), F.size(ref)).alias("row"))
-
-    def step(acc, h):
-        r, prev = acc["r"], acc["row"]
-        n = F.size(r)
-        start = F.array(prev[0] + 1)
-
-        def cell(cur, j):
-            sub = prev[j - 1] + F.when(r[j - 1] == h, 0).otherwise(1)
-            return F.concat(cur, F.array(F.least(cur[j - 1] + 1, prev[j] + 1, sub)))
-
-        row = F.when(n == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, cell))
-        return F.struct(r.alias("r"), row.alias("row"))
-
-    last = F.aggregate(hyp, init, step)
-    return F.element_at(last["row"], -1)
-
-
-def edit_distance(ref_words, hyp_words) -> Column:
-    """Word-level substitutions + insertions + deletions."""
-    ref, hyp = _c(ref_words), _c(hyp_words)
-    vocab = F.array_distinct(F.concat(ref, hyp))
-    fast = F.levenshtein(_encode(ref, vocab), _encode(hyp, vocab))
-    return F.when(F.size(vocab) <= ALPHABET_SIZE, fast).otherwise(_edit_distance_dp(ref, hyp)).cast("bigint")
+    v = _c(vocab)
+    return F.levenshtein(_encode(_c(ref_words), v), _encode(_c(hyp_words), v)).cast("bigint")
 
 
 def pair_edits(df: DataFrame, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
     """Add ``ref_words``, ``hyp_words`` counts and ``edits`` per pair."""
     rw, hw = tx.words(ref), tx.words(hyp)
-    return df.withColumn("_rw", rw).withColumn("_hw", hw).select(
+    both = F.array_distinct(F.concat("_rw", "_hw"))
+    return df.withColumn("_rw", rw).withColumn("_hw", hw).withColumn("_v", both).select(
         "*",
         F.size("_rw").cast("bigint").alias("ref_words"),
         F.size("_hw").cast("bigint").alias("hyp_words"),
-        edit_distance("_rw", "_hw").alias("edits"),
-    ).drop("_rw", "_hw")
+        edit_distance("_rw", "_hw", "_v").alias("edits"),
+    ).drop("_rw", "_hw", "_v")
 
 
 def corpus_wer(edited: DataFrame, by=None, scale: float = 100.0) -> DataFrame:
@@ -116,11 +86,3 @@ def filter_pairs(df: DataFrame, ref: str = "ref", hyp: str = "hyp", marker: str
 def wer_filtered(df: DataFrame, ref: str = "ref", hyp: str = "hyp", by=None, marker_first: bool = True) -> DataFrame:
     kept = filter_pairs(df, ref, hyp, marker_first=marker_first)["no_marker"]
     return corpus_wer(pair_edits(kept, ref, hyp), by)
-
-
-# --- DuckDB twin (ASCII alphabet: DuckDB's levenshtein counts bytes) --------------------
-
-def sql_edit_distance(ref_words: str, hyp_words: str) -> str:
-    d = f"list_distinct(list_concat({ref_words}, {hyp_words}))"
-    enc = lambda w: f"array_to_string(list_transform({w}, lambda x: chr(32 + list_position(d, x))), '')"
-    return f"(SELECT levenshtein({enc(ref_words)}, {enc(hyp_words)}) FROM (SELECT {d} AS d))"

@@ -7,30 +7,46 @@ same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.functions import text as tx
+from corpusprep.operators import labels as lb
+from corpusprep.operators import tokens as tk
 from corpusprep.operators.index import dense_index, key_block, lag_in_order
 
-# The eight sources of the mixing launcher and their weights,
-# in launcher order.
-SOURCE_NAMES = ["src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7"]
-SOURCE_WEIGHTS = "0.126,0.157,0.167,0.151,0.282,0.102,0.014,0.001"
+# The eight weights of the mixing launcher, in launcher order.
+LAUNCHER_WEIGHTS = ["0.126", "0.157", "0.167", "0.151", "0.282", "0.102", "0.014", "0.001"]
+
+# Every source of the documents table is registered. The first sixteen share the launcher
+# weights, two sources to a weight (42 percent each); the other four share what is left.
+SOURCE_NAMES = [f"src{i}" for i in range(20)]
+SOURCE_WEIGHTS = {
+    n: str(Decimal(LAUNCHER_WEIGHTS[i % 8]) * Decimal("0.42") if i < 16 else Decimal("0.04")) for i, n in enumerate(SOURCE_NAMES)
+}
+WEIGHT_LIST = [SOURCE_WEIGHTS[n] for n in SOURCE_NAMES]
 
-# Reserved ids of the test vocabulary.
-PAD, UNK, SOT, EOT, SOP, LANG, TASK, NOTS, NOSPEECH = 0, 1, 2, 3, 4, 5, 6, 7, 8
-VOCAB_SIZE = 2000
+#: Of 256 hash values of a word, those below are in the test vocabulary; the others show unknown words.
+KNOWN_WORDS = 250
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def v_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_samples(spark: SparkSession, sf_dir: str, previous: bool = True, flags: bool = True) -> DataFrame:
+    """Samples from documents; without ``previous`` (the text before) or ``flags`` (from labels) it is one plain scan."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text", block=key_block("doc_id"))
-    d = d.join(lab, "doc_id", "left")
+    if previous:
+        d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text")
+    else:
+        d = d.withColumn("previous_text", F.lit(None).cast("string"))
+    if flags:
+        d = d.join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    else:
+        d = d.withColumns({"quality": F.lit(0), "toxic": F.lit(0)})
     return d.select(
         F.col("doc_id").alias("sample_id"),
         F.col("source").alias("data_source"),
@@ -58,42 +74,50 @@ def v_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def words_col(text) -> "F.Column":
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "")
-
-
 def v_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", words_col(F.col("text")).alias("w"))
+    return c.select("conv_id", "turn", tx.words(F.lower("text")).alias("w"))
 
 
 def v_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Most frequent words; the limit is the vocabulary size (a top-k)."""
+    """Every word of the conversations by falling frequency, but for a gap chosen by hash; written once."""
+    from corpusprep.session import scratch_path
+
     counts = v_words(spark, sf_dir).select(F.explode("w").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "token").limit(VOCAB_SIZE)
-    # the top-k limit bounds this window at VOCAB_SIZE rows
-    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "token"))
-    return top.select("token", (rank + 9).cast("int").alias("id"))
+    known = counts.filter(F.conv(F.substring(F.md5("token"), 1, 2), 16, 10).cast("int") < KNOWN_WORDS)
+    ranked = dense_index(known.withColumn("less", -F.col("n")), ["less", "token"], name="rank")
+    path = scratch_path(spark, "vocab")
+    ranked.select("token", (F.col("rank") + tk.FIRST_WORD_ID).cast("int").alias("id")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+TURN_KEYS = ["conv_id", "turn"]
+
+
+def v_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with the ids of their text and of the text before."""
+    vocab = v_vocab(spark, sf_dir)
+    t = v_turns(spark, sf_dir).withColumn("previous_text", tx.rename_marker(tx.null_to_empty("previous_text")))
+    bound = vocab.count()
+    t = tk.encode(t, TURN_KEYS, "text", vocab, "ids", vocab_bound=bound)
+    return tk.encode(t, TURN_KEYS, "previous_text", vocab, "prev_ids", vocab_bound=bound).select(*TURN_KEYS, "ids", "prev_ids")
 
 
 def v_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = v_words(spark, sf_dir)
-    empty = F.array().cast("array<int>")
-    ids = F.concat(
-        F.when(F.col("turn") > 0, F.concat(F.array(F.lit(SOP)), F.transform(F.slice("w", 1, 5), lambda x: F.length(x) + 10))).otherwise(empty),
-        F.array(F.lit(SOT), F.lit(LANG), F.lit(TASK), F.lit(NOTS)),
-        F.transform(F.slice("w", 1, 20), lambda x: F.length(x) + 10),
-        F.when((F.col("conv_id") * 10 + F.col("turn")) % 17 == 0, empty).otherwise(F.array(F.lit(EOT))),
-    )
+    """Label rows: prompt of the text before (but for first turns) + the text's ids; one row in 17 has no end marker."""
+    e = v_encoded(spark, sf_dir)
+    body = tk.with_specials("ids")
+    body = F.when((F.col("conv_id") * 10 + F.col("turn")) % 17 == 0, F.slice(body, 1, F.size(body) - 1)).otherwise(body)
+    ids = F.concat(F.when(F.col("turn") > 0, lb.prompt_ids("prev_ids")).otherwise(tk.empty_ids()), body)
     # a conversation has few turns, so conv_id div 8192 bounds every block
-    return dense_index(w.select("conv_id", "turn", ids.alias("ids")), ["conv_id", "turn"], block=key_block("conv_id", 8192)).select("idx", "ids")
+    return dense_index(e.select(*TURN_KEYS, ids.alias("ids")), TURN_KEYS, block=key_block("conv_id", 8192)).select("idx", "ids")
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = v_words(spark, sf_dir).select(
         (F.col("conv_id") * 10 + F.col("turn")).alias("pair_id"),
         F.when(F.col("turn") % 2 == 0, "even").otherwise("odd").alias("data_source"),
-        F.slice("w", 1, 40).alias("r"),
+        F.col("w").alias("r"),
     )
     ref = (
         F.when(F.col("pair_id") % 70 == 0, F.lit(""))
@@ -122,21 +146,26 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "v_turns": """SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_text FROM conversations""",
     "v_sources": """SELECT doc_id, CAST(substr(source, 4) AS INT) AS source_id,
  row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k
-FROM documents WHERE source IN ('src0','src1','src2','src3','src4','src5','src6','src7')""",
-    "v_words": """SELECT conv_id, turn, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM conversations""",
-    "v_vocab": """SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 9 AS INT) AS id
-FROM (SELECT token, count(*) AS n FROM (SELECT unnest(w) AS token FROM v_words) t GROUP BY token) q ORDER BY n DESC, token LIMIT 2000""",
-    "v_labels": """SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx,
- CAST(list_concat(list_concat(CASE WHEN turn > 0 THEN list_concat([4], list_transform(w[1:5], lambda x: length(x)+10)) ELSE [] END,
-  list_concat([2,5,6,7], list_transform(w[1:20], lambda x: length(x)+10))),
-  CASE WHEN (conv_id*10+turn) % 17 = 0 THEN [] ELSE [3] END) AS INTEGER[]) AS ids FROM v_words""",
+FROM documents WHERE source IN (""" + ", ".join(f"'{n}'" for n in SOURCE_NAMES) + """)""",
+    "v_words": f"SELECT conv_id, turn, {tx.sql_words('lower(text)')} AS w FROM conversations",
+    "v_vocab": f"""SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + {tk.FIRST_WORD_ID - 1} AS INT) AS id
+FROM (SELECT token, count(*) AS n FROM (SELECT unnest(w) AS token FROM v_words) t GROUP BY token) q
+WHERE CAST(concat('0x', substr(md5(token), 1, 2)) AS INT) < {KNOWN_WORDS}""",
+    "v_encoded": f"""WITH tt AS (SELECT conv_id, turn, text, {tx.sql_rename_marker("coalesce(previous_text, '')")} AS previous_text FROM v_turns),
+{tk.sql_encode("tt", TURN_KEYS, "text", "ids", "e1")},
+{tk.sql_encode("tt", TURN_KEYS, "previous_text", "prev_ids", "e2")}
+SELECT conv_id, turn, ids, prev_ids FROM e1 JOIN e2 USING (conv_id, turn)""",
+    "v_labels": f"""SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx,
+ CAST(list_concat(CASE WHEN turn > 0 THEN list_concat([{tk.SOP}], prev_ids[greatest(len(prev_ids) - {tk.MAX_PROMPT_LENGTH - 2}, 1):]) ELSE [] END,
+  CASE WHEN (conv_id*10+turn) % 17 = 0 THEN b[1:len(b) - 1] ELSE b END) AS INTEGER[]) AS ids
+FROM (SELECT *, {tk.sql_with_specials('ids')} AS b FROM v_encoded) x""",
     "v_pairs": """SELECT pair_id, data_source, CASE WHEN pair_id % 70 = 0 THEN '' WHEN pair_id % 30 = 1 THEN concat(array_to_string(r,' '), ' <|nospeech|>') ELSE array_to_string(r,' ') END AS ref,
  CASE WHEN pair_id % 50 = 0 THEN '' ELSE array_to_string(list_transform(list_filter(list_transform(r, lambda x, i: {'x': x, 'i': i-1}), lambda s: s.i % 7 <> 3),
    lambda s: CASE WHEN s.i % 5 = 2 THEN reverse(s.x) ELSE s.x END), ' ') END AS hyp
-FROM (SELECT conv_id*10+turn AS pair_id, CASE WHEN turn % 2 = 0 THEN 'even' ELSE 'odd' END AS data_source, w[1:40] AS r FROM v_words) t""",
+FROM (SELECT conv_id*10+turn AS pair_id, CASE WHEN turn % 2 = 0 THEN 'even' ELSE 'odd' END AS data_source, w AS r FROM v_words) t""",
 }
 
-DEPENDS = {"v_vocab": ["v_words"], "v_labels": ["v_words"], "v_pairs": ["v_words"]}
+DEPENDS = {"v_vocab": ["v_words"], "v_encoded": ["v_turns", "v_vocab"], "v_labels": ["v_encoded"], "v_pairs": ["v_words"]}
 
 
 def with_views(body: str, *views: str) -> str:
@@ -155,6 +184,7 @@ def with_views(body: str, *views: str) -> str:
         return body
     ctes = ",\n".join(f"{v} AS ({SQL[v]})" for v in order)
     body = body.strip()
-    if body[:4].upper() == "WITH" and body[4:5].isspace():
-        return f"WITH {ctes},\n{body[5:]}"
+    for lead in ("WITH RECURSIVE", "WITH"):
+        if body.upper().startswith(lead) and body[len(lead) : len(lead) + 1].isspace():
+            return f"{lead} {ctes},\n{body[len(lead) + 1:]}"
     return f"WITH {ctes}\n{body}"

@@ -6,20 +6,14 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from corpusprep.functions.draws import draw_hash
 from corpusprep.operators import mix as mx
-from corpusprep.operators.index import dense_index, hash_block, key_block
+from corpusprep.operators.index import dense_index, hash_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
 from corpusprep.session import checkpoint_dir
-from corpusprep.sources.sinks import layout_for_write, with_shards, write_sharded
-
-# Distinct payload up to this many bytes (summed row sizes) is broadcast to
-# the slot side; above it the salted shuffle join is used.
-PAYLOAD_BROADCAST_BYTES = 64 * 1024 * 1024
-
+from corpusprep.sources.sinks import with_shards, write_sharded
 
 def interleave_job(
     rows: DataFrame,
@@ -41,12 +35,11 @@ def interleave_job(
     order), a unique ``origin`` key and any payload.  ``order`` fixes each
     source's row order (default: ``origin``).
 
-    Everything up to the write runs on narrow keys: (source, origin, k) for
-    the rows, (slot, source, occurrence) for the mixture, and one byte count
-    per row for the shard sizes.  The payload is joined once, at the write, on
-    (source, k): broadcast when the distinct rows used are provably small
-    (summed byte sizes), otherwise with the salting of :func:`mix.join_rows`,
-    so repeated rows of a small source never form a hot key.  Output layout:
+    Everything up to the write runs on narrow keys: (source, origin, k, bytes)
+    for the rows and (slot, source, occurrence) for the mixture.  The payload is
+    joined once, at the write, on (source, k), with the salting of
+    :func:`mix.join_rows`, so repeated rows of a small source never form a hot
+    key.  A repeated ``origin`` is refused.  Output layout:
     ``out/split=<s>/shard=<i>/part-*.parquet``, rows in ``idx`` order.
 
     ``split_by="origin"`` (default) keeps all copies of a source row on one
@@ -59,35 +52,23 @@ def interleave_job(
     order = list(order or [origin])
     spark = rows.sparkSession
     cols = list(dict.fromkeys(["source_id", origin, *order]))
-    # a single integer order column is unique per source row: key div 65,536 bounds every block
-    integral = len(order) == 1 and isinstance(rows.schema[order[0]].dataType, IntegralType)
-    blk = key_block(order[0]) if integral else None
-    keys = dense_index(rows.select(*cols), order, "source_id", name="k", groups_bound=len(w), block=blk)
+    keys = rows.select(*cols, row_bytes(rows.drop("source_id")).alias("_bytes"))
+    keys = dense_index(keys, order, "source_id", name="k", groups_bound=len(w))
     # the narrow key frame feeds every later branch: write it once to the shared folder
     checkpoint_dir(spark)
     keys = keys.checkpoint(eager=True)
+    if not keys.groupBy(origin).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{origin!r} repeats; the job needs one row per origin")
     sizes = dict(keys.groupBy("source_id").count().collect())  # one row per source
     taken, _, counts = mx.mix_slots(spark, sizes, w, seed, stop)
     used = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(sizes[s], counts[s]))]), F.col("source_id"))
-    origins = keys.filter(F.col("k") < used).select("source_id", origin, "k")
-    nbytes = rows.select(origin, row_bytes(rows.drop("source_id")).alias("_bytes"))
+    origins = keys.filter(F.col("k") < used).select("source_id", origin, "k", "_bytes")
     if split_by == "origin":
-        labelled = three_way_split(origins, origin, test_ratio, valid_ratio, seed)
-        narrow = mx.join_rows(taken, labelled.join(nbytes, origin), sizes, counts)
+        narrow = mx.join_rows(taken, three_way_split(origins, origin, test_ratio, valid_ratio, seed), sizes, counts)
     else:
-        labelled = origins
-        narrow = three_way_split(mx.join_rows(taken, origins.join(nbytes, origin), sizes, counts), "slot", test_ratio, valid_ratio, seed)
+        narrow = three_way_split(mx.join_rows(taken, origins, sizes, counts), "slot", test_ratio, valid_ratio, seed)
     h = draw_hash(seed, "order", "slot")
     shards = with_shards(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
     shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard")
-    payload = origins.join(rows, ["source_id", origin])  # one row per used origin, with its k
-    distinct_bytes = labelled.join(nbytes, origin).agg(F.sum("_bytes")).first()[0] or 0  # narrow, one number
-    if distinct_bytes <= PAYLOAD_BROADCAST_BYTES:
-        # range-partition the narrow rows for the write first: the broadcast join
-        # keeps that partitioning, so the wide rows are produced once and never shuffled
-        n_col = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.col("source_id")).cast("bigint")
-        narrow_out = layout_for_write(shards.withColumn("k", F.col("occ") % n_col))
-        final = narrow_out.join(F.broadcast(payload), ["source_id", "k"])
-        write_sharded(final, out, mode=mode, laid_out=True)
-    else:
-        write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode)
+    payload = origins.drop("_bytes").join(rows, ["source_id", origin])  # one row per used origin, with its k
+    write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode)

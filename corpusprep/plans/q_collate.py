@@ -27,12 +27,14 @@ def sql_pad(arr: str, fill: int) -> str:
 
 
 def sql_shift() -> str:
-    return f"""p AS (SELECT idx, batch_id, {sql_pad('labels', PAD)} AS padded FROM m),
-s AS (SELECT idx, batch_id, padded[1:len(padded) - 1] AS decoder_input_ids, padded[2:] AS labels FROM p)"""
+    return f"""p AS (SELECT idx, batch_id, {sql_pad('labels', PAD)} AS padded, len(labels) AS n FROM m),
+s AS (SELECT idx, batch_id, padded[1:len(padded) - 1] AS decoder_input_ids, padded[2:] AS labels, n - 1 AS n FROM p)"""
 
 
 def sql_mask_after_end(a: str) -> str:
-    return f"list_transform({a}, lambda x, i: CASE WHEN coalesce(list_position({a}, {EOT}), 0) > 0 AND i > list_position({a}, {EOT}) THEN {IGNORE} ELSE x END)"
+    """Nothing past the row's own ``n`` labels is a target, nor what follows its first end marker."""
+    last = f"least(n, coalesce(nullif(list_position({a}[1:n], {EOT}), 0), n))"
+    return f"list_transform({a}, lambda x, i: CASE WHEN i > {last} THEN {IGNORE} ELSE x END)"
 
 
 def sql_mask_prompt(a: str) -> str:
@@ -85,8 +87,9 @@ def q_shift(spark, sf_dir):
     V,
 )
 def q_mask_after_end(spark, sf_dir):
-    b = co.shift_labels(co.pad_labels(co.assign_batches(labels(spark, sf_dir))))
-    return b.select("idx", co.mask_after_end("labels").alias("labels"))
+    b = co.assign_batches(labels(spark, sf_dir)).withColumn("real", F.size("labels") - 1)
+    b = co.shift_labels(co.pad_labels(b))
+    return b.select("idx", co.mask_after_end("labels", length="real").alias("labels"))
 
 
 @query(

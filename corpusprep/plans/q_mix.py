@@ -15,19 +15,21 @@ SEED = 42
 # Default split ratios of the mixing job.
 TEST_RATIO = "0.005"
 VALID_RATIO = "0.1"
-ORACLE_SLOTS = 2_000_000  # slot space of the SQL twin (covers sf0.1); the Spark side sizes its own
 
 
-def mixed(spark: SparkSession, sf_dir: str, stop: str) -> DataFrame:
+def mixed(spark: SparkSession, sf_dir: str, stop: str, first: int | None = None) -> DataFrame:
     keys = fx.v_sources(spark, sf_dir)
-    return mx.mix(keys, fx.SOURCE_WEIGHTS, SEED, stop).select("slot", "doc_id", "source_id", "occ", "k")
+    return mx.mix(keys, fx.WEIGHT_LIST, SEED, stop, first=first).select("slot", "doc_id", "source_id", "occ", "k")
 
 
 def _sql_mixed(agg: str) -> str:
-    thr = ladder(mx.parse_weights(fx.SOURCE_WEIGHTS))
+    weights = mx.parse_weights(fx.WEIGHT_LIST)
+    thr = ladder(weights)
+    rows = ", ".join(f"({i}, {float(w)!r}::DOUBLE)" for i, w in enumerate(weights))
     return f"""
 n AS (SELECT source_id, count(*) AS n FROM v_sources GROUP BY source_id),
-b AS (SELECT id AS slot, {sql_bucket(sql_draw(SEED, 'mix', 'id'), thr)} AS source_id FROM range({ORACLE_SLOTS}) t(id)),
+far AS (SELECT CAST({agg}(n / w + 10 * sqrt(n) / w) + 2000 AS BIGINT) AS slots FROM n JOIN (VALUES {rows}) w(source_id, w) USING (source_id)),
+b AS (SELECT id AS slot, {sql_bucket(sql_draw(SEED, 'mix', 'id'), thr)} AS source_id FROM (SELECT unnest(range(0, slots)) AS id FROM far) t),
 o AS (SELECT slot, source_id, row_number() OVER (PARTITION BY source_id ORDER BY slot) - 1 AS occ FROM b),
 stop AS (SELECT {agg}(slot) AS last FROM o JOIN n USING (source_id) WHERE occ = n - 1),
 m AS (SELECT o.slot, s.doc_id, o.source_id, o.occ, s.k FROM o JOIN n USING (source_id) CROSS JOIN stop
@@ -45,7 +47,7 @@ def q_mix_first(spark, sf_dir):
 
 
 def _sql_weights() -> str:
-    w = mx.parse_weights(fx.SOURCE_WEIGHTS)
+    w = mx.parse_weights(fx.SOURCE_WEIGHTS, names=fx.SOURCE_NAMES)
     thr = ladder(w)
     rows = ", ".join(
         f"({i}, '{fx.SOURCE_NAMES[i]}', {float(w[i])!r}, {thr[i - 1] if i else 0}, {thr[i]})" for i in range(len(w))
@@ -95,7 +97,7 @@ def flagship_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = tag_sources(fx.table(spark, sf_dir, "documents"), "source", fx.SOURCE_NAMES)
     out = scratch_path(spark, "interleaved")
-    interleave_job(docs, fx.SOURCE_WEIGHTS, out, SEED, mx.ALL_EXHAUSTED, TEST_RATIO, VALID_RATIO)
+    interleave_job(docs, fx.WEIGHT_LIST, out, SEED, mx.ALL_EXHAUSTED, TEST_RATIO, VALID_RATIO)
     m = spark.read.parquet(out)
     return m.groupBy("split", "source_id").agg(
         F.count(F.lit(1)).alias("n_rows"),

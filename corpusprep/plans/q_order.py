@@ -35,35 +35,47 @@ def _sql_buffered(epoch: int) -> str:
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents) d"""
 
 
-def _buffered(spark, sf_dir, epoch):
+def _indexed(spark, sf_dir):
     from corpusprep.operators.index import dense_index
 
-    d = dense_index(fx.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
+    return dense_index(fx.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
+
+
+def _buffered(d, epoch):
     return od.buffered_shuffle(d, "idx", BUFFER, SEED, epoch).select("doc_id", F.lit(epoch).alias("epoch"), "idx", "pos")
 
 
 @query("buffered_shuffle", _sql_buffered(0))
 def q_buffered(spark, sf_dir):
-    return _buffered(spark, sf_dir, 0)
+    return _buffered(_indexed(spark, sf_dir), 0)
 
 
 @query("epoch_reshuffle", "\nUNION ALL\n".join(_sql_buffered(e) for e in (0, 1, 2)))
 def q_epochs(spark, sf_dir):
-    out = None
+    out, d = None, _indexed(spark, sf_dir)  # one checkpointed index for every epoch
     for e in (0, 1, 2):
-        b = _buffered(spark, sf_dir, e)
+        b = _buffered(d, e)
         out = b if out is None else out.unionByName(b)
     return out
 
 
-@query("file_order_shuffle")
+FEED_FILES = 10
+
+
+@query(
+    "file_order_shuffle",
+    f"""WITH f AS (SELECT doc_id, doc_id % {FEED_FILES} AS part FROM documents),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY {sql_draw_hash(SEED, 'files', '0', "concat('part=', part)")}, part, doc_id) - 1 AS idx FROM f)
+SELECT doc_id, row_number() OVER (ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', '0', 'idx')}, idx) - 1 AS pos FROM o""",
+)
 def q_file_order(spark, sf_dir):
-    """Documents written as 10 files to the shared scratch folder, then shuffled by file and buffer."""
+    """Documents written as 10 files, one per folder, then shuffled by file and buffer."""
     from corpusprep.session import scratch_path
 
     path = scratch_path(spark, "file-order")
-    fx.table(spark, sf_dir, "documents").select("doc_id").repartition(10, "doc_id").write.parquet(path)
-    return od.file_order_shuffle(spark.read.parquet(path), BUFFER, SEED, 0)
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % FEED_FILES).alias("part"))
+    d.repartition(FEED_FILES, "part").sortWithinPartitions("part", "doc_id").write.partitionBy("part").parquet(path)
+    return od.file_order_shuffle(spark.read.parquet(path), path, BUFFER, SEED, 0).select("doc_id", "pos")
 
 
 @query(
@@ -72,7 +84,8 @@ def q_file_order(spark, sf_dir):
     ("v_sources",),
 )
 def q_take_first(spark, sf_dir):
-    return od.take_first(mixed(spark, sf_dir, "all_exhausted"), EVAL_ROWS, "slot").select("slot", "doc_id", "source_id")
+    few = mixed(spark, sf_dir, "all_exhausted", first=EVAL_ROWS)
+    return od.take_first(few, EVAL_ROWS, "slot").select("slot", "doc_id", "source_id")
 
 
 @query(

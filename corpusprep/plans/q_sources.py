@@ -13,12 +13,15 @@ from corpusprep.sources import files as fs
 from corpusprep.sources import sinks as sk
 
 
-@query("list_files")
+TABLES = (
+    "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier"
+).split()
+
+
+@query("list_files", "SELECT position, name FROM (VALUES " + ", ".join(f"({i}::BIGINT, '{t}.parquet')" for i, t in enumerate(TABLES)) + ") t(position, name)")
 def q_list_files(spark, sf_dir):
-    """Documents written as eight files, then the folder listed."""
-    path = scratch_path(spark, "listing")
-    fx.table(spark, sf_dir, "documents").repartition(8, "doc_id").write.parquet(path)
-    return fs.list_files(spark, path)
+    """The files of the table folder in path order."""
+    return fs.list_files(spark, sf_dir).select("position", F.regexp_extract("path", "[^/]*$", 0).alias("name"))
 
 
 def _named(spark, sf_dir):
@@ -38,9 +41,10 @@ def q_named_splits(spark, sf_dir):
 
 @query("scan_split_dir", "SELECT item_id, text, 'eval' AS split FROM benchmark")
 def q_split_dir(spark, sf_dir):
-    """Named splits written one folder per split; one split read back by partition pruning."""
+    """Named splits written one plain folder per split; one split read back alone."""
     path = scratch_path(spark, "split-dir")
-    _named(spark, sf_dir).write.partitionBy("split").parquet(path)
+    for split in ("train", "eval"):
+        _named(spark, sf_dir).filter(F.col("split") == split).drop("split").write.parquet(f"{path}/{split}")
     return fs.read_split(spark, path, "eval").select("item_id", "text", "split")
 
 
@@ -58,7 +62,7 @@ def q_split_layout(spark, sf_dir):
 @query(
     "source_registry",
     """SELECT doc_id, source, CAST(substr(source, 4) AS INT) AS source_id FROM documents
-WHERE source IN ('src0','src1','src2','src3','src4','src5','src6','src7')""",
+WHERE source IN (""" + ", ".join(f"'{n}'" for n in fx.SOURCE_NAMES) + ")",
 )
 def q_source_registry(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -68,15 +72,13 @@ def q_source_registry(spark, sf_dir):
 @query("overwrite_guard", "SELECT doc_id, true AS refused_second_write FROM documents")
 def q_overwrite_guard(spark, sf_dir):
     """First write succeeds; a second one into the same folder without overwrite is refused."""
-    from pyspark.errors import AnalysisException
-
     path = scratch_path(spark, "guard")
     d = fx.table(spark, sf_dir, "documents").select("doc_id")
     sk.guarded_write(d, path)
     try:
         sk.guarded_write(d, path)
         refused = False
-    except AnalysisException:
+    except FileExistsError:
         refused = True
     return spark.read.parquet(path).withColumn("refused_second_write", F.lit(refused))
 
@@ -86,7 +88,7 @@ WHERE duration * {SAMPLE_RATE} > {MIN_SECONDS * SAMPLE_RATE} AND duration * {SAM
 
 
 def _prepared(spark, sf_dir):
-    s = fx.v_samples(spark, sf_dir)
+    s = fx.v_samples(spark, sf_dir, previous=False, flags=False)
     return s.filter(length_ok(F.col("duration") * SAMPLE_RATE)).select("sample_id", tx.clean_target("text").alias("target"), "duration")
 
 

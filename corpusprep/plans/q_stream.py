@@ -1,4 +1,4 @@
-"""Streaming queries: driver tables laid out as a 10-file feed, one file per trigger."""
+"""Streaming queries over the given tables, and over feeds of several files laid out from them."""
 
 from __future__ import annotations
 
@@ -21,61 +21,70 @@ EVENT_COLS = ["event_id", "ts_us", "user_id", "event_type", "value", "props"]
 SQL_EVENTS = "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events"
 
 
-def _events_feed(spark, sf_dir, parts=range(FILES), path=None):
+def _events(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events")
     # microseconds since the epoch of a zone-less timestamp, whatever the session time zone
     ts_us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
-    e = e.select("event_id", ts_us.alias("ts_us"), "user_id", "event_type", "value", "props")
+    return e.select("event_id", ts_us.alias("ts_us"), "user_id", "event_type", "value", "props")
+
+
+def _feed(spark, sf_dir, parts=None, path=None):
+    """Event ids as a feed of ``FILES`` files, part by remainder; all parts or those given."""
+    e = _events(spark, sf_dir).select("event_id").withColumn("part", F.col("event_id") % FILES)
     path = path or scratch_path(spark, "events-feed")
-    st.cut_files(e.withColumn("_part", F.col("event_id") % FILES), path, "_part", parts, "event_id")
-    return path, e.schema
+    st.write_feed(e if parts is None else e.filter(F.col("part").isin(list(parts))), path, "part", FILES, "event_id")
+    return path, "event_id BIGINT, part BIGINT"
 
 
-def _run(spark, sf_dir, transform=None, project=None):
-    path, schema = _events_feed(spark, sf_dir)
-    s = st.read_stream(spark, path, schema)
-    if project:
-        s = project(s)
+def _run(spark, sf_dir, project):
+    """The events table itself as a stream."""
+    path = f"{sf_dir.rstrip('/')}/events.parque[t]"  # a pattern: the table may be one file or a folder
+    schema = fx.table(spark, sf_dir, "events").schema
+    s = project(st.read_stream(spark, path, schema, with_position=False))
     sink, ck = scratch_path(spark, "events-sink"), scratch_path(spark, "events-ckpt")
-    st.run_available(s, sink, ck, transform)
+    st.run_available(s, sink, ck)
     return st.read_sink(spark, sink)
 
 
+TS_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ)) AS ts_us"
+
+
 @query("stream_scan", SQL_EVENTS)
 def q_stream_scan(spark, sf_dir):
-    return _run(spark, sf_dir).select(*EVENT_COLS)
+    return _run(spark, sf_dir, lambda s: s.selectExpr("event_id", TS_US, "user_id", "event_type", "value", "props")).select(*EVENT_COLS)
 
 
 @query("stream_project", "SELECT event_id, ts_us, user_id, event_type FROM (" + SQL_EVENTS + ") e")
 def q_stream_project(spark, sf_dir):
     """Columns dropped on the stream itself (pruned before the sink)."""
-    return _run(spark, sf_dir, project=lambda s: s.drop("value", "props")).select("event_id", "ts_us", "user_id", "event_type")
+    return _run(spark, sf_dir, lambda s: s.drop("value", "props").selectExpr("event_id", TS_US, "user_id", "event_type")).select("event_id", "ts_us", "user_id", "event_type")
 
 
 def _shuffle_batch(batch, batch_id):
-    # one file per trigger: the file row index already is the dense position in the batch
-    # (with several files per trigger, number (file, row) with dense_index first)
-    indexed = batch.select("event_id", F.col("row_in_file").alias("idx"))
+    indexed = st.in_arrival_order(batch).select("event_id", "idx")
     # draws keyed by (micro-batch, position): each batch gets its own order, a replay the same one
     return buffered_shuffle(indexed, "idx", BUFFER, SEED, batch_id).select("event_id", "idx", "pos")
 
 
-_SQL_SHUFFLE = f"""WITH f AS (SELECT event_id, event_id % {FILES} AS part, row_number() OVER (PARTITION BY event_id % {FILES} ORDER BY event_id) - 1 AS idx FROM events)
-SELECT event_id, idx, row_number() OVER (PARTITION BY part ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', 'part', 'idx')}, idx) - 1 AS pos FROM f"""
+_SQL_SHUFFLE = f"""WITH f AS (SELECT event_id, row_number() OVER (ORDER BY event_id % {FILES}, event_id) - 1 AS idx FROM events)
+SELECT event_id, idx, row_number() OVER (ORDER BY CAST(idx AS HUGEINT) * 4294967296 + {BUFFER} * {sql_draw(SEED, 'buffer', '0', 'idx')}, idx) - 1 AS pos FROM f"""
 
 
 @query("stream_shuffle", _SQL_SHUFFLE)
 def q_stream_shuffle(spark, sf_dir):
-    """Buffered shuffle inside every micro-batch: no row moves by ``BUFFER`` or more."""
-    return _run(spark, sf_dir, _shuffle_batch).select("event_id", "idx", "pos")
+    """Buffered shuffle inside a micro-batch of ten files: no row moves by ``BUFFER`` or more."""
+    path, schema = _feed(spark, sf_dir)
+    sink, ck = scratch_path(spark, "shuffle-sink"), scratch_path(spark, "shuffle-ckpt")
+    st.run_available(st.read_stream(spark, path, schema), sink, ck, _shuffle_batch)
+    return st.read_sink(spark, sink).select("event_id", "idx", "pos")
 
 
 @query("stream_take", f"SELECT event_id FROM events ORDER BY event_id % {FILES}, event_id LIMIT {TAKE}")
 def q_stream_take(spark, sf_dir):
-    """First rows of the stream in arrival order; batches after the n-th row write nothing."""
-    path, schema = _events_feed(spark, sf_dir)
+    """First rows of the stream in arrival order; the stream stops once it has them."""
+    path, schema = _feed(spark, sf_dir)
     sink, ck = scratch_path(spark, "take-sink"), scratch_path(spark, "take-ckpt")
-    st.run_take(st.read_stream(spark, path, schema).select("event_id", "row_in_file"), sink, ck, TAKE, "row_in_file")
+    st.run_take(st.read_stream(spark, path, schema), sink, ck, TAKE, ["file", "row_in_file"])
     return st.read_sink(spark, sink).select("event_id")
 
 
@@ -83,24 +92,23 @@ def q_stream_take(spark, sf_dir):
 def q_stream_resume(spark, sf_dir):
     """Stop after four files, add the other six, restart on the same checkpoint: no loss, no repeat."""
     path = scratch_path(spark, "resume-feed")
-    _, schema = _events_feed(spark, sf_dir, range(4), path)
+    _, schema = _feed(spark, sf_dir, range(4), path)
     sink, ck = scratch_path(spark, "resume-sink"), scratch_path(spark, "resume-ckpt")
     keep = lambda b, i: b.select("event_id")
-    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
-    _events_feed(spark, sf_dir, range(4, FILES), path)
-    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
+    st.run_available(st.read_stream(spark, path, schema, 3), sink, ck, keep)
+    _feed(spark, sf_dir, range(4, FILES), path)
+    st.run_available(st.read_stream(spark, path, schema, 3), sink, ck, keep)
     return st.read_sink(spark, sink).groupBy("event_id").agg(F.count(F.lit(1)).alias("n_seen"))
 
 
 @query("stream_collate", SQL_COLLATE, ("v_labels",))
 def q_stream_collate(spark, sf_dir):
-    """Labels fed as 10 files of whole batches; each micro-batch collated as it arrives."""
+    """Labels fed as ten files whose ends fall inside batches, three files per micro-batch; open batches wait."""
     lab = fx.v_labels(spark, sf_dir).withColumnRenamed("ids", "labels")
-    lab = lab.withColumn("_part", F.floor(F.col("idx") / 16) % FILES)
     path = scratch_path(spark, "labels-feed")
-    lab.repartition(FILES, "_part").drop("_part").write.parquet(path)  # at most 10 files, whole batches each
-    schema = spark.read.parquet(path).schema
-    sink, ck = scratch_path(spark, "labels-sink"), scratch_path(spark, "labels-ckpt")
-    transform = lambda b, i: co.collate(b.drop("row_in_file"), batch_size=16).select("idx", "batch_id", "decoder_input_ids", "labels")
-    st.run_available(st.read_stream(spark, path, schema), sink, ck, transform)
+    st.write_feed(lab.withColumn("part", F.floor(F.col("idx") / 37) % FILES), path, "part", FILES, "idx")
+    s = st.read_stream(spark, path, "idx BIGINT, labels ARRAY<INT>", 3, with_position=False)
+    sink, state, ck = (scratch_path(spark, f"labels-{x}") for x in ("sink", "state", "ckpt"))
+    transform = lambda b: co.collate(b, batch_size=16).select("idx", "batch_id", "decoder_input_ids", "labels")
+    st.run_carried(s, sink, state, ck, 16, transform)
     return st.read_sink(spark, sink).select("idx", "batch_id", "decoder_input_ids", "labels")

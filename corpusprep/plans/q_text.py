@@ -96,7 +96,7 @@ def q_flatten(spark, sf_dir):
 
 @query("require_columns", "SELECT sample_id, text, duration FROM v_samples", ("v_samples",))
 def q_require(spark, sf_dir):
-    s = sc.require_columns(fx.v_samples(spark, sf_dir), ["text", "duration"])
+    s = sc.require_columns(fx.v_samples(spark, sf_dir, previous=False, flags=False), ["text", "duration"])
     return s.select("sample_id", "text", "duration")
 
 
@@ -106,7 +106,7 @@ def q_require(spark, sf_dir):
     ("v_samples",),
 )
 def q_clean_target(spark, sf_dir):
-    return fx.v_samples(spark, sf_dir).select("sample_id", tx.clean_target("text").alias("target"))
+    return fx.v_samples(spark, sf_dir, previous=False, flags=False).select("sample_id", tx.clean_target("text").alias("target"))
 
 
 @query(
@@ -116,18 +116,18 @@ def q_clean_target(spark, sf_dir):
     ("v_samples",),
 )
 def q_rename_marker(spark, sf_dir):
-    s = fx.v_samples(spark, sf_dir)
+    s = fx.v_samples(spark, sf_dir, flags=False)
     return s.select("sample_id", *[tx.rename_marker(c).alias(c) for c in ("text", "text_timestamps", "previous_text")])
 
 
 @query("strip_text", f"SELECT sample_id, {tx.sql_strip('text')} AS text FROM v_samples", ("v_samples",))
 def q_strip(spark, sf_dir):
-    return fx.v_samples(spark, sf_dir).select("sample_id", tx.strip("text").alias("text"))
+    return fx.v_samples(spark, sf_dir, previous=False, flags=False).select("sample_id", tx.strip("text").alias("text"))
 
 
 @query("null_text_to_empty", "SELECT sample_id, coalesce(previous_text, '') AS previous_text FROM v_samples", ("v_samples",))
 def q_null_to_empty(spark, sf_dir):
-    return fx.v_samples(spark, sf_dir).select("sample_id", tx.null_to_empty("previous_text").alias("previous_text"))
+    return fx.v_samples(spark, sf_dir, flags=False).select("sample_id", tx.null_to_empty("previous_text").alias("previous_text"))
 
 
 @query(
@@ -138,7 +138,7 @@ def q_null_to_empty(spark, sf_dir):
 )
 def q_row_map(spark, sf_dir):
     """The prepare step as one projection: target text, sample count, word count."""
-    s = fx.v_samples(spark, sf_dir)
+    s = fx.v_samples(spark, sf_dir, previous=False, flags=False)
     target = tx.clean_target("text")
     return s.select(
         "sample_id",
@@ -159,7 +159,7 @@ def length_ok(length, rate: int = SAMPLE_RATE, lo: float = MIN_SECONDS, hi: floa
     ("v_samples",),
 )
 def q_length_filter(spark, sf_dir):
-    s = fx.v_samples(spark, sf_dir)
+    s = fx.v_samples(spark, sf_dir, previous=False, flags=False)
     return s.filter(length_ok(F.col("duration") * SAMPLE_RATE)).select("sample_id", "duration")
 
 
@@ -174,7 +174,7 @@ def q_input_length(spark, sf_dir):
     ("v_samples",),
 )
 def q_eligible(spark, sf_dir):
-    s = fx.v_samples(spark, sf_dir)
+    s = fx.v_samples(spark, sf_dir, previous=False)
     flag = F.col("stage2_whisper_timestamps")
     return s.select("sample_id", flag.alias("eligible"), F.when(flag, F.col("text_timestamps")).otherwise(F.col("text")).alias("target"))
 

@@ -23,10 +23,19 @@ def turns(spark, sf_dir):
     return t.withColumn("previous_text", tx.rename_marker(tx.null_to_empty("previous_text")))
 
 
-def encoded(spark, sf_dir):
-    vocab = fx.v_vocab(spark, sf_dir)
-    t = tk.encode(turns(spark, sf_dir), KEYS, "text", vocab, "ids", vocab_bound=fx.VOCAB_SIZE)
-    return tk.encode(t, KEYS, "previous_text", vocab, "prev_ids", vocab_bound=fx.VOCAB_SIZE)
+def encoded(spark, sf_dir, vocab=None, text=True, previous=False):
+    """Turns with the ids asked for: of the text, of the text before."""
+    vocab = fx.v_vocab(spark, sf_dir) if vocab is None else vocab
+    bound = vocab.count()
+    t = turns(spark, sf_dir) if previous else fx.table(spark, sf_dir, "conversations").select(*KEYS, "role", "text")
+    if text:
+        t = tk.encode(t, KEYS, "text", vocab, "ids", vocab_bound=bound)
+    return tk.encode(t, KEYS, "previous_text", vocab, "prev_ids", vocab_bound=bound) if previous else t
+
+
+def stamped(text):
+    """The time-stamped transcript of a turn: the text between a first and a last stamp."""
+    return F.concat(F.lit("<|0.00|> "), F.col(text), F.lit(" <|30.00|>"))
 
 
 SQL_TURNS = f"""tt AS (SELECT v.conv_id, v.turn, v.text, {tx.sql_rename_marker("coalesce(v.previous_text, '')")} AS previous_text, c.role
@@ -39,6 +48,13 @@ SQL_ENC = (
     + tk.sql_encode("tt", KEYS, "previous_text", "prev_ids", "e2")
     + ",\nee AS (SELECT tt.*, e1.ids, e2.prev_ids FROM tt JOIN e1 USING (conv_id, turn) JOIN e2 USING (conv_id, turn))"
 )
+# with the ids of the time-stamped text
+SQL_ENC_STAMPED = (
+    SQL_ENC
+    + ",\nts AS (SELECT conv_id, turn, concat('<|0.00|> ', text, ' <|30.00|>') AS stamped_text FROM tt),\n"
+    + tk.sql_encode("ts", KEYS, "stamped_text", "stamped_ids", "e3")
+    + ",\nes AS (SELECT ee.*, e3.stamped_ids FROM ee JOIN e3 USING (conv_id, turn))"
+)
 
 
 @query("encode_text", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {tk.sql_with_specials('ids')} AS labels FROM ee", ("v_turns", "v_vocab"))
@@ -63,30 +79,32 @@ def _sql_prompt(ids: str) -> str:
 
 @query("prompt_ids", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {_sql_prompt('prev_ids')} AS prompt FROM ee", ("v_turns", "v_vocab"))
 def q_prompt(spark, sf_dir):
-    return encoded(spark, sf_dir).select(*KEYS, lb.prompt_ids("prev_ids").alias("prompt"))
+    return encoded(spark, sf_dir, text=False, previous=True).select(*KEYS, lb.prompt_ids("prev_ids").alias("prompt"))
 
 
 def _sql_target() -> str:
     u = sql_draw(SEED, "timestamp", str(EPOCH), "conv_id", "turn")
-    return f"CASE WHEN {u} < {threshold(lb.TIMESTAMP_PROBABILITY)} AND {ELIGIBLE} THEN {tk.sql_with_specials('ids', True)} ELSE {tk.sql_with_specials('ids')} END"
+    return f"CASE WHEN {u} < {threshold(lb.TIMESTAMP_PROBABILITY)} AND {ELIGIBLE} THEN {tk.sql_with_specials('stamped_ids', True)} ELSE {tk.sql_with_specials('ids')} END"
 
 
-def chosen(spark, sf_dir):
-    e = encoded(spark, sf_dir)
+def chosen(spark, sf_dir, previous=False):
+    vocab = fx.v_vocab(spark, sf_dir)
+    e = encoded(spark, sf_dir, vocab, previous=previous).withColumn("stamped_text", stamped("text"))
+    e = tk.encode(e, KEYS, "stamped_text", vocab, "stamped_ids", vocab_bound=vocab.count())
     u = lb.row_draw(SEED, "timestamp", EPOCH, "conv_id", "turn")
-    target = lb.choose_target(tk.with_specials("ids"), tk.with_specials("ids", True), F.expr(ELIGIBLE), u)
+    target = lb.choose_target(tk.with_specials("ids"), tk.with_specials("stamped_ids", True), F.expr(ELIGIBLE), u)
     return e.withColumn("target", target)
 
 
-@query("choose_target", "WITH " + SQL_ENC + f"\nSELECT conv_id, turn, {_sql_target()} AS target FROM ee", ("v_turns", "v_vocab"))
+@query("choose_target", "WITH " + SQL_ENC_STAMPED + f"\nSELECT conv_id, turn, {_sql_target()} AS target FROM es", ("v_turns", "v_vocab"))
 def q_choose(spark, sf_dir):
     return chosen(spark, sf_dir).select(*KEYS, "target")
 
 
 def _sql_attach() -> str:
     u = sql_draw(SEED, "prompt", str(EPOCH), "conv_id", "turn")
-    return f"""WITH {SQL_ENC},
-pt AS (SELECT conv_id, turn, {_sql_target()} AS target, {_sql_prompt('prev_ids')} AS prompt, {u} AS u FROM ee)
+    return f"""WITH {SQL_ENC_STAMPED},
+pt AS (SELECT conv_id, turn, {_sql_target()} AS target, {_sql_prompt('prev_ids')} AS prompt, {u} AS u FROM es)
 SELECT conv_id, turn, CAST(CASE WHEN len(prompt) + len(target) <= {tk.MAX_LENGTH} AND u < {threshold(lb.PROMPT_PROBABILITY)}
   AND len(prompt) > 1 AND NOT coalesce(prompt[2] = {tk.NOSPEECH}, false) THEN list_concat(prompt, target) ELSE target END AS INTEGER[]) AS labels
 FROM pt"""
@@ -94,7 +112,7 @@ FROM pt"""
 
 @query("attach_prompt", _sql_attach(), ("v_turns", "v_vocab"))
 def q_attach(spark, sf_dir):
-    c = chosen(spark, sf_dir)
+    c = chosen(spark, sf_dir, previous=True)
     u = lb.row_draw(SEED, "prompt", EPOCH, "conv_id", "turn")
     return c.select(*KEYS, lb.attach_prompt(lb.prompt_ids("prev_ids"), "target", u).alias("labels"))
 
@@ -112,8 +130,9 @@ SELECT conv_id, turn, coalesce(dg.decoded, '') AS decoded FROM ee LEFT JOIN dg U
 )
 def q_decode(spark, sf_dir):
     """Label ids (with specials and -100 padding) back to text."""
-    e = encoded(spark, sf_dir).select(*KEYS, F.concat(tk.with_specials("ids"), F.array(F.lit(-100), F.lit(-100))).alias("labels"))
-    return tk.decode(e, KEYS, "labels", fx.v_vocab(spark, sf_dir), vocab_bound=fx.VOCAB_SIZE).select(*KEYS, "decoded")
+    vocab = fx.v_vocab(spark, sf_dir)
+    e = encoded(spark, sf_dir, vocab).select(*KEYS, F.concat(tk.with_specials("ids"), F.array(F.lit(-100), F.lit(-100))).alias("labels"))
+    return tk.decode(e, KEYS, "labels", vocab, vocab_bound=vocab.count()).select(*KEYS, "decoded")
 
 
 DROPOUT_RATE = 0.2  # fixed value: merge dropout of the launchers

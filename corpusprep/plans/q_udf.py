@@ -22,7 +22,7 @@ def user_prepare(b: pd.DataFrame) -> pd.DataFrame:
 
 @query("udf_row", f"SELECT sample_id, {tx.sql_clean_target('text')} AS target FROM v_samples", ("v_samples",))
 def q_udf_row(spark, sf_dir):
-    s = fx.v_samples(spark, sf_dir).select("sample_id", "text")
+    s = fx.v_samples(spark, sf_dir, previous=False, flags=False).select("sample_id", "text")
     return ud.map_rows(s, user_prepare, "sample_id long, target string")
 
 
@@ -38,7 +38,7 @@ def user_in_range(duration: pd.Series) -> pd.Series:
 )
 def q_udf_predicate(spark, sf_dir):
     keep = ud.predicate(user_in_range)
-    return fx.v_samples(spark, sf_dir).filter(keep(F.col("duration"))).select("sample_id", "duration")
+    return fx.v_samples(spark, sf_dir, previous=False, flags=False).filter(keep(F.col("duration"))).select("sample_id", "duration")
 
 
 def user_collate(b: pd.DataFrame) -> pd.DataFrame:
@@ -47,10 +47,10 @@ def user_collate(b: pd.DataFrame) -> pd.DataFrame:
     longest = max(len(x) for x in rows)
     padded = [x + [PAD] * (longest - len(x)) for x in rows]
     decoder, targets = [x[:-1] for x in padded], []
-    for t in (x[1:] for x in padded):
-        if EOT in t:
-            e = t.index(EOT)
-            t = [v if i <= e else IGNORE for i, v in enumerate(t)]
+    for t, own in zip((x[1:] for x in padded), rows):
+        real = len(own) - 1
+        e = t.index(EOT) if EOT in t[:real] else real - 1
+        t = [v if i <= e else IGNORE for i, v in enumerate(t)]
         if SOT in t:
             s = t.index(SOT)
             t = [IGNORE if i < s else v for i, v in enumerate(t)]

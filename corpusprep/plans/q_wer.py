@@ -12,13 +12,23 @@ from corpusprep.plans.catalog import query
 MARKER = " " + tx.NOSPEECH
 
 
-def sql_edits(src: str, extra: str = "") -> str:
-    """CTEs e0..e2 adding ref_words, hyp_words, edits to ``src`` (columns ref, hyp)."""
-    enc = lambda w: f"array_to_string(list_transform({w}, lambda x: chr(32 + list_position(d, x))), '')"
+def sql_edits(src: str) -> str:
+    """CTEs e0, ed, e2 adding ref_words, hyp_words, edits to ``src`` (columns pair_id, ref, hyp).
+
+    The distance is the usual table, one row of it per step of the recursion: what the
+    row above allows, then the running minimum along the row.
+    """
     return f"""e0 AS (SELECT *, {tx.sql_words('ref')} AS rw, {tx.sql_words('hyp')} AS hw FROM {src}),
-e1 AS (SELECT *, list_distinct(list_concat(rw, hw)) AS d FROM e0),
-e2 AS (SELECT * EXCLUDE (rw, hw, d), CAST(len(rw) AS BIGINT) AS ref_words, CAST(len(hw) AS BIGINT) AS hyp_words,
-  CAST(levenshtein({enc('rw')}, {enc('hw')}) AS BIGINT) AS edits FROM e1)"""
+ed AS (
+  SELECT pair_id, 0 AS i, range(0, len(rw) + 1) AS d FROM e0
+  UNION ALL
+  SELECT pair_id, i + 1, list(m + j ORDER BY j) FROM (
+    SELECT pair_id, i, j, min(t - j) OVER (PARTITION BY pair_id ORDER BY j) AS m FROM (
+      SELECT pair_id, i, j, least(d[j + 1] + 1, CASE WHEN j = 0 THEN d[1] + 1 WHEN rw[j] = hw[i + 1] THEN d[j] ELSE d[j] + 1 END) AS t
+      FROM (SELECT pair_id, ed.i, ed.d, e0.rw, e0.hw, unnest(range(0, len(e0.rw) + 1)) AS j FROM ed JOIN e0 USING (pair_id) WHERE ed.i < len(e0.hw)) x) y) z
+  GROUP BY pair_id, i),
+e2 AS (SELECT e0.* EXCLUDE (rw, hw), CAST(len(rw) AS BIGINT) AS ref_words, CAST(len(hw) AS BIGINT) AS hyp_words,
+  CAST(ed.d[len(rw) + 1] AS BIGINT) AS edits FROM e0 JOIN ed USING (pair_id) WHERE ed.i = len(hw))"""
 
 
 SQL_STAGES = f"""p AS (SELECT pair_id, data_source, contains(ref, '{MARKER}') AS mk, {tx.sql_normalise('ref')} AS ref, {tx.sql_normalise('hyp')} AS hyp FROM v_pairs),
@@ -34,18 +44,18 @@ def sql_wer(src: str, by: str | None = None) -> str:
  100.0::DOUBLE * CAST(sum(edits) AS DOUBLE) / CAST(sum(ref_words) AS DOUBLE) AS wer FROM {src} WHERE ref_words > 0{grp}"""
 
 
-@query("edit_distance", "WITH " + sql_edits("v_pairs") + "\nSELECT pair_id, ref_words, hyp_words, edits FROM e2", ("v_pairs",))
+@query("edit_distance", "WITH RECURSIVE " + sql_edits("v_pairs") + "\nSELECT pair_id, ref_words, hyp_words, edits FROM e2", ("v_pairs",))
 def q_edit_distance(spark, sf_dir):
     return wr.pair_edits(fx.v_pairs(spark, sf_dir)).select("pair_id", "ref_words", "hyp_words", "edits")
 
 
-@query("wer", "WITH " + sql_edits("v_pairs") + "\n" + sql_wer("e2"), ("v_pairs",))
+@query("wer", "WITH RECURSIVE " + sql_edits("v_pairs") + "\n" + sql_wer("e2"), ("v_pairs",))
 def q_wer(spark, sf_dir):
     """Corpus rate on the raw strings (every pair with a non-empty reference)."""
     return wr.corpus_wer(wr.pair_edits(fx.v_pairs(spark, sf_dir)))
 
 
-@query("wer_filtered", "WITH " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2"), ("v_pairs",))
+@query("wer_filtered", "WITH RECURSIVE " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2"), ("v_pairs",))
 def q_wer_filtered(spark, sf_dir):
     return wr.wer_filtered(fx.v_pairs(spark, sf_dir))
 
@@ -85,7 +95,7 @@ def q_pair_counts(spark, sf_dir):
     )
 
 
-@query("udaf_metric", "WITH " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2", "data_source"), ("v_pairs",))
+@query("udaf_metric", "WITH RECURSIVE " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2", "data_source"), ("v_pairs",))
 def q_udaf_metric(spark, sf_dir):
     """The metric as a grouped aggregate: one rate per data source."""
     return wr.wer_filtered(fx.v_pairs(spark, sf_dir), by="data_source")

@@ -31,16 +31,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is always read, never
-    replaced.  Only when it is unset (local tests) is a scratch folder made.
+    replaced; without it a job is refused.  Only a local session, whose tasks
+    share the driver's disk, gets a scratch folder when it is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - remote sessions take the setting from the conf
-        pass
+    spark.sparkContext.setCheckpointDir(path)
     return path
 
 

@@ -8,20 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusprep.operators.index import dense_index
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as the file system names it."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds anything, in whatever store Spark reads it from."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """One-level listing of the regular files of ``directory``, ordered by path.
+    """One-level listing of the regular files of ``directory``: (position, path, bytes), by path.
 
     Runs as a distributed listing (``binaryFile`` with its content pruned
     away), so a folder of a million shards is not listed by one thread.
     Spark skips names beginning with ``_`` or ``.``; those are not data.
     """
-    base = directory.rstrip("/")
+    base = qualified(spark, directory)
     # recursive lookup so plain files beside partition-style folders are seen
     # (partition discovery would hide them), then one level only is kept
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
     parent = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
-    return listed.filter(parent.endswith(base)).select(F.col("path"), F.col("length").alias("bytes"))
+    own = listed.filter(parent == base).select(F.col("path"), F.col("length").alias("bytes"))
+    return dense_index(own, ["path"], name="position").select("position", "path", "bytes")
 
 
 def read_declared(spark: SparkSession, paths, schema: StructType, columns: Sequence[str] | None = None) -> DataFrame:
@@ -51,10 +71,13 @@ def read_named_splits(spark: SparkSession, files: Mapping[str, str], name: str =
 
 
 def read_split(spark: SparkSession, root: str, split: str, name: str = "split") -> DataFrame:
-    """Rows of one split of a dataset written ``partitionBy(split)``.
+    """Rows of one split of a dataset: of the folder ``<root>/<split>``, else of one written ``partitionBy(split)``.
 
-    The filter on the partition column prunes whole directories.
+    A plain split folder is read alone; the filter on a partition column prunes whole directories.
     """
+    plain = f"{root.rstrip('/')}/{split}"
+    if has_files(spark, plain):
+        return spark.read.parquet(plain).withColumn(name, F.lit(split))
     return spark.read.option("basePath", root).parquet(root).filter(F.col(name) == split)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.index import dense_index
 from corpusprep.operators.shard import SHARD_LIMIT, contiguous_shard, estimate_bytes, shard_count
+from corpusprep.sources.files import has_files
 
 ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
 
@@ -52,7 +53,7 @@ def write_sharded(
     split: str = "split",
     mode: str = "errorifexists",
     rows_per_group: int = ROWS_PER_GROUP,
-    avg_row_bytes: int | None = None,
+    avg_row_bytes: int = 4096,
     laid_out: bool = False,
 ) -> None:
     """One folder per (split, shard), rows in index order, small row groups.
@@ -67,20 +68,23 @@ def write_sharded(
     """
     ordered = (df if laid_out else layout_for_write(df, split)).sortWithinPartitions(split, "shard", "idx")
     writer = ordered.write.mode(mode).partitionBy(split, "shard")
-    if avg_row_bytes:
-        writer = writer.option("parquet.block.size", max(1 << 20, rows_per_group * avg_row_bytes))
-    writer.parquet(path)
+    # Parquet writers close a row group by bytes: about rows_per_group rows of the average size, checked often enough
+    writer = writer.option("parquet.block.size", rows_per_group * avg_row_bytes)
+    writer = writer.option("parquet.page.size.row.check.min", rows_per_group).option("parquet.block.size.row.check.min", rows_per_group)
+    writer.option("parquet.block.size.row.check.max", rows_per_group).parquet(path)
 
 
 def guarded_write(df: DataFrame, path: str, overwrite: bool = False, **opts) -> None:
-    """Refuse a non-empty output folder unless ``overwrite`` is set."""
-    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
+    """Refuse a non-empty output folder unless ``overwrite`` is set; an empty one is written to."""
+    if not overwrite and has_files(df.sparkSession, path):
+        raise FileExistsError(f"{path} is not empty")
+    writer = df.write.mode("overwrite")
     for k, v in opts.items():
         writer = writer.option(k, v)
     writer.parquet(path)
 
 
-def materialise(df: DataFrame, path: str, overwrite: bool = True) -> DataFrame:
+def materialise(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     """Write prepared rows once and hand back a frame reading them (cuts lineage)."""
     guarded_write(df, path, overwrite=overwrite)
     spark: SparkSession = df.sparkSession

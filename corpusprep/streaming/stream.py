@@ -14,18 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusprep.operators.index import dense_index
+from corpusprep.sources.files import _hadoop_path, has_files
 
-def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1, with_position: bool = True) -> DataFrame:
-    """Lazy Parquet read of a split folder, a bounded number of files per micro-batch.
 
-    ``row_in_file`` (the file row index) gives the in-batch arrival order.
+def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, with_position: bool = True) -> DataFrame:
+    """Lazy Parquet read of a split folder or file, ``files_per_trigger`` files per micro-batch (default: all there are).
+
+    ``file`` (the file's folder and name) and ``row_in_file`` give the in-batch arrival order.
     """
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    s = reader.parquet(path)
     if with_position:
-        s = s.select("*", F.col("_metadata.row_index").alias("row_in_file"))
+        s = s.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_in_file"))
     return s
 
 
+def in_arrival_order(batch: DataFrame, name: str = "idx") -> DataFrame:
+    """Adds the dense position of each row of a micro-batch: by file, then row, however many files it has."""
+    return dense_index(batch, ["file", "row_in_file"], name=name)
+
+
 def batch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame] | None = None):
     """foreachBatch body: transform the micro-batch and overwrite its own batch folder."""
 
@@ -36,54 +47,97 @@ def batch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame] | N
     return write
 
 
-def run_available(stream: DataFrame, sink: str, checkpoint: str, transform=None, timeout_s: int = 600) -> None:
-    """Process everything available now, one bounded micro-batch at a time, then stop."""
-    q = (
-        stream.writeStream.foreachBatch(batch_writer(sink, transform))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+def wait(q, timeout_s: float | None = None) -> None:
+    """Wait for a query to end, without limit unless the caller sets one."""
+    ended = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+    if not ended:
         q.stop()
-        raise TimeoutError("stream did not finish in time")
+        raise TimeoutError(f"stream did not finish in {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()
 
 
-def take_writer(sink: str, n: int, order: str):
+def start_available(stream: DataFrame, checkpoint: str, write):
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_available(stream: DataFrame, sink: str, checkpoint: str, transform=None, timeout_s: float | None = None) -> None:
+    """Process everything available now, one bounded micro-batch at a time, then stop."""
+    wait(start_available(stream, checkpoint, batch_writer(sink, transform)), timeout_s)
+
+
+def written_rows(spark: SparkSession, sink: str, before: int) -> int:
+    """Rows in the batch folders of ``sink`` before batch ``before``; an unreadable folder is an error."""
+    if not has_files(spark, sink):
+        return 0
+    return spark.read.parquet(sink).filter(F.col("batch") < before).count()
+
+
+def take_writer(sink: str, n: int, order: list[str]):
     """foreachBatch body keeping only the first ``n`` rows of the stream.
 
-    The running count is read from the sink itself (rows of earlier batches
+    The running count is read from the sink itself (file footers of earlier batches
     only), so a replayed batch recomputes the same remainder and overwrites
     its own folder: idempotent, and nothing is kept in driver memory.
     """
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        left = n - written_rows(batch.sparkSession, sink, batch_id)
+        if left > 0:
+            batch.orderBy(*order).limit(left).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    return write
+
+
+def run_take(stream: DataFrame, sink: str, checkpoint: str, n: int, order, timeout_s: float | None = None) -> None:
+    """Stream into ``sink`` until ``n`` rows have been kept; the query is stopped once they are there."""
+    order = [order] if isinstance(order, str) else list(order)
+    q = start_available(stream, checkpoint, take_writer(sink, n, order))
+    while timeout_s is None and not q.awaitTermination(1):
+        done = q.lastProgress
+        if done is not None and written_rows(stream.sparkSession, sink, done["batchId"] + 1) >= n:
+            q.stop()
+    wait(q, timeout_s)
+
+
+def carry_writer(sink: str, state: str, batch_size: int, transform: Callable[[DataFrame], DataFrame]):
+    """foreachBatch body for rows that belong to batches of ``batch_size`` by their ``idx``, wherever files end.
+
+    Complete batches are transformed and written; rows of unfinished ones go to this
+    micro-batch's folder of ``state`` and join the next one's rows.  State is at most
+    ``batch_size`` rows for each batch still open, and a replayed micro-batch
+    overwrites its own two folders.
+    """
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = 0
-        try:
-            before = spark.read.parquet(sink).filter(F.col("batch") < batch_id).count()
-        except Exception:  # noqa: BLE001 - no batch written yet
-            before = 0
-        left = n - before
-        if left <= 0:
-            return
-        batch.orderBy(order).limit(left).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        before = f"{state}/batch={batch_id - 1}"
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(before)) if batch_id and has_files(spark, before) else batch
+        numbered = rows.withColumn("_b", F.floor(F.col("idx") / batch_size))
+        whole = numbered.groupBy("_b").count().filter(F.col("count") == batch_size).select("_b")
+        transform(numbered.join(whole, "_b", "left_semi").drop("_b")).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        numbered.join(whole, "_b", "left_anti").drop("_b").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
 
     return write
 
 
-def run_take(stream: DataFrame, sink: str, checkpoint: str, n: int, order: str, timeout_s: int = 600) -> None:
-    """Stream into ``sink`` until ``n`` rows have been kept."""
-    q = stream.writeStream.foreachBatch(take_writer(sink, n, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
-    if q.exception() is not None:
-        raise q.exception()
+def run_carried(stream: DataFrame, sink: str, state: str, checkpoint: str, batch_size: int, transform, timeout_s: float | None = None) -> None:
+    """Stream whole batches into ``sink``; what is still open when the input ends is written as the last folder."""
+    q = start_available(stream, checkpoint, carry_writer(sink, state, batch_size, transform))
+    wait(q, timeout_s)
+    spark = stream.sparkSession
+    if not has_files(spark, state):
+        return
+    last = max_batch(spark, state)
+    rest = spark.read.schema(stream.schema).parquet(f"{state}/batch={last}")
+    transform(rest).write.mode("overwrite").parquet(f"{sink}/batch={last + 1}")
+
+
+def max_batch(spark: SparkSession, folder: str) -> int:
+    """The greatest batch number among the folders of ``folder``."""
+    p, fs = _hadoop_path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return max(int(n.split("=")[1]) for n in names if n.startswith("batch="))
 
 
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
@@ -91,18 +145,7 @@ def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
-def take_first(sink_df: DataFrame, n: int, order=("batch",)) -> DataFrame:
-    """First ``n`` rows of the stream in arrival order (batch, then in-batch order)."""
-    return sink_df.orderBy(*order).limit(n)
-
-
-def cut_files(df: DataFrame, path: str, part_col: str, parts, sort_col: str | None = None) -> None:
-    """Append ``df`` to ``path`` as one file per part, in part order (arrival order = part order).
-
-    Every row lands in exactly one file; this only lays a table out as a feed.
-    """
-    for p in parts:
-        one = df.filter(F.col(part_col) == p).drop(part_col).coalesce(1)
-        if sort_col:
-            one = one.sortWithinPartitions(sort_col)
-        one.write.mode("append").parquet(path)
+def write_feed(df: DataFrame, path: str, part_col: str, parts: int, sort_col: str) -> None:
+    """Lay ``df`` out as a feed: one folder per part, each part's rows in order, all parts in one job."""
+    laid = df.repartition(parts, part_col).sortWithinPartitions(part_col, sort_col)
+    laid.write.mode("append").partitionBy(part_col).parquet(path)

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from corpusprep.operators import mix as mx
 from corpusprep.plans.jobs import interleave_job
 from corpusprep.session import scratch_path
 
@@ -26,12 +27,10 @@ def test_interleave_job_writes_whole_payload(spark):
 
 
 def test_interleave_job_same_with_salted_join(spark, monkeypatch):
-    from corpusprep.plans import jobs
-
     rows = spark.createDataFrame([(s * 100 + i, s, f"t{s}{i}") for s, n in enumerate([15, 2]) for i in range(n)], "doc_id long, source_id int, text string")
     a, b = scratch_path(spark, "t-job-a"), scratch_path(spark, "t-job-b")
     interleave_job(rows, ["0.7", "0.3"], a, seed=2, test_ratio="0.2")
-    monkeypatch.setattr(jobs, "PAYLOAD_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(mx, "SLOTS_PER_KEY", 2)
     interleave_job(rows, ["0.7", "0.3"], b, seed=2, test_ratio="0.2")
     cols = ["slot", "doc_id", "text", "split", "idx", "shard"]
     ra = sorted(tuple(r) for r in spark.read.parquet(a).select(*cols).collect())
@@ -72,14 +71,12 @@ def _files_in_order(path):
 
 
 def test_written_shards_are_in_position_order(spark, monkeypatch):
-    from corpusprep.plans import jobs
-
     spark.conf.set("spark.sql.shuffle.partitions", "5")
     try:
         rows = spark.createDataFrame([(s * 1000 + i, s, f"x{i}" * 20) for s, n in enumerate([300, 40]) for i in range(n)], "doc_id long, source_id int, text string")
         a, b = scratch_path(spark, "t-ord-a"), scratch_path(spark, "t-ord-b")
         interleave_job(rows, ["0.6", "0.4"], a, seed=1, test_ratio="0.1", shard_limit=20000)
-        monkeypatch.setattr(jobs, "PAYLOAD_BROADCAST_BYTES", -1)
+        monkeypatch.setattr(mx, "SLOTS_PER_KEY", 2)
         interleave_job(rows, ["0.6", "0.4"], b, seed=1, test_ratio="0.1", shard_limit=20000)
         assert _files_in_order(a) and _files_in_order(b)
     finally:
@@ -112,3 +109,11 @@ def test_interleave_job_string_origin(spark):
     assert back.select("audio_path").distinct().count() == 17
     assert back.groupBy("audio_path").agg(F.countDistinct("split").alias("c")).filter("c > 1").count() == 0
     assert _files_in_order(out)
+
+
+def test_repeated_origin_is_refused(spark):
+    import pytest
+
+    rows = spark.createDataFrame([(1, 0, "a"), (1, 0, "b"), (2, 1, "c")], "doc_id long, source_id int, text string")
+    with pytest.raises(ValueError, match="repeats"):
+        interleave_job(rows, ["0.5", "0.5"], scratch_path(spark, "t-rep"))

@@ -66,7 +66,7 @@ def test_collate_literal_cases(spark):
     assert out[0].labels == [IGNORE, IGNORE, SOT, 5, 6, 7, 50, EOT]
     assert out[1].decoder_input_ids == [SOT, 5, 6, 7, 51, 52, EOT, PAD]
     assert out[1].labels == [5, 6, 7, 51, 52, EOT, IGNORE, IGNORE]
-    assert out[2].labels == [5, 6, 7, 53, PAD, PAD, PAD, PAD]  # no end marker: nothing masked
+    assert out[2].labels == [5, 6, 7, 53] + [IGNORE] * 4  # no end marker: padding is still no target
     compat = co.collate(_batch(spark, rows), batch_size=4, compat=True).orderBy("idx").collect()
     assert compat[2].labels == [5] + [IGNORE] * 7
 
@@ -112,6 +112,15 @@ def test_encode_same_without_broadcast(spark, vocab, monkeypatch):
     assert a == b == [(1, (10, 12, 11, 13)), (2, (11,))]
 
 
+def test_another_vocabulary_layout(spark):
+    layout = tk.Reserved(pad=90, unk=91, sot=92, eot=93, sop=94, no_timestamps=95, no_speech=96, languages={"sv": 97, "nb": 98}, tasks={"transcribe": 99})
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "token string, id int")
+    df = spark.createDataFrame([(1, "a b c <|nospeech|>")], "k int, text string")
+    enc = tk.encode(df, "k", "text", vocab, reserved=layout).select("k", tk.with_specials("ids", language="nb", task="transcribe", reserved=layout).alias("l"))
+    assert enc.first().l == [92, 98, 99, 95, 0, 1, 91, 96, 93]
+    assert tk.decode(enc, "k", "l", vocab, reserved=layout).first().decoded == "a b"
+
+
 def test_decode_drops_unknown_ids(spark, vocab):
     df = spark.createDataFrame([(1, [SOT, 10, 999, 11, EOT, IGNORE])], "k int, l array<int>")
     assert tk.decode(df, "k", "l", vocab).first().decoded == "hello world"

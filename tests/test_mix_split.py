@@ -52,9 +52,22 @@ def test_mix_rejects_bad_inputs(spark):
 def test_salting_keeps_results(spark, monkeypatch):
     df = _sources(spark, [50, 1])
     base = sorted(mx.mix(df, ["0.5", "0.5"], 5).select("slot", "doc_id").collect())
-    monkeypatch.setattr(mx, "SALT_MAX", 1)
-    unsalted = sorted(mx.mix(df, ["0.5", "0.5"], 5).select("slot", "doc_id").collect())
-    assert base == unsalted
+    monkeypatch.setattr(mx, "SLOTS_PER_KEY", 4)
+    salted = sorted(mx.mix(df, ["0.5", "0.5"], 5).select("slot", "doc_id").collect())
+    assert base == salted
+
+
+def test_weights_by_name_follow_the_registry():
+    assert mx.parse_weights({"b": "0.7", "a": "0.3"}, names=["a", "b"]) == mx.parse_weights("0.3,0.7")
+    with pytest.raises(ValueError):
+        mx.parse_weights({"a": "1"}, names=["a", "b"])
+    with pytest.raises(ValueError):
+        mx.parse_weights({"a": "1"})
+
+
+def test_first_exhausted_draws_few_slots():
+    w = mx.parse_weights(["0.9", "0.1"])
+    assert mx._first_guess({0: 10_000, 1: 10_000}, w, mx.FIRST_EXHAUSTED) < 13_000 < mx._first_guess({0: 10_000, 1: 10_000}, w, mx.ALL_EXHAUSTED)
 
 
 def test_n_inside_is_decimal():
@@ -71,6 +84,17 @@ def test_exact_split_sizes(spark, ratio):
     assert out.count() == 1234
 
 
+def test_exact_split_divides_large_buckets(spark, monkeypatch):
+    from corpusprep.operators import split as sp
+
+    df = spark.range(500).withColumnRenamed("id", "key")
+    want = sorted(exact_split(df, "key", "0.31", 7).filter("split = 'test'").collect())
+    monkeypatch.setattr(sp, "CUT_ROWS", 0)
+    assert sorted(exact_split(df, "key", "0.31", 7).filter("split = 'test'").collect()) == want
+    plan = three_way_split(df, "key", "0.2", "0.25", 42)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Window" not in plan and "Exchange" not in plan
+
+
 def test_exact_split_partition_independent(spark):
     df = spark.range(999).withColumnRenamed("id", "key")
     a = exact_split(df.repartition(1), "key", "0.1", 3).filter("split='test'").select("key").collect()
@@ -86,7 +110,7 @@ def test_three_way_and_leakage(spark):
     n_test = n_inside("0.2", t)
     assert c["valid"] == n_inside("0.25", n_test) and c["test"] + c["valid"] == n_test
     # origin split never leaks; slot split of the mixed rows does
-    m = mx.mix(keys, fx.SOURCE_WEIGHTS, 42).select("slot", "doc_id")
+    m = mx.mix(keys, fx.WEIGHT_LIST, 42).select("slot", "doc_id")
     by_origin = three_way_split(m.select("doc_id").distinct(), "doc_id", "0.2", "0.25", 42)
     assert leakage(m.join(by_origin, "doc_id"), "doc_id").first()[0] == 0
     assert leakage(three_way_split(m, "slot", "0.2", "0.25", 42), "doc_id").first()[0] > 0

@@ -36,10 +36,24 @@ def test_epoch_changes_buffered_order(spark):
     assert e0 != e1 and sorted(e0) == sorted(e1)
 
 
+def test_hash_blocks_grow_with_the_rows():
+    assert od.hash_bits(10) == 16 and od.hash_bits(10**12) == 24
+
+
+def test_file_order_is_the_same_for_the_same_files(spark):
+    orders = []
+    for n in (1, 2):
+        path = scratch_path(spark, f"t-again{n}")
+        d = spark.range(100).withColumn("part", F.col("id") % 4)
+        d.repartition(4, "part").sortWithinPartitions("part", "id").write.partitionBy("part").parquet(path)
+        orders.append([r.id for r in od.file_order_shuffle(spark.read.parquet(path), path, 10, 1, 0).orderBy("pos").collect()])
+    assert orders[0] == orders[1]
+
+
 def test_file_order_shuffle_keeps_rows(spark):
     path = scratch_path(spark, "t-files")
     spark.range(300).repartition(5).write.parquet(path)
-    out = od.file_order_shuffle(spark.read.parquet(path), 10, 1, 0)
+    out = od.file_order_shuffle(spark.read.parquet(path), path, 10, 1, 0)
     assert sorted(r.id for r in out.collect()) == list(range(300))
     assert sorted(r.pos for r in out.collect()) == list(range(300))
 
@@ -66,6 +80,14 @@ def test_contiguous_shard_sizes(spark, n, s):
 def test_shard_count_and_bytes(spark):
     df = spark.createDataFrame([("ab", [1.0, 2.0], 3)], "t string, a array<float>, n bigint")
     assert estimate_bytes(df).first().nbytes == 2 + 8 + 8
+    nested = spark.range(1).selectExpr(
+        "array_repeat(array_repeat(float(1), 3000), 80) m", "array(repeat('x', 1000)) s", "binary('abc') b", "map('k', 1) p",
+        "named_struct('a', 1, 'c', 'zz') t", "decimal(1) d", "array(array('ab', 'c'), null) n", "cast(null as array<string>) z",
+    )
+    sizes = {c: estimate_bytes(nested.select(c)).first().nbytes for c in nested.columns}
+    assert sizes == {"m": 960_000, "s": 1000, "b": 3, "p": 5, "t": 6, "d": 8, "n": 3, "z": 0}
+    with pytest.raises(TypeError):
+        estimate_bytes(spark.range(1).selectExpr("parse_json('1') v"))
     r = spark.range(1).select(shard_count(F.lit(0), 10).alias("a"), shard_count(F.lit(10), 10).alias("b"), shard_count(F.lit(25), 10).alias("c")).first()
     assert (r.a, r.b, r.c) == (1, 2, 3)
 

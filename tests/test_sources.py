@@ -1,3 +1,4 @@
+import os
 import warnings
 
 import pytest
@@ -18,6 +19,11 @@ def test_list_files(spark):
     spark.range(10).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(nested)
     spark.range(5).coalesce(1).write.mode("append").parquet(nested)
     assert fs.list_files(spark, nested).count() == 1  # sub-folder files are not listed
+    same = scratch_path(spark, "t-same")
+    spark.range(4).coalesce(1).write.parquet(f"{same}{same}")  # a nested folder whose path ends like the listed one
+    spark.range(6).repartition(2).write.mode("append").parquet(same)
+    got = fs.list_files(spark, same).orderBy("position").collect()
+    assert [r.position for r in got] == [0, 1] and [r.path for r in got] == sorted(r.path for r in got)
 
 
 def test_declared_and_named_splits(spark):
@@ -35,6 +41,9 @@ def test_split_folder_and_saved(spark):
     root = scratch_path(spark, "t-splits")
     spark.range(10).withColumn("split", F.when(F.col("id") < 7, "train").otherwise("test")).write.partitionBy("split").parquet(root)
     assert fs.read_split(spark, root, "test").count() == 3
+    plain = scratch_path(spark, "t-plain")
+    spark.range(4).write.parquet(f"{plain}/valid")
+    assert [(r.id, r.split) for r in fs.read_split(spark, plain, "valid").orderBy("id").collect()] == [(i, "valid") for i in range(4)]
     with warnings.catch_warnings(record=True) as w:
         warnings.simplefilter("always")
         tr, ev = fs.read_saved(spark, root)
@@ -52,8 +61,14 @@ def test_registry_order_and_guard(spark):
     assert tagged == {"s2": 0, "s1": 1}
     out = scratch_path(spark, "t-guard")
     sk.guarded_write(spark.range(2), out)
-    with pytest.raises(Exception):
+    with pytest.raises(FileExistsError):
         sk.guarded_write(spark.range(2), out)
+    with pytest.raises(FileExistsError):
+        sk.materialise(spark.range(2), out)
+    empty = scratch_path(spark, "t-empty")
+    os.makedirs(empty)
+    sk.guarded_write(spark.range(2), empty)
+    assert spark.read.parquet(empty).count() == 2
     sk.guarded_write(spark.range(3), out, overwrite=True)
     assert spark.read.parquet(out).count() == 3
     m = sk.materialise(spark.range(4), scratch_path(spark, "t-mat"))

@@ -27,6 +27,7 @@ def test_small_text_functions(spark):
     assert _one(spark, tx.clean_target(F.lit("A\nB"))) == "a b"
     assert _one(spark, tx.clean_target(F.lit("A\nB"), lower=False)) == "A B"
     assert _one(spark, tx.strip(F.lit("\t x y \n"))) == "x y"
+    assert _one(spark, tx.strip(F.lit("\u00a0\u3000x\u2003"))) == "x" and _one(spark, tx.strip(F.lit("\u00a0\u3000"))) == ""
     assert _one(spark, tx.words(F.lit("  a  b\tc "))) == ["a", "b", "c"]
     assert _one(spark, tx.rename_marker(F.lit(tx.NOSPEECH))) == tx.NOCAPTIONS
     assert _one(spark, tx.rename_marker(F.lit("x " + tx.NOSPEECH))) == "x " + tx.NOSPEECH

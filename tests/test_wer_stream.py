@@ -29,10 +29,12 @@ def test_edit_distance_matches_python(spark):
     assert got == {i: lev(a.split(), b.split()) for i, a, b in rows}
 
 
-def test_fallback_dp_matches(spark):
-    df = spark.createDataFrame([(["a", "b", "c", "d"], ["b", "c", "x"]), ([], ["a"]), (["a"], [])], "r array<string>, h array<string>")
-    got = [r.d for r in df.select(wr._edit_distance_dp(F.col("r"), F.col("h")).alias("d")).collect()]
-    assert got == [2, 1, 1]
+def test_edit_distance_with_more_words_than_one_plane_of_han(spark):
+    ref = [f"r{i}" for i in range(11_000)]
+    hyp = ref[:5_000] + [f"h{i}" for i in range(11_000)]
+    df = spark.createDataFrame([(1, " ".join(ref), " ".join(hyp)), (2, "", ""), (3, "a\u00a0b", "a b")], "pair_id int, ref string, hyp string")
+    got = {r.pair_id: r.edits for r in wr.pair_edits(df).collect()}
+    assert got == {1: 11_000, 2: 0, 3: 0}
 
 
 def test_corpus_rate_is_ratio_of_sums(spark):
@@ -57,16 +59,16 @@ def test_filters_and_empty_result(spark):
 
 
 def test_stream_equals_batch_and_resumes(spark):
-    src = spark.range(600).select(F.col("id").alias("event_id"), (F.col("id") * 3).alias("v"), (F.col("id") % 6).alias("_p"))
+    src = spark.range(600).select(F.col("id").alias("event_id"), (F.col("id") * 3).alias("v"), (F.col("id") % 6).alias("part"))
     path = scratch_path(spark, "t-feed")
-    st.cut_files(src, path, "_p", range(3), "event_id")
+    st.write_feed(src.filter("part < 3"), path, "part", 6, "event_id")
     schema = spark.read.parquet(path).schema
     sink, ck = scratch_path(spark, "t-sink"), scratch_path(spark, "t-ckpt")
     keep = lambda b, i: b.select("event_id", "v")
-    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
+    st.run_available(st.read_stream(spark, path, schema, 1), sink, ck, keep)
     assert st.read_sink(spark, sink).select("batch").distinct().count() == 3  # one file per trigger
-    st.cut_files(src, path, "_p", range(3, 6), "event_id")
-    st.run_available(st.read_stream(spark, path, schema), sink, ck, keep)
+    st.write_feed(src.filter("part >= 3"), path, "part", 6, "event_id")
+    st.run_available(st.read_stream(spark, path, schema, 2), sink, ck, keep)
     got = st.read_sink(spark, sink)
     assert got.count() == 600 and got.select("event_id").distinct().count() == 600
     assert sorted(tuple(r) for r in got.select("event_id", "v").collect()) == sorted(tuple(r) for r in src.select("event_id", "v").collect())
@@ -74,7 +76,7 @@ def test_stream_equals_batch_and_resumes(spark):
 
 def test_take_writer_is_idempotent(spark):
     sink = scratch_path(spark, "t-take")
-    w = st.take_writer(sink, 5, "x")
+    w = st.take_writer(sink, 5, ["x"])
     a = spark.range(3).withColumnRenamed("id", "x")
     b = spark.range(10, 14).withColumnRenamed("id", "x")
     w(a, 0)
@@ -83,3 +85,45 @@ def test_take_writer_is_idempotent(spark):
     w(b, 2)  # after the limit: nothing written
     got = sorted(r.x for r in st.read_sink(spark, sink).collect())
     assert got == [0, 1, 2, 10, 11]
+
+
+def test_batches_crossing_files_are_carried(spark):
+    from corpusprep.operators import collate as co
+
+    rows = spark.range(75).select(F.col("id").alias("idx"), F.expr("transform(sequence(1, int(id % 7) + 1), x -> int(x) + 20)").alias("labels"))
+    path = scratch_path(spark, "t-carry")
+    st.write_feed(rows.withColumn("part", F.floor(F.col("idx") / 10) % 5), path, "part", 5, "idx")
+    collate = lambda b: co.collate(b, batch_size=16)
+    sink, state, ck = (scratch_path(spark, f"t-carry-{x}") for x in ("sink", "state", "ck"))
+    st.run_carried(st.read_stream(spark, path, "idx BIGINT, labels ARRAY<INT>", 2, with_position=False), sink, state, ck, 16, collate)
+    cols = ["idx", "batch_id", "decoder_input_ids", "labels"]
+    assert sorted(st.read_sink(spark, sink).select(*cols).collect()) == sorted(collate(rows).select(*cols).collect())
+
+
+def test_shuffle_of_several_files_is_bounded(spark):
+    from corpusprep.operators.order import buffered_shuffle
+
+    src = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("part"))
+    path = scratch_path(spark, "t-multi")
+    st.write_feed(src, path, "part", 5, "event_id")
+    sink, ck = scratch_path(spark, "t-multi-sink"), scratch_path(spark, "t-multi-ck")
+    shuffle = lambda b, i: buffered_shuffle(st.in_arrival_order(b), "idx", 20, 1, i).select("event_id", "idx", "pos")
+    st.run_available(st.read_stream(spark, path, "event_id BIGINT, part BIGINT", 3), sink, ck, shuffle)
+    by = {}
+    for r in st.read_sink(spark, sink).collect():
+        by.setdefault(r.batch, []).append(r)
+    assert sorted(len(x) for x in by.values()) == [160, 240]
+    for own in by.values():
+        assert sorted(r.pos for r in own) == sorted(r.idx for r in own) == list(range(len(own)))
+        assert max(abs(r.pos - r.idx) for r in own) < 20
+
+
+def test_take_stops_the_stream(spark):
+    src = spark.range(500).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("part"))
+    path = scratch_path(spark, "t-stop")
+    st.write_feed(src, path, "part", 5, "event_id")
+    sink, ck = scratch_path(spark, "t-stop-sink"), scratch_path(spark, "t-stop-ck")
+    st.run_take(st.read_stream(spark, path, "event_id BIGINT, part BIGINT"), sink, ck, 150, ["file", "row_in_file"])
+    got = sorted(r.event_id for r in st.read_sink(spark, sink).collect())
+    want = sorted([r for r in range(500) if r % 5 == 0] + [r for r in range(500) if r % 5 == 1][:50])
+    assert got == want
