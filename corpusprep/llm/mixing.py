@@ -60,8 +60,8 @@ def tempered_targets(cells: DataFrame, temper: dict[str, float] = TEMPER) -> dic
     out = {}
     for m in MARGINS:
         sums = cells.groupBy(m).agg(F.sum("tokens").alias("t")).select(m, F.pow("t", F.lit(temper[m])).alias("t"))
-        total = sums.agg(F.sum("t").alias("all"))
-        out[m] = sums.join(F.broadcast(total)).select(m, (F.col("t") / F.col("all")).alias("target"))
+        total = sums.agg(F.sum("t")).head()[0]
+        out[m] = sums.select(m, (F.col("t") / F.lit(total)).alias("target"))
     return out
 
 
@@ -107,9 +107,9 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cells = settled(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
     raked = rake(cells, tempered_targets(cells, temper))
     ratio = raked.select(*MARGINS, (F.col("share") / F.col("tokens")).alias("ratio"))
-    total = raked.agg(F.sum("tokens").alias("all"), F.max(F.col("share") / F.col("tokens")).alias("most"))
-    scale = total.select(F.least(F.col("all") * budget, 1 / F.col("most")).alias("scale"))
-    chance = ratio.join(F.broadcast(scale)).select(*MARGINS, (F.col("ratio") * F.col("scale")).alias("probability"))
+    total, most = raked.agg(F.sum("tokens"), F.max(F.col("share") / F.col("tokens"))).head()
+    scale = min(total * budget, 1 / most) if total else 0.0
+    chance = ratio.select(*MARGINS, (F.col("ratio") * F.lit(float(scale))).alias("probability"))
     p = F.coalesce(F.when(F.col("n_tokens") > 0, F.col("probability")), F.lit(0.0))
     return rows.join(chance, list(MARGINS), "left").select(
         F.col("id").alias(id_col), *MARGINS, "n_tokens", F.round(p, 9).alias("probability"), (draw(F.coalesce(F.col("id").cast("string"), F.lit("null")), seed) < F.round(p, 9)).alias("kept")
