@@ -14,6 +14,7 @@ from corpusprep.llm.license_scan import license_scan
 from corpusprep.llm.line_dedup import line_classes
 from corpusprep.llm.mixing import mix_to_targets
 from corpusprep.llm.near_dedup import near_classes
+from corpusprep.llm.oracle import SQL
 from corpusprep.llm.quality_rules import quality_rules
 from corpusprep.llm.substring_dedup import substring_dedup
 
@@ -84,4 +85,4 @@ QUERIES = {
         op10_html_extract,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = SQL
