@@ -169,17 +169,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     long_enough = base.where(F.col("n_words") >= window)
     classes = long_enough.groupBy("words_sha256").agg(F.count("*").alias("n_same"), F.min("rk").alias("first_rk"))
-    heads = stored(
-        long_enough.select("rk", "words_sha256", "reps")
-        .join(classes, "words_sha256")
-        .where("rk = first_rk")
-        .dropDuplicates(["rk"])
-        .select("rk", F.when(F.col("n_same") > 1, 2).otherwise(1).cast("long").alias("weight"), "reps"),
-        "op1-heads",
-    )
+    # one document stands for each class; it weighs 2 if it has copies
+    weights = classes.select(F.col("first_rk").alias("rk"), F.least("n_same", F.lit(2)).alias("weight"))
+    heads = stored(long_enough.select("rk", "reps").join(weights, "rk"), "op1-heads")
     one = heads.select("rk", "weight", F.explode("reps").alias("rep"))
-    often = one.groupBy("rep").agg(F.sum("weight").alias("c")).where("c >= 2").select("rep")
-    hits = one.join(often, "rep", "left_semi").groupBy("rk").agg(F.first("weight").alias("weight"), F.collect_set("rep").alias("hits"))
+    # written, so that the join below has an exchange of its own on each side and a representative of many documents is split
+    often = stored(one.groupBy("rep").agg(F.sum("weight").alias("c")).where("c >= 2").select("rep"), "op1-often")
+    found = one.select("rk", "rep").join(often, "rep", "left_semi").groupBy("rk").agg(F.collect_set("rep").alias("hits"))
+    hits = found.join(heads.select("rk", "weight"), "rk")
     segments = stored(
         src.join(hits, "rk")
         .select("rk", "id", "text", "weight", "hits")
