@@ -1,16 +1,17 @@
 """Subword pieces with merge dropout (BPE-dropout, Provilkov et al. 2020).
 
-The merge table is derived from the vocabulary table by a rule: every
-vocabulary word is built left to right, one character at a time, so merge
-(w[:i], w[i]) has rank (id, i).  Without dropout an in-vocabulary word
-becomes one piece; with dropout each candidate merge is skipped with the
-given probability at every step, so the same word gets varied pieces.
-
-Per-occurrence work is the only Python core in the library: it runs in
-``mapInPandas`` over word occurrences where they already are (no shuffle, so
-a very frequent word is never a hot key), with a per-task memo for the
-deterministic no-dropout case.  Randomness comes from one md5 per occurrence
-of (seed, epoch, row key, position), so it never depends on partitioning.
+Merges are a table (left, right, rank): supplied by the caller, or derived from
+the vocabulary by a rule (every vocabulary word is built left to right, one
+character at a time, so merge (w[:i], w[i]) has rank (id, i)).  The merge of least
+rank goes first, so a vocabulary word becomes one piece unless merges of more
+frequent words take its letters; with dropout each candidate merge is skipped with
+the given probability at every step, so the same word gets varied pieces.
+
+Each distinct word is joined to the merges that can occur in it, so the merge
+table may be of any size and never leaves Spark.  Without dropout a distinct word
+is split once; with it, occurrences are split in ``mapInPandas`` with one md5
+per occurrence of (seed, epoch, row key, position), so the result never depends on
+partitioning.
 """
 
 from __future__ import annotations
@@ -24,9 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
-
-MERGES_MAX = 2_000_000  # bound on the merge table shipped to tasks (driver-collected once)
-
+from corpusprep.operators.tokens import RESERVED, Reserved, _with_vocab
 
 def merges_from_vocab(vocab: DataFrame) -> DataFrame:
     """(left, right, rank) with the smallest (id, i) rank per pair."""
@@ -59,41 +58,63 @@ def pieces_of(word: str, ranks: dict, dropout: float, rng: random.Random | None)
     return parts
 
 
-def encode_dropout(df: DataFrame, keys, text: str, vocab: DataFrame, rate: float = 0.0, seed: int = 42, epoch: int = 0) -> DataFrame:
-    """One row per word occurrence: keys, ``pos``, ``word``, ``pieces``."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    merges = merges_from_vocab(vocab)
-    n = merges.count()
-    if n > MERGES_MAX:
-        raise ValueError(f"merge table of {n} rows exceeds the {MERGES_MAX} bound")
-    spark = df.sparkSession
-    table = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}  # bounded above
-    try:
-        shared = spark.sparkContext.broadcast(table)
-        get_ranks = lambda: shared.value
-    except Exception:  # noqa: BLE001 - remote sessions: the bounded table rides in the closure
-        get_ranks = lambda: table
-    occ = df.select(*keys, F.posexplode(tx.words(F.lower(F.col(text)))).alias("pos", "word"))
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in occ.schema.fields]) + ", pieces array<string>"
+def word_merges(words: DataFrame, merges: DataFrame) -> DataFrame:
+    """(word, merges): for each distinct word the merges of two neighbouring substrings of it.
+
+    Substrings no longer than the longest merge part are tried, so the work for a word
+    grows with its length times the sizes of merge parts.
+    """
+    longest = merges.agg(F.max(F.length("left")), F.max(F.length("right"))).head()
+    left, right = longest[0] or 1, longest[1] or 1
+    cut = words.select("word", F.explode(F.expr("if(length(word) > 1, sequence(1, length(word) - 1), array())")).alias("at"))
+    parts = cut.select("word", "at", F.explode(F.expr(f"sequence(1, least(at, {left}))")).alias("n"))
+    parts = parts.select("word", F.expr("substring(word, at - n + 1, n)").alias("left"), F.explode(F.expr(f"sequence(1, least(length(word) - at, {right}))")).alias("m"), "at")
+    pairs = parts.select("word", "left", F.expr("substring(word, at + 1, m)").alias("right")).distinct()
+    found = pairs.join(merges, ["left", "right"]).groupBy("word").agg(F.collect_list(F.struct("left", "right", "rank")).alias("merges"))
+    return words.join(found, "word", "left")
+
+
+def _ranks(merges) -> dict:
+    return {} if merges is None else {(m["left"], m["right"]): m["rank"] for m in merges}
+
+
+def _split_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"word": b["word"], "pieces": [pieces_of(w, _ranks(m), 0.0, None) for w, m in zip(b["word"], b["merges"])]})
 
+
+def _split_occurrences(rate: float, seed: int, epoch: int, keys: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks = get_ranks()
-        memo: dict[str, list[str]] = {}
         for b in batches:
-            out = []
-            for row in b.itertuples(index=False):
-                w = row.word
-                if rate <= 0:
-                    p = memo.get(w)
-                    if p is None:
-                        p = pieces_of(w, ranks, 0.0, None)
-                        if len(memo) < 1_000_000:
-                            memo[w] = p
-                else:
-                    key = ":".join([str(seed), "dropout", str(epoch)] + [str(getattr(row, k)) for k in keys] + [str(row.pos)])
-                    rng = random.Random(int(hashlib.md5(key.encode()).hexdigest()[:16], 16))
-                    p = pieces_of(w, ranks, rate, rng)
-                out.append(p)
-            yield b.assign(pieces=out)
-
-    return occ.mapInPandas(run, out_schema)
+            out, start = [], f"{seed}:dropout:{epoch}:"
+            names = [":".join(map(str, k)) for k in zip(*[b[k] for k in keys], b["pos"])]
+            for name, word, merges in zip(names, b["word"], b["merges"]):
+                rng = random.Random(int(hashlib.md5((start + name).encode()).hexdigest()[:16], 16))
+                out.append(pieces_of(word, _ranks(merges), rate, rng))
+            yield b.drop(columns=["merges"]).assign(pieces=out)
+
+    return run
+
+
+def encode_dropout(
+    df: DataFrame, keys, text: str, vocab: DataFrame | None = None, rate: float = 0.0, seed: int = 42, epoch: int = 0, merges: DataFrame | None = None
+) -> DataFrame:
+    """One row per word occurrence: keys, ``pos``, ``word``, ``pieces``; ``merges`` replaces those of ``vocab``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    merges = merges_from_vocab(vocab) if merges is None else merges.select("left", "right", "rank")
+    occ = df.select(*keys, F.posexplode(tx.words(F.lower(F.col(text)))).alias("pos", "word"))
+    found = word_merges(occ.select("word").distinct(), merges)
+    if rate <= 0:
+        return occ.join(found.mapInPandas(_split_words, "word string, pieces array<string>"), "word").select(*keys, "pos", "word", "pieces")
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in occ.schema.fields]) + ", pieces array<string>"
+    return occ.join(found, "word").select(*keys, "pos", "word", "merges").mapInPandas(_split_occurrences(rate, seed, epoch, keys), schema)
+
+
+def piece_ids(pieces: DataFrame, keys, vocab: DataFrame, name: str = "ids", vocab_bound: int | None = None, reserved: Reserved = RESERVED) -> DataFrame:
+    """Rows of ``encode_dropout`` as one id array per row key; pieces that the vocabulary lacks are unknown."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    each = pieces.select(*keys, F.col("pos").alias("_word"), F.posexplode("pieces").alias("_pos", "token"))
+    found = _with_vocab(each, vocab.select("token", "id"), "token", "left", vocab_bound)
+    ident = F.coalesce(F.col("id"), F.lit(reserved.unk)).cast("int")
+    ordered = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_word", "_pos", ident.alias("id")))).alias("_p"))
+    return ordered.select(*keys, F.transform("_p", lambda s: s["id"]).alias(name))

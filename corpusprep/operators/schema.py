@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,34 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def conform(df: DataFrame, schema: T.StructType, fields: Sequence[str] | None = None) -> DataFrame:
-    """Select ``fields`` (default: all of ``schema``) cast to their declared types."""
+def flat_features(features, shape: tuple[int, int] | None = None) -> Column:
+    """A 2-D feature matrix row by row as one array; a matrix of another ``shape`` fails, a null one stays null."""
+    c = F.col(features) if isinstance(features, str) else features
+    if shape is None:
+        return F.flatten(c)
+    right = (F.size(c) == shape[0]) & F.forall(c, lambda row: F.size(row) == shape[1])
+    wrong = F.concat(F.lit(f"feature matrix is not {shape[0]} x {shape[1]} but has rows: "), F.size(c).cast("string"))
+    return F.when(c.isNull() | right, F.flatten(c)).otherwise(F.raise_error(wrong))
+
+
+def conform(df: DataFrame, schema: T.StructType, fields: Sequence[str] | None = None, feature_shape: tuple[int, int] | None = None) -> DataFrame:
+    """Select ``fields`` (default: all of ``schema``) cast to their declared types.
+
+    A matrix where the schema declares a flat array is flattened, after a check of its
+    rows against ``feature_shape`` if given.
+    """
     names = list(fields) if fields else [f.name for f in schema.fields]
     require_columns(df, names)
     types = {f.name: f.dataType for f in schema.fields}
-    return df.select([F.col(n).cast(types[n]).alias(n) for n in names])
+
+    def flat(n: str) -> Column:
+        have, want = df.schema[n].dataType, types[n]
+        nested = isinstance(have, T.ArrayType) and isinstance(have.elementType, T.ArrayType)
+        if nested and isinstance(want, T.ArrayType) and not isinstance(want.elementType, T.ArrayType):
+            return flat_features(n, feature_shape)
+        return F.col(n)
+
+    return df.select([flat(n).cast(types[n]).alias(n) for n in names])
 
 
 def numeric_view(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:

@@ -55,18 +55,27 @@ def q_replace_all(spark, sf_dir):
     return e.select(F.col("embedding").alias("input_features"), F.size("embedding").alias("input_length"))
 
 
-_CONFORM_FIELDS = ["text", "text_timestamps", "previous_text", "duration", "audio_path", "is_silence", "stage2_whisper_timestamps", "data_source"]
-
-
 @query(
     "conform_schema",
-    """SELECT text, text_timestamps, previous_text, CAST(duration AS FLOAT) AS duration,
+    """SELECT CAST([duration, sample_id, sample_id, duration] AS FLOAT[]) AS input_features, CAST([1, 0] AS INTEGER[]) AS attention_mask,
+ CAST([sample_id] AS INTEGER[]) AS labels, CAST([sample_id, 1] AS INTEGER[]) AS labels_timestamps,
+ text, text_timestamps, previous_text, CAST(duration AS FLOAT) AS duration,
  concat('audio/', CAST(sample_id AS VARCHAR), '.wav') AS audio_path, is_silence, stage2_whisper_timestamps, data_source FROM v_samples""",
     ("v_samples",),
 )
 def q_conform(spark, sf_dir):
+    """All declared fields; the features come as a 2 x 2 matrix and leave flat."""
     s = fx.v_samples(spark, sf_dir).withColumn("audio_path", F.concat(F.lit("audio/"), F.col("sample_id").cast("string"), F.lit(".wav")))
-    return sc.conform(s, sc.SAMPLE_SCHEMA, _CONFORM_FIELDS)
+    number = F.col("sample_id").cast("double")
+    s = s.withColumns(
+        {
+            "input_features": F.array(F.array("duration", number), F.array(number, "duration")),
+            "attention_mask": F.array(F.lit(1).cast("long"), F.lit(0).cast("long")),
+            "labels": F.array("sample_id"),
+            "labels_timestamps": F.array(F.col("sample_id"), F.lit(1).cast("long")),
+        }
+    )
+    return sc.conform(s, sc.SAMPLE_SCHEMA, feature_shape=(2, 2))
 
 
 @query(

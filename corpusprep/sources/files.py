@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusprep.operators.index import dense_index
+from corpusprep.operators.schema import SAMPLE_SCHEMA, conform
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -54,6 +55,12 @@ def read_declared(spark: SparkSession, paths, schema: StructType, columns: Seque
     return df.select(*columns) if columns else df
 
 
+def read_samples(spark: SparkSession, paths, feature_shape: tuple[int, int] | None = None) -> DataFrame:
+    """Sample files under the declared schema, whether their feature matrix is stored flat or in two dimensions."""
+    found = read_inferred(spark, paths)
+    return conform(found, SAMPLE_SCHEMA, feature_shape=feature_shape)
+
+
 def read_inferred(spark: SparkSession, paths) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.parquet(*paths)

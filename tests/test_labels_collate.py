@@ -97,6 +97,17 @@ def test_dropout_pieces(spark, vocab):
     assert len(variants) > 1
 
 
+def test_supplied_merges_and_piece_ids(spark):
+    merges = spark.createDataFrame([("l", "o", 1), ("lo", "w", 2), ("e", "r", 3)], "left string, right string, rank long")
+    vocab = spark.createDataFrame([("low", 10), ("er", 11), ("l", 12)], "token string, id int")
+    df = spark.createDataFrame([(1, "lower low"), (2, "x")], "k int, text string")
+    pieces = encode_dropout(df, "k", "text", merges=merges)
+    assert {(r.k, r.pos): r.pieces for r in pieces.collect()} == {(1, 0): ["low", "er"], (1, 1): ["low"], (2, 0): ["x"]}
+    from corpusprep.operators.dropout import piece_ids
+
+    assert {r.k: r.ids for r in piece_ids(pieces, "k", vocab).collect()} == {1: [10, 11, 10], 2: [tk.UNK]}
+
+
 def test_compat_draws_are_position_locked(spark):
     df = co.assign_batches(spark.range(64).withColumnRenamed("id", "idx"), batch_size=16)
     u = df.select("batch_id", "pos", lb.batch_position_draw(42, "prompt", F.col("pos")).alias("u"), lb.row_draw(42, "prompt", 0, "idx").alias("v"))

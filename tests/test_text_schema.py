@@ -47,6 +47,18 @@ def test_require_and_conform(spark):
     assert sc.feature_shape("whisper-large") == (128, 3000)
 
 
+def test_feature_matrix_is_flattened_with_a_shape_check(spark, tmp_path):
+    from corpusprep.sources.files import read_samples
+
+    fields = [f.name for f in sc.SAMPLE_SCHEMA.fields]
+    row = spark.range(1).selectExpr("array(array(1.0D, 2.0D), array(3.0D, 4.0D)) input_features", *[f"cast(null as {f.dataType.simpleString()}) {f.name}" for f in sc.SAMPLE_SCHEMA.fields[1:]])
+    row.write.parquet(str(tmp_path / "s"))
+    out = read_samples(spark, str(tmp_path / "s"), (2, 2))
+    assert out.columns == fields and out.first().input_features == [1.0, 2.0, 3.0, 4.0]
+    with pytest.raises(Exception, match="feature matrix is not 2 x 3"):
+        read_samples(spark, str(tmp_path / "s"), (2, 3)).collect()
+
+
 def test_flatten(spark):
     df = spark.range(1).select(F.struct(F.lit(1).alias("a"), F.struct(F.lit("z").alias("c")).alias("b")).alias("s"), F.lit(2).alias("t"))
     out = sc.flatten(df)
