@@ -63,38 +63,61 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         roots = step.select("node", "root")
 
 
-def bucket_classes(buckets: DataFrame, verify) -> DataFrame:
-    """Classes of (node, key) rows: nodes of one key are candidates, ``verify(pairs) -> edges`` decides.
+#: Rounds in which every bucket that is still in several components compares them with one of its nodes.
+HUB_ROUNDS = 4
 
-    First every node meets the least node of each of its buckets. Where that leaves a
-    bucket in several components, the nodes outside its first node's component meet the
-    nodes of the other components. No link between classes is lost, and links inside a
-    class, which cannot change it, are not all spelled out. Returns (node, root) of linked nodes.
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, of (node, root, other, other_root) rows of different components."""
+    return rows.where("root <> other_root").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
+    """Classes of (node, key) rows: nodes of one key are candidates, ``verify(pairs, items) -> edges`` decides.
+
+    ``payload(nodes)`` gives the (node, ...) items of candidate nodes, read once. In every
+    round each bucket that is still in several components picks one node, another each
+    time, and the nodes of its other components meet it: as many pairs as nodes. What is
+    left after the rounds are nodes that none of their hubs is linked to; these meet all
+    nodes of the other components of their buckets, so no link between classes is lost,
+    while links inside a class, which cannot change it, are not spelled out. Returns
+    (node, root) of the nodes in buckets of two or more.
     """
     buckets = stored(buckets.distinct(), "buckets")
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = stored(buckets.join(hubs, "key").select("node", "key", "hub", "size"), "members")
-    met = stored(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    edges = stored(verify(met), "edges")
-    roots = components(edges)
-    own = members.where("size > 2")
-    own = own.join(roots.withColumnRenamed("node", "n1").withColumnRenamed("root", "r1"), F.col("node") == F.col("n1"), "left")
-    own = own.join(roots.withColumnRenamed("node", "n2").withColumnRenamed("root", "r2"), F.col("hub") == F.col("n2"), "left")
-    own = own.select("node", "key", F.coalesce("r1", "node").alias("root"), F.coalesce("r2", "hub").alias("hub_root"))
-    own = stored(own, "bucket-roots")
-    out = own.where("root <> hub_root")
-    rest = own.select(F.col("node").alias("other"), "key", F.col("root").alias("other_root"), F.col("hub_root").alias("h2"))
-    more = (
-        out.join(rest, "key")
-        .where("root <> other_root and (other_root = h2 or node < other)")
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        .distinct()
-    )
-    more = stored(more.join(met, ["a", "b"], "left_anti"), "pairs")
-    if more.isEmpty():
-        return roots
-    late = stored(verify(more), "edges")
-    return roots if late.isEmpty() else components(edges.unionByName(late))
+    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "keys")
+    members = stored(buckets.join(shared, "key", "left_semi").select("node", "key"), "members")
+    items = stored(payload(members.select("node").distinct()), "items")
+    roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
+    met = None
+    for k in range(HUB_ROUNDS + 1):
+        now = members.join(roots, "node").select("node", "key", "root")
+        # buckets of one component are done
+        several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
+        several = stored(several.where("lo <> hi").select("key", "hub"), "open-keys")
+        faced = now.join(several, "key")
+        if k < HUB_ROUNDS:
+            pairs = _cross_pairs(faced.select("node", "root", F.col("hub.node").alias("other"), F.col("hub.root").alias("other_root")))
+        else:
+            # components with the least rows of their bucket meet the rest of it; the largest one need not meet itself
+            counts = faced.groupBy("key", "root").agg(F.count("*").alias("n"))
+            largest = stored(counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")), "main")
+            open_now = stored(faced.select("node", "key", "root").join(largest, "key"), "open")
+            rest = open_now.select(F.col("node").alias("other"), "key", F.col("root").alias("other_root"))
+            out = open_now.where("root <> main").join(rest, "key").where("other_root = main or node < other")
+            pairs = _cross_pairs(out)
+        pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            if k < HUB_ROUNDS and not several.isEmpty():
+                continue  # this round's hubs were met before
+            break
+        met = pairs if met is None else met.unionByName(pairs)
+        edges = stored(verify(pairs, items), "edges")
+        if edges.isEmpty():
+            continue
+        ends = edges.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b").select("ra", "rb").distinct()
+        joined = components(ends, "ra", "rb").toDF("old", "new")
+        roots = stored(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
+    return roots
 
 
 __all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "settled", "shuffle_partitions", "stored", "table"]

@@ -62,10 +62,8 @@ def shingle_set(line: str) -> str:
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs of line keys whose shingle sets have Jaccard similarity ``similarity`` or more."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("lk")).distinct()
-    texts = stored(lines.join(nodes, "lk", "left_semi").groupBy("lk").agg(F.min("line").alias("line")), "op4-lines")
-    one = texts.select(F.col("lk").alias("a"), F.col("line").alias("la"))
-    two = texts.select(F.col("lk").alias("b"), F.col("line").alias("lb"))
+    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la")).hint("merge")
+    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb")).hint("merge")
     near = pairs.join(one, "a").join(two, "b")
     sets = near.selectExpr("a", "b", f"{shingle_set('la')} as sa", f"{shingle_set('lb')} as sb")
     counts = sets.selectExpr("a", "b", "size(sa) as na", "size(sb) as nb", "size(array_intersect(sa, sb)) as common")
@@ -85,7 +83,13 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = _lines(docs, id_col, text_col)
     filled = lines.where("line <> ''").select("rk", "id", "line_no", F.xxhash64("line").alias("lk"), "line")
     texts = filled.select("lk", "line")
-    roots = bucket_classes(bands(signatures(texts)), lambda pairs: verified(pairs, texts, similarity))
+
+    def payload(wanted: DataFrame) -> DataFrame:
+        # both sides are shuffled whatever their size: the work grows evenly with the input
+        own = texts.select(F.col("lk").alias("node"), "line").join(wanted.hint("merge"), "node", "left_semi")
+        return own.groupBy("node").agg(F.min("line").alias("line"))
+
+    roots = bucket_classes(bands(signatures(texts)), payload, lambda pairs, lines: verified(pairs, lines, similarity))
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
     first = where.groupBy("root").agg(F.min(F.struct("id", "line_no")).alias("first"))

@@ -149,18 +149,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = docs.select(row_key(id_col, text_col).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sigs = stored(src.select("rk", "text").mapInArrow(_signatures, "rk long, words_sha256 string, bands array<long>"), "op2-signatures")
     filled = sigs.where("words_sha256 is not null")
-    heads = filled.groupBy("words_sha256").agg(F.min("rk").alias("node"))
-    nodes = stored(filled.join(heads, "words_sha256").select("rk", "node").distinct(), "op2-nodes")
+    # written, so that the join splits the rows of a text with very many copies
+    heads = stored(filled.groupBy("words_sha256").agg(F.min("rk").alias("node")), "op2-heads")
+    nodes = stored(filled.select("rk", "words_sha256").join(heads, "words_sha256").select("rk", "node").distinct(), "op2-nodes")
     buckets = filled.select("rk", "bands").join(nodes.where("rk = node"), "rk").select("node", F.explode("bands").alias("key"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rk")).distinct()
-        texts = stored(src.select("rk", "text").join(wanted, "rk", "left_semi").dropDuplicates(["rk"]), "op2-texts")
-        one = texts.select(F.col("rk").alias("a"), F.col("text").alias("ta"))
-        two = texts.select(F.col("rk").alias("b"), F.col("text").alias("tb"))
+    def payload(wanted: DataFrame) -> DataFrame:
+        # both sides are shuffled whatever their size: the work grows evenly with the input
+        return src.select(F.col("rk").alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
+
+    def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        one = texts.toDF("a", "ta").hint("merge")
+        two = texts.toDF("b", "tb").hint("merge")
         return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(similarity), "a long, b long")
 
-    roots = bucket_classes(buckets, verify).withColumnRenamed("node", "n2")
+    roots = bucket_classes(buckets, payload, verify).withColumnRenamed("node", "n2")
     of = nodes.join(roots, F.col("node") == F.col("n2"), "left").select("rk", F.coalesce("root", "node").alias("root"))
     rows = stored(src.select("rk", "id").join(of.withColumnRenamed("rk", "k2"), F.col("rk") == F.col("k2"), "left").select("rk", "id", "root"), "op2-rows")
     least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
