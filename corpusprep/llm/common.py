@@ -84,13 +84,14 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
     (node, root) of the nodes in buckets of two or more.
     """
     buckets = stored(buckets.distinct(), "buckets")
-    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "keys")
-    members = stored(buckets.join(shared, "key", "left_semi").select("node", "key"), "members")
+    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "keys")
+    members = stored(buckets.join(shared, "key").select("node", "key", "size"), "members")
     items = stored(payload(members.select("node").distinct()), "items")
     roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
     met = None
     for k in range(HUB_ROUNDS + 1):
-        now = members.join(roots, "node").select("node", "key", "root")
+        # two nodes have met in the first round
+        now = members.where("size > 2" if k else "true").join(roots, "node").select("node", "key", "root")
         # buckets of one component are done
         several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
         several = stored(several.where("lo <> hi").select("key", "hub"), "open-keys")

@@ -4,7 +4,7 @@ A line is compared by its set of character shingles (``SHINGLE`` code points; a
 shorter line is one shingle). One hash per shingle feeds a one-permutation MinHash:
 the hash names a bin and the least hash of each bin is the signature. Of long lines
 only shingles whose hash has its lowest bits zero enter (at least ``SAMPLE`` are
-expected), which is the same choice in similar lines. Bins are banded two by two;
+expected), which is the same choice in similar lines. Bins are banded by threes;
 candidates are verified by exact Jaccard similarity of their shingle sets, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
@@ -19,8 +19,8 @@ from corpusprep.llm.common import bucket_classes, row_key, stored
 
 SHINGLE = 10
 SIMILARITY = 0.8
-BINS = 12
-ROWS = 2
+BINS = 18
+ROWS = 3
 SAMPLE = 64
 
 
@@ -62,11 +62,11 @@ def shingle_set(line: str) -> str:
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs of line keys whose shingle sets have Jaccard similarity ``similarity`` or more."""
-    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la")).hint("merge")
-    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb")).hint("merge")
-    near = pairs.join(one, "a").join(two, "b")
-    sets = near.selectExpr("a", "b", f"{shingle_set('la')} as sa", f"{shingle_set('lb')} as sb")
-    counts = sets.selectExpr("a", "b", "size(sa) as na", "size(sb) as nb", "size(array_intersect(sa, sb)) as common")
+    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("n").alias("na")).hint("merge")
+    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb")).hint("merge")
+    # sets whose sizes differ too much cannot be similar
+    near = pairs.join(one, "a").join(two, "b").where(f"least(na, nb) >= {similarity} * greatest(na, nb)")
+    counts = near.selectExpr("a", "b", "na", "nb", f"size(array_intersect({shingle_set('la')}, {shingle_set('lb')})) as common")
     return counts.where(f"common >= {similarity} * (na + nb - common)").select("a", "b")
 
 
@@ -87,7 +87,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def payload(wanted: DataFrame) -> DataFrame:
         # both sides are shuffled whatever their size: the work grows evenly with the input
         own = texts.select(F.col("lk").alias("node"), "line").join(wanted.hint("merge"), "node", "left_semi")
-        return own.groupBy("node").agg(F.min("line").alias("line"))
+        one_each = own.groupBy("node").agg(F.min("line").alias("line"))
+        return one_each.selectExpr("node", "line", f"size({shingle_set('line')}) as n")
 
     roots = bucket_classes(bands(signatures(texts)), payload, lambda pairs, lines: verified(pairs, lines, similarity))
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
