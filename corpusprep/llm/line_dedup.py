@@ -3,8 +3,8 @@
 A line is compared by its set of character shingles (``SHINGLE`` code points; a
 shorter line is one shingle). One hash per shingle feeds a one-permutation MinHash:
 the hash names a bin and the least hash of each bin is the signature. Of long lines
-only shingles whose hash has its lowest bits zero enter (at least ``SAMPLE`` are
-expected), which is the same choice in similar lines. Bins are banded by threes;
+only the least hashes enter, below a bound that ``SAMPLE`` or more are expected under;
+minima are the least of the least, so the bound seldom matters. Bins are banded by threes;
 candidates are verified by exact Jaccard similarity of their shingle sets, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
@@ -37,10 +37,10 @@ def signatures(lines: DataFrame) -> DataFrame:
     points = lines.select("lk", F.encode("line", "UTF-32").alias("points"))
     last = f"int(greatest(0, (length(points) div 4) - {SHINGLE}))"
     each = points.selectExpr(
-        "lk", "points", f"shiftleft(1L, int(greatest(0, floor(log2(({last} + 1) / {SAMPLE}D))))) - 1L as mask", f"explode(sequence(0, {last})) as i"
+        "lk", "points", f"int(greatest(0, floor(log2(({last} + 1) / {SAMPLE}D)))) as spare", f"explode(sequence(0, {last})) as i"
     )
-    hashed = each.selectExpr("lk", "mask", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE})) as h").where("(h & mask) = 0")
-    binned = hashed.selectExpr("lk", "h", f"int((shiftrightunsigned(h, 20) & 1048575L) % {BINS}) as bin")
+    hashed = each.selectExpr("lk", "spare", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE})) & 9223372036854775807L as h").where("shiftright(h, 63 - spare) = 0")
+    binned = hashed.selectExpr("lk", "h", f"int((h & 1048575L) % {BINS}) as bin")
     return binned.groupBy("lk").agg(*[F.expr(f"min(if(bin = {j}, h, null))").alias(f"m{j}") for j in range(BINS)])
 
 
