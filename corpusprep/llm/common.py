@@ -19,12 +19,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed (reliably) in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -43,8 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     An empty edge table gives an empty result; self links and repeated links are harmless.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    both = settled(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    roots = settled(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root")))
+    both = stored(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
+    roots = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root")), "roots")
     while True:
         offers = (
             both.join(roots, both.v == roots.node).groupBy("u").agg(F.min("root").alias("offer"))
@@ -53,10 +47,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             "node", "root", F.least("root", F.coalesce("offer", "root")).alias("next")
         )
         up = roots.select(F.col("node").alias("n2"), F.col("root").alias("r2"))
-        step = settled(
+        step = stored(
             step.join(up, step.next == up.n2, "left").select(
                 "node", F.col("root").alias("was"), F.least("next", F.coalesce("r2", "next")).alias("root")
-            )
+            ),
+            "roots",
         )
         if step.where("root < was").isEmpty():
             return step.select("node", "root")
@@ -64,7 +59,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 #: Rounds in which every bucket that is still in several components compares them with one of its nodes.
-HUB_ROUNDS = 4
+HUB_ROUNDS = 3
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
@@ -95,6 +90,8 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
         # buckets of one component are done
         several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
         several = stored(several.where("lo <> hi").select("key", "hub"), "open-keys")
+        if several.isEmpty():
+            break
         faced = now.join(several, "key")
         if k < HUB_ROUNDS:
             pairs = _cross_pairs(faced.select("node", "root", F.col("hub.node").alias("other"), F.col("hub.root").alias("other_root")))
@@ -108,9 +105,7 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
             pairs = _cross_pairs(out)
         pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            if k < HUB_ROUNDS and not several.isEmpty():
-                continue  # this round's hubs were met before
-            break
+            continue  # this round's hubs have been met before
         met = pairs if met is None else met.unionByName(pairs)
         edges = stored(verify(pairs, items), "edges")
         if edges.isEmpty():
@@ -121,4 +116,4 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
     return roots
 
 
-__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "settled", "shuffle_partitions", "stored", "table"]
+__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shuffle_partitions", "stored", "table"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import settled
+from corpusprep.llm.common import stored
 
 MARGINS = ("source", "lang", "topic")
 #: Exponent of a margin's natural token share in its target share (1 keeps the natural mix, 0 levels it).
@@ -80,7 +80,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
             factor = sums.join(targets[m], m, "left").select(m, (F.coalesce("target", F.lit(0.0)) / F.col("__sum")).alias("__f"))
             now = now.join(factor, m).withColumn("share", F.col("share") * F.coalesce("__f", F.lit(0.0)))
             now = now.withColumn(f"__f_{m}", F.col("__f")).drop("__f")
-        now = settled(now)
+        now = stored(now, "op9-shares")
         off = now.agg(*[F.max(F.abs(F.col(f"__f_{m}") - 1)).alias(m) for m in MARGINS]).head()
         now = now.drop(*[f"__f_{m}" for m in MARGINS])
         if all(v is None or v <= tolerance for v in off):
@@ -104,7 +104,7 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source, language or text count as the value ``none``; an empty table gives no rows.
     """
     rows = tokens_table(docs, id_col, text_col)
-    cells = settled(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
+    cells = stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "op9-cells")
     raked = rake(cells, tempered_targets(cells, temper))
     ratio = raked.select(*MARGINS, (F.col("share") / F.col("tokens")).alias("ratio"))
     total, most = raked.agg(F.sum("tokens"), F.max(F.col("share") / F.col("tokens"))).head()
