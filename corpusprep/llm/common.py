@@ -58,6 +58,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         roots = step.select("node", "root")
 
 
+def _joined(roots: DataFrame, ends: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after the components ``ra`` and ``rb`` of each row of ``ends`` are joined."""
+    joined = components(ends, "ra", "rb").toDF("old", "new")
+    return stored(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
+
+
 #: Rounds in which every bucket that is still in several components compares them with one of its nodes.
 HUB_ROUNDS = 3
 
@@ -67,22 +73,30 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     return rows.where("root <> other_root").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
+#: Times a bucket that its hubs leave open is divided by bands of another signature before its nodes meet pair by pair.
+REFINE_LEVELS = 2
+
+
+def bucket_classes(buckets: DataFrame, payload, verify, refine, level: int = 0, start: DataFrame | None = None) -> DataFrame:
     """Classes of (node, key) rows: nodes of one key are candidates, ``verify(pairs, items) -> edges`` decides.
 
     ``payload(nodes)`` gives the (node, ...) items of candidate nodes, read once. In every
     round each bucket that is still in several components picks one node, another each
     time, and the nodes of its other components meet it: as many pairs as nodes. What is
-    left after the rounds are nodes that none of their hubs is linked to; these meet all
-    nodes of the other components of their buckets, so no link between classes is lost,
-    while links inside a class, which cannot change it, are not spelled out. Returns
-    (node, root) of the nodes in buckets of two or more.
+    left are buckets of nodes that share what the bucket stands for (a common passage) but
+    are not linked to their hubs. ``refine(items, level) -> (node, key)`` gives these nodes
+    the bands of an independent signature, and they go through the same rounds in the
+    finer buckets; after ``REFINE_LEVELS`` of these, nodes meet all nodes of the other
+    components of their bucket. Links inside a class, which cannot change it, are not
+    spelled out. ``start`` has the (node, root) known so far. Returns (node, root) of the
+    nodes in buckets of two or more.
     """
     buckets = stored(buckets.distinct(), "buckets")
     shared = stored(buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "keys")
     members = stored(buckets.join(shared, "key").select("node", "key", "size"), "members")
     items = stored(payload(members.select("node").distinct()), "items")
-    roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
+    own = members.select("node").distinct()
+    roots = stored(own.withColumn("root", F.col("node")) if start is None else own.join(start, "node").select("node", "root"), "roots")
     met = None
     for k in range(HUB_ROUNDS + 1):
         # two nodes have met in the first round
@@ -93,6 +107,14 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
         if several.isEmpty():
             break
         faced = now.join(several, "key")
+        if k == HUB_ROUNDS and level < REFINE_LEVELS:
+            still = stored(faced.select("node", "key", "root"), "open")
+            some = still.select("node", "root").distinct()
+            finer = refine(items.join(some.select("node"), "node", "left_semi"), level + 1).toDF("node", "band")
+            finer = still.join(finer, "node").select("node", F.xxhash64("key", "band").alias("key"))
+            found = bucket_classes(finer, lambda nodes: items.join(nodes, "node", "left_semi"), verify, refine, level + 1, some)
+            ends = some.join(found.toDF("node", "rb"), "node").select(F.col("root").alias("ra"), "rb").where("ra <> rb").distinct()
+            return _joined(roots, ends)
         if k < HUB_ROUNDS:
             pairs = _cross_pairs(faced.select("node", "root", F.col("hub.node").alias("other"), F.col("hub.root").alias("other_root")))
         else:
@@ -111,8 +133,7 @@ def bucket_classes(buckets: DataFrame, payload, verify) -> DataFrame:
         if edges.isEmpty():
             continue
         ends = edges.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b").select("ra", "rb").distinct()
-        joined = components(ends, "ra", "rb").toDF("old", "new")
-        roots = stored(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
+        roots = _joined(roots, ends)
     return roots
 
 

@@ -32,14 +32,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """(lk, m0..): the bin minima of every distinct non-empty line of (lk, line)."""
+def signatures(lines: DataFrame, seed: int = 0) -> DataFrame:
+    """(lk, m0..): the bin minima of every distinct non-empty line of (lk, line); another seed is another permutation."""
     points = lines.select("lk", F.encode("line", "UTF-32").alias("points"))
     last = f"int(greatest(0, (length(points) div 4) - {SHINGLE}))"
     each = points.selectExpr(
         "lk", "points", f"int(greatest(0, floor(log2(({last} + 1) / {SAMPLE}D)))) as spare", f"explode(sequence(0, {last})) as i"
     )
-    hashed = each.selectExpr("lk", "spare", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE})) & 9223372036854775807L as h").where("shiftright(h, 63 - spare) = 0")
+    hashed = each.selectExpr("lk", "spare", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE}), {seed}) & 9223372036854775807L as h").where("shiftright(h, 63 - spare) = 0")
     binned = hashed.selectExpr("lk", "h", f"int((h & 1048575L) % {BINS}) as bin")
     return binned.groupBy("lk").agg(*[F.expr(f"min(if(bin = {j}, h, null))").alias(f"m{j}") for j in range(BINS)])
 
@@ -90,7 +90,10 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         one_each = own.groupBy("node").agg(F.min("line").alias("line"))
         return one_each.selectExpr("node", "line", f"size({shingle_set('line')}) as n")
 
-    roots = bucket_classes(bands(signatures(texts)), payload, lambda pairs, lines: verified(pairs, lines, similarity))
+    def refine(lines: DataFrame, seed: int) -> DataFrame:
+        return bands(signatures(lines.select(F.col("node").alias("lk"), "line"), seed))
+
+    roots = bucket_classes(bands(signatures(texts)), payload, lambda pairs, lines: verified(pairs, lines, similarity), refine)
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
     first = where.groupBy("root").agg(F.min(F.struct("id", "line_no")).alias("first"))

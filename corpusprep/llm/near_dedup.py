@@ -12,6 +12,7 @@ word are one node from the start.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,13 +57,13 @@ def weighted_shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.
     return owner[head], value[head], np.diff(np.append(head, len(owner)))
 
 
-def prob_minhash(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
+def prob_minhash(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS, seed: int = 0) -> np.ndarray:
     """Signatures n x registers: the shingle with the earliest arrival in each register (0: no shingles)."""
     early = np.full(n * registers, np.inf)
     winner = np.zeros(n * registers, dtype=np.uint64)
     time = np.zeros(len(owner))
     live = np.arange(len(owner))
-    step = 0
+    step = seed << 32  # another seed is another process
     while len(live):
         step += 1
         random = mix(value[live] + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
@@ -99,26 +100,27 @@ def _sizes(texts: pa.Array) -> np.ndarray:
     return texts.cast(pa.large_string()).to_pandas().str.len().fillna(0).to_numpy()
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import hashlib
-
-    for batch in batches:
-        for lo, hi in slices(_sizes(batch.column(1))):
-            texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-            owner, value, weight = weighted_shingles(texts)
-            sig = prob_minhash(owner, value, weight, hi - lo)
-            mixed = (sig * odd_numbers(128, 500)[:REGISTERS]).reshape(hi - lo, BANDS, ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64)
-            keys = mix(mixed).view(np.int64)
-            some = np.bincount(owner, minlength=hi - lo) > 0
-            same = [hashlib.sha256(b" ".join(t.encode("utf-8", "surrogatepass").split())).hexdigest() if s else None for t, s in zip(texts, some)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(lo, hi - lo),
-                    pa.array(same, pa.string()),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys[some].ravel())),
-                ],
-                names=["rk", "words_sha256", "bands"],
-            )
+def _signatures(seed: int = 0):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in slices(_sizes(batch.column(1))):
+                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
+                owner, value, weight = weighted_shingles(texts)
+                sig = prob_minhash(owner, value, weight, hi - lo, seed=seed)
+                mixed = (sig * odd_numbers(128, 500)[:REGISTERS]).reshape(hi - lo, BANDS, ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64)
+                keys = mix(mixed).view(np.int64)
+                some = np.bincount(owner, minlength=hi - lo) > 0
+                same = [hashlib.sha256(b" ".join(t.encode("utf-8", "surrogatepass").split())).hexdigest() if s else None for t, s in zip(texts, some)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo),
+                        pa.array(same, pa.string()),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys[some].ravel())),
+                    ],
+                    names=["rk", "words_sha256", "bands"],
+                )
+
+    return run
 
 
 def _verify(similarity: float):
@@ -147,7 +149,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are compared whole.
     """
     src = docs.select(row_key(id_col, text_col).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sigs = stored(src.select("rk", "text").mapInArrow(_signatures, "rk long, words_sha256 string, bands array<long>"), "op2-signatures")
+    sigs = stored(src.select("rk", "text").mapInArrow(_signatures(), "rk long, words_sha256 string, bands array<long>"), "op2-signatures")
     filled = sigs.where("words_sha256 is not null")
     # written, so that the join splits the rows of a text with very many copies
     heads = stored(filled.groupBy("words_sha256").agg(F.min("rk").alias("node")), "op2-heads")
@@ -163,7 +165,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         two = texts.toDF("b", "tb").hint("merge")
         return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(similarity), "a long, b long")
 
-    roots = bucket_classes(buckets, payload, verify).withColumnRenamed("node", "n2")
+    def refine(texts: DataFrame, seed: int) -> DataFrame:
+        own = texts.select("node", "text").mapInArrow(_signatures(seed), "rk long, words_sha256 string, bands array<long>")
+        return own.select(F.col("rk").alias("node"), F.explode("bands").alias("band"))
+
+    roots = bucket_classes(buckets, payload, verify, refine).withColumnRenamed("node", "n2")
     of = nodes.join(roots, F.col("node") == F.col("n2"), "left").select("rk", F.coalesce("root", "node").alias("root"))
     rows = stored(src.select("rk", "id").join(of.withColumnRenamed("rk", "k2"), F.col("rk") == F.col("k2"), "left").select("rk", "id", "root"), "op2-rows")
     least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
