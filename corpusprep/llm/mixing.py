@@ -103,7 +103,7 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     share a draw. Documents of no words have probability 0 and are not kept; null
     source, language or text count as the value ``none``; an empty table gives no rows.
     """
-    rows = tokens_table(docs, id_col, text_col)
+    rows = stored(tokens_table(docs, id_col, text_col), "op9-tokens")  # texts are read once, what follows is narrow
     cells = stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "op9-cells")
     raked = rake(cells, tempered_targets(cells, temper))
     ratio = raked.select(*MARGINS, (F.col("share") / F.col("tokens")).alias("ratio"))
