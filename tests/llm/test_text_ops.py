@@ -148,3 +148,34 @@ def test_mixing_probabilities(spark, odd, none):
     share = {s: sum(r.probability * r.n_tokens for r in rows if r.source == s) / expected for s in {r.source for r in rows}}
     natural = {s: sum(r.n_tokens for r in rows if r.source == s) ** 0.7 for s in share}
     assert all(share[s] == pytest.approx(natural[s] / sum(natural.values()), rel=0.02) for s in share)
+
+
+def test_a_small_cell_does_not_shrink_the_sample(spark):
+    rows = [(i, "word " * 200, ("a", "b", "c")[i % 3], ("en", "de")[i % 2]) for i in range(600)]
+    rows.append((999, "rare words here " * 7, "tiny", "xx"))
+    got = mix_to_targets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    total = sum(r.n_tokens for r in got)
+    assert sum(r.probability * r.n_tokens for r in got) == pytest.approx(0.6 * total, rel=0.005)
+    assert all(0 <= r.probability <= 1 for r in got)
+    assert [r.probability for r in got if r.doc_id == 999] == [pytest.approx(1, abs=0.01)]
+
+
+def test_used_up_cells_leave_the_rest_and_contradictions_are_reported(spark):
+    cells = [("a", "en", "x", 1000), ("a", "de", "x", 20), ("b", "en", "x", 100), ("b", "de", "x", 1000)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+
+    def shares(m, values):
+        return spark.createDataFrame(list(values.items()), f"{m} string, target double")
+
+    targets = {"source": shares("source", {"a": 0.5, "b": 0.5}), "lang": shares("lang", {"en": 0.55, "de": 0.45}), "topic": shares("topic", {"x": 1.0})}
+    report = {}
+    got = {(r.source, r.lang): r for r in rake(df, targets, budget=0.8, report=report).collect()}
+    assert report["met"] and all(r.share * 0.8 * 2120 <= r.tokens * (1 + 1e-9) for r in got.values())
+    as_frames = {(r.source, r.lang): r.share for r in rake(df, targets, rounds=3, budget=0.8, driver_cells=0).collect()}
+    on_driver = {(r.source, r.lang): r.share for r in rake(df, targets, rounds=3, budget=0.8).collect()}
+    assert as_frames == {c: pytest.approx(v, rel=1e-9) for c, v in on_driver.items()}
+    assert got["a", "en"].share + got["a", "de"].share == pytest.approx(0.5, abs=0.002)
+    assert got["a", "en"].share + got["b", "en"].share == pytest.approx(0.55, abs=0.002)
+    targets["lang"] = shares("lang", {"en": 0.2, "de": 0.8})
+    rake(df, targets, budget=0.8, report=report)
+    assert not report["met"] and max(report["off"].values()) > 0.1
