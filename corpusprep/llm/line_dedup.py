@@ -2,9 +2,8 @@
 
 A line is compared by its set of character shingles (``SHINGLE`` code points; a
 shorter line is one shingle). One hash per shingle feeds a one-permutation MinHash:
-the hash names a bin and the least hash of each bin is the signature. Of long lines
-only the least hashes enter, below a bound that ``SAMPLE`` or more are expected under;
-minima are the least of the least, so the bound seldom matters. Bins are banded by threes;
+the hash names a bin and the least hash of each bin is the signature, over all shingles
+of a line however long it is. Bins are banded by threes;
 candidates are verified by exact Jaccard similarity of their shingle sets, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
@@ -21,7 +20,6 @@ SHINGLE = 10
 SIMILARITY = 0.8
 BINS = 18
 ROWS = 3
-SAMPLE = 64
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -36,10 +34,8 @@ def signatures(lines: DataFrame, seed: int = 0) -> DataFrame:
     """(lk, m0..): the bin minima of every distinct non-empty line of (lk, line); another seed is another permutation."""
     points = lines.select("lk", F.encode("line", "UTF-32").alias("points"))
     last = f"int(greatest(0, (length(points) div 4) - {SHINGLE}))"
-    each = points.selectExpr(
-        "lk", "points", f"int(greatest(0, floor(log2(({last} + 1) / {SAMPLE}D)))) as spare", f"explode(sequence(0, {last})) as i"
-    )
-    hashed = each.selectExpr("lk", "spare", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE}), {seed}) & 9223372036854775807L as h").where("shiftright(h, 63 - spare) = 0")
+    each = points.selectExpr("lk", "points", f"explode(sequence(0, {last})) as i")
+    hashed = each.selectExpr("lk", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE}), {seed}) & 9223372036854775807L as h")
     binned = hashed.selectExpr("lk", "h", f"int((h & 1048575L) % {BINS}) as bin")
     return binned.groupBy("lk").agg(*[F.expr(f"min(if(bin = {j}, h, null))").alias(f"m{j}") for j in range(BINS)])
 

@@ -110,3 +110,14 @@ def test_empty_tables(spark, none):
     assert near_classes(none).collect() == []
     assert line_classes(none).collect() == []
     assert near_dedup(none).columns == none.columns and line_dedup(none).count() == 0
+
+
+def test_long_repetitive_lines_meet(spark):
+    units = [f"unit {i:04d} of a ruler that goes on {i * i:08d}"[:40] for i in range(20)]
+    docs = []
+    for i, unit in enumerate(units):
+        line = unit * 500
+        docs += [(2 * i, line), (2 * i + 1, line + "!")]
+    got = {r.id: r.class_id for r in line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(len(brute.char_shingles(docs[2 * i][1]) & brute.char_shingles(docs[2 * i + 1][1])) >= 0.8 * 41 for i in range(len(units)))
+    assert got == {i: i - i % 2 for i in range(2 * len(units))}
