@@ -3,7 +3,8 @@
 A line is compared by its set of character shingles (``SHINGLE`` code points; a
 shorter line is one shingle). One hash per shingle feeds a one-permutation MinHash:
 the hash names a bin and the least hash of each bin is the signature, over all shingles
-of a line however long it is. Bins are banded by threes;
+of a line however long it is. Bins are banded by threes; two lines of similarity
+``SIMILARITY`` share no band with a probability of about (1 - 0.8 ** 3) ** 16 = 1e-5;
 candidates are verified by exact Jaccard similarity of their shingle sets, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
@@ -18,7 +19,7 @@ from corpusprep.llm.common import bucket_classes, row_key, stored
 
 SHINGLE = 10
 SIMILARITY = 0.8
-BINS = 18
+BINS = 48
 ROWS = 3
 
 

@@ -121,3 +121,20 @@ def test_long_repetitive_lines_meet(spark):
     got = {r.id: r.class_id for r in line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(len(brute.char_shingles(docs[2 * i][1]) & brute.char_shingles(docs[2 * i + 1][1])) >= 0.8 * 41 for i in range(len(units)))
     assert got == {i: i - i % 2 for i in range(2 * len(units))}
+
+
+def test_line_pairs_just_above_the_threshold_all_meet(spark):
+    rng = random.Random(21)
+    docs, similar = [], []
+    for i in range(800):
+        line = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(198)]
+        line = ["x", *line, "x"]
+        other = list(line)
+        for at in (60, 140):
+            other[at] = "#"
+        docs += [(2 * i, "".join(line)), (2 * i + 1, "".join(other))]
+        a, b = brute.char_shingles(docs[-2][1]), brute.char_shingles(docs[-1][1])
+        similar.append(len(a & b) / len(a | b))
+    assert 0.80 <= min(similar) and max(similar) <= 0.85
+    got = {r.id: r.class_id for r in line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(1600)}
