@@ -1,7 +1,9 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
 Words are lower-cased ``\\w+``. Compared with a template are the whole text, every line,
-and every run of lines most of whose bigrams are the template's. A unit of a bigrams can
+every run of lines most of whose bigrams are the template's, and word windows that begin
+and end with a bigram of the template, whatever the lines. A window inside the match of a
+larger template is part of that one. A unit of a bigrams can
 reach the Dice coefficient d with a template of b bigrams only if a lies between
 b d / (2 - d) and b (2 - d) / d; and a text must hold b d / (2 - d) of the template's
 bigrams. Both bounds prune templates before sets are compared.
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,11 @@ TEMPLATES = {
 }
 
 
+def full_texts() -> dict[str, str]:
+    """Whole licence texts by name: the files of ``license_texts``."""
+    return {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
 def normal(text: str | None) -> str:
     """Lower-cased words ``\\w+``, spaces between them; line feeds are kept."""
     return re.sub(r"[^\w\n]+", " ", text.lower()) if text else ""
@@ -56,15 +64,65 @@ def bounds(size: int, least: float) -> tuple[float, float]:
     return size * least / (2 - least) - 1e-9, size * (2 - least) / least + 1e-9
 
 
+def windows(pairs: list[tuple[str, str]], template: set, least: float) -> list[tuple[float, int, int]]:
+    """(coefficient, first bigram, last bigram) of the best window of each group of overlapping ones that reach ``least``.
+
+    A best window begins and ends with a bigram of the template. From every such start
+    the bigrams are followed until more different ones are passed than the bound allows.
+    """
+    low, high = bounds(len(template), least)
+    out: list[tuple[float, int, int]] = []
+    counts: dict = {}
+    left = right = held = 0
+    for i in [k for k, p in enumerate(pairs) if p in template]:
+        if right <= i:
+            counts, left, right, held = {}, i, i, 0
+        while left < i:
+            p = pairs[left]
+            counts[p] -= 1
+            if not counts[p]:
+                del counts[p]
+                held -= p in template
+            left += 1
+        while right < len(pairs) and (pairs[right] in counts or len(counts) + 1 <= high):
+            p = pairs[right]
+            if p not in counts:
+                counts[p] = 0
+                held += p in template
+            counts[p] += 1
+            right += 1
+        overlaps = bool(out) and i <= out[-1][2]
+        # with all of these bigrams and no others
+        most = 2 * held / (held + len(template))
+        if held < low or (overlaps and most <= out[-1][0]):
+            continue
+        seen, hits, best = set(), 0, None
+        for k in range(i, right):
+            p = pairs[k]
+            if p not in seen:
+                seen.add(p)
+                if p in template:
+                    hits += 1
+                    d = 2 * hits / (len(seen) + len(template))
+                    if d >= least and (best is None or d > best[0]):
+                        best = (d, i, k)
+        if best and not overlaps:
+            out.append(best)
+        elif best and best[0] > out[-1][0]:
+            out[-1] = best
+    return out
+
+
 def scan_text(text: str, templates: dict[str, set], least: float = DICE) -> list[tuple[str, float, int, int]]:
     """(template, coefficient, first line, last line) of the best unit of each template; ties go to the earlier, then shorter unit."""
     lines = [x.split() for x in normal(text).split("\n")]
     first = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
     words = [w for x in lines for w in x]
     pairs = list(zip(words, words[1:]))
-    out = []
+    out = {}
+    covered: list[tuple[int, int, int]] = []  # (template size, first word, last word) of every match
     whole = set(pairs)
-    for name, template in templates.items():
+    for name, template in sorted(templates.items(), key=lambda x: -len(x[1])):
         low, high = bounds(len(template), least)
         if len(whole & template) < low:
             continue
@@ -92,11 +150,20 @@ def scan_text(text: str, templates: dict[str, set], least: float = DICE) -> list
             grams = bigrams(own)
             if low <= len(grams) <= high:
                 d = dice(grams, template)
-                if d >= least and (best is None or (-d, i, j) < best):
-                    best = (-d, i, j)
+                if d >= least:
+                    covered.append((len(template), int(first[i]), int(first[j + 1]) - 1))
+                    if best is None or (-d, i, j) < best:
+                        best = (-d, i, j)
+        for d, a, b in windows(pairs, template, least):
+            if any(size > len(template) and lo <= a and b + 1 <= hi for size, lo, hi in covered):
+                continue
+            covered.append((len(template), a, b + 1))
+            i, j = np.searchsorted(first, [a, b + 1], side="right") - 1
+            if best is None or (-d, i, j) < best:
+                best = (-d, i, j)
         if best:
-            out.append((name, round(-best[0], 6), int(best[1]), int(best[2])))
-    return out
+            out[name] = (name, round(-best[0], 6), int(best[1]), int(best[2]))
+    return [out[name] for name in templates if name in out]
 
 
 def _scan(templates: dict[str, str], least: float):
@@ -133,13 +200,17 @@ def _scan(templates: dict[str, str], least: float):
     return run
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, least: float = DICE) -> DataFrame:
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | DataFrame | None = None, least: float = DICE) -> DataFrame:
     """(id, license, dice, first_line, last_line): a row for each template that some unit of the text reaches ``least`` with.
 
     Null and empty texts have no rows; repeated rows each have theirs; lines count from
     0; long texts are scanned whole; an empty table gives no rows; other columns are
-    ignored. ``templates`` (name to text) replaces the built-in ones.
+    ignored. ``templates`` (name to text, or a table of name and text) replaces the
+    built-in ones, which are ``TEMPLATES`` and the files of ``license_texts``.
     """
+    if isinstance(templates, DataFrame):
+        templates = {r[0]: r[1] for r in templates.collect()}
+    templates = templates or TEMPLATES | full_texts()
     id_type = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(_scan(templates or TEMPLATES, least), f"id {id_type}, license string, dice double, first_line long, last_line long").withColumnRenamed("id", id_col)
+    return own.mapInArrow(_scan(templates, least), f"id {id_type}, license string, dice double, first_line long, last_line long").withColumnRenamed("id", id_col)

@@ -179,3 +179,38 @@ def test_used_up_cells_leave_the_rest_and_contradictions_are_reported(spark):
     targets["lang"] = shares("lang", {"en": 0.2, "de": 0.8})
     rake(df, targets, budget=0.8, report=report)
     assert not report["met"] and max(report["off"].values()) > 0.1
+
+
+def test_license_inside_a_longer_line(spark):
+    rng = random.Random(6)
+    mit, line = lic.TEMPLATES["MIT"], lic.TEMPLATES["CC-BY-4.0-line"]
+    edited = mit.replace("sublicense", "lend")
+    texts = {
+        1: f"{sentence(rng, 300)} {mit} {sentence(rng, 100)}", 2: f"{sentence(rng, 30)} {line} {sentence(rng, 30)}\n{sentence(rng, 9)} {edited[:600]}\n{edited[600:]} {sentence(rng, 90)}",
+        3: f"{sentence(rng, 50)} {lic.TEMPLATES['Apache-2.0-notice']} {sentence(rng, 50)}", 4: sentence(rng, 100) + mit[: len(mit) // 2],
+    }
+    got = {(r.doc_id, r.license): (r.dice, r.first_line, r.last_line) for r in lic.license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert set(got) == {(1, "MIT"), (2, "MIT"), (2, "CC-BY-4.0-line"), (3, "Apache-2.0-notice")}
+    assert got[1, "MIT"] == (1.0, 0, 0) and got[2, "CC-BY-4.0-line"] == (1.0, 0, 0) and got[2, "MIT"][0] > 0.95 and got[2, "MIT"][1:] == (1, 2)
+
+
+def test_license_windows_are_the_best_of_all():
+    rng = random.Random(8)
+    for _ in range(300):
+        template = set(zip(*[iter(rng.choices("abcdef", k=12))] * 2))
+        words = rng.choices("abcdefgh", k=40)
+        pairs = list(zip(words, words[1:]))
+        every = max(lic.dice(set(pairs[i : j + 1]), template) for i in range(len(pairs)) for j in range(i, len(pairs)))
+        found = max((d for d, _, _ in lic.windows(pairs, template, 0.5)), default=0)
+        assert found == pytest.approx(every if every >= 0.5 else 0)
+
+
+def test_full_license_texts_and_a_template_table(spark):
+    full = lic.full_texts()
+    assert {"Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "BSD-3-Clause", "CC0-1.0"} <= set(full)
+    docs = spark.createDataFrame([(n, t.replace("\n", " ")) for n, t in full.items()], "doc_id string, text string")
+    got = {(r.doc_id, r.license) for r in lic.license_scan(docs).collect()}
+    assert {(n, n) for n in full} <= got
+    table = spark.createDataFrame([("own", "a licence of seven words or more")], "license string, text string")
+    only = spark.createDataFrame([(1, "x A licence of seven words, or more. y")], "doc_id long, text string")
+    assert [(r.license, r.dice) for r in lic.license_scan(only, templates=table).collect()] == [("own", 1.0)]
