@@ -9,6 +9,7 @@ refused. A batch of texts is one sparse count matrix times that matrix in numpy.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,8 @@ from corpusprep.llm.words import mix, slices
 
 DIMS = 1 << 14
 SMOOTH = 0.5
-#: Labelled documents to learn from: all of them up to this many, else a share by hash of the id, so many on average.
+#: Labelled documents to learn from: all of them up to this many, else so many on average: all of each small language
+#: and, by hash of the id, one and the same number of each large one.
 TRAIN_DOCS = 40_000
 MAX_LANGS = 256
 UNKNOWN = "und"
@@ -98,6 +100,18 @@ def _predict(model, langs: list[str], dims: int, text_col: str, keep: list[str],
     return run
 
 
+def shares(sizes: list[int], total: int) -> list[float]:
+    """The share of each size to take so that all small ones are taken whole, the others level, ``total`` together."""
+    level, rest = 0.0, float(total)
+    for k, n in enumerate(sorted(sizes)):
+        level = rest / (len(sizes) - k)
+        if n > level:
+            break
+        rest -= n
+        level = float(n)
+    return [min(1.0, level / n) for n in sizes]
+
+
 def train(labelled: DataFrame, dims: int = DIMS, train_docs: int = TRAIN_DOCS):
     """``(langs, log-probability matrix dims x langs, log priors)`` from (key, text, lang) rows."""
     labelled = labelled.where("lang is not null and text is not null")
@@ -108,14 +122,13 @@ def train(labelled: DataFrame, dims: int = DIMS, train_docs: int = TRAIN_DOCS):
     if not langs:
         return [], np.zeros((dims, 0)), np.zeros(0)
     if n > train_docs:
-        labelled = labelled.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * train_docs / n))
+        share = F.create_map(*[F.lit(x) for r, s in zip(sizes, shares([r.n for r in sizes], train_docs)) for x in (r.lang, math.ceil(1_000_000_000 * s))])
+        labelled = labelled.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1_000_000_000)) < share[F.col("lang")])
     counted = labelled.select("text", "lang").mapInArrow(_count(langs, dims), "cell long, c long")
     counts = np.zeros((len(langs), dims))
-    docs = np.zeros(len(langs))
+    docs = np.array([r.n for r in sizes], dtype=np.float64)
     for r in counted.groupBy("cell").agg(F.sum("c").alias("c")).collect():  # dims x languages numbers at most
-        if r.cell < 0:
-            docs[-1 - r.cell] = r.c
-        else:
+        if r.cell >= 0:  # the others are documents learnt from; the prior counts all
             counts[r.cell // dims, r.cell % dims] = r.c
     logs = np.log((counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * dims))
     return langs, logs.T.copy(), np.log((docs + 1) / (docs.sum() + len(docs)))

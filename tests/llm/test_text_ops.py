@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm import license_scan as lic
 from corpusprep.llm.decontaminate import contaminated_pairs, decontaminate, tiles
-from corpusprep.llm.language_id import language_id
+from corpusprep.llm.language_id import language_id, predict, shares, train
 from corpusprep.llm.mixing import MARGINS, mix_to_targets, rake
 from corpusprep.llm.quality_rules import quality_rules
 from tests.conftest import SF_SMALL
@@ -214,3 +214,17 @@ def test_full_license_texts_and_a_template_table(spark):
     table = spark.createDataFrame([("own", "a licence of seven words or more")], "license string, text string")
     only = spark.createDataFrame([(1, "x A licence of seven words, or more. y")], "doc_id long, text string")
     assert [(r.license, r.dice) for r in lic.license_scan(only, templates=table).collect()] == [("own", 1.0)]
+
+
+def test_small_languages_are_learnt_above_the_bound(spark):
+    assert shares([2, 1000, 3, 1000], 105) == [1.0, 0.05, 1.0, 0.05] and shares([5, 5], 20) == [1.0, 1.0]
+    rng = random.Random(12)
+    first = {"el": 0x3B1, "ru": 0x430, "he": 0x5D0, "ka": 0x10D0, "hi": 0x915}
+
+    def text(lang):
+        return " ".join("".join(chr(first.get(lang, 97) + rng.randrange(20)) for _ in range(5)) for _ in range(60))
+
+    rows = [(i, text("en"), "en") for i in range(600)] + [(1000 + 10 * k + j, text(x), x) for k, x in enumerate(first) for j in range(2)]
+    model = train(spark.createDataFrame(rows, "key long, text string, lang string"), train_docs=60)
+    ask = spark.createDataFrame([(x, text(x)) for x in ("en", *first)], "want string, text string")
+    assert all(r.want == r.lang_pred for r in predict(ask, model).collect())
