@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from corpusprep.llm import quality_rules as qr
 from corpusprep.llm.chat_format import CONTROL, MARKS, OTHER, TARGET
+from corpusprep.llm.prefix_trie import GROUP as TRIE_GROUP
+from corpusprep.llm.prefix_trie import HEADS as TRIE_HEADS
 from corpusprep.llm.substring_dedup import WINDOW
 
 BLANKS = "[^\\x20\\x09-\\x0D]+"
@@ -82,4 +84,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND NOT (n_common >= {qr.MIN_COMMON} AND coalesce(word_distance, 0) > {qr.MAX_WORD_DISTANCE}) AS kept FROM f"""
 
 
-SQL = {"op1_substring_dedup": SUBSTRING, "op7_chat_format": _chat(), "op8_quality_rules": _quality()}
+def _trie() -> str:
+    """Prefixes as lists of whole turns; crc32 of the decimal id is spelled out bit by bit."""
+    bits = "list_reduce(list_prepend(xor(a, b), range(8)), lambda u, i: xor(u >> 1, 3988292384 * (u & 1)))"
+    codes = "list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {bits}), 4294967295)"
+    return f"""WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+h AS (SELECT l.c, {crc} % {TRIE_HEADS} AS h, l.c - l.c % {TRIE_GROUP} AS base FROM l),
+hb AS (SELECT h.*, least(h, coalesce(l.n, 0)) AS taken FROM h LEFT JOIN l ON l.c = h.base),
+r AS (SELECT hb.c, t.pos AS d, role, text FROM hb JOIN t ON t.c = hb.base WHERE t.pos <= hb.taken
+  UNION ALL SELECT hb.c, t.pos - h + taken, role, text FROM hb JOIN t ON t.c = hb.c WHERE t.pos > h),
+size AS (SELECT hb.c, count(r.c) AS n FROM hb LEFT JOIN r ON r.c = hb.c GROUP BY hb.c),
+p AS (SELECT c, d, strlen(text) AS bytes, list(concat(length(role), ':', role, text)) OVER (PARTITION BY c ORDER BY d) AS k FROM r
+  UNION ALL SELECT c, 0, 0, CAST([] AS VARCHAR[]) FROM hb),
+n AS (SELECT d, k, min(c) AS c, count(*) AS n, max(bytes) AS bytes, count(*) FILTER (d = size.n) AS n_ends,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = size.n), '')) AS ends FROM p JOIN size USING (c) GROUP BY d, k),
+up AS (SELECT a AS d, list_slice(k, 1, a) AS k, sum((n - 1) * bytes) AS saved, count(*) FILTER (n = n_ends) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM n) x GROUP BY ALL),
+kids AS (SELECT d - 1 AS d, list_slice(k, 1, d - 1) AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL)
+SELECT CAST(n.c AS BIGINT) AS conv_id, CAST(n.d AS BIGINT) AS depth, CAST(m.c AS BIGINT) AS parent_conv_id, n.n AS n_convs, CAST(coalesce(kids, 0) AS BIGINT) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN up USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN n m ON m.d = n.d - 1 AND m.k = list_slice(n.k, 1, n.d - 1)"""
+
+
+SQL = {"op1_substring_dedup": SUBSTRING, "op7_chat_format": _chat(), "op8_quality_rules": _quality(), "op13_prefix_trie": _trie()}

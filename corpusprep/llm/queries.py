@@ -15,8 +15,11 @@ from corpusprep.llm.line_dedup import line_classes
 from corpusprep.llm.mixing import mix_to_targets
 from corpusprep.llm.near_dedup import near_classes
 from corpusprep.llm.oracle import SQL
+from corpusprep.llm.prefix_trie import prefix_trie
 from corpusprep.llm.quality_rules import quality_rules
+from corpusprep.llm.secret_scan import secret_digest, secret_spans
 from corpusprep.llm.substring_dedup import substring_dedup
+from corpusprep.llm.whitening import whiten_embeddings
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +73,18 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(secret_spans(table(spark, sf_dir, "documents")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +98,9 @@ QUERIES = {
         op8_quality_rules,
         op9_mixing,
         op10_html_extract,
+        op11_secret_scan,
+        op12_whitening,
+        op13_prefix_trie,
     )
 }
 ORACLE_SQL: dict[str, str] = SQL
