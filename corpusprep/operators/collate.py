@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.tokens import EOT, IGNORE, PAD, SOT
+from corpusprep.operators.tokens import EOT, IGNORE, PAD, RESERVED, SOT, Reserved
 
 
 def _c(x) -> Column:
@@ -91,19 +91,23 @@ def mask_prompt(labels, start: int = SOT) -> Column:
     return F.when(s > 1, masked).otherwise(a)
 
 
-def collate(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16, pad: int = PAD, compat: bool = False) -> DataFrame:
-    """Prompted-label collator: pad with pad id, shift, mask padding and what follows the end, mask the prompt."""
+def collate(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16, compat: bool = False, reserved: Reserved = RESERVED) -> DataFrame:
+    """Prompted-label collator: pad with pad id, shift, mask padding and what follows the end, mask the prompt.
+
+    ``reserved`` names the pad, end and start ids of the vocabulary that made the labels.
+    """
     b = assign_batches(df, idx, batch_size).withColumn("_real", F.size(labels) - 1)
-    b = pad_labels(b, labels, pad)
+    b = pad_labels(b, labels, reserved.pad)
     b = shift_labels(b, labels)
-    return b.withColumn(labels, mask_prompt(mask_after_end(labels, length="_real", compat=compat))).drop("_real")
+    ended = mask_after_end(labels, reserved.eot, "_real", compat)
+    return b.withColumn(labels, mask_prompt(ended, reserved.sot)).drop("_real")
 
 
-def collate_plain(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16) -> DataFrame:
+def collate_plain(df: DataFrame, idx: str = "idx", labels: str = "labels", batch_size: int = 16, reserved: Reserved = RESERVED) -> DataFrame:
     """Plain collator: pad with the ignore mark via the attention mask, strip a shared start column."""
     b = assign_batches(df, idx, batch_size)
     b = mask_padding(b, labels)
-    return strip_shared_start(b, labels)
+    return strip_shared_start(b, labels, reserved.sot)
 
 
 def pad_features(df: DataFrame, features: str = "input_features", fill: float = 0.0) -> DataFrame:

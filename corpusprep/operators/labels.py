@@ -6,18 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import draw, threshold
-from corpusprep.operators.tokens import MAX_LENGTH, MAX_PROMPT_LENGTH, NOSPEECH, SOP
+from corpusprep.operators.tokens import MAX_LENGTH, MAX_PROMPT_LENGTH, RESERVED, Reserved
 
 TIMESTAMP_PROBABILITY = 0.8  # fixed values: collator defaults
 PROMPT_PROBABILITY = 0.7
 
 
-def prompt_ids(ids, max_length: int = MAX_PROMPT_LENGTH) -> Column:
+def prompt_ids(ids, max_length: int = MAX_PROMPT_LENGTH, reserved: Reserved = RESERVED) -> Column:
     """Start-of-prev + the last ``max_length - 1`` ids (left truncation)."""
     ids = F.col(ids) if isinstance(ids, str) else ids
     keep = max_length - 1
     start = F.greatest(F.size(ids) - (keep - 1), F.lit(1))
-    return F.concat(F.array(F.lit(SOP)), F.slice(ids, start, keep))
+    return F.concat(F.array(F.lit(reserved.sop)), F.slice(ids, start, keep))
 
 
 def choose_target(plain, stamped, flag, u: Column, p: float = TIMESTAMP_PROBABILITY) -> Column:
@@ -26,7 +26,9 @@ def choose_target(plain, stamped, flag, u: Column, p: float = TIMESTAMP_PROBABIL
     return F.when((u < F.lit(threshold(p))) & c(flag), c(stamped)).otherwise(c(plain))
 
 
-def attach_prompt(prompt, target, u: Column, p: float = PROMPT_PROBABILITY, max_length: int = MAX_LENGTH, compat: bool = False) -> Column:
+def attach_prompt(
+    prompt, target, u: Column, p: float = PROMPT_PROBABILITY, max_length: int = MAX_LENGTH, compat: bool = False, reserved: Reserved = RESERVED
+) -> Column:
     """Prompt + target when it fits, the draw says so, and the prompt is real and not silence.
 
     The silence test looks at the first id after start-of-prev; ``compat``
@@ -38,7 +40,7 @@ def attach_prompt(prompt, target, u: Column, p: float = PROMPT_PROBABILITY, max_
     fits = (F.size(pr) + F.size(tg)) <= max_length
     real = F.size(pr) > 1
     probe = F.get(pr, 0) if compat else F.get(pr, 1)
-    silent = F.coalesce(probe == NOSPEECH, F.lit(False))
+    silent = F.coalesce(probe == reserved.no_speech, F.lit(False))
     use = fits & (u < F.lit(threshold(p))) & real & ~silent
     return F.when(use, F.concat(pr, tg)).otherwise(tg)
 

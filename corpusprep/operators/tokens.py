@@ -22,7 +22,8 @@ FIRST_WORD_ID = 10
 IGNORE = -100
 MAX_LENGTH = 448
 MAX_PROMPT_LENGTH = 192
-VOCAB_BROADCAST_MAX = 5_000_000
+#: Most bytes of a word table (words and 16 bytes of each row) that is broadcast.
+VOCAB_BROADCAST_BYTES = 64 << 20
 #: Copies of a vocabulary too large to broadcast: rows of one frequent word are dealt over so many join keys.
 VOCAB_SALTS = 32
 
@@ -67,15 +68,20 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def vocab_bytes(vocab: DataFrame) -> int:
+    """Bytes of a (token, id) table: the bound that decides whether it is broadcast."""
+    return vocab.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))).head()[0]
+
+
 def _with_vocab(occurrences: DataFrame, vocab: DataFrame, on: str, how: str, bound: int | None) -> DataFrame:
     """Join word occurrences to the vocabulary on ``on``.
 
-    The vocabulary is broadcast when ``bound`` (the caller's proven size, else a
-    count) allows; a larger one is copied ``VOCAB_SALTS`` times and joined on
+    The vocabulary is broadcast when ``bound`` (its bytes, measured here where the caller has
+    not) allows; a larger one is copied ``VOCAB_SALTS`` times and joined on
     (word, salt), so a very frequent word is no single join key.
     """
-    n = bound if bound is not None else vocab.count()
-    if n <= VOCAB_BROADCAST_MAX:
+    size = bound if bound is not None else vocab_bytes(vocab)
+    if size <= VOCAB_BROADCAST_BYTES:
         return occurrences.join(F.broadcast(vocab), on, how)
     salted = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(VOCAB_SALTS - 1))))
     return occurrences.withColumn("_salt", (F.col("_pos") % VOCAB_SALTS).cast("int")).join(salted, [on, "_salt"], how).drop("_salt")
@@ -145,6 +151,6 @@ def sql_encode(src: str, keys: Sequence[str], text: str, name: str = "ids", cte:
 {cte} AS (SELECT {k}, coalesce({cte}_g.ids, CAST([] AS INTEGER[])) AS {name} FROM {src} LEFT JOIN {cte}_g USING ({k}))"""
 
 
-def sql_with_specials(ids: str, timestamps: bool = False, max_length: int = MAX_LENGTH) -> str:
-    pre = prefix_ids(timestamps)
-    return f"CAST(list_concat(list_concat({pre}, {ids}[1:{max_length - len(pre) - 1}]), [{EOT}]) AS INTEGER[])"
+def sql_with_specials(ids: str, timestamps: bool = False, max_length: int = MAX_LENGTH, reserved: Reserved = RESERVED) -> str:
+    pre = prefix_ids(timestamps, reserved=reserved)
+    return f"CAST(list_concat(list_concat({pre}, {ids}[1:{max_length - len(pre) - 1}]), [{reserved.eot}]) AS INTEGER[])"

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 from corpusprep.operators import labels as lb
+from corpusprep.operators import subword as sw
 from corpusprep.operators import tokens as tk
 from corpusprep.operators.index import dense_index, key_block, lag_in_order
 
@@ -40,7 +41,7 @@ def v_samples(spark: SparkSession, sf_dir: str, previous: bool = True, flags: bo
     """Samples from documents; without ``previous`` (the text before) or ``flags`` (from labels) it is one plain scan."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
     if previous:
-        d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text")
+        d = lag_in_order(d, "source", ["doc_id"], "text", "previous_text", block=key_block("doc_id"))
     else:
         d = d.withColumn("previous_text", F.lit(None).cast("string"))
     if flags:
@@ -60,7 +61,7 @@ def v_samples(spark: SparkSession, sf_dir: str, previous: bool = True, flags: bo
 
 
 def v_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return lag_in_order(c, "conv_id", ["turn"], "text", "previous_text", block=key_block("turn"))
 
 
@@ -91,24 +92,44 @@ def v_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Rank file of the byte-level vocabulary of the subword queries, and the ids after its own that are reserved.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+SUBWORD_RESERVED = tk.Reserved(
+    eot=50256, pad=50257, unk=50258, sot=50259, sop=50260, no_timestamps=50261, no_speech=50262, languages={"default": 50263}, tasks={"default": 50264}
+)
+
+
+def ranks(spark: SparkSession):
+    """The byte-level vocabulary, checked and shared with the tasks."""
+    return sw.share(sw.read_ranks(spark, f"file://{RANKS}"))
+
+
 TURN_KEYS = ["conv_id", "turn"]
 
 
-def v_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns with the ids of their text and of the text before."""
-    vocab = v_vocab(spark, sf_dir)
-    t = v_turns(spark, sf_dir).withColumn("previous_text", tx.rename_marker(tx.null_to_empty("previous_text")))
-    bound = vocab.count()
-    t = tk.encode(t, TURN_KEYS, "text", vocab, "ids", vocab_bound=bound)
-    return tk.encode(t, TURN_KEYS, "previous_text", vocab, "prev_ids", vocab_bound=bound).select(*TURN_KEYS, "ids", "prev_ids")
+def stamped(text) -> Column:
+    """The time-stamped transcript of a turn: the text between a first and a last stamp."""
+    return F.concat(F.lit("<|0.00|> "), F.col(text), F.lit(" <|30.00|>"))
+
+
+def v_encoded(spark: SparkSession, sf_dir: str, previous: bool = True, stamps: bool = False) -> DataFrame:
+    """Turns with the ids of their text and, as asked for, of the text before and of the stamped text: one pass for all."""
+    shared, marks = ranks(spark), SUBWORD_RESERVED.markers()
+    if previous:
+        t = v_turns(spark, sf_dir).withColumn("previous_text", tx.rename_marker(tx.null_to_empty("previous_text")))
+    else:
+        t = table(spark, sf_dir, "conversations")
+    texts = {"ids": "text"} | ({"prev_ids": "previous_text"} if previous else {}) | ({"stamped_ids": stamped("text")} if stamps else {})
+    ids = sw.encode_all(list(texts.values()), shared, marks)
+    return t.select(*TURN_KEYS, "role", *[c.alias(n) for c, n in zip(ids, texts)])
 
 
 def v_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label rows: prompt of the text before (but for first turns) + the text's ids; one row in 17 has no end marker."""
     e = v_encoded(spark, sf_dir)
-    body = tk.with_specials("ids")
+    body = tk.with_specials("ids", reserved=SUBWORD_RESERVED)
     body = F.when((F.col("conv_id") * 10 + F.col("turn")) % 17 == 0, F.slice(body, 1, F.size(body) - 1)).otherwise(body)
-    ids = F.concat(F.when(F.col("turn") > 0, lb.prompt_ids("prev_ids")).otherwise(tk.empty_ids()), body)
+    ids = F.concat(F.when(F.col("turn") > 0, lb.prompt_ids("prev_ids", reserved=SUBWORD_RESERVED)).otherwise(tk.empty_ids()), body)
     # a conversation has few turns, so conv_id div 8192 bounds every block
     return dense_index(e.select(*TURN_KEYS, ids.alias("ids")), TURN_KEYS, block=key_block("conv_id", 8192)).select("idx", "ids")
 
@@ -136,6 +157,10 @@ def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- DuckDB twins -------------------------------------------------------------
 
 SQL = {
+    "v_ranks": sw.sql_ranks(RANKS),
+    # every word of every turn, in order, as the byte-level vocabulary splits it
+    "v_pieces": f"""SELECT conv_id, turn, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) - 1 AS BIGINT) AS pos
+FROM (SELECT conv_id, turn, {sw.sql_split("coalesce(text, '')")} AS ws FROM conversations) x""",
     "v_samples": """SELECT d.doc_id AS sample_id, d.source AS data_source,
  CASE WHEN d.doc_id % 25 = 0 THEN '<|nospeech|>' ELSE d.text END AS text,
  concat('<|0.00|> ', d.text, ' <|30.00|>') AS text_timestamps,
@@ -151,21 +176,21 @@ FROM documents WHERE source IN (""" + ", ".join(f"'{n}'" for n in SOURCE_NAMES)
     "v_vocab": f"""SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + {tk.FIRST_WORD_ID - 1} AS INT) AS id
 FROM (SELECT token, count(*) AS n FROM (SELECT unnest(w) AS token FROM v_words) t GROUP BY token) q
 WHERE CAST(concat('0x', substr(md5(token), 1, 2)) AS INT) < {KNOWN_WORDS}""",
-    "v_encoded": f"""WITH tt AS (SELECT conv_id, turn, text, {tx.sql_rename_marker("coalesce(previous_text, '')")} AS previous_text FROM v_turns),
-{tk.sql_encode("tt", TURN_KEYS, "text", "ids", "e1")},
-{tk.sql_encode("tt", TURN_KEYS, "previous_text", "prev_ids", "e2")}
-SELECT conv_id, turn, ids, prev_ids FROM e1 JOIN e2 USING (conv_id, turn)""",
+    "v_encoded": f"""WITH RECURSIVE tt AS (SELECT v.conv_id, v.turn, c.role, v.text, {tx.sql_rename_marker("coalesce(v.previous_text, '')")} AS previous_text
+  FROM v_turns v JOIN conversations c USING (conv_id, turn)),
+{sw.sql_encoded("tt", "conv_id, turn", {"ids": "coalesce(text, '')", "prev_ids": "previous_text", "stamped_ids": "concat('<|0.00|> ', text, ' <|30.00|>')"}, SUBWORD_RESERVED.markers())}
+SELECT conv_id, turn, role, ids, prev_ids, stamped_ids FROM en""",
     "v_labels": f"""SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx,
- CAST(list_concat(CASE WHEN turn > 0 THEN list_concat([{tk.SOP}], prev_ids[greatest(len(prev_ids) - {tk.MAX_PROMPT_LENGTH - 2}, 1):]) ELSE [] END,
+ CAST(list_concat(CASE WHEN turn > 0 THEN list_concat([{SUBWORD_RESERVED.sop}], prev_ids[greatest(len(prev_ids) - {tk.MAX_PROMPT_LENGTH - 2}, 1):]) ELSE [] END,
   CASE WHEN (conv_id*10+turn) % 17 = 0 THEN b[1:len(b) - 1] ELSE b END) AS INTEGER[]) AS ids
-FROM (SELECT *, {tk.sql_with_specials('ids')} AS b FROM v_encoded) x""",
+FROM (SELECT *, {tk.sql_with_specials('ids', reserved=SUBWORD_RESERVED)} AS b FROM v_encoded) x""",
     "v_pairs": """SELECT pair_id, data_source, CASE WHEN pair_id % 70 = 0 THEN '' WHEN pair_id % 30 = 1 THEN concat(array_to_string(r,' '), ' <|nospeech|>') ELSE array_to_string(r,' ') END AS ref,
  CASE WHEN pair_id % 50 = 0 THEN '' ELSE array_to_string(list_transform(list_filter(list_transform(r, lambda x, i: {'x': x, 'i': i-1}), lambda s: s.i % 7 <> 3),
    lambda s: CASE WHEN s.i % 5 = 2 THEN reverse(s.x) ELSE s.x END), ' ') END AS hyp
 FROM (SELECT conv_id*10+turn AS pair_id, CASE WHEN turn % 2 = 0 THEN 'even' ELSE 'odd' END AS data_source, w AS r FROM v_words) t""",
 }
 
-DEPENDS = {"v_vocab": ["v_words"], "v_encoded": ["v_turns", "v_vocab"], "v_labels": ["v_encoded"], "v_pairs": ["v_words"]}
+DEPENDS = {"v_vocab": ["v_words"], "v_encoded": ["v_turns", "v_ranks"], "v_labels": ["v_encoded"], "v_pairs": ["v_words"]}
 
 
 def with_views(body: str, *views: str) -> str:

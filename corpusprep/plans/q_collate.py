@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators import collate as co
 from corpusprep.operators.index import dense_index, key_block
-from corpusprep.operators.tokens import EOT, IGNORE, PAD, SOT
+from corpusprep.operators.tokens import IGNORE
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
 
 B = 16  # fixed value: per-device batch size of the launchers
 V = ("v_labels",)
+BYTES = fx.SUBWORD_RESERVED
+PAD, SOT, EOT = BYTES.pad, BYTES.sot, BYTES.eot  # of the vocabulary that made the labels
 
 
 def labels(spark, sf_dir):
@@ -48,7 +50,7 @@ def q_assign(spark, sf_dir):
 
 @query("pad_labels", "WITH " + SQL_BATCH + f"\nSELECT idx, batch_id, {sql_pad('labels', PAD)} AS labels FROM m", V)
 def q_pad(spark, sf_dir):
-    return co.pad_labels(co.assign_batches(labels(spark, sf_dir))).select("idx", "batch_id", "labels")
+    return co.pad_labels(co.assign_batches(labels(spark, sf_dir)), fill=PAD).select("idx", "batch_id", "labels")
 
 
 SQL_MASKED = f"""mp AS (SELECT idx, batch_id, {sql_pad('labels', IGNORE)} AS labels,
@@ -72,12 +74,12 @@ SELECT idx, CASE WHEN every = 1 THEN labels[2:] ELSE labels END AS labels FROM s
     V,
 )
 def q_strip_start(spark, sf_dir):
-    return co.collate_plain(labels(spark, sf_dir)).select("idx", "labels")
+    return co.collate_plain(labels(spark, sf_dir), reserved=BYTES).select("idx", "labels")
 
 
 @query("shift_labels", "WITH " + SQL_BATCH + ",\n" + sql_shift() + "\nSELECT idx, decoder_input_ids, labels FROM s", V)
 def q_shift(spark, sf_dir):
-    b = co.pad_labels(co.assign_batches(labels(spark, sf_dir)))
+    b = co.pad_labels(co.assign_batches(labels(spark, sf_dir)), fill=PAD)
     return co.shift_labels(b).select("idx", "decoder_input_ids", "labels")
 
 
@@ -88,8 +90,8 @@ def q_shift(spark, sf_dir):
 )
 def q_mask_after_end(spark, sf_dir):
     b = co.assign_batches(labels(spark, sf_dir)).withColumn("real", F.size("labels") - 1)
-    b = co.shift_labels(co.pad_labels(b))
-    return b.select("idx", co.mask_after_end("labels", length="real").alias("labels"))
+    b = co.shift_labels(co.pad_labels(b, fill=PAD))
+    return b.select("idx", co.mask_after_end("labels", EOT, "real").alias("labels"))
 
 
 @query(
@@ -98,8 +100,8 @@ def q_mask_after_end(spark, sf_dir):
     V,
 )
 def q_mask_prompt(spark, sf_dir):
-    b = co.shift_labels(co.pad_labels(co.assign_batches(labels(spark, sf_dir))))
-    return b.select("idx", co.mask_prompt("labels").alias("labels"))
+    b = co.shift_labels(co.pad_labels(co.assign_batches(labels(spark, sf_dir)), fill=PAD))
+    return b.select("idx", co.mask_prompt("labels", SOT).alias("labels"))
 
 
 SQL_COLLATE = (
@@ -115,7 +117,7 @@ SELECT idx, batch_id, CAST(decoder_input_ids AS INTEGER[]) AS decoder_input_ids,
 
 @query("collate", SQL_COLLATE, V)
 def q_collate(spark, sf_dir):
-    return co.collate(labels(spark, sf_dir), batch_size=B).select("idx", "batch_id", "decoder_input_ids", "labels")
+    return co.collate(labels(spark, sf_dir), batch_size=B, reserved=BYTES).select("idx", "batch_id", "decoder_input_ids", "labels")
 
 
 def _features(spark, sf_dir):

@@ -9,7 +9,7 @@ from corpusprep.operators import collate as co
 from corpusprep.operators.order import buffered_shuffle
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
-from corpusprep.plans.q_collate import SQL_COLLATE
+from corpusprep.plans.q_collate import BYTES, SQL_COLLATE
 from corpusprep.session import scratch_path
 from corpusprep.streaming import stream as st
 
@@ -109,6 +109,6 @@ def q_stream_collate(spark, sf_dir):
     st.write_feed(lab.withColumn("part", F.floor(F.col("idx") / 37) % FILES), path, "part", FILES, "idx")
     s = st.read_stream(spark, path, "idx BIGINT, labels ARRAY<INT>", 3, with_position=False)
     sink, state, ck = (scratch_path(spark, f"labels-{x}") for x in ("sink", "state", "ckpt"))
-    transform = lambda b: co.collate(b, batch_size=16).select("idx", "batch_id", "decoder_input_ids", "labels")
+    transform = lambda b: co.collate(b, batch_size=16, reserved=BYTES).select("idx", "batch_id", "decoder_input_ids", "labels")
     st.run_carried(s, sink, state, ck, 16, transform)
     return st.read_sink(spark, sink).select("idx", "batch_id", "decoder_input_ids", "labels")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators import collate as co
 from corpusprep.operators import udf as ud
-from corpusprep.operators.tokens import EOT, IGNORE, PAD, SOT
+from corpusprep.operators.tokens import IGNORE
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
-from corpusprep.plans.q_collate import SQL_COLLATE
+from corpusprep.plans.q_collate import EOT, PAD, SOT, SQL_COLLATE
 from corpusprep.plans.q_text import MAX_SECONDS, MIN_SECONDS, SAMPLE_RATE
 from corpusprep.functions import text as tx
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from corpusprep.operators import collate as co
 from corpusprep.operators import labels as lb
 from corpusprep.operators import tokens as tk
-from corpusprep.operators.dropout import encode_dropout
 from corpusprep.operators.tokens import EOT, IGNORE, NOSPEECH, PAD, SOP, SOT
 
 VOCAB = [("hello", 10), ("world", 11), ("big", 12), ("hell", 13)]
@@ -84,30 +83,6 @@ def test_batches_never_mix(spark):
     assert [len(r.labels) for r in out] == [3, 3, 1, 1]
 
 
-def test_dropout_pieces(spark, vocab):
-    df = spark.createDataFrame([(1, "hello world hello helloo")], "k int, text string")
-    plain = encode_dropout(df, "k", "text", vocab, 0.0).orderBy("pos").collect()
-    assert [r.pieces for r in plain] == [["hello"], ["world"], ["hello"], ["hello", "o"]]
-    noisy = encode_dropout(df, "k", "text", vocab, 0.5, seed=1).collect()
-    assert all("".join(r.pieces) == r.word for r in noisy)
-    again = encode_dropout(df, "k", "text", vocab, 0.5, seed=1).collect()
-    assert sorted(map(tuple, (r.pieces for r in noisy))) == sorted(map(tuple, (r.pieces for r in again)))
-    many = spark.createDataFrame([(i, "hello") for i in range(200)], "k int, text string")
-    variants = {tuple(r.pieces) for r in encode_dropout(many, "k", "text", vocab, 0.3, seed=2).collect()}
-    assert len(variants) > 1
-
-
-def test_supplied_merges_and_piece_ids(spark):
-    merges = spark.createDataFrame([("l", "o", 1), ("lo", "w", 2), ("e", "r", 3)], "left string, right string, rank long")
-    vocab = spark.createDataFrame([("low", 10), ("er", 11), ("l", 12)], "token string, id int")
-    df = spark.createDataFrame([(1, "lower low"), (2, "x")], "k int, text string")
-    pieces = encode_dropout(df, "k", "text", merges=merges)
-    assert {(r.k, r.pos): r.pieces for r in pieces.collect()} == {(1, 0): ["low", "er"], (1, 1): ["low"], (2, 0): ["x"]}
-    from corpusprep.operators.dropout import piece_ids
-
-    assert {r.k: r.ids for r in piece_ids(pieces, "k", vocab).collect()} == {1: [10, 11, 10], 2: [tk.UNK]}
-
-
 def test_compat_draws_are_position_locked(spark):
     df = co.assign_batches(spark.range(64).withColumnRenamed("id", "idx"), batch_size=16)
     u = df.select("batch_id", "pos", lb.batch_position_draw(42, "prompt", F.col("pos")).alias("u"), lb.row_draw(42, "prompt", 0, "idx").alias("v"))
@@ -118,7 +93,7 @@ def test_compat_draws_are_position_locked(spark):
 def test_encode_same_without_broadcast(spark, vocab, monkeypatch):
     df = spark.createDataFrame([(1, "hello big world hell"), (2, "world")], "k int, text string")
     a = sorted((r.k, tuple(r.ids)) for r in tk.encode(df, "k", "text", vocab).collect())
-    monkeypatch.setattr(tk, "VOCAB_BROADCAST_MAX", 0)
+    monkeypatch.setattr(tk, "VOCAB_BROADCAST_BYTES", -1)
     b = sorted((r.k, tuple(r.ids)) for r in tk.encode(df, "k", "text", vocab).collect())
     assert a == b == [(1, (10, 12, 11, 13)), (2, (11,))]
 

@@ -45,7 +45,7 @@ def test_split_folder_pruned(spark):
 
 
 def test_vocabulary_join_is_broadcast(spark):
-    s = E.queries()["encode_text"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    s = E.queries()["encode_words"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in s
 
 
@@ -87,7 +87,7 @@ def test_splits_scan_once(spark):
 
 def test_words_are_not_shuffled(spark):
     """No exchange above the exploded words: rows are partitioned by key before."""
-    for key in ("encode_text", "decode_ids"):
+    for key in ("encode_words", "decode_words"):
         lines = _executed(spark, key).split("\n")
         above = lines[: next(i for i, x in enumerate(lines) if "posexplode" in x)]
         first = next(i for i, x in enumerate(lines) if "posexplode" in x)
@@ -99,3 +99,11 @@ def test_words_are_not_shuffled(spark):
                 ancestors.append(x)
                 d = at
         assert not any("Exchange hashpartitioning" in x for x in ancestors if "BroadcastExchange" not in x), key
+
+
+def test_subwords_need_no_shuffle_and_one_pass(spark):
+    for key in ("encode_text", "decode_ids", "encode_subword_dropout"):
+        plan = _executed(spark, key)
+        assert "Exchange" not in plan and "Join" not in plan
+    # texts, prompts and stamped texts of a row go through Python together
+    assert _executed(spark, "attach_prompt").count("ArrowEvalPython") == 1
