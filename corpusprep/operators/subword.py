@@ -200,8 +200,9 @@ def encode_dropout(
     return _iterator_udf(run, columns=2)(_column(text), name)
 
 
-def decode(ids: Column | str, ranks: Broadcast, reserved: Sequence[int] = ()) -> Column:
-    """The text of an id column: reserved and negative ids are left out, bytes joined, then read as UTF-8.
+def decode_all(ids: Sequence[Column | str], ranks: Broadcast, reserved: Sequence[int] = ()) -> list[Column]:
+    """The texts of several id columns of a row, in one pass: reserved and negative ids are left out, bytes
+    joined, then read as UTF-8.
 
     A character that lost bytes (ids cut at a length) becomes U+FFFD; any other id that
     is no token is an error. Null ids have no text.
@@ -210,11 +211,20 @@ def decode(ids: Column | str, ranks: Broadcast, reserved: Sequence[int] = ()) ->
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = {i: t for t, i in ranks.value.items()}
+
+        def text_of(row) -> str:
+            return b"".join(tokens[i] for i in row or () if i >= 0 and i not in skip).decode("utf-8", "replace")
+
         for batch in batches:
-            rows = [b"".join(tokens[i] for i in row or () if i >= 0 and i not in skip).decode("utf-8", "replace") for row in batch.to_pylist()]
-            yield pa.array(rows, pa.string())
+            yield pa.array([[text_of(ids) for ids in row] for row in batch.to_pylist()], pa.list_(pa.string()))
 
-    return _iterator_udf(run, "string")(_column(ids))
+    together = _iterator_udf(run, "array<string>")(F.array(*[_column(c) for c in ids]))
+    return [F.get(together, k) for k in range(len(ids))]
+
+
+def decode(ids: Column | str, ranks: Broadcast, reserved: Sequence[int] = ()) -> Column:
+    """The text of one id column, as :func:`decode_all`."""
+    return decode_all([ids], ranks, reserved)[0]
 
 
 # --- SQL twins (DuckDB) ----------------------------------------------------------------

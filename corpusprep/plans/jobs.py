@@ -13,7 +13,7 @@ from corpusprep.operators.index import dense_index, hash_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
 from corpusprep.session import checkpoint_dir
-from corpusprep.sources.sinks import with_shards, write_sharded
+from corpusprep.sources.sinks import shard_layout, write_sharded
 
 def interleave_job(
     rows: DataFrame,
@@ -68,7 +68,7 @@ def interleave_job(
     else:
         narrow = three_way_split(mx.join_rows(taken, origins, sizes, counts), "slot", test_ratio, valid_ratio, seed)
     h = draw_hash(seed, "order", "slot")
-    shards = with_shards(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
-    shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard")
+    shards, plan = shard_layout(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
+    shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard", "part")
     payload = origins.drop("_bytes").join(rows, ["source_id", origin])  # one row per used origin, with its k
-    write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode)
+    write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode, plan=plan)

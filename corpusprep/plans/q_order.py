@@ -12,7 +12,7 @@ from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
 from corpusprep.plans.q_mix import SEED, TEST_RATIO, VALID_RATIO, _sql_mixed, _sql_split, mixed
 from corpusprep.operators.index import hash_block
-from corpusprep.sources.sinks import with_shards
+from corpusprep.sources.sinks import shard_layout
 
 BUFFER = 20  # fixed value: default shuffle buffer of the streaming reader
 EVAL_ROWS = 2048  # fixed value: evaluation row cap of the launchers
@@ -159,7 +159,7 @@ sh AS (SELECT split, doc_id, idx, CAST(CASE WHEN idx < r * (q + 1) THEN idx // (
 
 
 def sharded(spark, sf_dir):
-    """(doc_id, split, idx, shard) computed on keys and row sizes only."""
+    """(doc_id, split, idx, shard, part) computed on keys and row sizes only, and the plan of the write."""
     from corpusprep.functions.draws import draw_hash
     from corpusprep.operators.shard import row_bytes
 
@@ -167,12 +167,13 @@ def sharded(spark, sf_dir):
     keys = d.select("doc_id", row_bytes(d).alias("_bytes"))
     s = three_way_split(keys, "doc_id", TEST_RATIO, VALID_RATIO, SEED)
     h = draw_hash(SEED, "order", "doc_id")
-    return with_shards(s, [h, "doc_id"], "split", SMALL_SHARD, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536).drop("_bytes")
+    laid, plan = shard_layout(s, [h, "doc_id"], "split", SMALL_SHARD, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
+    return laid.drop("_bytes"), plan
 
 
 @query("contiguous_shard", _sql_shards() + "\nSELECT split, doc_id, idx, shard FROM sh")
 def q_contiguous(spark, sf_dir):
-    return sharded(spark, sf_dir).select("split", "doc_id", "idx", "shard")
+    return sharded(spark, sf_dir)[0].select("split", "doc_id", "idx", "shard")
 
 
 @query(
@@ -182,13 +183,39 @@ def q_contiguous(spark, sf_dir):
 )
 def q_write_sharded(spark, sf_dir):
     """Write the split documents as contiguous shards, read the folder back, describe each shard."""
+    back = spark.read.parquet(_written(spark, sf_dir))
+    return back.groupBy("split", F.col("shard").cast("bigint").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.sum("n_chars").alias("n_chars")
+    )
+
+
+def _written(spark, sf_dir):
     from corpusprep.session import scratch_path
     from corpusprep.sources.sinks import write_sharded
 
     path = scratch_path(spark, "sharded")
+    keys, plan = sharded(spark, sf_dir)
     payload = fx.table(spark, sf_dir, "documents")
-    write_sharded(sharded(spark, sf_dir).join(payload, "doc_id"), path)  # payload joined once, at the write
-    back = spark.read.parquet(path)
-    return back.groupBy("split", F.col("shard").cast("bigint").alias("shard")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.sum("n_chars").alias("n_chars")
+    write_sharded(keys.join(payload, "doc_id"), path, plan=plan)  # payload joined once, at the write
+    return path
+
+
+@query(
+    "row_groups",
+    _sql_shards()
+    + """
+SELECT split, shard, count(*) AS n_rows, (count(*) + 127) // 128 AS n_groups, least(count(*), 128) AS longest,
+ count(*) - 128 * ((count(*) - 1) // 128) AS last_rows FROM sh GROUP BY split, shard""",
+)
+def q_row_groups(spark, sf_dir):
+    """The row groups of the written shards, from the footers of their files: 128 rows each, but for the last of a shard."""
+    from corpusprep.sources.files import row_groups
+
+    groups = row_groups(spark, _written(spark, sf_dir))
+    folder = F.url_decode("file")
+    each = groups.select(
+        F.regexp_extract(folder, "split=([^/]*)/", 1).alias("split"), F.regexp_extract(folder, "shard=([0-9]+)/", 1).cast("bigint").alias("shard"), "file", "group", "n_rows"
+    )
+    return each.groupBy("split", "shard").agg(
+        F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.max("n_rows").alias("longest"), F.max_by("n_rows", F.struct("file", "group")).alias("last_rows")
     )

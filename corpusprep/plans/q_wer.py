@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
+from corpusprep.operators import subword as sw
+from corpusprep.operators import tokens as tk
+from corpusprep.operators import udf as ud
 from corpusprep.operators import wer as wr
 from corpusprep.plans import fixtures as fx
 from corpusprep.plans.catalog import query
 
-MARKER = " " + tx.NOSPEECH
+MARKER = wr.MARKER
 
 
 def sql_edits(src: str) -> str:
@@ -40,8 +43,9 @@ s3 AS (SELECT pair_id, data_source, ref, hyp FROM s2 WHERE NOT mk)"""
 def sql_wer(src: str, by: str | None = None) -> str:
     sel = f"{by}, " if by else ""
     grp = f" GROUP BY {by}" if by else ""
-    return f"""SELECT {sel}count(*) AS n_pairs, CAST(sum(edits) AS BIGINT) AS errors, CAST(sum(ref_words) AS BIGINT) AS ref_words,
- 100.0::DOUBLE * CAST(sum(edits) AS DOUBLE) / CAST(sum(ref_words) AS DOUBLE) AS wer FROM {src} WHERE ref_words > 0{grp}"""
+    ok = "FILTER (ref_words > 0)"
+    return f"""SELECT {sel}count(*) {ok} AS n_pairs, count(*) FILTER (ref_words = 0) AS n_dropped, CAST(sum(edits) {ok} AS BIGINT) AS errors,
+ CAST(sum(ref_words) {ok} AS BIGINT) AS ref_words, 100.0::DOUBLE * CAST(sum(edits) {ok} AS DOUBLE) / CAST(sum(ref_words) {ok} AS DOUBLE) AS wer FROM {src}{grp}"""
 
 
 @query("edit_distance", "WITH RECURSIVE " + sql_edits("v_pairs") + "\nSELECT pair_id, ref_words, hyp_words, edits FROM e2", ("v_pairs",))
@@ -60,6 +64,18 @@ def q_wer_filtered(spark, sf_dir):
     return wr.wer_filtered(fx.v_pairs(spark, sf_dir))
 
 
+@query("wer_from_ids", "WITH RECURSIVE " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2", "data_source"), ("v_pairs",))
+def q_wer_from_ids(spark, sf_dir):
+    """The whole evaluation from label ids (framed, padded with the ignore mark) and predicted ids, per data source."""
+    ranks, own = fx.ranks(spark), fx.SUBWORD_RESERVED
+    ref, hyp = sw.encode_all(["ref", "hyp"], ranks)
+    framed = lambda ids: tk.with_specials(ids, max_length=None, reserved=own)
+    ids = fx.v_pairs(spark, sf_dir).select(
+        "data_source", F.concat(framed(ref), F.array(F.lit(tk.IGNORE), F.lit(tk.IGNORE))).alias("labels"), F.concat(framed(hyp), F.array(F.lit(own.pad))).alias("predictions")
+    )
+    return wr.wer_from_ids(ids, "labels", "predictions", ranks, own, by="data_source")
+
+
 @query("drop_empty_pairs", "WITH " + SQL_STAGES + "\nSELECT pair_id, ref, hyp FROM s2", ("v_pairs",))
 def q_drop_empty(spark, sf_dir):
     return wr.filter_pairs(fx.v_pairs(spark, sf_dir))["non_empty_ref"].select("pair_id", "ref", "hyp")
@@ -67,8 +83,7 @@ def q_drop_empty(spark, sf_dir):
 
 @query("drop_marker_pairs", f"SELECT pair_id, ref, hyp FROM v_pairs WHERE NOT contains(ref, '{MARKER}')", ("v_pairs",))
 def q_drop_marker(spark, sf_dir):
-    p = fx.v_pairs(spark, sf_dir)
-    return p.filter(~F.col("ref").contains(MARKER)).select("pair_id", "ref", "hyp")
+    return wr.without_marker(fx.v_pairs(spark, sf_dir)).select("pair_id", "ref", "hyp")
 
 
 @query(
@@ -99,3 +114,31 @@ def q_pair_counts(spark, sf_dir):
 def q_udaf_metric(spark, sf_dir):
     """The metric as a grouped aggregate: one rate per data source."""
     return wr.wer_filtered(fx.v_pairs(spark, sf_dir), by="data_source")
+
+
+def user_start():
+    return {"n_pairs": 0, "n_dropped": 0, "errors": 0, "ref_words": 0}
+
+
+def user_fold(state, rows):
+    """User code over some rows of a group: adds what they count."""
+    scored = rows[rows["ref_words"] > 0]
+    add = {"n_pairs": len(scored), "n_dropped": len(rows) - len(scored), "errors": int(scored["edits"].sum()), "ref_words": int(scored["ref_words"].sum())}
+    return {k: state[k] + v for k, v in add.items()}
+
+
+def user_merge(a, b):
+    return {k: a[k] + b[k] for k in a}
+
+
+def user_finish(state):
+    return {**state, "wer": 100.0 * state["errors"] / state["ref_words"] if state["ref_words"] else None}
+
+
+@query("udaf_user", "WITH RECURSIVE " + SQL_STAGES + ",\n" + sql_edits("s3") + "\n" + sql_wer("e2", "data_source"), ("v_pairs",))
+def q_udaf_user(spark, sf_dir):
+    """The same metric as user code: a state per task and group, merged in a tree, then finished."""
+    kept = wr.filter_pairs(fx.v_pairs(spark, sf_dir))["no_marker"]
+    edited = wr.pair_edits(kept).select("data_source", "ref_words", "edits")
+    state = "n_pairs long, n_dropped long, errors long, ref_words long"
+    return ud.user_aggregate(edited, "data_source", user_start, user_fold, user_merge, user_finish, state, state + ", wer double")

@@ -127,3 +127,24 @@ def read_sources(
     if out is None:
         raise ValueError("at least one source is needed")
     return out
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(file, group, n_rows): the row groups of every Parquet file below ``path``, from the files' footers."""
+    import io
+
+    def footers(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                meta = pq.ParquetFile(io.BytesIO(content.as_buffer())).metadata
+                rows += [(name, k, meta.row_group(k).num_rows) for k in range(meta.num_row_groups)]
+            columns = list(zip(*rows)) or [()] * 3
+            types = (pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["file", "group", "n_rows"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "content").mapInArrow(footers, "file string, `group` long, n_rows long")

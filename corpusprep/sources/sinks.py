@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.operators.index import dense_index
@@ -10,9 +12,59 @@ from corpusprep.operators.shard import SHARD_LIMIT, contiguous_shard, estimate_b
 from corpusprep.sources.files import has_files
 
 ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
+#: Bytes (as estimated) that one write task takes of a shard.
+TASK_BYTES = 256 * 10**6
+
 
+@dataclass(frozen=True)
+class ShardPlan:
+    """Where every row of a split goes: split → (rows, shards, rows of a write task, first partition), and all partitions.
+
+    A shard is cut into write tasks of whole row groups, so its last row group alone can
+    be short; partitions are numbered along (split, shard, position).
+    """
 
-def with_shards(
+    splits: dict
+    parts: int
+
+    @classmethod
+    def of(cls, indexed: DataFrame, split: str, limit: int = SHARD_LIMIT, bytes_col: str | None = None, rows_per_group: int = ROWS_PER_GROUP) -> ShardPlan:
+        """From the row count and bytes of each split (one row a split reaches the driver)."""
+        if bytes_col:
+            sized = indexed.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bytes_col).cast("bigint").alias("nbytes"))
+        else:
+            sized = estimate_bytes(indexed.drop("idx"), split)
+        sized = sized.withColumn("n_shards", F.least(shard_count("nbytes", limit), F.col("n_rows")))
+        rows = sorted(sized.collect(), key=lambda r: str(r[split]))
+        total = sum(r.n_rows for r in rows)
+        tasks = indexed.sparkSession.sparkContext.defaultParallelism
+        splits, parts = {}, 0
+        for r in rows:
+            by_bytes = TASK_BYTES * r.n_rows // max(r.nbytes, 1)
+            groups = max(1, -(-min(by_bytes, -(-total // tasks)) // rows_per_group))
+            chunk = groups * rows_per_group
+            splits[r[split]] = (r.n_rows, r.n_shards, chunk, parts)
+            parts += r.n_shards * -(-(-(-r.n_rows // r.n_shards)) // chunk)
+        return cls(splits, max(parts, 1))
+
+    def _of(self, split: str, k: int) -> Column:
+        if not self.splits:
+            return F.lit(None).cast("bigint")
+        return F.element_at(F.create_map(*[x for s, v in self.splits.items() for x in (F.lit(s), F.lit(v[k]).cast("bigint"))]), F.col(split))
+
+    def shard(self, split: str = "split", idx: str = "idx") -> Column:
+        return contiguous_shard(idx, self._of(split, 0), self._of(split, 1))
+
+    def part(self, split: str = "split", idx: str = "idx", shard: str = "shard") -> Column:
+        """Partition of a row, from the position in its shard."""
+        n, shards, chunk, first = (self._of(split, k) for k in range(4))
+        small = F.floor(n / shards).cast("bigint")
+        begin = F.col(shard) * small + F.least(F.col(shard), n % shards)
+        chunks = F.ceil(F.ceil(n / shards) / chunk).cast("bigint")
+        return (first + F.col(shard) * chunks + F.floor((F.col(idx) - begin) / chunk)).cast("int")
+
+
+def shard_layout(
     df: DataFrame,
     order,
     split: str = "split",
@@ -21,57 +73,51 @@ def with_shards(
     bytes_col: str | None = None,
     block=None,
     blocks_bound: int | None = None,
-) -> DataFrame:
-    """Add ``idx`` (position inside its split, in ``order``) and contiguous ``shard``.
+) -> tuple[DataFrame, ShardPlan]:
+    """Add ``idx`` (position inside its split, in ``order``), contiguous ``shard`` and write partition ``part``.
 
-    Shard counts come from a per-split size table (one row per split).  Pass
-    a narrow key frame with a per-row ``bytes_col`` (see ``row_bytes``) to
+    Pass a narrow key frame with a per-row ``bytes_col`` (see ``row_bytes``) to
     index keys only and join the wide payload once, at the write.
     """
     indexed = dense_index(df, order, split, name="idx", groups_bound=splits_bound, block=block, blocks_bound=blocks_bound)
-    if bytes_col:
-        sized = indexed.groupBy(split).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bytes_col).cast("bigint").alias("nbytes"))
-    else:
-        sized = estimate_bytes(indexed.drop("idx"), split)
-    sized = sized.withColumn("n_shards", F.least(shard_count("nbytes", limit), F.col("n_rows")))
-    out = indexed.join(F.broadcast(sized.select(split, "n_rows", "n_shards")), split)
-    return out.withColumn("shard", contiguous_shard("idx", "n_rows", "n_shards")).drop("n_rows", "n_shards")
+    plan = ShardPlan.of(indexed, split, limit, bytes_col)
+    return indexed.withColumn("shard", plan.shard(split)).withColumn("part", plan.part(split)), plan
 
 
-def layout_for_write(df: DataFrame, split: str = "split") -> DataFrame:
-    """Range-partition on (split, shard, idx): every task holds a contiguous run.
-
-    The local sort is left to :func:`write_sharded`: a sort placed under a
-    join is dropped by the optimizer, since joins do not promise an order.
-    """
-    return df.repartitionByRange(split, "shard", "idx")
+def with_shards(df: DataFrame, order, split: str = "split", limit: int = SHARD_LIMIT, **how) -> DataFrame:
+    """``idx`` and ``shard`` of :func:`shard_layout`."""
+    return shard_layout(df, order, split, limit, **how)[0].drop("part")
 
 
 def write_sharded(
-    df: DataFrame,
-    path: str,
-    split: str = "split",
-    mode: str = "errorifexists",
-    rows_per_group: int = ROWS_PER_GROUP,
-    avg_row_bytes: int = 4096,
-    laid_out: bool = False,
+    df: DataFrame, path: str, split: str = "split", mode: str = "errorifexists", rows_per_group: int = ROWS_PER_GROUP, plan: ShardPlan | None = None
 ) -> None:
-    """One folder per (split, shard), rows in index order, small row groups.
+    """One folder per (split, shard), rows in index order, row groups of exactly ``rows_per_group`` rows.
 
     The layout is ``<path>/split=<s>/shard=<i>/part-*.parquet`` so a reader can
-    prune by split and by shard.  Rows are range-partitioned on (split, shard,
-    idx): every write task takes a contiguous run of positions, so a large
+    prune by split and by shard.  Every row goes to the write task that ``plan`` numbers
+    for its place (``part`` where the frame has it), so nothing is sampled, a large
     shard is written by several tasks at once and its part files, in name
-    order, are still in position order.  ``laid_out``: ``df`` already went
-    through :func:`layout_for_write` (e.g. before a broadcast join, which
-    keeps the partitioning of its streamed side); only the local sort is left.
+    order, are in position order. Without a ``plan`` one is made of the frame's own positions.
+    The writer closes a row group by its number of rows, whatever their width; only the
+    last one of a shard can be shorter.
     """
-    ordered = (df if laid_out else layout_for_write(df, split)).sortWithinPartitions(split, "shard", "idx")
+    plan = plan or _plan_of_shards(df, split, rows_per_group)
+    placed = df if "part" in df.columns else df.withColumn("part", plan.part(split))
+    ordered = placed.repartitionById(plan.parts, F.col("part")).sortWithinPartitions(split, "shard", "idx").drop("part")
     writer = ordered.write.mode(mode).partitionBy(split, "shard")
-    # Parquet writers close a row group by bytes: about rows_per_group rows of the average size, checked often enough
-    writer = writer.option("parquet.block.size", rows_per_group * avg_row_bytes)
-    writer = writer.option("parquet.page.size.row.check.min", rows_per_group).option("parquet.block.size.row.check.min", rows_per_group)
-    writer.option("parquet.block.size.row.check.max", rows_per_group).parquet(path)
+    # the byte limit must not close a group first
+    writer.option("parquet.block.row.count.limit", rows_per_group).option("parquet.block.size", 2**31 - 1).parquet(path)
+
+
+def _plan_of_shards(df: DataFrame, split: str, rows_per_group: int) -> ShardPlan:
+    """A plan for rows that already have ``idx`` and ``shard``: rows and shards counted, one write task for ``rows_per_group`` x 64 rows."""
+    sized = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"), (F.max("shard") + 1).alias("shards")).collect()  # one row a split
+    splits, parts, chunk = {}, 0, rows_per_group * 64
+    for r in sorted(sized, key=lambda r: str(r[split])):
+        splits[r[split]] = (r.n, r.shards, chunk, parts)
+        parts += r.shards * -(-(-(-r.n // r.shards)) // chunk)
+    return ShardPlan(splits, max(parts, 1))
 
 
 def guarded_write(df: DataFrame, path: str, overwrite: bool = False, **opts) -> None:

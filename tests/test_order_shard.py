@@ -104,3 +104,47 @@ def test_write_sharded_round_trip(spark):
         assert r.b - r.a + 1 == r.n  # contiguous
     with pytest.raises(Exception):
         write_sharded(sh, path)  # output guard
+
+
+def test_row_groups_of_any_width(spark):
+    """Groups close at 128 rows whether rows are narrow or a megabyte wide in memory; files are in position order."""
+    from corpusprep.sources.files import row_groups
+    from corpusprep.sources.sinks import shard_layout
+
+    for n, width in ((1000, 1), (300, 40_000)):
+        df = spark.range(n).select(F.col("id").alias("key"), F.lit("train").alias("split"), F.transform(F.sequence(F.lit(1), F.lit(width)), lambda x: F.xxhash64("id", x)).alias("payload"))
+        keys, plan = shard_layout(df.select("key", "split", F.lit(8 * width).cast("long").alias("b")), ["key"], "split", limit=8 * width * n // 2, bytes_col="b")
+        path = scratch_path(spark, "t-groups")
+        write_sharded(keys.drop("b").join(df.drop("split"), "key"), path, plan=plan)
+        groups = row_groups(spark, path).orderBy("file", "group").collect()
+        shards = {}
+        for g in groups:
+            shards.setdefault(g.file.split("shard=")[1][0], []).append(g.n_rows)
+        assert len(shards) == 3 and sum(g.n_rows for g in groups) == n
+        assert all(r == 128 for rows in shards.values() for r in rows[:-1])
+        read = spark.read.parquet(path).select("idx", "shard", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i")).collect()
+        ordered = sorted(read, key=lambda r: (r.shard, r.f, r.i))
+        assert [r.idx for r in ordered] == list(range(n))
+
+
+@pytest.mark.parametrize("n,limit", [(1, 10), (129, 10**9), (1000, 700), (777, 3000)])
+def test_every_row_has_its_own_place(spark, n, limit):
+    from corpusprep.sources.sinks import shard_layout
+
+    df = spark.range(n).select("id", F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"), F.lit(10).cast("long").alias("b"))
+    laid, plan = shard_layout(df, ["id"], "split", limit=limit, bytes_col="b")
+    rows = sorted(laid.collect(), key=lambda r: (r.split, r.idx))
+    parts = [r.part for r in rows]
+    assert parts == sorted(parts) and parts[0] == 0 and parts[-1] < plan.parts
+    assert len({(r.split, r.shard, r.part) for r in rows}) == len(set(parts))  # a write task takes rows of one shard
+
+
+def test_placement_is_not_sampled(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **kw: seen.append(self._df))
+    df = spark.range(500).select("id", F.lit("train").alias("split"))
+    write_sharded(with_shards(df, ["id"], "split", block=F.floor(F.col("id") / 65536)), "unused")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

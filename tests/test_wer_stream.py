@@ -127,3 +127,72 @@ def test_take_stops_the_stream(spark):
     got = sorted(r.event_id for r in st.read_sink(spark, sink).collect())
     want = sorted([r for r in range(500) if r % 5 == 0] + [r for r in range(500) if r % 5 == 1][:50])
     assert got == want
+
+
+def words_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], min(diagonal + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def test_banded_distance_is_brute_force(spark, monkeypatch):
+    import random
+
+    rng = random.Random(11)
+    rows = []
+    for k in range(60):
+        a = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 120))]
+        b = [w for w in a if rng.random() < 0.9] if k % 2 else [f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 90))]
+        for _ in range(rng.randrange(6)):
+            b.insert(rng.randrange(len(b) + 1), rng.choice(["new", "\U0001f600", "w1"]))
+        rows.append((k, " ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "pair_id int, ref string, hyp string")
+    want = {k: words_distance(a.split(), b.split()) for k, a, b in rows}
+    assert max(want.values()) > 64  # several bands are needed
+    assert {r.pair_id: r.edits for r in wr.pair_edits(df).collect()} == want
+    monkeypatch.setattr(wr, "SYMBOLS", 8)  # words of a pair share hashes: numbers from the dictionary
+    assert {r.pair_id: r.edits for r in wr.pair_edits(df).collect()} == want
+
+
+def test_a_pair_of_twenty_thousand_words(spark):
+    words = [f"word{k % 15_000}" for k in range(20_000)]
+    other = [w for k, w in enumerate(words) if k % 500] + ["more"] * 7
+    df = spark.createDataFrame([(1, " ".join(words), " ".join(other))], "pair_id int, ref string, hyp string")
+    r = wr.pair_edits(df).first()
+    assert (r.ref_words, r.edits) == (20_000, 40 + 7)
+
+
+def test_pairs_without_reference_are_counted(spark):
+    df = spark.createDataFrame([(1, "a b", "a"), (2, "", "x"), (3, " ", "")], "pair_id int, ref string, hyp string")
+    r = wr.corpus_wer(wr.pair_edits(df)).first()
+    assert (r.n_pairs, r.n_dropped, r.errors, r.ref_words) == (1, 2, 1, 2)
+
+
+def test_user_aggregate_folds_merges_and_finishes(spark, monkeypatch):
+    from corpusprep.operators import udf as ud
+
+    monkeypatch.setattr(ud, "OPEN_GROUPS", 3)  # states are passed on early
+    df = spark.range(5000).selectExpr("if(id % 7 = 3, null, id % 7) as k", "concat('s', id % 2) as name", "id as v").repartition(9)
+
+    def spread(state):
+        return {"n": state["n"], "width": state["hi"] - state["lo"]}
+
+    got = ud.user_aggregate(
+        df,
+        ["k", "name"],
+        lambda: {"n": 0, "lo": 1 << 40, "hi": -1},
+        lambda s, rows: {"n": s["n"] + len(rows), "lo": min(s["lo"], int(rows["v"].min())), "hi": max(s["hi"], int(rows["v"].max()))},
+        lambda a, b: {"n": a["n"] + b["n"], "lo": min(a["lo"], b["lo"]), "hi": max(a["hi"], b["hi"])},
+        spread,
+        "n long, lo long, hi long",
+        "n long, width long",
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 2 and "MapInPandas" in plan
+    want = df.groupBy("k", "name").agg(F.count("*").alias("n"), (F.max("v") - F.min("v")).alias("width"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    empty = ud.user_aggregate(df.where("v < 0"), "name", dict, lambda s, r: s, lambda a, b: a, spread, "n long, lo long, hi long", "n long, width long")
+    assert empty.collect() == []
