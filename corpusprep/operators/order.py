@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.draws import draw, draw_hash
@@ -54,6 +54,36 @@ def buffered_shuffle(df: DataFrame, idx: str, buffer: int = 20, seed: int = 42,
     return dense_index(k, ["_bk", idx], name=name, block=blk).drop("_bk")
 
 
+#: Rows that one replacement buffer runs over.
+SLICE_ROWS = 65_536
+
+
+def replacement_shuffle(df: DataFrame, idx: str, buffer: int = 20, seed: int = 42, epoch: int = 0, name: str = "pos", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Shuffle through a buffer of ``buffer`` rows, as a streaming reader does: rows fill the buffer, then every
+    arrival takes the place of a drawn row, which leaves; what the buffer holds at the end leaves in drawn order.
+
+    A row can stay behind for as long as its slot is not drawn, so its way is not bounded as
+    in :func:`buffered_shuffle`. There is one buffer for each slice of ``slice_rows``
+    positions of ``idx`` (dense, from 0). Nothing is simulated row by row: row k sits in
+    the slot it drew (its own number while the buffer fills) and leaves when that slot is
+    drawn next, which is a ``lead`` over (slice, slot).
+    """
+    if buffer < 1 or slice_rows < 1:
+        raise ValueError("buffer and slice_rows must be at least 1")
+    b = F.lit(int(buffer)).cast("bigint")
+    s = df.withColumns({"_slice": F.expr(f"`{idx}` div {int(slice_rows)}"), "_k": F.col(idx) % slice_rows})
+    u = draw(seed, "slot", F.lit(epoch), "_slice", "_k")
+    s = s.withColumn("_slot", F.when(F.col("_k") < b, F.col("_k")).otherwise(u % b))
+    s = s.withColumn("_next", F.lead("_k").over(Window.partitionBy("_slice", "_slot").orderBy("_k")))
+    left = F.col("_next").isNull()
+    # rows that stay to the end: at most ``buffer`` a slice, in the order of their draws after those that left
+    rest = Window.partitionBy("_slice").orderBy(F.when(left, 0).otherwise(1), draw_hash(seed, "rest", F.lit(epoch), "_slice", "_slot"), "_slot")
+    whole = Window.partitionBy("_slice")
+    s = s.withColumns({"_n": F.count(F.lit(1)).over(whole), "_rest": F.row_number().over(rest) - 1})
+    place = F.when(left, F.greatest(F.col("_n") - b, F.lit(0)) + F.col("_rest")).otherwise(F.col("_next") - b)
+    return s.withColumn(name, (F.col("_slice") * slice_rows + place).cast("bigint")).drop("_slice", "_k", "_slot", "_next", "_n", "_rest")
+
+
 def file_order_shuffle(df: DataFrame, root: str, buffer: int = 20, seed: int = 42, epoch: int = 0, name: str = "pos") -> DataFrame:
     """Streaming-style shuffle: files in hashed order, rows in file order, then a buffered shuffle.
 

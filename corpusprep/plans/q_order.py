@@ -59,6 +59,29 @@ def q_epochs(spark, sf_dir):
     return out
 
 
+SLICE = 512  # rows of one replacement buffer in the query, so that every table has several
+
+
+def _sql_replacement() -> str:
+    """The buffer step by step: every step of the recursion takes one arrival of each slice."""
+    slot = f"CAST({sql_draw(SEED, 'slot', '0', 'd.slice', 'd.k')} % {BUFFER} AS INTEGER)"
+    return f"""WITH RECURSIVE d0 AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),
+d AS MATERIALIZED (SELECT doc_id, idx, idx // {SLICE} AS slice, idx % {SLICE} AS k FROM d0),
+st AS (SELECT slice, CAST({BUFFER} AS BIGINT) AS t, list(idx ORDER BY k) AS buf, CAST(NULL AS BIGINT) AS leaves FROM d WHERE k < {BUFFER} GROUP BY slice
+  UNION ALL SELECT st.slice, t + 1, list_concat(list_concat(buf[1:{slot}], [d.idx]), buf[{slot} + 2:]), buf[{slot} + 1]
+  FROM st JOIN d ON d.slice = st.slice AND d.k = st.t),
+ends AS (SELECT slice, unnest(arg_max(buf, t)) AS idx, generate_subscripts(arg_max(buf, t), 1) - 1 AS slot, greatest((SELECT count(*) FROM d WHERE d.slice = st.slice) - {BUFFER}, 0) AS gone FROM st GROUP BY slice),
+o AS (SELECT leaves AS idx, slice * {SLICE} + t - 1 - {BUFFER} AS pos FROM st WHERE leaves IS NOT NULL
+  UNION ALL SELECT idx, slice * {SLICE} + gone + row_number() OVER (PARTITION BY slice ORDER BY {sql_draw_hash(SEED, 'rest', '0', 'slice', 'slot')}, slot) - 1 FROM ends)
+SELECT doc_id, idx, CAST(pos AS BIGINT) AS pos FROM o JOIN d USING (idx)"""
+
+
+@query("replacement_shuffle", _sql_replacement())
+def q_replacement(spark, sf_dir):
+    """Shuffle by a buffer whose drawn row is replaced by the next arrival."""
+    return od.replacement_shuffle(_indexed(spark, sf_dir), "idx", BUFFER, SEED, 0, slice_rows=SLICE).select("doc_id", "idx", "pos")
+
+
 FEED_FILES = 10
 
 

@@ -15,26 +15,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusprep.operators.index import dense_index
+from corpusprep.operators.order import SPACE, buffer_key, buffered_shuffle
 from corpusprep.sources.files import _hadoop_path, has_files
 
+#: Files of one micro-batch, unless the caller says otherwise.
+FILES_PER_TRIGGER = 64
 
-def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, with_position: bool = True) -> DataFrame:
-    """Lazy Parquet read of a split folder or file, ``files_per_trigger`` files per micro-batch (default: all there are).
+
+def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = FILES_PER_TRIGGER, with_position: bool = True) -> DataFrame:
+    """Lazy Parquet read of a split folder or file, at most ``files_per_trigger`` files per micro-batch.
 
     ``file`` (the file's folder and name) and ``row_in_file`` give the in-batch arrival order.
     """
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    s = reader.parquet(path)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
     if with_position:
         s = s.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_in_file"))
     return s
 
 
-def in_arrival_order(batch: DataFrame, name: str = "idx") -> DataFrame:
-    """Adds the dense position of each row of a micro-batch: by file, then row, however many files it has."""
-    return dense_index(batch, ["file", "row_in_file"], name=name)
+def in_arrival_order(batch: DataFrame) -> tuple[DataFrame, int]:
+    """Adds ``idx``, the dense position of each row of a micro-batch by file, then row; and the number of rows."""
+    return dense_index(batch, ["file", "row_in_file"]), batch.count()
 
 
 def batch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame] | None = None):
@@ -66,71 +67,126 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, transform=None,
     wait(start_available(stream, checkpoint, batch_writer(sink, transform)), timeout_s)
 
 
-def written_rows(spark: SparkSession, sink: str, before: int) -> int:
-    """Rows in the batch folders of ``sink`` before batch ``before``; an unreadable folder is an error."""
-    if not has_files(spark, sink):
-        return 0
-    return spark.read.parquet(sink).filter(F.col("batch") < before).count()
+def read_mark(spark: SparkSession, state: str, batch_id: int) -> dict[str, int]:
+    """The numbers that micro-batch ``batch_id`` left in ``state``; none before the first."""
+    path = f"{state}/mark/batch={batch_id}"
+    if batch_id < 0 or not has_files(spark, path):
+        return {}
+    return spark.read.parquet(path).head().asDict()
+
+
+def write_mark(spark: SparkSession, state: str, batch_id: int, **numbers: int) -> None:
+    """Leave ``numbers`` for the next micro-batch; a replay writes the same ones again."""
+    row = spark.range(1, numPartitions=1).select(*[F.lit(v).cast("long").alias(n) for n, v in numbers.items()])
+    row.write.mode("overwrite").parquet(f"{state}/mark/batch={batch_id}")
 
 
-def take_writer(sink: str, n: int, order: list[str]):
+def take_writer(sink: str, state: str, n: int, order: list[str]):
     """foreachBatch body keeping only the first ``n`` rows of the stream.
 
-    The running count is read from the sink itself (file footers of earlier batches
-    only), so a replayed batch recomputes the same remainder and overwrites
-    its own folder: idempotent, and nothing is kept in driver memory.
+    Each micro-batch leaves the number of rows kept so far in ``state``, so the next one
+    reads one number and never the sink; a replay starts from the same number and
+    overwrites its own folders.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        left = n - written_rows(batch.sparkSession, sink, batch_id)
-        if left > 0:
-            batch.orderBy(*order).limit(left).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        spark = batch.sparkSession
+        kept = read_mark(spark, state, batch_id - 1).get("kept", 0)
+        if kept < n:
+            batch.orderBy(*order).limit(n - kept).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+            kept += spark.read.parquet(f"{sink}/batch={batch_id}").count()
+        write_mark(spark, state, batch_id, kept=kept)
 
     return write
 
 
-def run_take(stream: DataFrame, sink: str, checkpoint: str, n: int, order, timeout_s: float | None = None) -> None:
+def run_take(stream: DataFrame, sink: str, state: str, checkpoint: str, n: int, order, timeout_s: float | None = None) -> None:
     """Stream into ``sink`` until ``n`` rows have been kept; the query is stopped once they are there."""
     order = [order] if isinstance(order, str) else list(order)
-    q = start_available(stream, checkpoint, take_writer(sink, n, order))
+    q = start_available(stream, checkpoint, take_writer(sink, state, n, order))
+    looked = -1
     while timeout_s is None and not q.awaitTermination(1):
         done = q.lastProgress
-        if done is not None and written_rows(stream.sparkSession, sink, done["batchId"] + 1) >= n:
-            q.stop()
+        if done is not None and done["batchId"] > looked:
+            looked = done["batchId"]
+            if read_mark(stream.sparkSession, state, looked).get("kept", 0) >= n:
+                q.stop()
     wait(q, timeout_s)
 
 
-def carry_writer(sink: str, state: str, batch_size: int, transform: Callable[[DataFrame], DataFrame]):
-    """foreachBatch body for rows that belong to batches of ``batch_size`` by their ``idx``, wherever files end.
+#: ``step(pool, arrived, emitted, last) -> (rows to emit, rows to hold)`` over rows with their ``idx``; see ``carried_writer``.
+Step = Callable[[DataFrame, int, int, bool], tuple[DataFrame, DataFrame]]
+
 
-    Complete batches are transformed and written; rows of unfinished ones go to this
-    micro-batch's folder of ``state`` and join the next one's rows.  State is at most
-    ``batch_size`` rows for each batch still open, and a replayed micro-batch
-    overwrites its own two folders.
+def carried_writer(sink: str, state: str, step: Step, in_order: Callable[[DataFrame], tuple[DataFrame, int]] = in_arrival_order):
+    """foreachBatch body for operators that go on across micro-batches.
+
+    Rows are numbered as they arrive (``in_order`` within the micro-batch, then a running
+    offset), join those held back, and ``step`` says which leave and which wait. Held
+    rows and the two running numbers are left under the id of the micro-batch and the next one
+    reads them there, so a replay begins from the same state and overwrites its own folders.
+    One order over the whole stream cannot be a key of keyed state without drawing all rows
+    into one task; here the rows of a micro-batch stay spread and only a bounded rest is held.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = f"{state}/batch={batch_id - 1}"
-        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(before)) if batch_id and has_files(spark, before) else batch
-        numbered = rows.withColumn("_b", F.floor(F.col("idx") / batch_size))
-        whole = numbered.groupBy("_b").count().filter(F.col("count") == batch_size).select("_b")
-        transform(numbered.join(whole, "_b", "left_semi").drop("_b")).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        numbered.join(whole, "_b", "left_anti").drop("_b").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        mark = read_mark(spark, state, batch_id - 1)
+        before, emitted = mark.get("arrived", 0), mark.get("emitted", 0)
+        pool, n = in_order(batch)
+        pool, arrived = pool.withColumn("idx", F.col("idx") + before), before + n
+        held = f"{state}/rows/batch={batch_id - 1}"
+        if batch_id > 0 and has_files(spark, held):
+            pool = pool.unionByName(spark.read.schema(pool.schema).parquet(held))
+        leave, wait_ = step(pool, arrived, emitted, False)
+        wait_.write.mode("overwrite").parquet(f"{state}/rows/batch={batch_id}")
+        leave.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        resting = spark.read.parquet(f"{state}/rows/batch={batch_id}").count()
+        write_mark(spark, state, batch_id, arrived=arrived, emitted=arrived - resting)
 
     return write
 
 
-def run_carried(stream: DataFrame, sink: str, state: str, checkpoint: str, batch_size: int, transform, timeout_s: float | None = None) -> None:
-    """Stream whole batches into ``sink``; what is still open when the input ends is written as the last folder."""
-    q = start_available(stream, checkpoint, carry_writer(sink, state, batch_size, transform))
-    wait(q, timeout_s)
-    spark = stream.sparkSession
-    if not has_files(spark, state):
+def finish_carried(spark: SparkSession, sink: str, state: str, step: Step) -> None:
+    """Once the input has ended: what is still held leaves as the last folder."""
+    if not has_files(spark, f"{state}/mark"):
         return
-    last = max_batch(spark, state)
-    rest = spark.read.schema(stream.schema).parquet(f"{state}/batch={last}")
-    transform(rest).write.mode("overwrite").parquet(f"{sink}/batch={last + 1}")
+    last = max_batch(spark, f"{state}/mark")
+    mark = read_mark(spark, state, last)
+    rest = spark.read.parquet(f"{state}/rows/batch={last}")
+    step(rest, mark["arrived"], mark["emitted"], True)[0].write.mode("overwrite").parquet(f"{sink}/batch={last + 1}")
+
+
+def shuffle_step(buffer: int, seed: int = 42, epoch: int = 0) -> Step:
+    """The buffered shuffle of ``order.buffered_shuffle`` over a stream; holds fewer than ``buffer`` rows.
+
+    A row leaves as soon as no later arrival can come before it, that is when its key lies below the number of rows
+    that have arrived; its position is then final.
+    """
+
+    def step(pool: DataFrame, arrived: int, emitted: int, last: bool) -> tuple[DataFrame, DataFrame]:
+        key = buffer_key("idx", buffer, seed, epoch)
+        ready = F.lit(True) if last else key < F.lit(arrived).cast("decimal(38,0)") * F.lit(SPACE)
+        leave = buffered_shuffle(pool.where(ready), "idx", buffer, seed, epoch)
+        return leave.withColumn("pos", F.col("pos") + emitted), pool.where(~ready)
+
+    return step
+
+
+def batch_step(batch_size: int, transform: Callable[[DataFrame], DataFrame]) -> Step:
+    """Whole batches of ``batch_size`` arrivals go through ``transform``; fewer rows than a batch are held."""
+
+    def step(pool: DataFrame, arrived: int, emitted: int, last: bool) -> tuple[DataFrame, DataFrame]:
+        whole = F.lit(True) if last else F.col("idx") < arrived - arrived % batch_size
+        return transform(pool.where(whole)), pool.where(~whole)
+
+    return step
+
+
+def run_carried(stream: DataFrame, sink: str, state: str, checkpoint: str, step: Step, timeout_s: float | None = None) -> None:
+    """``step`` over everything that a stream of :func:`read_stream` has; what is held at the end leaves as the last folder."""
+    wait(start_available(stream, checkpoint, carried_writer(sink, state, step)), timeout_s)
+    finish_carried(stream.sparkSession, sink, state, step)
 
 
 def max_batch(spark: SparkSession, folder: str) -> int:

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import wer as wr
 from corpusprep.session import scratch_path
+from corpusprep.streaming import file_order as fo
 from corpusprep.streaming import stream as st
 
 
@@ -75,8 +77,8 @@ def test_stream_equals_batch_and_resumes(spark):
 
 
 def test_take_writer_is_idempotent(spark):
-    sink = scratch_path(spark, "t-take")
-    w = st.take_writer(sink, 5, ["x"])
+    sink, state = scratch_path(spark, "t-take"), scratch_path(spark, "t-take-state")
+    w = st.take_writer(sink, state, 5, ["x"])
     a = spark.range(3).withColumnRenamed("id", "x")
     b = spark.range(10, 14).withColumnRenamed("id", "x")
     w(a, 0)
@@ -85,50 +87,127 @@ def test_take_writer_is_idempotent(spark):
     w(b, 2)  # after the limit: nothing written
     got = sorted(r.x for r in st.read_sink(spark, sink).collect())
     assert got == [0, 1, 2, 10, 11]
-
-
-def test_batches_crossing_files_are_carried(spark):
-    from corpusprep.operators import collate as co
-
-    rows = spark.range(75).select(F.col("id").alias("idx"), F.expr("transform(sequence(1, int(id % 7) + 1), x -> int(x) + 20)").alias("labels"))
-    path = scratch_path(spark, "t-carry")
-    st.write_feed(rows.withColumn("part", F.floor(F.col("idx") / 10) % 5), path, "part", 5, "idx")
-    collate = lambda b: co.collate(b, batch_size=16)
-    sink, state, ck = (scratch_path(spark, f"t-carry-{x}") for x in ("sink", "state", "ck"))
-    st.run_carried(st.read_stream(spark, path, "idx BIGINT, labels ARRAY<INT>", 2, with_position=False), sink, state, ck, 16, collate)
-    cols = ["idx", "batch_id", "decoder_input_ids", "labels"]
-    assert sorted(st.read_sink(spark, sink).select(*cols).collect()) == sorted(collate(rows).select(*cols).collect())
-
-
-def test_shuffle_of_several_files_is_bounded(spark):
-    from corpusprep.operators.order import buffered_shuffle
-
-    src = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("part"))
-    path = scratch_path(spark, "t-multi")
-    st.write_feed(src, path, "part", 5, "event_id")
-    sink, ck = scratch_path(spark, "t-multi-sink"), scratch_path(spark, "t-multi-ck")
-    shuffle = lambda b, i: buffered_shuffle(st.in_arrival_order(b), "idx", 20, 1, i).select("event_id", "idx", "pos")
-    st.run_available(st.read_stream(spark, path, "event_id BIGINT, part BIGINT", 3), sink, ck, shuffle)
-    by = {}
-    for r in st.read_sink(spark, sink).collect():
-        by.setdefault(r.batch, []).append(r)
-    assert sorted(len(x) for x in by.values()) == [160, 240]
-    for own in by.values():
-        assert sorted(r.pos for r in own) == sorted(r.idx for r in own) == list(range(len(own)))
-        assert max(abs(r.pos - r.idx) for r in own) < 20
+    assert st.read_mark(spark, state, 2) == {"kept": 5} and st.read_mark(spark, state, 7) == {}
 
 
 def test_take_stops_the_stream(spark):
     src = spark.range(500).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("part"))
     path = scratch_path(spark, "t-stop")
     st.write_feed(src, path, "part", 5, "event_id")
-    sink, ck = scratch_path(spark, "t-stop-sink"), scratch_path(spark, "t-stop-ck")
-    st.run_take(st.read_stream(spark, path, "event_id BIGINT, part BIGINT"), sink, ck, 150, ["file", "row_in_file"])
+    sink, state, ck = (scratch_path(spark, f"t-stop-{x}") for x in ("sink", "state", "ck"))
+    st.run_take(st.read_stream(spark, path, "event_id BIGINT, part BIGINT"), sink, state, ck, 150, ["file", "row_in_file"])
     got = sorted(r.event_id for r in st.read_sink(spark, sink).collect())
     want = sorted([r for r in range(500) if r % 5 == 0] + [r for r in range(500) if r % 5 == 1][:50])
     assert got == want
 
 
+FEED = "event_id BIGINT, part BIGINT"
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    """500 events in ten files, and the order in which a batch job lays them out."""
+    from corpusprep.functions.draws import draw_hash
+
+    src = spark.range(500).select(F.col("id").alias("event_id"), (F.col("id") % 10).alias("part"))
+    path = scratch_path(spark, "t-ordered")
+    st.write_feed(src, path, "part", 10, "event_id")
+    rows = spark.read.schema(FEED).parquet(path).select("event_id", *[draw_hash(42, "files", F.lit(e), F.concat(F.lit("part="), "part")).alias(f"h{e}") for e in range(3)]).collect()
+    order = [[r.event_id for r in sorted(rows, key=lambda r: (r[f"h{e}"], r.event_id))] for e in range(3)]
+    return path, order
+
+
+def _ordered(spark, path, step, files, untils=(None,), epochs=1, replay=False):
+    sink, state, ck = (scratch_path(spark, f"t-ord-{x}") for x in ("sink", "state", "ck"))
+    write = st.carried_writer(sink, state, step, fo.in_file_order)
+
+    def twice(rows, batch_id):
+        write(rows, batch_id)
+        if replay:
+            write(rows, batch_id)  # as after a lost commit
+
+    for until in untils:
+        fo.run_in_order(spark, path, FEED, ck, twice, 42, epochs, files, until)
+    st.finish_carried(spark, sink, state, step)
+    return st.read_sink(spark, sink)
+
+
+def test_file_order_stream_over_epochs_and_restarts(spark, feed):
+    path, order = feed
+    step = lambda pool, arrived, emitted, last: (pool, pool.limit(0))
+    got = _ordered(spark, path, step, 4, (3, 3, 13, None), epochs=3).orderBy("idx").collect()
+    assert [r.idx for r in got] == list(range(1500))
+    assert [r.event_id for r in got] == order[0] + order[1] + order[2]
+    assert [r.epoch for r in got] == [0] * 500 + [1] * 500 + [2] * 500
+
+
+def test_file_order_is_that_of_the_batch_shuffle(spark, feed):
+    from corpusprep.operators.order import file_order_shuffle
+
+    path, order = feed
+    batch = file_order_shuffle(spark.read.parquet(path), path, 1, 42, 0).orderBy("pos").collect()  # a buffer of one moves nothing
+    assert [r.event_id for r in batch] == order[0]
+    files = spark.read.parquet(path).inputFiles()
+    named = [f.split("part=")[1][0] for f in fo.file_order(sorted(files), path, 42, 1)]
+    assert named == [str(e % 10) for e in order[1][::50]]
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_stream_shuffle_is_the_batch_shuffle(spark, feed, files):
+    from corpusprep.operators.order import file_order_shuffle
+
+    path, _ = feed
+    want = {r.event_id: r.pos for r in file_order_shuffle(spark.read.parquet(path), path, 70, 42, 0).collect()}
+    got = _ordered(spark, path, st.shuffle_step(70, 42), files, replay=files == 3)
+    assert {r.event_id: r.pos for r in got.collect()} == want and got.count() == 500
+    assert {r.batch for r in got.select("batch").distinct().collect()} == set(range(-(-10 // files) + 1))
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_batches_are_formed_on_arrival(spark, feed, files):
+    from corpusprep.operators import collate as co
+
+    path, order = feed
+    step = st.batch_step(16, lambda b: co.assign_batches(b, batch_size=16))
+    got = _ordered(spark, path, step, files, (2, None), replay=files == 1).collect()
+    assert {r.event_id: (r.batch_id, r.pos) for r in got} == {e: (k // 16, k % 16) for k, e in enumerate(order[0])}
+    assert len(got) == 500
+
+
+def test_an_empty_stream_ends(spark):
+    path = scratch_path(spark, "t-none")
+    spark.range(0).select(F.col("id").alias("event_id"), F.col("id").alias("part")).write.parquet(path)
+    step = st.shuffle_step(5, 42)
+    sink, state, ck = (scratch_path(spark, f"t-none-{x}") for x in ("sink", "state", "ck"))
+    fo.run_in_order(spark, path, FEED, ck, st.carried_writer(sink, state, step, fo.in_file_order))
+    st.finish_carried(spark, sink, state, step)
+    assert st.read_sink(spark, sink).count() == 0
+
+
+def test_replacement_shuffle_is_the_buffer(spark):
+    from corpusprep.functions.draws import draw, draw_hash
+    from corpusprep.operators.order import replacement_shuffle
+
+    for n, buffer, cut in ((100, 7, 30), (5, 20, 1000), (64, 1, 64), (90, 30, 30)):
+        d = spark.range(n).withColumnRenamed("id", "idx")
+        s, k = F.floor(F.col("idx") / cut), F.col("idx") % cut
+        draws = {r.idx: r for r in d.select("idx", draw(42, "slot", F.lit(0), s, k).alias("u")).collect()}
+        rest = {r.slot: r for r in spark.range(buffer).select(F.col("id").alias("slot"), *[draw_hash(42, "rest", F.lit(0), F.lit(c), "id").alias(f"c{c}") for c in range(-(-n // cut))]).collect()}
+        want = []
+        for c in range(-(-n // cut)):
+            rows, held = list(range(c * cut, min(n, (c + 1) * cut))), []
+            for i in rows:
+                if len(held) < buffer:
+                    held.append(i)
+                else:
+                    slot = draws[i].u % buffer
+                    want.append(held[slot])
+                    held[slot] = i
+            want += [held[slot] for slot in sorted(range(len(held)), key=lambda slot: rest[slot][f"c{c}"])]
+        got = replacement_shuffle(d, "idx", buffer, slice_rows=cut).orderBy("pos").collect()
+        assert [r.idx for r in got] == want and [r.pos for r in got] == list(range(n))
+
+
 def words_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
