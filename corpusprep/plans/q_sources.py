@@ -18,10 +18,15 @@ TABLES = (
 ).split()
 
 
-@query("list_files", "SELECT position, name FROM (VALUES " + ", ".join(f"({i}::BIGINT, '{t}.parquet')" for i, t in enumerate(TABLES)) + ") t(position, name)")
+_SQL_FILES = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS position, '{t}.parquet' AS name, count(*) AS n_rows FROM {t}" for i, t in enumerate(TABLES))
+
+
+@query("list_files", _SQL_FILES)
 def q_list_files(spark, sf_dir):
-    """The files of the table folder in path order."""
-    return fs.list_files(spark, sf_dir).select("position", F.regexp_extract("path", "[^/]*$", 0).alias("name"))
+    """The files of the table folder in path order, with the rows that their footers count."""
+    files = fs.list_files(spark, sf_dir)
+    rows = fs.row_groups(spark, sf_dir).groupBy("file").agg(F.sum("n_rows").alias("n_rows"))
+    return files.join(rows, files.path == rows.file).select("position", F.regexp_extract("path", "[^/]*$", 0).alias("name"), "n_rows")
 
 
 def _named(spark, sf_dir):
@@ -69,6 +74,21 @@ def q_source_registry(spark, sf_dir):
     return fs.tag_sources(d, "source", fx.SOURCE_NAMES)
 
 
+@query(
+    "scan_sources",
+    "SELECT doc_id, text, CAST(substr(source, 4) AS INT) AS source_id, source AS source_name FROM documents WHERE source IN (" + ", ".join(f"'{n}'" for n in fx.SOURCE_NAMES) + ")",
+)
+def q_scan_sources(spark, sf_dir):
+    """A folder for each named source, read in registry order under a declared schema."""
+    root = scratch_path(spark, "sources")
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d.write.partitionBy("source").parquet(root)
+    folders = {n: f"{root}/source={n}" for n in fx.SOURCE_NAMES if fs.has_files(spark, f"{root}/source={n}")}
+    found = fs.read_sources(spark, folders, d.drop("source").schema, ["doc_id", "text"])
+    # a small table may lack a source: ids are places in the whole registry
+    return found.withColumn("source_id", F.substring("source_name", 4, 9).cast("int"))
+
+
 @query("overwrite_guard", "SELECT doc_id, true AS refused_second_write FROM documents")
 def q_overwrite_guard(spark, sf_dir):
     """First write succeeds; a second one into the same folder without overwrite is refused."""
@@ -109,3 +129,19 @@ def q_saved_dir(spark, sf_dir):
         warnings.simplefilter("ignore")
         train, _ = fs.read_saved(spark, path)
     return train
+
+
+@query("scan_saved_eval", f"WITH p AS ({_SQL_PREPARED}) SELECT 'same' AS side, sample_id, target FROM p UNION ALL SELECT 'eval', item_id, text FROM benchmark", ("v_samples",))
+def q_saved_eval(spark, sf_dir):
+    """The evaluation side of a saved dataset: a folder of its own, and the training folder where none is given."""
+    import warnings
+
+    train, other = scratch_path(spark, "saved-train"), scratch_path(spark, "saved-eval")
+    sk.guarded_write(_prepared(spark, sf_dir), train)
+    sk.guarded_write(fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("sample_id"), F.col("text").alias("target")), other)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        _, same = fs.read_saved(spark, train)
+    _, own = fs.read_saved(spark, train, other)
+    side = lambda df, name: df.select(F.lit(name).alias("side"), "sample_id", "target")
+    return side(same, "same").unionByName(side(own, "eval"))
