@@ -59,25 +59,25 @@ def _quality() -> str:
     classes = " + ".join(term(f"({n}::DOUBLE / n_chars)", f"(r_{n}::DOUBLE / r_all)") for n in names)
     bins = ", ".join(f"('{lang}', '{w}')" for lang, ws in qr.COMMON.items() for w in ws)
     p, q = "(c::DOUBLE / n_common)", "q"
-    return f"""WITH base AS (SELECT doc_id, lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars, regexp_extract_all(coalesce(text, ''), '{BLANKS}') AS ws FROM documents),
+    return f"""WITH base AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars, regexp_extract_all(coalesce(text, ''), '{BLANKS}') AS ws FROM documents),
 {', '.join(steps)},
 counted AS (SELECT *, length({rest}) AS c_sign, {group} AS ref, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{BLANKS}')) AS full_lines FROM {source}),
-tri AS (SELECT doc_id, i, ws[i:i + 2] AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM base) x),
-twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM tri),
-covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM twice WHERE c > 1) x GROUP BY doc_id),
+tri AS (SELECT rid, i, ws[i:i + 2] AS k FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM base) x),
+twice AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS c FROM tri),
+covered AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM twice WHERE c > 1) x GROUP BY rid),
 refs AS (SELECT ref, sum(n_chars) AS r_all, {', '.join(f'sum({n}) AS r_{n}' for n in names)} FROM counted GROUP BY ref),
-hits AS (SELECT doc_id, lang, word, count(*) AS c FROM (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM base) x
-  WHERE (lang, word) IN ({bins}) GROUP BY doc_id, lang, word),
+hits AS (SELECT rid, lang, word, count(*) AS c FROM (SELECT rid, lang, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM base) x
+  WHERE (lang, word) IN ({bins}) GROUP BY rid, lang, word),
 wrefs AS (SELECT lang, word, sum(c)::DOUBLE / sum(sum(c)) OVER (PARTITION BY lang) AS q FROM hits GROUP BY lang, word),
-tot AS (SELECT doc_id, sum(c) AS n_common FROM hits GROUP BY doc_id),
-wd AS (SELECT doc_id, any_value(n_common) AS n_common, round(sqrt(greatest(0, (sum({term(p, q)}) + 1 - sum(q)) / 2)), 6) AS word_distance
-  FROM hits JOIN wrefs USING (lang, word) JOIN tot USING (doc_id) GROUP BY doc_id),
+tot AS (SELECT rid, sum(c) AS n_common FROM hits GROUP BY rid),
+wd AS (SELECT rid, any_value(n_common) AS n_common, round(sqrt(greatest(0, (sum({term(p, q)}) + 1 - sum(q)) / 2)), 6) AS word_distance
+  FROM hits JOIN wrefs USING (lang, word) JOIN tot USING (rid) GROUP BY rid),
 d AS (SELECT counted.doc_id, n_chars, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
   CAST(n_chars - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
   CASE WHEN n_chars > 0 THEN round(sqrt(greatest(0, ({classes}) / 2)), 6) END AS class_distance,
   CAST(coalesce(n_common, 0) AS BIGINT) AS n_common, word_distance
-  FROM counted JOIN refs USING (ref) LEFT JOIN covered USING (doc_id) LEFT JOIN wd USING (doc_id)),
+  FROM counted JOIN refs USING (ref) LEFT JOIN covered USING (rid) LEFT JOIN wd USING (rid)),
 f AS (SELECT *, n_words < {qr.MIN_WORDS} OR 100 * n_repeat_words > {qr.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM d)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, n_common, word_distance,
   NOT base_failed AND NOT (n_chars >= {qr.MIN_CHARS} AND class_distance > {qr.MAX_CLASS_DISTANCE})

@@ -46,7 +46,9 @@ def _sql(pattern: str) -> str:
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.select(row_key(id_col, text_col).alias("rk"), F.col(id_col).alias("id"), lang.alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # rows that share a key are equal in everything that is judged, the language too
+    key = F.xxhash64(row_key(id_col, text_col), lang, lang.isNull())
+    return docs.select(key.alias("rk"), F.col(id_col).alias("id"), lang.alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def _repeated_words(d: DataFrame) -> DataFrame:
@@ -120,13 +122,19 @@ def _class_distance(counts: DataFrame) -> DataFrame:
 
 def _word_distance(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(rk, n_common, word_distance) of documents with a common word of their language."""
-    words = _source(docs, id_col, text_col).where(F.col("lang").isin(list(COMMON))).selectExpr("rk", "lang", f"explode(regexp_extract_all(lower(text), '{_sql(BARE_WORD)}', 0)) as word")
+    own = _source(docs, id_col, text_col).where(F.col("lang").isin(list(COMMON)))
+    # an empty word for each row counts how many rows share a key
+    words = own.selectExpr("rk", "lang", f"explode(concat(array(''), regexp_extract_all(lower(text), '{_sql(BARE_WORD)}', 0))) as word")
     pairs = [f"{lang} {w}" for lang, ws in COMMON.items() for w in ws]
-    hits = words.withColumn("bin", F.concat_ws(" ", "lang", "word")).where(F.col("bin").isin(pairs))
-    found = stored(hits.groupBy("rk", "lang", "bin").agg(F.count("*").alias("c")), "op8-common")
+    hits = words.withColumn("bin", F.concat_ws(" ", "lang", "word")).where(F.col("bin").isin(pairs) | (F.col("word") == ""))
+    hits = hits.select("rk", "lang", F.when(F.col("word") == "", "").otherwise(F.col("bin")).alias("bin"))
+    counted = stored(hits.groupBy("rk", "lang", "bin").agg(F.count("*").alias("c")), "op8-common")
+    found, rows = counted.where("bin <> ''"), counted.where("bin = ''").select("rk", F.col("c").alias("rows"))
     # one row per fixed (language, word) pair at most
     refs = found.groupBy("lang", "bin").agg(F.sum("c").alias("r"))
     refs = refs.join(F.broadcast(refs.groupBy("lang").agg(F.sum("r").alias("all"))), "lang").select("bin", (F.col("r") / F.col("all")).alias("q"))
+    # references count every row, a document's own histogram one of the rows that are equal to it
+    found = found.join(rows, "rk").select("rk", "bin", (F.col("c") / F.col("rows")).cast("long").alias("c"))
     sums = found.groupBy("rk").agg(F.sum("c").alias("n_common"))
     terms = found.join(F.broadcast(refs), "bin").join(sums, "rk")
     out = terms.groupBy("rk").agg(F.first("n_common").alias("n_common"), F.sum(_term(F.col("c") / F.col("n_common"), F.col("q"))).alias("t"), F.sum("q").alias("met"))

@@ -228,3 +228,15 @@ def test_small_languages_are_learnt_above_the_bound(spark):
     model = train(spark.createDataFrame(rows, "key long, text string, lang string"), train_docs=60)
     ask = spark.createDataFrame([(x, text(x)) for x in ("en", *first)], "want string, text string")
     assert all(r.want == r.lang_pred for r in predict(ask, model).collect())
+
+
+def test_quality_counts_a_repeated_row_once(spark):
+    """Equal rows get what one of them gets; rows that differ in language alone are judged apart."""
+    text = "the of and " * 20 + "house tree river " * 3
+    schema = "doc_id long, text string, lang string"
+    other = [(k, "the of to was " * 9 + f"w{k}", "en") for k in range(2, 9)]
+    rows = {n: quality_rules(spark.createDataFrame([(1, text, "en")] * n + [(1, text, None), (1, text, "fr")] + other, schema)).where("doc_id = 1").collect() for n in (1, 3)}
+    for n, found in rows.items():
+        assert sorted(r.n_common for r in found) == [0, 0] + [60] * n
+        assert len({tuple(r) for r in found if r.n_common}) == 1
+    assert {r.n_words for r in rows[3]} == {69}
