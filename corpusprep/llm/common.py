@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusprep.session import checkpoint_dir, scratch_path
@@ -64,77 +64,96 @@ def _joined(roots: DataFrame, ends: DataFrame) -> DataFrame:
     return stored(roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
 
 
-#: Rounds in which every bucket that is still in several components compares them with one of its nodes.
+#: Rounds in which every bucket that is still in several components compares one node of each with one of them.
 HUB_ROUNDS = 3
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of (node, root, other, other_root) rows of different components."""
-    return rows.where("root <> other_root").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """The distinct (node, key) rows whose key two or more nodes hold, written.
+
+    Rows are dealt by key once, for counting and for finding them again; most keys have one
+    node and end there.
+    """
+    dealt = buckets.repartition(shuffle_partitions(buckets.sparkSession), "key")
+    several = dealt.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    return stored(dealt.join(several.hint("merge"), "key").select("node", "key").distinct(), "members")
 
 
-#: Times a bucket that its hubs leave open is divided by bands of another signature before its nodes meet pair by pair.
-REFINE_LEVELS = 2
+def _linked(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    ends = edges.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b").select("ra", "rb").where("ra <> rb").distinct()
+    return _joined(roots, ends)
 
 
-def bucket_classes(buckets: DataFrame, payload, verify, refine, level: int = 0, start: DataFrame | None = None) -> DataFrame:
-    """Classes of (node, key) rows: nodes of one key are candidates, ``verify(pairs, items) -> edges`` decides.
+def _meetings(now: DataFrame, k: int) -> DataFrame:
+    """Distinct pairs of (node, key, root) rows in which one node of each component of a key meets its hub.
 
-    ``payload(nodes)`` gives the (node, ...) items of candidate nodes, read once. In every
-    round each bucket that is still in several components picks one node, another each
-    time, and the nodes of its other components meet it: as many pairs as nodes. What is
-    left are buckets of nodes that share what the bucket stands for (a common passage) but
-    are not linked to their hubs. ``refine(items, level) -> (node, key)`` gives these nodes
-    the bands of an independent signature, and they go through the same rounds in the
-    finer buckets; after ``REFINE_LEVELS`` of these, nodes meet all nodes of the other
-    components of their bucket. Links inside a class, which cannot change it, are not
-    spelled out. ``start`` has the (node, root) known so far. Returns (node, root) of the
-    nodes in buckets of two or more.
+    Components, not nodes, are compared, and a key of one component has no pair.
+    """
+    mark = F.xxhash64("node", F.lit(k))
+    reps = stored(now.groupBy("key", "root").agg(F.min_by("node", mark).alias("node")), "reps")
+    hubs = reps.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "root"), mark).alias("hub")).where("n > 1").select("key", "hub")
+    met = reps.join(hubs, "key").where("root <> hub.root")
+    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
+def _prefixes(weights: DataFrame, similarity: float) -> DataFrame:
+    """(node, key): the rarest tokens of each node until they weigh more than 1 - ``similarity`` of it.
+
+    Two nodes are only similar if their common tokens weigh ``similarity`` or more of
+    each: then, in any one order of all tokens, what comes before the first common token
+    weighs 1 - ``similarity`` at most in both, so that token is among these of both. The order
+    is by number of nodes, so a token of a passage that many nodes share comes late.
+    """
+    weights = stored(weights, "tokens")
+    common = weights.groupBy("token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("node").orderBy("df", "token")
+    placed = weights.join(common, "token").select(
+        "node", "token", "df", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.sum("w").over(Window.partitionBy("node")).alias("all")
+    )
+    kept = placed.where(F.coalesce("before", F.lit(0)) <= (1 - similarity + 1e-9) * F.col("all"))
+    return kept.where("df > 1").select("node", F.col("token").alias("key"))  # nothing shares the others
+
+
+def bucket_classes(members: DataFrame, payload, verify, weights, similarity: float) -> DataFrame:
+    """Classes of ``shared_buckets`` rows: nodes of one key are candidates, ``verify(pairs, items) -> edges`` decides.
+
+    ``payload(nodes)`` gives the (node, ...) items of candidate nodes, read once. First every
+    node meets the hub of its largest bucket, then, for ``HUB_ROUNDS`` rounds, one node of
+    each component of a bucket meets one of them, another each time. What is left are buckets
+    of nodes that share what the bucket stands for (a common passage) but are not linked
+    to their hubs. For their nodes ``weights(items) -> (node, token, w)`` gives all
+    tokens, and every pair of different components that can reach ``similarity`` meets: its
+    nodes share a token of their rarest ones (``_prefixes``), which loses no pair of them. Links inside a class,
+    which cannot change it, are not spelled out. Returns (node, root) of the nodes given.
     """
-    buckets = stored(buckets.distinct(), "buckets")
-    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "keys")
-    members = stored(buckets.join(shared, "key").select("node", "key", "size"), "members")
     items = stored(payload(members.select("node").distinct()), "items")
-    own = members.select("node").distinct()
-    roots = stored(own.withColumn("root", F.col("node")) if start is None else own.join(start, "node").select("node", "root"), "roots")
-    met = None
-    for k in range(HUB_ROUNDS + 1):
-        # two nodes have met in the first round
-        now = members.where("size > 2" if k else "true").join(roots, "node").select("node", "key", "root")
-        # buckets of one component are done
-        several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("hub"))
-        several = stored(several.where("lo <> hi").select("key", "hub"), "open-keys")
-        if several.isEmpty():
-            break
-        faced = now.join(several, "key")
-        if k == HUB_ROUNDS and level < REFINE_LEVELS:
-            still = stored(faced.select("node", "key", "root"), "open")
-            some = still.select("node", "root").distinct()
-            finer = refine(items.join(some.select("node"), "node", "left_semi"), level + 1).toDF("node", "band")
-            finer = still.join(finer, "node").select("node", F.xxhash64("key", "band").alias("key"))
-            found = bucket_classes(finer, lambda nodes: items.join(nodes, "node", "left_semi"), verify, refine, level + 1, some)
-            ends = some.join(found.toDF("node", "rb"), "node").select(F.col("root").alias("ra"), "rb").where("ra <> rb").distinct()
-            return _joined(roots, ends)
-        if k < HUB_ROUNDS:
-            pairs = _cross_pairs(faced.select("node", "root", F.col("hub.node").alias("other"), F.col("hub.root").alias("other_root")))
-        else:
-            # components with the least rows of their bucket meet the rest of it; the largest one need not meet itself
-            counts = faced.groupBy("key", "root").agg(F.count("*").alias("n"))
-            largest = stored(counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")), "main")
-            open_now = stored(faced.select("node", "key", "root").join(largest, "key"), "open")
-            rest = open_now.select(F.col("node").alias("other"), "key", F.col("root").alias("other_root"))
-            out = open_now.where("root <> main").join(rest, "key").where("other_root = main or node < other")
-            pairs = _cross_pairs(out)
-        pairs = stored(pairs if met is None else pairs.join(met, ["a", "b"], "left_anti"), "pairs")
+    roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("node")).alias("hub"))
+    first = members.join(stored(sizes, "sizes"), "key").groupBy("node").agg(F.max_by("hub", F.struct("size", "key")).alias("hub"))
+    pairs = first.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    roots = _linked(roots, stored(verify(stored(pairs, "pairs"), items), "edges"))
+    for k in range(HUB_ROUNDS):
+        pairs = stored(_meetings(members.join(roots, "node"), k), "pairs")
+        if pairs.isEmpty():
+            return roots
+        edges = stored(verify(pairs, items), "edges")
+        if not edges.isEmpty():
+            roots = _linked(roots, edges)
+    now = members.join(roots, "node")
+    several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    still = stored(now.join(several, "key").select("node", "root").distinct(), "open")
+    rare = shared_buckets(_prefixes(weights(items.join(still.select("node"), "node", "left_semi")), similarity))
+    for k in range(HUB_ROUNDS):
+        pairs = stored(_meetings(rare.join(roots, "node"), k), "pairs")
         if pairs.isEmpty():
-            continue  # this round's hubs have been met before
-        met = pairs if met is None else met.unionByName(pairs)
+            return roots
         edges = stored(verify(pairs, items), "edges")
-        if edges.isEmpty():
-            continue
-        ends = edges.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b").select("ra", "rb").distinct()
-        roots = _joined(roots, ends)
-    return roots
+        if not edges.isEmpty():
+            roots = _linked(roots, edges)
+    now = stored(rare.join(roots, "node"), "open")
+    one, two = now.toDF("a", "key", "ra"), now.toDF("b", "key", "rb")
+    pairs = stored(one.join(two, "key").where("a < b and ra <> rb").select("a", "b").distinct(), "pairs")
+    return _linked(roots, stored(verify(pairs, items), "edges"))
 
 
-__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shuffle_partitions", "stored", "table"]
+__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shared_buckets", "shuffle_partitions", "stored", "table"]

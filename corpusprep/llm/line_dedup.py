@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import bucket_classes, row_key, stored
+from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored
 
 SHINGLE = 10
 SIMILARITY = 0.8
@@ -31,25 +31,30 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def signatures(lines: DataFrame, seed: int = 0) -> DataFrame:
-    """(lk, m0..): the bin minima of every distinct non-empty line of (lk, line); another seed is another permutation."""
+def minima(lines: DataFrame, seed: int = 0) -> DataFrame:
+    """(lk, bins): for every line of (lk, line) the least hash of each bin that has one, as an array of (bin, m) in order.
+
+    Rows of one line stay together where they are dealt by ``lk``, so nothing is exchanged.
+    """
     points = lines.select("lk", F.encode("line", "UTF-32").alias("points"))
     last = f"int(greatest(0, (length(points) div 4) - {SHINGLE}))"
     each = points.selectExpr("lk", "points", f"explode(sequence(0, {last})) as i")
     hashed = each.selectExpr("lk", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE}), {seed}) & 9223372036854775807L as h")
-    binned = hashed.selectExpr("lk", "h", f"int((h & 1048575L) % {BINS}) as bin")
-    return binned.groupBy("lk").agg(*[F.expr(f"min(if(bin = {j}, h, null))").alias(f"m{j}") for j in range(BINS)])
+    least = hashed.selectExpr("lk", f"int((h & 1048575L) % {BINS}) as bin", "h").groupBy("lk", "bin").agg(F.min("h").alias("m"))
+    return least.groupBy("lk").agg(F.collect_list(F.struct("bin", "m")).alias("bins"))
 
 
-def bands(sigs: DataFrame) -> DataFrame:
-    """(node, key): one key per band with at least one filled bin."""
+def bands(lines: DataFrame, seed: int = 0) -> DataFrame:
+    """(node, key): one key for each band of ``ROWS`` bins of which at least one is filled."""
+    bins = minima(lines, seed).select("lk", F.map_from_entries("bins").alias("m"))
+    full = bins.select("lk", *[F.element_at("m", F.lit(j)).alias(f"m{j}") for j in range(BINS)])
     keys = []
     for j in range(0, BINS, ROWS):
         cols = [f"m{j + i}" for i in range(ROWS)]
         filled = " or ".join(f"{c} is not null" for c in cols)
         same = ", ".join(f"{c}, {c} is null" for c in cols)
         keys.append(F.expr(f"if({filled}, xxhash64({j}, {same}), null)"))
-    return sigs.select(F.col("lk").alias("node"), F.explode(F.array(*keys)).alias("key")).where("key is not null")
+    return full.select(F.col("lk").alias("node"), F.explode(F.array(*keys)).alias("key")).where("key is not null")
 
 
 def shingle_set(line: str) -> str:
@@ -87,10 +92,13 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         one_each = own.groupBy("node").agg(F.min("line").alias("line"))
         return one_each.selectExpr("node", "line", f"size({shingle_set('line')}) as n")
 
-    def refine(lines: DataFrame, seed: int) -> DataFrame:
-        return bands(signatures(lines.select(F.col("node").alias("lk"), "line"), seed))
+    def weights(lines: DataFrame) -> DataFrame:
+        shingles = lines.selectExpr("node", f"explode({shingle_set('line')}) as s")
+        return shingles.select("node", F.xxhash64("s").alias("token"), F.lit(1.0).alias("w")).distinct()
 
-    roots = bucket_classes(bands(signatures(texts)), payload, lambda pairs, lines: verified(pairs, lines, similarity), refine)
+    # equal lines are one from here on; their rows are dealt by line, which the signatures need
+    distinct = texts.groupBy("lk").agg(F.first("line").alias("line"))
+    roots = bucket_classes(shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), weights, similarity)
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
     first = where.groupBy("root").agg(F.min(F.struct("id", "line_no")).alias("first"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import bucket_classes, row_key, stored
+from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored
 from corpusprep.llm.words import mix, odd_numbers, slices, window_hashes, words_of
 
 SHINGLE = 5
@@ -100,13 +100,13 @@ def _sizes(texts: pa.Array) -> np.ndarray:
     return texts.cast(pa.large_string()).to_pandas().str.len().fillna(0).to_numpy()
 
 
-def _signatures(seed: int = 0):
+def _signatures():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(_sizes(batch.column(1))):
                 texts = batch.column(1).slice(lo, hi - lo).to_pylist()
                 owner, value, weight = weighted_shingles(texts)
-                sig = prob_minhash(owner, value, weight, hi - lo, seed=seed)
+                sig = prob_minhash(owner, value, weight, hi - lo)
                 mixed = (sig * odd_numbers(128, 500)[:REGISTERS]).reshape(hi - lo, BANDS, ROWS).sum(axis=2) + np.arange(BANDS, dtype=np.uint64)
                 keys = mix(mixed).view(np.int64)
                 some = np.bincount(owner, minlength=hi - lo) > 0
@@ -123,6 +123,16 @@ def _signatures(seed: int = 0):
     return run
 
 
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, token, w): every shingle of every text with its number of occurrences."""
+    for batch in batches:
+        for lo, hi in slices(_sizes(batch.column(1))):
+            owner, value, weight = weighted_shingles(batch.column(1).slice(lo, hi - lo).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo).take(pa.array(owner)), pa.array(value.view(np.int64)), pa.array(weight.astype(np.float64))], names=["node", "token", "w"]
+            )
+
+
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def bag(owner, value, weight, i):
@@ -165,11 +175,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         two = texts.toDF("b", "tb").hint("merge")
         return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(similarity), "a long, b long")
 
-    def refine(texts: DataFrame, seed: int) -> DataFrame:
-        own = texts.select("node", "text").mapInArrow(_signatures(seed), "rk long, words_sha256 string, bands array<long>")
-        return own.select(F.col("rk").alias("node"), F.explode("bands").alias("band"))
+    def weights(texts: DataFrame) -> DataFrame:
+        return texts.select("node", "text").mapInArrow(_weights, "node long, token long, w double")
 
-    roots = bucket_classes(buckets, payload, verify, refine).withColumnRenamed("node", "n2")
+    roots = bucket_classes(shared_buckets(buckets), payload, verify, weights, similarity).withColumnRenamed("node", "n2")
     of = nodes.join(roots, F.col("node") == F.col("n2"), "left").select("rk", F.coalesce("root", "node").alias("root"))
     rows = stored(src.select("rk", "id").join(of.withColumnRenamed("rk", "k2"), F.col("rk") == F.col("k2"), "left").select("rk", "id", "root"), "op2-rows")
     least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
