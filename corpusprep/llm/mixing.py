@@ -1,12 +1,12 @@
-"""Mixing to target weights by iterative proportional fitting, in DataFrame functions only.
+"""Mixing to target weights by iterative proportional fitting.
 
 Token counts are summed by cell (source, language, topic). Cell weights are raked
 until each of the three margins meets its target, then every document is drawn with
 the probability its cell was given. A cell gives at most the tokens it has: one that is
 used up stays at probability 1 and the others of its margin value take the rest, so a
 small cell changes its own probability and not the size of the sample. The cell table has one row per combination that
-occurs, whatever the number of documents; beyond ``DRIVER_CELLS`` rows it stays a
-DataFrame in every round.
+occurs, whatever the number of documents. Up to ``DRIVER_CELLS`` rows are raked in numpy on the
+driver; more stay a DataFrame in every round. Texts are only touched by DataFrame functions.
 """
 
 from __future__ import annotations
@@ -69,16 +69,26 @@ def tokens_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def tempered_targets(cells: DataFrame, temper: dict[str, float] = TEMPER, budget: float | None = None) -> dict[str, DataFrame]:
-    """Target share of each margin value: its natural share to the power ``temper``, normalised.
+def target_shares(cells: DataFrame, temper: dict[str, float] = TEMPER, budget: float | None = None, weights: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Target share of each margin value: its weight in the table that ``weights`` has for the margin, else its natural
+    share to the power ``temper``; normalised over the values that occur.
+
+    A table has the margin's name as its first column and a ``weight`` of 0 or more; a value without
+    one is not wanted (weight 0), repeated values add up, null stands for ``none``.
 
     With a ``budget`` (tokens to sample over all tokens) no target is above what its
     value has; the values that have more share the rest in proportion.
     """
     out = {}
     for m in MARGINS:
-        sums = cells.groupBy(m).agg(F.sum("tokens").alias("s")).select(m, "s", F.pow("s", F.lit(temper[m])).alias("t"))
-        sums = stored(sums.where("s > 0"), "op9-targets")
+        sums = cells.groupBy(m).agg(F.sum("tokens").alias("s")).where("s > 0")
+        if weights and m in weights:
+            table = weights[m].select(F.coalesce(F.col(m).cast("string"), F.lit("none")).alias(m), F.col("weight").cast("double").alias("t"))
+            table = table.groupBy(m).agg(F.sum(F.greatest("t", F.lit(0.0))).alias("t"))
+            sums = sums.join(table, m, "left").select(m, "s", F.coalesce("t", F.lit(0.0)).alias("t"))
+        else:
+            sums = sums.select(m, "s", F.pow("s", F.lit(temper[m])).alias("t"))
+        sums = stored(sums, "op9-targets")
         total, all_tokens = sums.agg(F.sum("t"), F.sum("s")).head()
         if not total:
             out[m] = sums.select(m, F.lit(0.0).alias("target"))
@@ -189,9 +199,20 @@ def draw(key: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"))), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = BUDGET, seed: int = SEED, temper: dict[str, float] = TEMPER) -> DataFrame:
+def mix_to_targets(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    budget: float = BUDGET,
+    seed: int = SEED,
+    temper: dict[str, float] = TEMPER,
+    weights: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """One row per document: (id, source, lang, topic, n_tokens, probability, kept).
 
+    ``weights`` gives target weights by margin (``source``, ``lang``, ``topic``) as tables of value and
+    weight; a margin without a table is levelled by ``temper``.
+
     ``probability`` is the raked share of the document's cell times the tokens asked
     for, over the tokens the cell has, and at most 1: targets are capped at what their
     value has, cells that are used up leave the rest to others, and no document is taken
@@ -202,7 +223,7 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = stored(tokens_table(docs, id_col, text_col), "op9-tokens")  # texts are read once, what follows is narrow
     cells = stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "op9-cells")
-    targets = tempered_targets(cells, temper, budget)
+    targets = target_shares(cells, temper, budget, weights)
     report: dict = {}
     raked = rake(cells, targets, budget=budget, report=report)
     total, reached = raked.agg(F.sum("tokens"), F.sum("share")).head()

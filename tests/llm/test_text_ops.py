@@ -240,3 +240,19 @@ def test_quality_counts_a_repeated_row_once(spark):
         assert sorted(r.n_common for r in found) == [0, 0] + [60] * n
         assert len({tuple(r) for r in found if r.n_common}) == 1
     assert {r.n_words for r in rows[3]} == {69}
+
+
+def test_mixing_meets_given_weights(spark):
+    rng = random.Random(12)
+    rows = [(i, sentence(rng, 40), rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", "d"]), i) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, weight long")
+    source = spark.createDataFrame([("a", 6.0), ("b", 1.0), ("c", 0.5), ("c", 1.5), ("nowhere", 9.0)], "source string, weight double")
+    lang = spark.createDataFrame([("en", 1), ("de", 1), (None, 2)], "lang string, weight int")
+    out = mix_to_targets(docs, budget=0.2, weights={"source": source, "lang": lang}).collect()
+    asked = 0.2 * sum(r.n_tokens for r in out)
+    share = lambda m, v: sum(r.n_tokens * r.probability for r in out if getattr(r, m) == v) / asked
+    for m, v, want in (("source", "a", 6 / 9), ("source", "b", 1 / 9), ("source", "c", 2 / 9), ("source", "d", 0), ("lang", "en", 0.25), ("lang", "none", 0.5)):
+        assert abs(share(m, v) - want) < 0.002, (m, v)
+    assert not any(r.kept for r in out if r.source == "d")
+    kept = sum(r.n_tokens for r in out if r.kept) / asked
+    assert 0.9 < kept < 1.1
