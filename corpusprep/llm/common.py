@@ -23,6 +23,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to differ from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """64-bit key of a row; rows equal in id and text share it. A null id or text is hashed as such."""
     return F.xxhash64(F.col(id_col), F.col(text_col), F.col(id_col).isNull(), F.col(text_col).isNull())
@@ -156,4 +167,4 @@ def bucket_classes(members: DataFrame, payload, verify, weights, similarity: flo
     return _linked(roots, stored(verify(pairs, items), "edges"))
 
 
-__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shared_buckets", "shuffle_partitions", "stored", "table"]
+__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shared_buckets", "shuffle_partitions", "stored", "table", "unused"]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import row_key, stored
+from corpusprep.llm.common import row_key, stored, unused
 from corpusprep.llm.words import slices, whole_windows, window_hashes, words_of
 
 MIN_TILE = 5
@@ -236,6 +236,7 @@ def contaminated_pairs(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold an item of ``benchmark``; all columns stay."""
-    bad = contaminated_pairs(docs, benchmark, id_col, text_col).select(F.col("rk").alias("__k")).distinct()
-    keyed = docs.withColumn("__rk", row_key(id_col, text_col))
-    return keyed.join(bad, F.col("__rk") == F.col("__k"), "left_anti").select(*docs.columns)
+    own, other = unused(docs, "own_key", "bad_key")
+    bad = contaminated_pairs(docs, benchmark, id_col, text_col).select(F.col("rk").alias(other)).distinct()
+    keyed = docs.withColumn(own, row_key(id_col, text_col))
+    return keyed.join(bad, F.col(own) == F.col(other), "left_anti").select(*docs.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored
+from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored, unused
 
 SHINGLE = 10
 SIMILARITY = 0.8
@@ -121,15 +121,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A text that loses all its lines becomes empty; a text that loses none is unchanged,
     byte for byte; a null text stays null. See ``line_classes`` for ties and odd rows.
     """
-    lost = line_classes(docs, id_col, text_col, similarity).where("not kept").groupBy("rk").agg(F.collect_set("line_no").alias("__lost"))
-    keyed = docs.withColumn("__rk", row_key(id_col, text_col))
+    own, other, gone = unused(docs, "own_key", "lost_key", "lost_lines")
+    lost = line_classes(docs, id_col, text_col, similarity).where("not kept").groupBy("rk").agg(F.collect_set("line_no").alias(gone))
+    keyed = docs.withColumn(own, row_key(id_col, text_col))
     text = F.col(text_col)
     kept = F.array_join(
         F.transform(
-            F.filter(F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.sequence(F.lit(0).cast("long"), (F.size(F.split(text, "\n", -1)) - 1).cast("long")).alias("no")), lambda x: ~F.array_contains(F.col("__lost"), x["no"])),
+            F.filter(F.arrays_zip(F.split(text, "\n", -1).alias("line"), F.sequence(F.lit(0).cast("long"), (F.size(F.split(text, "\n", -1)) - 1).cast("long")).alias("no")), lambda x: ~F.array_contains(F.col(gone), x["no"])),
             lambda x: x["line"],
         ),
         "\n",
     )
-    out = keyed.join(lost.withColumnRenamed("rk", "__rk2"), F.col("__rk") == F.col("__rk2"), "left")
-    return out.select(*[F.when(F.col("__lost").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    out = keyed.join(lost.withColumnRenamed("rk", other), F.col(own) == F.col(other), "left")
+    return out.select(*[F.when(F.col(gone).isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns])

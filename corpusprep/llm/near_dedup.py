@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored
+from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored, unused
 from corpusprep.llm.words import mix, odd_numbers, slices, window_hashes, words_of
 
 SHINGLE = 5
@@ -193,8 +193,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids stay, as nothing names them.
     """
     classes = near_classes(docs, id_col, text_col, similarity)
-    keep = classes.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy(F.col("rk").alias("__k")).agg(F.count("*").alias("__n"))
-    joined = docs.withColumn("__rk", row_key(id_col, text_col)).join(keep, F.col("__rk") == F.col("__k"))
-    once = joined.where("__n = 1").select(*docs.columns)
-    many = joined.where("__n > 1").dropDuplicates(["__rk"]).select(*docs.columns)
+    own, other, copies = unused(docs, "own_key", "kept_key", "copies")
+    keep = classes.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy(F.col("rk").alias(other)).agg(F.count("*").alias(copies))
+    joined = docs.withColumn(own, row_key(id_col, text_col)).join(keep, F.col(own) == F.col(other))
+    once = joined.where(F.col(copies) == 1).select(*docs.columns)
+    many = joined.where(F.col(copies) > 1).dropDuplicates([own]).select(*docs.columns)
     return once.unionByName(many)
