@@ -76,18 +76,18 @@ def _joined(roots: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 #: Rounds in which every bucket that is still in several components compares one node of each with one of them.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """The distinct (node, key) rows whose key two or more nodes hold, written.
+    """The distinct (node, key, ...) rows whose key two or more nodes hold, written.
 
     Rows are dealt by key once, for counting and for finding them again; most keys have one
     node and end there.
     """
     dealt = buckets.repartition(shuffle_partitions(buckets.sparkSession), "key")
     several = dealt.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    return stored(dealt.join(several.hint("merge"), "key").select("node", "key").distinct(), "members")
+    return stored(dealt.join(several.hint("merge"), "key").select(*buckets.columns).distinct(), "members")
 
 
 def _linked(roots: DataFrame, edges: DataFrame) -> DataFrame:
@@ -108,7 +108,8 @@ def _meetings(now: DataFrame, k: int) -> DataFrame:
 
 
 def _prefixes(weights: DataFrame, similarity: float) -> DataFrame:
-    """(node, key): the rarest tokens of each node until they weigh more than 1 - ``similarity`` of it.
+    """(node, key, before): the rarest tokens of each node until they weigh more than 1 - ``similarity`` of it, each with
+    the share of the node's weight that comes before it.
 
     Two nodes are only similar if their common tokens weigh ``similarity`` or more of
     each: then, in any one order of all tokens, what comes before the first common token
@@ -121,20 +122,32 @@ def _prefixes(weights: DataFrame, similarity: float) -> DataFrame:
     placed = weights.join(common, "token").select(
         "node", "token", "df", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.sum("w").over(Window.partitionBy("node")).alias("all")
     )
-    kept = placed.where(F.coalesce("before", F.lit(0)) <= (1 - similarity + 1e-9) * F.col("all"))
-    return kept.where("df > 1").select("node", F.col("token").alias("key"))  # nothing shares the others
+    placed = placed.withColumn("before", F.coalesce("before", F.lit(0.0)) / F.col("all")).where(F.col("before") <= 1 - similarity + 1e-9)
+    return placed.where("df > 1").select("node", F.col("token").alias("key"), "before")  # nothing shares the others
+
+
+def _within_reach(a: str, b: str, similarity: float) -> str:
+    """SQL: two nodes can reach ``similarity`` if ``a`` and ``b`` of their weights come before their first common token.
+
+    Let u and v be the shares that are not common, so u >= a and v >= b. For sets the
+    similarity is 1 / (1 / (1 - u) + 1 / (1 - v) - 1) = (1 - u)(1 - v) / (1 - uv). For the probability
+    Jaccard similarity a common token of weights p and q adds at most pq / (q + vp) and
+    pq / (p + uq), both concave and homogeneous in (p, q), so their sums are at most the same at
+    (1 - u, 1 - v): again (1 - u)(1 - v) / (1 - uv), which falls in u and v.
+    """
+    return f"(1 - {a}) * (1 - {b}) >= {similarity} * (1 - {a} * {b}) - 1e-9"
 
 
 def bucket_classes(members: DataFrame, payload, verify, weights, similarity: float) -> DataFrame:
     """Classes of ``shared_buckets`` rows: nodes of one key are candidates, ``verify(pairs, items) -> edges`` decides.
 
     ``payload(nodes)`` gives the (node, ...) items of candidate nodes, read once. First every
-    node meets the hub of its largest bucket, then, for ``HUB_ROUNDS`` rounds, one node of
-    each component of a bucket meets one of them, another each time. What is left are buckets
+    node meets the hub of its largest bucket, then one node of
+    each component of a bucket meets one of them (``HUB_ROUNDS`` times, another each time). What is left are buckets
     of nodes that share what the bucket stands for (a common passage) but are not linked
-    to their hubs. For their nodes ``weights(items) -> (node, token, w)`` gives all
+    to it. For their nodes ``weights(items) -> (node, token, w)`` gives all
     tokens, and every pair of different components that can reach ``similarity`` meets: its
-    nodes share a token of their rarest ones (``_prefixes``), which loses no pair of them. Links inside a class,
+    nodes share a token of their rarest ones (``_prefixes``, ``_within_reach``), which loses no pair of them. Links inside a class,
     which cannot change it, are not spelled out. Returns (node, root) of the nodes given.
     """
     items = stored(payload(members.select("node").distinct()), "items")
@@ -162,8 +175,9 @@ def bucket_classes(members: DataFrame, payload, verify, weights, similarity: flo
         if not edges.isEmpty():
             roots = _linked(roots, edges)
     now = stored(rare.join(roots, "node"), "open")
-    one, two = now.toDF("a", "key", "ra"), now.toDF("b", "key", "rb")
-    pairs = stored(one.join(two, "key").where("a < b and ra <> rb").select("a", "b").distinct(), "pairs")
+    one, two = (now.select(F.col("node").alias(n), "key", F.col("root").alias(f"r{n}"), F.col("before").alias(f"before_{n}")) for n in "ab")
+    met = one.join(two, "key").where(f"a < b and ra <> rb and {_within_reach('before_a', 'before_b', similarity)}")
+    pairs = stored(met.select("a", "b").distinct(), "pairs")
     return _linked(roots, stored(verify(pairs, items), "edges"))
 
 
