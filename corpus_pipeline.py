@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
 documents. ``run`` writes each stage's result
 as Parquet in the shared checkpoint folder and reads it back as the next one's input.
+
+Odd rows, the same in every stage: a null or empty text has no letter, so the first stage drops it, and the later
+ones treat it as a text without words or lines. Null ids are kept apart from all others. Repeated rows are
+judged alike until the near-duplicate stage leaves one of them; ties there go to the least id. Texts
+of any length are read whole. Columns beyond those of documents stay, whatever their names; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import stored, table
+from corpusprep.llm.common import stored, table, unused
 from corpusprep.llm.decontaminate import decontaminate
 from corpusprep.llm.language_id import UNKNOWN, held_out, predict, train
 from corpusprep.llm.line_dedup import line_dedup
@@ -24,8 +30,9 @@ MIN_SCORE = 0.5
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is doubtful; learns as operator 5 does."""
     own = docs.select(F.col("doc_id").alias("key"), held_out("doc_id").alias("held_out"), "text", "lang")
-    judged = predict(docs, train(own.where("not held_out")), "text", docs.columns, ("__lang", "__score"))
-    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
+    found, score = unused(docs, "lang_found", "score")
+    judged = predict(docs, train(own.where("not held_out")), "text", docs.columns, (found, score))
+    return judged.where((F.col(found) != UNKNOWN) & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +53,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents to the target weights of source, language and topic."""
-    drawn = mix_to_targets(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    (drawn_id,) = unused(docs, "drawn_id")
+    drawn = mix_to_targets(docs).where("kept").select(F.col("doc_id").alias(drawn_id)).distinct()
+    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col(drawn_id)), "left_semi")
 
 
 STAGES = [
