@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusprep.session import checkpoint_dir, scratch_path
+from corpusprep.sources.files import _hadoop_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: work done once, lineage cut."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing will read again, as what was made of them is written too."""
+    for t in tables:
+        p, fs = _hadoop_path(t.sparkSession, t.stored_at)
+        fs.delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -49,11 +59,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     both = stored(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-    roots = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root")), "roots")
+    last = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root")), "roots")
     while True:
-        offers = (
-            both.join(roots, both.v == roots.node).groupBy("u").agg(F.min("root").alias("offer"))
-        )
+        roots = last.select("node", "root")
+        offers = both.join(roots, both.v == roots.node).groupBy("u").agg(F.min("root").alias("offer"))
         step = roots.join(offers, roots.node == offers.u, "left").select(
             "node", "root", F.least("root", F.coalesce("offer", "root")).alias("next")
         )
@@ -64,9 +73,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             ),
             "roots",
         )
+        forget(last)
+        last = step
         if step.where("root < was").isEmpty():
+            forget(both)
             return step.select("node", "root")
-        roots = step.select("node", "root")
 
 
 def _joined(roots: DataFrame, ends: DataFrame) -> DataFrame:
@@ -77,6 +88,8 @@ def _joined(roots: DataFrame, ends: DataFrame) -> DataFrame:
 
 #: Rounds in which every bucket that is still in several components compares one node of each with one of them.
 HUB_ROUNDS = 1
+#: The same for buckets of rare tokens.
+RARE_ROUNDS = 2
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
@@ -90,52 +103,73 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return stored(dealt.join(several.hint("merge"), "key").select(*buckets.columns).distinct(), "members")
 
 
-def _linked(roots: DataFrame, edges: DataFrame) -> DataFrame:
+def _linked(roots: DataFrame, pairs: DataFrame, verify, items: DataFrame) -> DataFrame:
+    """``roots`` after the pairs that ``verify`` keeps are linked; the tables this was made of are deleted."""
+    edges = stored(verify(pairs, items), "edges")
+    forget(pairs)
+    if edges.isEmpty():
+        forget(edges)
+        return roots
     ends = edges.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b").select("ra", "rb").where("ra <> rb").distinct()
-    return _joined(roots, ends)
+    out = _joined(roots, ends)
+    forget(edges, roots)
+    return out
 
 
 def _meetings(now: DataFrame, k: int) -> DataFrame:
     """Distinct pairs of (node, key, root) rows in which one node of each component of a key meets its hub.
 
-    Components, not nodes, are compared, and a key of one component has no pair.
+    Components, not nodes, are compared, and a key of one component has no pair. Where the share
+    ``alone`` of each node is known, nodes that have little of their own stand for the others: near copies of one
+    text are more like its least changed copies than like each other.
     """
     mark = F.xxhash64("node", F.lit(k))
-    reps = stored(now.groupBy("key", "root").agg(F.min_by("node", mark).alias("node")), "reps")
-    hubs = reps.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "root"), mark).alias("hub")).where("n > 1").select("key", "hub")
-    met = reps.join(hubs, "key").where("root <> hub.root")
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    if "alone" in now.columns:
+        mark = F.struct((F.col("alone") * (1 + k * F.pmod(mark, F.lit(1024)) / 1024)).alias("alone"), mark.alias("mark"))
+    marked = now.select("key", "root", F.struct(mark.alias("mark"), "node").alias("rep"))
+    reps = stored(marked.groupBy("key", "root").agg(F.min("rep").alias("rep")), "reps")
+    hubs = reps.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("rep", "root")).alias("hub")).where("n > 1").select("key", "hub")
+    met = reps.join(hubs, "key").where("root <> hub.root").select(F.col("rep.node").alias("node"), F.col("hub.rep.node").alias("other"))
+    pairs = stored(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
+    forget(reps)
+    return pairs
 
 
 def _prefixes(weights: DataFrame, similarity: float) -> DataFrame:
-    """(node, key, before): the rarest tokens of each node until they weigh more than 1 - ``similarity`` of it, each with
-    the share of the node's weight that comes before it.
+    """(node, key, before, total, excess, alone): the rarest tokens of each node until they weigh more than 1 - ``similarity``
+    of it, each with the share of the node's weight that comes before it; ``total`` is the weight of the node,
+    ``excess`` what its tokens weigh above 1 each, ``alone`` the share of tokens that no other node has.
 
     Two nodes are only similar if their common tokens weigh ``similarity`` or more of
     each: then, in any one order of all tokens, what comes before the first common token
     weighs 1 - ``similarity`` at most in both, so that token is among these of both. The order
-    is by number of nodes, so a token of a passage that many nodes share comes late.
+    is by number of nodes, so a token of a passage that many nodes share comes late. Weights are 1 or more.
     """
-    weights = stored(weights, "tokens")
     common = weights.groupBy("token").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("node").orderBy("df", "token")
+    order, node = Window.partitionBy("node").orderBy("df", "token"), Window.partitionBy("node")
     placed = weights.join(common, "token").select(
-        "node", "token", "df", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.sum("w").over(Window.partitionBy("node")).alias("all")
-    )
-    placed = placed.withColumn("before", F.coalesce("before", F.lit(0.0)) / F.col("all")).where(F.col("before") <= 1 - similarity + 1e-9)
-    return placed.where("df > 1").select("node", F.col("token").alias("key"), "before")  # nothing shares the others
+        "node", "token", "df", F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("before"),
+        F.sum("w").over(node).alias("total"), F.count("*").over(node).alias("n"), F.sum(F.when(F.col("df") == 1, F.col("w")).otherwise(0.0)).over(node).alias("alone"),
+    )
+    placed = placed.withColumns({"before": F.col("before") / F.col("total"), "alone": F.col("alone") / F.col("total")}).where(F.col("before") <= 1 - similarity + 1e-9)
+    # nothing shares the others
+    return placed.where("df > 1").select("node", F.col("token").alias("key"), "before", "total", (F.col("total") - F.col("n")).alias("excess"), "alone")
 
 
-def _within_reach(a: str, b: str, similarity: float) -> str:
-    """SQL: two nodes can reach ``similarity`` if ``a`` and ``b`` of their weights come before their first common token.
+def _within_reach(similarity: float) -> str:
+    """SQL: whether nodes a and b can reach ``similarity``, by what comes before their first common token.
 
-    Let u and v be the shares that are not common, so u >= a and v >= b. For sets the
+    Let u and v be the shares of a and b that are not common, so u >= before_a and v >= before_b. A common token
+    weighs 1 or more, so (1 - u) total_a is at most the number of common tokens and excess_a, and
+    that number at most (1 - v) total_b: each of u and v bounds the other. For sets the
     similarity is 1 / (1 / (1 - u) + 1 / (1 - v) - 1) = (1 - u)(1 - v) / (1 - uv). For the probability
     Jaccard similarity a common token of weights p and q adds at most pq / (q + vp) and
     pq / (p + uq), both concave and homogeneous in (p, q), so their sums are at most the same at
     (1 - u, 1 - v): again (1 - u)(1 - v) / (1 - uv), which falls in u and v.
     """
-    return f"(1 - {a}) * (1 - {b}) >= {similarity} * (1 - {a} * {b}) - 1e-9"
+    u = "greatest(before_a, 1 - ((1 - before_b) * total_b + excess_a) / total_a)"
+    v = "greatest(before_b, 1 - ((1 - before_a) * total_a + excess_b) / total_b)"
+    return f"(1 - {u}) * (1 - {v}) >= {similarity} * (1 - {u} * {v}) - 1e-9"
 
 
 def bucket_classes(members: DataFrame, payload, verify, weights, similarity: float) -> DataFrame:
@@ -153,32 +187,34 @@ def bucket_classes(members: DataFrame, payload, verify, weights, similarity: flo
     items = stored(payload(members.select("node").distinct()), "items")
     roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("node")).alias("hub"))
-    first = members.join(stored(sizes, "sizes"), "key").groupBy("node").agg(F.max_by("hub", F.struct("size", "key")).alias("hub"))
+    sizes = stored(sizes, "sizes")
+    first = members.join(sizes, "key").groupBy("node").agg(F.max_by("hub", F.struct("size", "key")).alias("hub"))
     pairs = first.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    roots = _linked(roots, stored(verify(stored(pairs, "pairs"), items), "edges"))
+    pairs = stored(pairs, "pairs")
+    forget(sizes)
+    roots = _linked(roots, pairs, verify, items)
     for k in range(HUB_ROUNDS):
-        pairs = stored(_meetings(members.join(roots, "node"), k), "pairs")
+        pairs = _meetings(members.join(roots, "node"), k)
         if pairs.isEmpty():
+            forget(pairs, items)
             return roots
-        edges = stored(verify(pairs, items), "edges")
-        if not edges.isEmpty():
-            roots = _linked(roots, edges)
+        roots = _linked(roots, pairs, verify, items)
     now = members.join(roots, "node")
     several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    still = stored(now.join(several, "key").select("node", "root").distinct(), "open")
-    rare = shared_buckets(_prefixes(weights(items.join(still.select("node"), "node", "left_semi")), similarity))
-    for k in range(HUB_ROUNDS):
-        pairs = stored(_meetings(rare.join(roots, "node"), k), "pairs")
-        if pairs.isEmpty():
-            return roots
-        edges = stored(verify(pairs, items), "edges")
-        if not edges.isEmpty():
-            roots = _linked(roots, edges)
+    still = now.join(several, "key").select("node").distinct()
+    tokens = stored(weights(items.join(still, "node", "left_semi")), "tokens")
+    rare = shared_buckets(_prefixes(tokens, similarity))
+    forget(tokens)
+    for k in range(RARE_ROUNDS):
+        roots = _linked(roots, _meetings(rare.join(roots, "node"), k), verify, items)
     now = stored(rare.join(roots, "node"), "open")
-    one, two = (now.select(F.col("node").alias(n), "key", F.col("root").alias(f"r{n}"), F.col("before").alias(f"before_{n}")) for n in "ab")
-    met = one.join(two, "key").where(f"a < b and ra <> rb and {_within_reach('before_a', 'before_b', similarity)}")
+    one, two = (now.select(F.col("node").alias(n), "key", F.col("root").alias(f"r{n}"), *[F.col(c).alias(f"{c}_{n}") for c in ("before", "total", "excess")]) for n in "ab")
+    met = one.join(two, "key").where(f"a < b and ra <> rb and {_within_reach(similarity)}")
     pairs = stored(met.select("a", "b").distinct(), "pairs")
-    return _linked(roots, stored(verify(pairs, items), "edges"))
+    forget(rare, now)
+    roots = _linked(roots, pairs, verify, items)
+    forget(items)
+    return roots
 
 
-__all__ = ["bucket_classes", "checkpoint_dir", "components", "row_key", "scratch_path", "shared_buckets", "shuffle_partitions", "stored", "table", "unused"]
+__all__ = ["bucket_classes", "checkpoint_dir", "components", "forget", "row_key", "scratch_path", "shared_buckets", "shuffle_partitions", "stored", "table", "unused"]

@@ -131,3 +131,24 @@ def test_queries_are_registered_and_optional(tmp_path):
     code = "import __spark_entry__ as e; print(len([k for k in e.queries() if k.startswith('op')]), len(e.queries()) > 50)"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     assert out.stdout.split()[-2:] == ["0", "True"], out.stderr[-500:]
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    """Every stage takes nulls, empty and very long texts, repeated rows and columns of any name."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    names = ["lang_found", "score", "drawn_id", "own_key", "lost_lines"]
+    docs = odd.select("*", *[F.lit(f"own {n}").alias(n) for n in names]).unionByName(
+        spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("*", F.lit(1).cast("long").alias("rk"), *[F.lit("x").alias(n) for n in ("key", "node", "id")], *[F.lit(f"own {n}").alias(n) for n in names])
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert all(r[n] == f"own {n}" for r in rows for n in names), name
+        if name == "language_id":
+            assert not {r.doc_id for r in rows} & {200, 201, 202, 502}
+        if name == "near_dedup":
+            ids = [r.doc_id for r in rows if r.doc_id is not None]
+            assert len(ids) == len(set(ids)) and {100, 101, 102}.isdisjoint(ids) and {0, 3} <= set(ids)

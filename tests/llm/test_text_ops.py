@@ -256,3 +256,55 @@ def test_mixing_meets_given_weights(spark):
     assert not any(r.kept for r in out if r.source == "d")
     kept = sum(r.n_tokens for r in out if r.kept) / asked
     assert 0.9 < kept < 1.1
+
+
+def _grams(text):
+    """Grams of a text in plain Python, as places of the model."""
+    mask = 2**64 - 1
+
+    def place(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return (x ^ (x >> 31)) & (2**14 - 1)
+
+    low, codes = text.lower() + "\n", []
+    for i, c in enumerate(low):
+        if c.isalpha():
+            codes.append(ord(c))
+        elif i == 0 or low[i - 1].isalpha():
+            codes.append(32)
+    two = [a * 0x110000 + b for a, b in zip(codes, codes[1:])]
+    three = [(x * 0x110000 + c + 2**63) & mask for x, c in zip(two, codes[2:])]
+    return [place(x) for x in two + three]
+
+
+def test_language_id_is_brute_force(spark, odd):
+    """Predicted languages and posteriors against naive Bayes counted in dictionaries."""
+    import math
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(odd.select((F.col("doc_id") + 100_000).alias("doc_id"), "text", F.when(F.col("rk") % 2 == 0, "en").alias("lang")))
+    rows = docs.collect()
+    learn = [r for r in rows if (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 4 != 2) and r.lang is not None and r.text is not None]
+    langs = sorted({r.lang for r in learn})
+    counts, n_docs = {x: Counter() for x in langs}, Counter(r.lang for r in learn)
+    for r in learn:
+        counts[r.lang].update(_grams(r.text))
+    sums = {x: sum(c.values()) for x, c in counts.items()}
+    wanted = []
+    for r in rows:
+        text = r.text or ""
+        if not any(c.isalpha() for c in text):
+            wanted.append((str(r.doc_id), "und", 0.0))
+            continue
+        own = Counter(_grams(text))
+        logs = [
+            math.log((n_docs[x] + 1) / (len(learn) + len(langs))) + sum(n * math.log((counts[x][g] + 0.5) / (sums[x] + 0.5 * 2**14)) for g, n in own.items()) for x in langs
+        ]
+        best = max(range(len(langs)), key=lambda k: logs[k])
+        wanted.append((str(r.doc_id), langs[best], 1 / sum(math.exp(v - logs[best]) for v in logs)))
+    got = sorted((str(r.doc_id), r.lang_pred, r.score) for r in language_id(docs).collect())
+    wanted.sort()
+    assert [g[:2] for g in got] == [w[:2] for w in wanted]
+    assert all(abs(g[2] - w[2]) < 1e-6 for g, w in zip(got, wanted))
