@@ -94,11 +94,11 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def weights(lines: DataFrame) -> DataFrame:
         shingles = lines.selectExpr("node", f"explode({shingle_set('line')}) as s")
-        return shingles.select("node", F.xxhash64("s").alias("token"), F.lit(1.0).alias("w")).distinct()
+        return shingles.select("node", F.xxhash64("s").alias("token"), F.lit(1.0).alias("w"))
 
     # equal lines are one from here on; their rows are dealt by line, which the signatures need
     distinct = texts.groupBy("lk").agg(F.first("line").alias("line"))
-    roots = bucket_classes(shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), weights, similarity)
+    roots = bucket_classes(shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), weights, similarity, counted=True)
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
     first = where.groupBy("root").agg(F.min(F.struct("id", "line_no")).alias("first"))
