@@ -140,7 +140,7 @@ def test_pipeline_stages_on_odd_rows(spark, odd):
 
     names = ["lang_found", "score", "drawn_id", "own_key", "lost_lines"]
     docs = odd.select("*", *[F.lit(f"own {n}").alias(n) for n in names]).unionByName(
-        spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("*", F.lit(1).cast("long").alias("rk"), *[F.lit("x").alias(n) for n in ("key", "node", "id")], *[F.lit(f"own {n}").alias(n) for n in names])
+        spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 10_000).select("*", F.lit(1).cast("long").alias("rk"), *[F.lit("x").alias(n) for n in ("key", "node", "id")], *[F.lit(f"own {n}").alias(n) for n in names])
     )
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF_SMALL)
