@@ -12,8 +12,8 @@ from corpusprep.operators import mix as mx
 from corpusprep.operators.index import dense_index, hash_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
-from corpusprep.session import checkpoint_dir
-from corpusprep.sources.sinks import shard_layout, write_sharded
+from corpusprep.session import checkpoint_dir, scratch_path
+from corpusprep.sources.sinks import materialise, shard_layout, write_sharded_in_passes
 
 def interleave_job(
     rows: DataFrame,
@@ -37,9 +37,10 @@ def interleave_job(
 
     Everything up to the write runs on narrow keys: (source, origin, k, bytes)
     for the rows and (slot, source, occurrence) for the mixture.  The payload is
-    joined once, at the write, on (source, k), with the salting of
+    joined at the write only, on (source, k), with the salting of
     :func:`mix.join_rows`, so repeated rows of a small source never form a hot
-    key.  A repeated ``origin`` is refused.  Output layout:
+    key, and in a bounded number of passes over the write tasks, so that the mixed
+    rows are never all on their way at once.  A repeated ``origin`` is refused.  Output layout:
     ``out/split=<s>/shard=<i>/part-*.parquet``, rows in ``idx`` order.
 
     ``split_by="origin"`` (default) keeps all copies of a source row on one
@@ -69,6 +70,6 @@ def interleave_job(
         narrow = three_way_split(mx.join_rows(taken, origins, sizes, counts), "slot", test_ratio, valid_ratio, seed)
     h = draw_hash(seed, "order", "slot")
     shards, plan = shard_layout(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
-    shards = shards.select("slot", "source_id", "occ", "split", "idx", "shard", "part")
+    shards = materialise(shards.select("slot", "source_id", "occ", "split", "idx", "shard", "part"), scratch_path(spark, "places"))
     payload = origins.drop("_bytes").join(rows, ["source_id", origin])  # one row per used origin, with its k
-    write_sharded(mx.join_rows(shards, payload, sizes, counts), out, mode=mode, plan=plan)
+    write_sharded_in_passes(lambda here: mx.join_rows(shards.filter(here(F.col("part"))), payload, sizes, counts), out, plan, mode=mode)
