@@ -2,8 +2,8 @@
 
 Built-in column expressions are always preferred; these wrappers are for
 user code that cannot be written that way.  All of them are Arrow-batched
-(pandas), never row-at-a-time Python UDFs, and a batch function only ever
-sees one bounded batch.  A user aggregate never sees a group: a task folds its
+(pandas), never row-at-a-time Python UDFs, a batch of rows is bounded in bytes, and a batch
+function only ever sees one bounded batch.  A user aggregate never sees a group: a task folds its
 rows of each group into a state, and states are merged in two steps.
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.session import small_batches
+
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Apply ``fn`` to Arrow batches of rows (the dataset ``map``)."""
@@ -25,6 +27,7 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
         for b in batches:
             yield fn(b)
 
+    small_batches(df.sparkSession)
     return df.mapInPandas(run, schema)
 
 
@@ -36,6 +39,7 @@ def predicate(fn: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, batch: str = "batch_id") -> DataFrame:
     """Apply ``fn`` to each batch (all rows sharing ``batch``; bounded by the batch size)."""
+    small_batches(df.sparkSession)
     return df.groupBy(batch).applyInPandas(fn, schema)
 
 
@@ -99,6 +103,7 @@ def user_aggregate(
         done = finish(merged(rows))
         return pd.DataFrame([(*key, *done.values())], columns=[*by, *done])
 
+    small_batches(df.sparkSession)
     partial = df.mapInPandas(folded, f"{keys}, _share int, {state}")
     shares = partial.groupBy(*by, "_share").applyInPandas(share_merged, f"{keys}, _share int, {state}")
     return shares.groupBy(*by).applyInPandas(group_finished, f"{keys}, {out}")
