@@ -123,8 +123,10 @@ def wer_from_ids(df: DataFrame, labels: str, predictions: str, ranks: Broadcast,
     """Evaluation from ids: decode labels and predictions, normalise, filter and score.
 
     Ignored positions and reserved ids are left out on both sides; both are decoded in
-    one pass through Python.
+    one pass through Python. The texts are a column of their own that no filter or
+    expression is pushed through, else each of their uses would decode (and make) the ids again.
     """
-    hyp, ref = sw.decode_all([predictions, labels], ranks, reserved.ids())
-    texts = df.select(*([by] if isinstance(by, str) else by or []), ref.alias("ref"), hyp.alias("hyp"))
+    keys = [by] if isinstance(by, str) else list(by or [])
+    decoded = df.select(*keys, sw.decode_together([predictions, labels], ranks, reserved.ids(), once=True).alias("_texts"))
+    texts = decoded.select(*keys, F.get("_texts", F.lit(1)).alias("ref"), F.get("_texts", F.lit(0)).alias("hyp"))
     return wer_filtered(texts, by=by, marker_first=marker_first)
