@@ -12,8 +12,8 @@ from corpusprep.operators import mix as mx
 from corpusprep.operators.index import dense_index, hash_block
 from corpusprep.operators.shard import SHARD_LIMIT, row_bytes
 from corpusprep.operators.split import three_way_split
-from corpusprep.session import checkpoint_dir, scratch_path
-from corpusprep.sources.sinks import materialise, shard_layout, write_sharded_in_passes
+from corpusprep.session import checkpoint_dir, scratch_path, shuffles_dropped
+from corpusprep.sources.sinks import materialise, shard_layout, write_sharded
 
 def interleave_job(
     rows: DataFrame,
@@ -72,4 +72,10 @@ def interleave_job(
     shards, plan = shard_layout(narrow, [h, "slot"], "split", shard_limit, splits_bound=3, bytes_col="_bytes", block=hash_block(h), blocks_bound=65536)
     shards = materialise(shards.select("slot", "source_id", "occ", "split", "idx", "shard", "part"), scratch_path(spark, "places"))
     payload = origins.drop("_bytes").join(rows, ["source_id", origin])  # one row per used origin, with its k
-    write_sharded_in_passes(lambda here: mx.join_rows(shards.filter(here(F.col("part"))), payload, sizes, counts), out, plan, mode=mode)
+    # files are those of one pass, as every row has its write task; the last pass marks the folder as complete
+    passes = [(0, plan.parts)] if mode == "ignore" else plan.passes()
+    for lo, hi in passes:
+        here = shards.filter((F.col("part") >= lo) & (F.col("part") < hi))
+        options = {} if hi == plan.parts else {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+        with shuffles_dropped(spark):
+            write_sharded(mx.join_rows(here, payload, sizes, counts), out, mode=mode if lo == 0 else "append", plan=plan, **options)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.index import dense_index
 from corpusprep.operators.shard import SHARD_LIMIT, contiguous_shard, estimate_bytes, shard_count
-from corpusprep.session import shuffles_dropped
 from corpusprep.sources.files import has_files
 
 ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
@@ -51,6 +50,11 @@ class ShardPlan:
             parts += r.n_shards * -(-(-(-r.n_rows // r.n_shards)) // chunk)
         return cls(splits, max(parts, 1))
 
+    def passes(self) -> list[tuple[int, int]]:
+        """Ranges of partitions to write one after the other: rows on their way take the disk of one of them, 1 / ``PASSES`` for a large job."""
+        n = max(1, min(PASSES, -(-self.parts // PASS_TASKS)))
+        return [(k * self.parts // n, (k + 1) * self.parts // n) for k in range(n)]
+
     def _of(self, split: str, k: int) -> Column:
         if not self.splits:
             return F.lit(None).cast("bigint")
@@ -114,22 +118,6 @@ def write_sharded(
     writer.option("parquet.block.row.count.limit", rows_per_group).option("parquet.block.size", 2**31 - 1).parquet(path)
 
 
-def write_sharded_in_passes(df_of, path: str, plan: ShardPlan, split: str = "split", mode: str = "errorifexists", rows_per_group: int = ROWS_PER_GROUP) -> None:
-    """As :func:`write_sharded`, for rows that are many times what they are made of: a range of write tasks after the other.
-
-    ``df_of(here)`` gives the rows whose ``part`` fulfils ``here`` (a function of a column). Rows on
-    their way take the disk of one pass, one of ``PASSES`` for a large job. Files are the same as of one pass, as every
-    row has its write task; the folder is marked as complete by the last pass.
-    """
-    n = 1 if mode == "ignore" else max(1, min(PASSES, -(-plan.parts // PASS_TASKS)))
-    cuts = [k * plan.parts // n for k in range(n + 1)]
-    for k in range(n):
-        rows = df_of(lambda part, lo=cuts[k], hi=cuts[k + 1]: (part >= lo) & (part < hi))
-        last = {} if k == n - 1 else {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-        with shuffles_dropped(rows.sparkSession):
-            write_sharded(rows, path, split, mode if k == 0 else "append", rows_per_group, plan, **last)
-
-
 def _plan_of_shards(df: DataFrame, split: str, rows_per_group: int) -> ShardPlan:
     """A plan for rows that already have ``idx`` and ``shard``: rows and shards counted, one write task for ``rows_per_group`` x 64 rows."""
     sized = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"), (F.max("shard") + 1).alias("shards")).collect()  # one row a split

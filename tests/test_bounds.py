@@ -12,7 +12,7 @@ from corpusprep.llm.common import stored
 from corpusprep.operators import subword as sw
 from corpusprep.operators import udf as ud
 from corpusprep.operators import wer as wr
-from corpusprep.plans.jobs import interleave_job
+from corpusprep.plans import jobs
 from corpusprep.session import BATCH_BYTES
 from corpusprep.sources import sinks
 
@@ -45,9 +45,9 @@ def test_passes_write_what_one_pass_writes(spark, tmp_path, monkeypatch, mode):
     for name, per_pass in (("one", 10**6), ("many", 1)):
         monkeypatch.setattr(sinks, "PASS_TASKS", per_pass)
         calls = []
-        monkeypatch.setattr(sinks, "write_sharded", lambda *a, f=sinks_write, **k: calls.append(1) or f(*a, **k))
+        monkeypatch.setattr(jobs, "write_sharded", lambda *a, f=sinks_write, **k: calls.append(1) or f(*a, **k))
         out = str(tmp_path / name)
-        interleave_job(rows, "0.9,0.1", out, test_ratio="0.1", shard_limit=20_000, mode=mode)
+        jobs.interleave_job(rows, "0.9,0.1", out, test_ratio="0.1", shard_limit=20_000, mode=mode)
         assert len(calls) == 1 if name == "one" else 1 < len(calls) <= sinks.PASSES
         assert os.path.exists(f"{out}/_SUCCESS")
         files = sorted(glob.glob(f"{out}/*/*/part-*.parquet"))
