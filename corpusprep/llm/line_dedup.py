@@ -5,7 +5,8 @@ shorter line is one shingle). One hash per shingle feeds a one-permutation MinHa
 the hash names a bin and the least hash of each bin is the signature, over all shingles
 of a line however long it is. Bins are banded by threes; two lines of similarity
 ``SIMILARITY`` share no band with a probability of about (1 - 0.8 ** 3) ** 16 = 1e-5;
-candidates are verified by exact Jaccard similarity of their shingle sets, linked
+candidates that agree in ``AGREE`` of all bins (of lines of similarity ``SIMILARITY`` one pair in 10 ** 7 does not)
+are verified by the Jaccard similarity of their sets of 64-bit shingle hashes, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
 """
@@ -15,12 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, stored, unused
+from corpusprep.llm.common import bucket_classes, row_key, shared_buckets, shuffle_partitions, stored, unused
 
 SHINGLE = 10
 SIMILARITY = 0.8
 BINS = 48
 ROWS = 3
+#: Columns of a line's signature; bins in which two lines must agree before their shingles are compared.
+SKETCH = [f"f{k}" for k in range(BINS // 8)]
+AGREE = 20
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,19 +61,38 @@ def bands(lines: DataFrame, seed: int = 0) -> DataFrame:
     return full.select(F.col("lk").alias("node"), F.explode(F.array(*keys)).alias("key")).where("key is not null")
 
 
+def signatures(lines: DataFrame) -> DataFrame:
+    """(lk, f0, ...): eight bits of the least hash of each bin of a line, eight bins in a long; an empty bin is zero."""
+    bins = minima(lines).select("lk", F.map_from_entries("bins").alias("m"))
+    part = lambda j: f"shiftleft(coalesce(shiftright(m[{j}], 20) & 255L, 0L), {8 * (j % 8)})"
+    return bins.selectExpr("lk", *[f"{' | '.join(part(j) for j in range(8 * k, 8 * k + 8))} as {c}" for k, c in enumerate(SKETCH)])
+
+
+def alike(a: str, b: str) -> str:
+    """SQL: whether the ``signatures`` of lines a and b, in columns that start so, agree in ``AGREE`` bins or more."""
+    differ = []
+    for c in SKETCH:
+        bits = f"({a}{c} ^ {b}{c})"
+        for n in (4, 2, 1):  # the bits of a byte are gathered in its lowest one
+            bits = f"({bits} | shiftrightunsigned({bits}, {n}))"
+        differ.append(f"bit_count({bits} & {0x0101010101010101}L)")
+    return f"{' + '.join(differ)} <= {BINS - AGREE}"
+
+
 def shingle_set(line: str) -> str:
-    """SQL for the set of a line's shingles."""
-    return f"array_distinct(if(char_length({line}) <= {SHINGLE}, array({line}), regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)))"
+    """SQL for the set of a line's shingles, as 64-bit hashes."""
+    points = f"encode({line}, 'UTF-32')"
+    last = f"int(greatest(0, (length(p) div 4) - {SHINGLE}))"
+    return f"flatten(transform(array({points}), p -> array_distinct(transform(sequence(0, {last}), i -> xxhash64(substring(p, 4 * i + 1, {4 * SHINGLE}))))))"
 
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs of line keys whose shingle sets have Jaccard similarity ``similarity`` or more."""
-    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("n").alias("na")).hint("merge")
-    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb")).hint("merge")
+    one, two = (lines.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("line", "n", *SKETCH)]).hint("merge") for x in "ab")
     # sets whose sizes differ too much cannot be similar
-    near = pairs.join(one, "a").join(two, "b").where(f"least(na, nb) >= {similarity} * greatest(na, nb)")
-    counts = near.selectExpr("a", "b", "na", "nb", f"size(array_intersect({shingle_set('la')}, {shingle_set('lb')})) as common")
-    return counts.where(f"common >= {similarity} * (na + nb - common)").select("a", "b")
+    near = pairs.join(one, "a").join(two, "b").where(f"least(a_n, b_n) >= {similarity} * greatest(a_n, b_n) and {alike('a_', 'b_')}")
+    common = f"size(array_intersect({shingle_set('a_line')}, {shingle_set('b_line')}))"
+    return near.where(f"{common} * (1 + {similarity}) >= {similarity} * (a_n + b_n)").select("a", "b")
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -89,16 +112,19 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def payload(wanted: DataFrame) -> DataFrame:
         # both sides are shuffled whatever their size: the work grows evenly with the input
         own = texts.select(F.col("lk").alias("node"), "line").join(wanted.hint("merge"), "node", "left_semi")
-        one_each = own.groupBy("node").agg(F.min("line").alias("line"))
-        return one_each.selectExpr("node", "line", f"size({shingle_set('line')}) as n")
+        one_each = stored(own.groupBy("node").agg(F.min("line").alias("line")), "op4-texts").repartition(shuffle_partitions(docs.sparkSession), "node")
+        signed = signatures(one_each.select(F.col("node").alias("lk"), "line")).withColumnRenamed("lk", "node")
+        return one_each.selectExpr("node", "line", f"size({shingle_set('line')}) as n").join(signed.hint("merge"), "node")
 
-    def weights(lines: DataFrame) -> DataFrame:
-        shingles = lines.selectExpr("node", f"explode({shingle_set('line')}) as s")
-        return shingles.select("node", F.xxhash64("s").alias("token"), F.lit(1.0).alias("w"))
+    def tokens(lines: DataFrame) -> DataFrame:
+        return lines.selectExpr("node", "n", f"explode({shingle_set('line')}) as token")
 
     # equal lines are one from here on; their rows are dealt by line, which the signatures need
     distinct = texts.groupBy("lk").agg(F.first("line").alias("line"))
-    roots = bucket_classes(shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), weights, similarity, counted=True)
+    roots = bucket_classes(
+        shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), tokens, similarity,
+        counted=True, sketch=SKETCH, alike=alike("a_", "b_"),
+    )
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
     first = where.groupBy("root").agg(F.min(F.struct("id", "line_no")).alias("first"))

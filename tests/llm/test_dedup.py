@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from corpusprep.llm.common import components
 from corpusprep.llm.line_dedup import line_classes, line_dedup
@@ -165,3 +166,42 @@ def test_pairs_that_share_a_passage_meet_their_likes(spark):
             want[2 * k + j] = 2 * k
     got = {r.id: r.class_id for r in near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == want
+
+
+def test_unlike_lines_that_share_buckets_are_not_compared(spark, monkeypatch):
+    """Long lines of few words share bands by chance: whole signatures, not shingle sets, tell them apart."""
+    import corpusprep.llm.line_dedup as module
+
+    rng = random.Random(8)
+    base = [" ".join(rng.choice(["abcde", "fghij", "klmno", "pqrst", "uvwxy", "zabcd"]) + rng.choice("0123456789") for _ in range(60)) for _ in range(400)]
+    near = [x[:-1] + "!" for x in base[:20]]
+    compared, real = [], module.verified
+    count = lambda pairs, lines, similarity: (compared.append(pairs.count()), real(pairs, lines, similarity))[1]
+    monkeypatch.setattr(module, "verified", count)
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(base + near)], "doc_id long, text string")
+    rows = {r.id: r.class_id for r in line_classes(docs).collect()}
+    assert rows == {k: k - 400 if k >= 400 else k for k in range(420)}
+    assert sum(compared[-4:]) <= 40
+
+
+@pytest.mark.parametrize("pairwise", [1, 64])
+def test_links_do_not_depend_on_the_size_of_buckets(spark, monkeypatch, pairwise):
+    """Lines around one passage, each with a near copy: every bucket size gives the classes of brute force."""
+    from corpusprep.llm import common
+
+    monkeypatch.setattr(common, "PAIRWISE", pairwise)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = word(120)
+    own = [passage + word(rng.randrange(60, 200)) + "." for _ in range(60)]
+    lines = own + [x[:-1] + word(rng.randrange(1, 60)) for x in own]
+    sets = [{x[i : i + 10] for i in range(len(x) - 9)} for x in lines]
+    least = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a + 1, len(lines)):
+            if least[a] != least[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                lo, hi = sorted((least[a], least[b]))
+                least = [lo if x == hi else x for x in least]
+    assert 60 < len(set(least)) < len(lines)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.id: r.class_id for r in line_classes(docs).collect()} == dict(enumerate(least))
