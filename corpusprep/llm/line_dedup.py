@@ -5,7 +5,7 @@ shorter line is one shingle). One hash per shingle feeds a one-permutation MinHa
 the hash names a bin and the least hash of each bin is the signature, over all shingles
 of a line however long it is. Bins are banded by threes; two lines of similarity
 ``SIMILARITY`` share no band with a probability of about (1 - 0.8 ** 3) ** 16 = 1e-5;
-candidates that agree in ``AGREE`` of all bins (of lines of similarity ``SIMILARITY`` one pair in 10 ** 7 does not)
+candidates that agree in ``AGREE`` of all bins (of lines of similarity ``SIMILARITY`` one pair in 10 ** 9 does not, were bins independent)
 are verified by the Jaccard similarity of their sets of 64-bit shingle hashes, linked
 lines become components by distributed union-find, and the first line of each
 component in order of (id, line number) stays.
