@@ -68,15 +68,16 @@ def signatures(lines: DataFrame) -> DataFrame:
     return bins.selectExpr("lk", *[f"{' | '.join(part(j) for j in range(8 * k, 8 * k + 8))} as {c}" for k, c in enumerate(SKETCH)])
 
 
-def alike(a: str, b: str) -> str:
-    """SQL: whether the ``signatures`` of lines a and b, in columns that start so, agree in ``AGREE`` bins or more."""
+def alike(a: str, b: str, similarity: float = SIMILARITY) -> str:
+    """SQL: whether the ``signatures`` of lines a and b, in columns that start so, agree in ``AGREE`` bins or more; always, where
+    less than ``SIMILARITY`` is asked for."""
     differ = []
     for c in SKETCH:
         bits = f"({a}{c} ^ {b}{c})"
         for n in (4, 2, 1):  # the bits of a byte are gathered in its lowest one
             bits = f"({bits} | shiftrightunsigned({bits}, {n}))"
         differ.append(f"bit_count({bits} & {0x0101010101010101}L)")
-    return f"{' + '.join(differ)} <= {BINS - AGREE}"
+    return f"{' + '.join(differ)} <= {BINS - (AGREE if similarity >= SIMILARITY else 0)}"
 
 
 def shingle_set(line: str) -> str:
@@ -90,7 +91,7 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     """The (a, b) pairs of line keys whose shingle sets have Jaccard similarity ``similarity`` or more."""
     one, two = (lines.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("line", "n", *SKETCH)]).hint("merge") for x in "ab")
     # sets whose sizes differ too much cannot be similar
-    near = pairs.join(one, "a").join(two, "b").where(f"least(a_n, b_n) >= {similarity} * greatest(a_n, b_n) and {alike('a_', 'b_')}")
+    near = pairs.join(one, "a").join(two, "b").where(f"least(a_n, b_n) >= {similarity} * greatest(a_n, b_n) and {alike('a_', 'b_', similarity)}")
     common = f"size(array_intersect({shingle_set('a_line')}, {shingle_set('b_line')}))"
     return near.where(f"{common} * (1 + {similarity}) >= {similarity} * (a_n + b_n)").select("a", "b")
 
@@ -123,7 +124,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     distinct = texts.groupBy("lk").agg(F.first("line").alias("line"))
     roots = bucket_classes(
         shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), tokens, similarity,
-        counted=True, sketch=SKETCH, alike=alike("a_", "b_"),
+        counted=True, sketch=SKETCH, alike=alike("a_", "b_", similarity),
     )
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")
