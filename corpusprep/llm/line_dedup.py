@@ -36,48 +36,43 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def minima(lines: DataFrame, seed: int = 0) -> DataFrame:
-    """(lk, bins): for every line of (lk, line) the least hash of each bin that has one, as an array of (bin, m) in order.
+    """(lk, band, m0, ...): for every line of (lk, line) and band of ``ROWS`` bins of which one is filled, the least hash of each bin, null if it has none.
 
-    Rows of one line stay together where they are dealt by ``lk``, so nothing is exchanged.
+    Rows of one line stay together where they are dealt by ``lk``, so nothing is exchanged. A group is
+    a band, not a bin: the minima of a band are updated in one row.
     """
     points = lines.select("lk", F.encode("line", "UTF-32").alias("points"))
     last = f"int(greatest(0, (length(points) div 4) - {SHINGLE}))"
     each = points.selectExpr("lk", "points", f"explode(sequence(0, {last})) as i")
     hashed = each.selectExpr("lk", f"xxhash64(substring(points, 4 * i + 1, {4 * SHINGLE}), {seed}) & 9223372036854775807L as h")
-    least = hashed.selectExpr("lk", f"int((h & 1048575L) % {BINS}) as bin", "h").groupBy("lk", "bin").agg(F.min("h").alias("m"))
-    return least.groupBy("lk").agg(F.collect_list(F.struct("bin", "m")).alias("bins"))
+    placed = hashed.selectExpr("lk", f"int((h & 1048575L) % {BINS}) as bin", "h").selectExpr("lk", f"int(bin div {ROWS}) as band", f"bin % {ROWS} as place", "h")
+    return placed.groupBy("lk", "band").agg(*[F.expr(f"min(if(place = {i}, h, null))").alias(f"m{i}") for i in range(ROWS)])
 
 
 def bands(lines: DataFrame, seed: int = 0) -> DataFrame:
     """(node, key): one key for each band of ``ROWS`` bins of which at least one is filled."""
-    bins = minima(lines, seed).select("lk", F.map_from_entries("bins").alias("m"))
-    full = bins.select("lk", *[F.element_at("m", F.lit(j)).alias(f"m{j}") for j in range(BINS)])
-    keys = []
-    for j in range(0, BINS, ROWS):
-        cols = [f"m{j + i}" for i in range(ROWS)]
-        filled = " or ".join(f"{c} is not null" for c in cols)
-        same = ", ".join(f"{c}, {c} is null" for c in cols)
-        keys.append(F.expr(f"if({filled}, xxhash64({j}, {same}), null)"))
-    return full.select(F.col("lk").alias("node"), F.explode(F.array(*keys)).alias("key")).where("key is not null")
+    same = ", ".join(f"m{i}, m{i} is null" for i in range(ROWS))
+    return minima(lines, seed).selectExpr("lk as node", f"xxhash64(band, {same}) as key")
 
 
 def signatures(lines: DataFrame) -> DataFrame:
     """(lk, f0, ...): eight bits of the least hash of each bin of a line, eight bins in a long; an empty bin is zero."""
-    bins = minima(lines).select("lk", F.map_from_entries("bins").alias("m"))
-    part = lambda j: f"shiftleft(coalesce(shiftright(m[{j}], 20) & 255L, 0L), {8 * (j % 8)})"
-    return bins.selectExpr("lk", *[f"{' | '.join(part(j) for j in range(8 * k, 8 * k + 8))} as {c}" for k, c in enumerate(SKETCH)])
+    half = BINS // ROWS // 8  # longs that the bins of one place in a band fill
+    part = lambda k: f"if(band div 8 = {k % half}, shiftleft(coalesce(shiftright(m{k // half}, 20) & 255L, 0L), int(8 * (band % 8))), 0L)"
+    return minima(lines).groupBy("lk").agg(*[F.expr(f"bit_or({part(k)})").alias(c) for k, c in enumerate(SKETCH)])
 
 
 def alike(a: str, b: str, similarity: float = SIMILARITY) -> str:
-    """SQL: whether the ``signatures`` of lines a and b, in columns that start so, agree in ``AGREE`` bins or more; always, where
-    less than ``SIMILARITY`` is asked for."""
+    """SQL: whether lines a and b, in columns that start so, have shingle sets of like sizes ``n`` and ``signatures`` that agree in ``AGREE``
+    bins or more; any signatures, where less than ``SIMILARITY`` is asked for."""
     differ = []
     for c in SKETCH:
         bits = f"({a}{c} ^ {b}{c})"
         for n in (4, 2, 1):  # the bits of a byte are gathered in its lowest one
             bits = f"({bits} | shiftrightunsigned({bits}, {n}))"
         differ.append(f"bit_count({bits} & {0x0101010101010101}L)")
-    return f"{' + '.join(differ)} <= {BINS - (AGREE if similarity >= SIMILARITY else 0)}"
+    sizes = f"least({a}n, {b}n) >= {similarity} * greatest({a}n, {b}n)"  # sets whose sizes differ too much cannot be similar
+    return f"{sizes} and {' + '.join(differ)} <= {BINS - (AGREE if similarity >= SIMILARITY else 0)}"
 
 
 def shingle_set(line: str) -> str:
@@ -90,8 +85,7 @@ def shingle_set(line: str) -> str:
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs of line keys whose shingle sets have Jaccard similarity ``similarity`` or more."""
     one, two = (lines.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("line", "n", *SKETCH)]).hint("merge") for x in "ab")
-    # sets whose sizes differ too much cannot be similar
-    near = pairs.join(one, "a").join(two, "b").where(f"least(a_n, b_n) >= {similarity} * greatest(a_n, b_n) and {alike('a_', 'b_', similarity)}")
+    near = pairs.join(one, "a").join(two, "b").where(alike("a_", "b_", similarity))
     common = f"size(array_intersect({shingle_set('a_line')}, {shingle_set('b_line')}))"
     return near.where(f"{common} * (1 + {similarity}) >= {similarity} * (a_n + b_n)").select("a", "b")
 
@@ -124,7 +118,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     distinct = texts.groupBy("lk").agg(F.first("line").alias("line"))
     roots = bucket_classes(
         shared_buckets(bands(distinct)), payload, lambda pairs, lines: verified(pairs, lines, similarity), tokens, similarity,
-        counted=True, sketch=SKETCH, alike=alike("a_", "b_", similarity),
+        counted=True, sketch=(*SKETCH, "n"), alike=alike("a_", "b_", similarity),
     )
     where = filled.select("rk", "id", "line_no", "lk").join(roots, F.col("lk") == F.col("node"), "left")
     where = stored(where.select("rk", "id", "line_no", F.coalesce("root", "lk").alias("root")), "op4-where")

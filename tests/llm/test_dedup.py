@@ -205,3 +205,35 @@ def test_links_do_not_depend_on_the_size_of_buckets(spark, monkeypatch, pairwise
     assert 60 < len(set(least)) < len(lines)
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     assert {r.id: r.class_id for r in line_classes(docs).collect()} == dict(enumerate(least))
+
+
+def test_a_pair_of_many_common_rare_tokens_is_seldom_made_twice(spark):
+    """Rows of the join on rare tokens, with and without witnesses: the same pairs, but not one row for each common token."""
+    from corpusprep.llm import common
+
+    rng = random.Random(12)
+    rows = []
+    for node in range(60):
+        kept = [t for t in range(100, 140) if rng.random() < 0.9] + [t for t in range(200, 900) if rng.random() < 0.01]
+        rows += [(node, 1_000_003 * t, i / 400) for i, t in enumerate(sorted(kept))]
+    rare = spark.createDataFrame(rows, "node long, key long, before double")
+    seen = common._witnessed(rare)
+    assert seen.count() == len(rows)
+    one, two = (seen.selectExpr("key", f"node as {x}", *[f"{w} as {w}_{x}" for w in common.WITNESSES]) for x in "ab")
+    every = one.join(two, "key").where("a < b")
+    few = every.where(common._met_here())
+    assert set(few.select("a", "b").collect()) == set(every.select("a", "b").collect())
+    assert few.count() < 3 * 60 * 59 / 2 < every.count() / 8
+
+
+def test_signatures_hold_the_least_hash_of_every_bin(spark):
+    from corpusprep.llm import line_dedup as module
+
+    rng = random.Random(13)
+    lines = spark.createDataFrame([(k, sentence(rng, k)) for k in (1, 3, 20, 200)], "lk long, line string")
+    least = {(r.lk, r.band): [r.m0, r.m1, r.m2] for r in module.minima(lines).collect()}
+    for r in module.signatures(lines).collect():
+        bins = sorted(f >> s & 255 for f in r[1:] for s in range(0, 64, 8))
+        want = [((m or 0) >> 20) & 255 for band in range(16) for m in least.get((r.lk, band), [None] * 3)]
+        assert bins == sorted(want)
+    assert module.bands(lines).count() == len(least)
