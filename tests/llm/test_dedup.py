@@ -1,14 +1,17 @@
 """Substring, near-duplicate and line deduplication against brute force, and odd inputs."""
 
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusprep.llm.common import components
 from corpusprep.llm.line_dedup import line_classes, line_dedup
 from corpusprep.llm.near_dedup import near_classes, near_dedup, prob_minhash, probability_jaccard, weighted_shingles
 from corpusprep.llm.substring_dedup import substring_dedup
+from corpusprep.session import session_settings
 from tests.llm import brute
 from tests.llm.conftest import odd_texts, sentence
 
@@ -237,3 +240,74 @@ def test_signatures_hold_the_least_hash_of_every_bin(spark):
         want = [((m or 0) >> 20) & 255 for band in range(16) for m in least.get((r.lk, band), [None] * 3)]
         assert bins == sorted(want)
     assert module.bands(lines).count() == len(least)
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_conditions_of_pairs_are_small_enough_to_be_compiled(spark, monkeypatch, capsys, rare):
+    """The JVM interprets methods of more than 8000 bytes, which made looking at a pair several times as slow."""
+    from corpusprep.llm import common, line_dedup
+
+    monkeypatch.setattr(common, "stored", lambda df, name: df)
+    sketch = (*line_dedup.SKETCH, "n")
+    met = line_dedup.alike("a_", "b_")
+    rows = spark.range(10).selectExpr("id as node", "id % 2 as key", "id as root", *[f"if(id > 0, id, null) as {c}" for c in sketch])
+    columns = lambda x: common._sketched(x, sketch)
+    if rare:
+        rows = common._witnessed(rows.selectExpr("*", "if(id > 0, id / 9D, null) as before", "if(id > 0, 9D, null) as total", "0D as excess"))
+        met = f"{common._met_here()} and {common._within_reach(0.8)} and {met}"
+        columns = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("before", "total", "excess", *common.WITNESSES)] + common._sketched(x, sketch)
+    with session_settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        common._meet(rows, columns, met).explain("codegen")
+    plan = capsys.readouterr().out
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert "SortMergeJoin" in plan and sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("differing", range(0, 9))
+def test_bytes_that_differ_are_counted(spark, differing):
+    """Any bits of a byte count once, whatever the other bytes are."""
+    from corpusprep.llm import line_dedup
+
+    rng = random.Random(differing)
+    rows = []
+    for _ in range(200):
+        a = [rng.randrange(256) for _ in range(48)]
+        b = list(a)
+        for at in rng.sample(range(48), 6 * differing):
+            b[at] ^= 1 << rng.randrange(8) | rng.randrange(256)
+        both = [int.from_bytes(bytes(x[8 * k : 8 * k + 8]), "big", signed=True) for x in (a, b) for k in range(6)]
+        rows.append((*both, 10, 10, sum(x == y for x, y in zip(a, b)) >= line_dedup.AGREE))
+    names = [f"{x}_{c}" for x in "ab" for c in line_dedup.SKETCH]
+    pairs = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names) + ", a_n int, b_n int, want boolean")
+    assert pairs.where(f"({line_dedup.alike('a_', 'b_')}) <> want").count() == 0
+
+
+def test_buckets_of_some_hundred_lines_need_no_tokens(spark, monkeypatch):
+    """100 lines around one passage, with a near copy each: all pairs of signatures are looked at, which costs less than their tokens."""
+    from corpusprep.llm import common
+
+    used, real = [], common.counted_prefixes
+    monkeypatch.setattr(common, "counted_prefixes", lambda tokens, similarity: (used.append(tokens.count()), real(tokens, similarity))[1])
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = word(120)
+    own = [passage + word(100) + "." for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(own + [x[:-1] + "!" for x in own])), "doc_id long, text string")
+    assert {r.id: r.class_id for r in line_classes(docs).collect()} == {k: k % 100 for k in range(200)}
+    assert used == []
+
+
+def test_settings_of_a_step_are_put_back(spark):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.some.key")}
+    with pytest.raises(ValueError):
+        with session_settings(spark, dict.fromkeys(before, "7") | {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+            raise ValueError
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+def test_blank_lines_are_kept_and_have_no_class(spark):
+    docs = spark.createDataFrame([(1, "\n \none\n"), (2, ""), (None, "\none"), (3, None), (2, "")], "doc_id long, text string")
+    got = sorted(((r.id or 0, r.line_no, r.class_id, r.class_line, r.kept) for r in line_classes(docs).collect()), key=str)
+    blank = [(i, n, None, None, True) for i, n in ((1, 0), (1, 1), (1, 3), (2, 0), (2, 0), (0, 0))]
+    assert got == sorted([*blank, (0, 1, None, 1, True), (1, 2, None, 1, False)], key=str)
