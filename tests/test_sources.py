@@ -26,6 +26,31 @@ def test_list_files(spark):
     assert [r.position for r in got] == [0, 1] and [r.path for r in got] == sorted(r.path for r in got)
 
 
+def test_row_groups_reads_footers_alone(spark, tmp_path, monkeypatch):
+    """A file of more bytes than one array can hold, a footer longer than the first read, and more groups than the driver holds."""
+    small = scratch_path(spark, "t-footers")
+    spark.range(1000).coalesce(1).write.option("parquet.block.row.count.limit", "300").parquet(small)
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(small).first().content
+    large = tmp_path / "large file.parquet"
+    with large.open("wb") as f:  # a hole of 2.5 GB that takes no disk
+        f.write(whole[:4])
+        f.seek(5 << 29)
+        f.write(whole[4:])
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "b.parquet").write_bytes(whole)
+    (tmp_path / "note.txt").write_text("not a table")
+    monkeypatch.setattr(fs, "TAIL_BYTES", 64)
+    monkeypatch.setattr(fs, "FOOTER_ROWS", 3)
+    got = sorted((r.file.rsplit("/", 1)[1], r.group, r.n_rows) for r in fs.row_groups(spark, f"file://{tmp_path}").collect())
+    assert got == [(n, k, r) for n in ("b.parquet", "large file.parquet") for k, r in enumerate([300, 300, 300, 100])]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert fs.row_groups(spark, f"file://{empty}").collect() == []
+    (empty / "bad.parquet").write_bytes(b"PAR1 is not all of it")
+    with pytest.raises(ValueError, match="bad.parquet"):
+        fs.row_groups(spark, f"file://{empty}")
+
+
 def test_declared_and_named_splits(spark):
     a, b = scratch_path(spark, "t-a"), scratch_path(spark, "t-b")
     spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("t")).write.parquet(a)
