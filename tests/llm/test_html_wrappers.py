@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from corpusprep.llm.html_extract import CONSTANT, MIN_PAGES, content_path, extract, html_main_text, layout, main_blocks, match_trees, parse
+from corpusprep.llm.html_extract import CONSTANT, MIN_PAGES, OUTLINES, Induction, Page, content_path, extract, host_of, html_main_text, layout, main_blocks, match_trees, parse, wrappers
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -115,3 +115,89 @@ def test_template_blocks_are_dropped_by_wrapper_and_text():
     assert lines == ["same", "own"]
     assert extract(html, None, frozenset([block_hash(wrapper, "same")])) == "own"
     assert extract(html, None, frozenset([block_hash("other", "same")])) == "same\nown"
+
+
+def paths_of(spark, sites):
+    """Path by (host, layout) as learnt in Spark from sites: host -> pages."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, f"https://{host}/{k}", h) for host, pages in sites.items() for k, h in enumerate(pages)]
+    own = spark.createDataFrame(rows, SCHEMA).repartition(3).select(host_of(F.col("url")).alias("host"), "html")
+    return {(r.host, w.layout): tuple(w.path) for r in wrappers(own).collect() for w in r.wrappers}
+
+
+def paths_of_all_pairs(sites):
+    layouts = {}
+    for host, pages in sites.items():
+        for h in set(pages):
+            layouts.setdefault((host, layout(parse(h))), []).append(parse(h))
+    return {k: path for k, pages in layouts.items() if (path := content_path(pages))}
+
+
+def test_every_page_of_a_layout_has_its_part_in_the_wrapper(spark):
+    """One page of twelve, another one on each host, has text that varies beside the element of the others."""
+    sites = {}
+    for odd in range(12):
+        pages = [h for h, _ in site(random.Random(odd), SHELLS[0], pages=12)]
+        pages[odd] = pages[odd].replace("<div class='x1'>", "<div class='x1'><p>Beside the others</p>")
+        sites[f"h{odd}.example.com"] = pages + pages[:4]
+    got = paths_of(spark, sites)
+    assert got == paths_of_all_pairs(sites)
+    assert set(got.values()) == {("html.", "body.", "div.x1")} and len(got) == 12
+    rows = [(k, f"https://{host}/{k}", h) for host, pages in sites.items() for k, h in enumerate(pages)]
+    texts = [r.text for r in html_main_text(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sum(t.startswith("Beside the others\n") for t in texts) == 12 + 4  # the odd pages, four of them twice
+
+
+def some_tree(rng, depth):
+    tags = "div,div class=a,div class=b,section,article,p,p,nav,ul,h1,a href=x".split(",")
+    out = ""
+    for _ in range(rng.randrange(4)):
+        tag = rng.choice(tags)
+        deep = tag[0] in "dsanu" and depth and rng.random() < 0.75
+        out += f"<{tag}>{some_tree(rng, depth - 1) if deep else rng.choice(['x', 'y', '', 'z', '<a href=1>l</a>'])}</{tag.split()[0]}>"
+    return out
+
+
+def some_site(rng):
+    shells = "<article>%s</article>,<div class=c><div class=d>%s</div></div>,<div class=b>%s</div>,<div><p>n</p></div><div>%s</div>,<table><tr><td>a<td>%s</table>".split(",")
+    parts = [rng.choice(shells)]
+    for _ in range(rng.randrange(4)):
+        parts.insert(rng.randrange(len(parts) + 1), rng.choice(["<hr>", "<p></p>", "<div class=b></div>", "<p>c</p>", "<nav>%s</nav>", "<nav><p>i</p></nav>", "<div class=more><ul><li><a>%s</a></ul></div>"]))
+    often = [rng.choice([1, 1, 0.5]) for _ in parts]
+    return ["<body>" + "".join(p.replace("%s", some_tree(rng, 2)) for p, o in zip(parts, often) if rng.random() < o) for _ in range(rng.randrange(2, 9))]
+
+
+def test_the_path_is_that_of_all_pairs():
+    """What was learnt in parts, without aligning all pairs, against ``content_path``, which does."""
+    known = 0
+    for seed in range(1500):
+        rng = random.Random(seed)
+        pages = some_site(rng)
+        parts, whole = [Induction() for _ in range(3)], Induction()
+        for h in pages:
+            rng.choice(parts).add(Page(h))
+        for x in parts:
+            whole.join(x.path, x.stuck, [p.html for p in x.pages.values()])
+        if not whole.stuck or whole.path == ():
+            assert (whole.path or None) == content_path([parse(h) for h in set(pages)]), seed
+            known += 1
+    assert known > 300
+
+
+def test_pages_whose_outlines_do_not_settle_it_are_aligned_in_pairs(spark, monkeypatch):
+    from corpusprep.llm import html_extract
+
+    monkeypatch.setattr(html_extract, "BLOCK_PAGES", 2)
+    sites = {f"h{seed}.example.com": some_site(random.Random(seed)) for seed in range(80)}
+    assert paths_of(spark, sites) == paths_of_all_pairs(sites)
+    stuck = Induction()
+    for h in ("<body><p>n</p><div class=b><p>x</p></div>", "<body><div class=b></div><p>n</p><div class=b><p>y</p><p>z</p></div>"):
+        stuck.add(Page(h))
+    assert stuck.stuck
+    many = ["<body><div><p>name</p></div><div>" + "".join(f"<{t}>{k}</{t}>" for t in format(k + 2, "b").replace("0", "p ").replace("1", "h2 ").split()) + "</div>" for k in range(OUTLINES + 9)]
+    held = Induction()
+    for h in many:
+        held.add(Page(h))
+    assert held.stuck and not held.pages
+    assert paths_of(spark, {"many.example.com": many}) == paths_of_all_pairs({"many.example.com": many})
