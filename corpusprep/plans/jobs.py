@@ -73,7 +73,7 @@ def interleave_job(
     shards = materialise(shards.select("slot", "source_id", "occ", "split", "idx", "shard", "part"), scratch_path(spark, "places"))
     payload = origins.drop("_bytes").join(rows, ["source_id", origin])  # one row per used origin, with its k
     # files are those of one pass, as every row has its write task; the last pass marks the folder as complete
-    passes = [(0, plan.parts)] if mode == "ignore" else plan.passes()
+    passes = [(0, plan.parts)] if mode == "ignore" else plan.passes(spark.sparkContext.defaultParallelism)
     for lo, hi in passes:
         here = shards.filter((F.col("part") >= lo) & (F.col("part") < hi))
         options = {} if hi == plan.parts else {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}

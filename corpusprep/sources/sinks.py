@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.index import dense_index
 from corpusprep.operators.shard import SHARD_LIMIT, contiguous_shard, estimate_bytes, shard_count
+from corpusprep.session import session_settings
 from corpusprep.sources.files import has_files
 
 ROWS_PER_GROUP = 128  # fixed value: rows per Parquet row group of the writer
 #: Bytes (as estimated) that one write task takes of a shard.
 TASK_BYTES = 256 * 10**6
-#: Write tasks of a pass, and passes at most; a pass deletes its shuffle files before the next one begins.
-PASS_TASKS = 64
+#: Write tasks of a pass for every 8 that can run at once, and passes at most; a pass deletes its shuffle files before the next one begins.
+PASS_TASKS = 8
 PASSES = 16
 
 
@@ -50,9 +51,9 @@ class ShardPlan:
             parts += r.n_shards * -(-(-(-r.n_rows // r.n_shards)) // chunk)
         return cls(splits, max(parts, 1))
 
-    def passes(self) -> list[tuple[int, int]]:
-        """Ranges of partitions to write one after the other: rows on their way take the disk of one of them, 1 / ``PASSES`` for a large job."""
-        n = max(1, min(PASSES, -(-self.parts // PASS_TASKS)))
+    def passes(self, at_once: int = 1) -> list[tuple[int, int]]:
+        """Ranges of partitions to write one after the other, a pass of some ``at_once``: rows on their way take the disk of one of them, 1 / ``PASSES`` for a large job."""
+        n = max(1, min(PASSES, -(-self.parts // (PASS_TASKS * max(1, at_once // 8)))))
         return [(k * self.parts // n, (k + 1) * self.parts // n) for k in range(n)]
 
     def _of(self, split: str, k: int) -> Column:
@@ -114,8 +115,10 @@ def write_sharded(
     placed = df if "part" in df.columns else df.withColumn("part", plan.part(split))
     ordered = placed.repartitionById(plan.parts, F.col("part")).sortWithinPartitions(split, "shard", "idx").drop("part")
     writer = ordered.write.mode(mode).option("compression", "zstd").options(**options).partitionBy(split, "shard")
-    # the byte limit must not close a group first
-    writer.option("parquet.block.row.count.limit", rows_per_group).option("parquet.block.size", 2**31 - 1).parquet(path)
+    # a payload that is joined here may be far wider than Spark takes it to be: it is not sent to all tasks unless the caller says so
+    with session_settings(df.sparkSession, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        # the byte limit must not close a group first
+        writer.option("parquet.block.row.count.limit", rows_per_group).option("parquet.block.size", 2**31 - 1).parquet(path)
 
 
 def _plan_of_shards(df: DataFrame, split: str, rows_per_group: int) -> ShardPlan:

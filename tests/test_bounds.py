@@ -78,3 +78,11 @@ def test_wer_from_ids_decodes_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert [found.head()[k] for k in ("n_pairs", "errors", "ref_words")] == [2, 1, 4]
+
+
+def test_a_pass_is_one_wave_of_write_tasks():
+    """2 GB of rows are on their way where 8 tasks run at once, not 16; a large job has ``PASSES`` of them, and every task is in one pass."""
+    for parts, at_once, most in ((40, 8, 8), (40, 6, 8), (40, 32, 32), (7, 8, 8), (4000, 8, 250), (1, 1, 1)):
+        passes = sinks.ShardPlan({}, parts).passes(at_once)
+        assert [p for lo, hi in passes for p in range(lo, hi)] == list(range(parts))
+        assert max(hi - lo for lo, hi in passes) <= most and len(passes) <= sinks.PASSES
